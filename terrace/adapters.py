@@ -37,7 +37,8 @@ def ymd(c: Column | str) -> Column:
     return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyyMMdd")
 
 
-E = F.lit("")
+def blank() -> Column:
+    return F.lit("")
 
 
 # --- code tables ---------------------------------------------------------------------
@@ -84,9 +85,9 @@ def raw_empresas(spark, sf_dir):
             F.col("c_name"),
             pad("c_nationkey", 4),
             F.col("c_mktsegment"),
-            F.when(k % 11 == 0, E).otherwise(capital_text("c_acctbal")),
+            F.when(k % 11 == 0, blank()).otherwise(capital_text("c_acctbal")),
             F.when(k % 13 == 0, F.lit("X")).otherwise(pad("c_nationkey", 2)),
-            F.when(F.col("c_nationkey") == 0, F.lit("BR")).otherwise(E),
+            F.when(F.col("c_nationkey") == 0, F.lit("BR")).otherwise(blank()),
         )
     )
 
@@ -103,31 +104,31 @@ def raw_estabelecimentos(spark, sf_dir):
             pad(k % 97, 2),
             F.when(k % 4 == 0, F.lit("1")).otherwise(F.lit("2")),
             F.when(k % 5 == 0, F.concat(F.lit("LOJA"), nul(), k, nul(), F.lit("X"))).otherwise(F.concat(F.lit("LOJA "), k)),
-            F.when(st == "F", F.lit("02")).when(st == "O", F.lit("08")).otherwise(E),
+            F.when(st == "F", F.lit("02")).when(st == "O", F.lit("08")).otherwise(blank()),
             F.when(k % 7 == 0, F.lit("00000000")).otherwise(ymd("o_orderdate")),
             pad(k % 60, 2),
-            E,
-            F.when(cust % 10 == 0, F.lit("105")).otherwise(E),
+            blank(),
+            F.when(cust % 10 == 0, F.lit("105")).otherwise(blank()),
             F.when(k % 9 == 0, F.lit("20260230")).otherwise(ymd("o_orderdate")),
             pad(k % 30, 7),
             F.concat(pad(k % 7, 7), F.lit(","), pad(k % 11, 7)),
             F.lit("RUA"),
             F.concat(F.lit("RUA "), cust),
             (k % 1000).cast("string"),
-            E,
+            blank(),
             F.lit("CENTRO"),
             pad(cust % 100000, 8),
             F.nullif(F.substring("o_orderpriority", 3, 1 << 20), F.lit("LOW")),
             pad(cust % 5000, 4),
             F.lit("11"),
             pad(k % 100000000, 8),
-            E,
-            E,
-            E,
-            E,
+            blank(),
+            blank(),
+            blank(),
+            blank(),
             F.concat(F.lit("contato"), cust, F.lit("@example.com")),
-            E,
-            E,
+            blank(),
+            blank(),
         )
     )
 
@@ -142,10 +143,10 @@ def raw_simples(spark, sf_dir):
             pad(k, 8),
             F.when(st == "F", F.lit("S")).otherwise(F.lit("N")),
             ymd("o_orderdate"),
-            F.when(st == "F", F.lit("00000000")).when(st == "O", ymd("o_orderdate")).otherwise(E),
+            F.when(st == "F", F.lit("00000000")).when(st == "O", ymd("o_orderdate")).otherwise(blank()),
             F.when(k % 3 == 0, F.lit("S")).otherwise(F.lit("N")),
             F.when(k % 3 == 0, ymd("o_orderdate")).otherwise(F.lit("00000000")),
-            E,
+            blank(),
         )
     )
 
@@ -162,9 +163,9 @@ def raw_socios(spark, sf_dir):
             F.concat(F.lit("***"), pad(F.col("l_suppkey") % 1000000, 6), F.lit("**")),
             pad("l_linenumber", 2),
             ymd("l_shipdate"),
-            E,
+            blank(),
             F.lit("***000000**"),
-            E,
+            blank(),
             F.lit("00"),
             (F.col("l_linenumber") % 10).cast("string"),
         )
@@ -183,3 +184,55 @@ RAW_ADAPTERS = {
     "simples": raw_simples,
     "socios": raw_socios,
 }
+
+
+# --- index pages with archive links (supplier) ------------------------------------------
+
+def index_links(spark, sf_dir):
+    """Links of crawled index pages, one per supplier: ``(page_id, url, pos, href)``.
+
+    Planted cases: numbered series whose numbers fall while positions rise,
+    equal numbers with leading zeros, an exact name listed several times,
+    upper-case suffixes, query strings after ``.zip``, absolute mirror URLs,
+    a filter name ending in a digit, and names with a leading blank.
+    """
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    r = k % 8
+    href = (
+        F.when(r == 0, F.concat(F.lit("/files/Alpha"), (F.lit(100000) - k), F.lit(".zip")))
+        .when(r == 1, F.concat(F.lit("beta"), pad(k % 7, 2), F.lit(".ZIP")))
+        .when(r == 2, F.lit("x/Gamma.zip"))
+        .when(r == 3, F.concat(F.lit("GAMMA"), k, F.lit(".zip")))
+        .when(r == 4, F.concat(F.lit("Delta"), k, F.lit(".zip?x=1")))
+        .when(r == 5, F.concat(F.lit("https://mirror.example.org/d/alpha0"), k, F.lit(".zip")))
+        .when(r == 6, F.concat(F.lit("Epsilon"), k, F.lit(".zip")))
+        .otherwise(F.concat(F.lit(" Beta"), k % 5, F.lit(".zip")))
+    )
+    return s.select(
+        F.col("s_nationkey").cast("bigint").alias("page_id"),
+        F.concat(F.lit("http://idx"), F.col("s_nationkey"), F.lit(".example.org/arquivos/2026-01-11/")).alias("url"),
+        k.alias("pos"),
+        href.alias("href"),
+    )
+
+
+def archive_members(spark, sf_dir):
+    """Archive listing ``(zip_name, member, file_size, is_dir)``: one archive per order,
+    one member per line item (empty when the quantity is at most 10), plus a
+    directory entry in every archive (orders without items give archives with no file)."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    files = li.select(
+        F.concat(F.lit("Socios"), F.col("l_orderkey"), F.lit(".zip")).alias("zip_name"),
+        F.concat(F.lit("K"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"), F.lit(".SOCIOCSV")).alias("member"),
+        F.when(F.col("l_quantity") > 10, (F.col("l_quantity") * 1000).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("file_size"),
+        F.lit(False).alias("is_dir"),
+    )
+    dirs = o.select(
+        F.concat(F.lit("Socios"), F.col("o_orderkey"), F.lit(".zip")).alias("zip_name"),
+        F.lit("dados/").alias("member"),
+        F.lit(0).cast("bigint").alias("file_size"),
+        F.lit(True).alias("is_dir"),
+    )
+    return files.unionByName(dirs)

@@ -95,10 +95,12 @@ def resolve_url(base: ColumnOrName, href: ColumnOrName) -> Column:
     """Resolve ``href`` against ``base`` for the common forms.
 
     absolute (has a scheme) -> kept; ``//host/x`` -> base scheme + href;
-    ``/x`` -> base origin + href; ``x`` -> base directory + href.
-    Dot segments (``../``) are not normalised.
+    ``/x`` -> base origin + href; ``x`` -> base directory + href. Leading
+    control characters and spaces, and any tab/CR/LF, are removed from the
+    href first (WHATWG URL parsing). Dot segments (``../``) are not normalised.
     """
-    b, h = _c(base), _c(href)
+    b = _c(base)
+    h = F.regexp_replace(F.regexp_replace(_c(href), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
     origin = F.regexp_extract(b, _ORIGIN, 1)
     base_path = F.regexp_replace(b, r"[?#].*$", "")

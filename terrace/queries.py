@@ -390,3 +390,360 @@ def q_landing_key(spark, sf_dir):
     return o.select(
         "o_orderkey", C.landing_key(F.lit("cnpj"), C.dataset_name(zip_name), F.col("o_orderdate"), member).alias("landing_key")
     )
+
+
+# ---------------------------------------------------------------------------------------
+# Index pages: links, URL resolution, names, selection
+
+from terrace.operators import landing as L  # noqa: E402
+from terrace.operators import quality as Q  # noqa: E402
+from terrace.operators import selection as SEL  # noqa: E402
+from terrace.sources import links as LK  # noqa: E402
+
+
+def sq(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+_DECODE = f"regexp_replace(v, {sq(LK.QUOTES_PATTERN)}, '', 'g')"
+for _src, _dst in LK.ENTITIES:
+    _DECODE = f"replace({_DECODE}, {sq(_src)}, {sq(_dst)})"
+
+SQL_LINKS = f"""
+select page_id, url, cast(generate_subscripts(hrefs, 1) - 1 as bigint) as pos, unnest(hrefs) as href
+from (select page_id, url,
+             list_filter(list_transform(regexp_extract_all(html, {sq(LK.HREF_PATTERN)}, 1), lambda v: {_DECODE}),
+                         lambda x: x <> '') as hrefs
+      from pages)"""
+
+
+def sql_resolve(base: str, href: str) -> str:
+    h = f"regexp_replace(regexp_replace({href}, '^[\\x00-\\x20]+', ''), '[\\t\\r\\n]', '', 'g')"
+    return f"""(case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') then {h}
+      when starts_with({h}, '//') then regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*:)', 1) || {h}
+      when starts_with({h}, '/') then regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || {h}
+      else regexp_replace(regexp_replace({base}, '[?#].*$', ''), '[^/]*$', '') || {h} end)"""
+
+
+def page_links(spark, sf_dir):
+    return LK.extract_links(A.table(spark, sf_dir, "pages"))
+
+
+@register("link_extract", f"select page_id, pos, href from ({SQL_LINKS})")
+def q_link_extract(spark, sf_dir):
+    return page_links(spark, sf_dir).select("page_id", "pos", "href")
+
+
+@register("link_resolve", f"select page_id, pos, href, {sql_resolve('url', 'href')} as resolved_url from ({SQL_LINKS})")
+def q_link_resolve(spark, sf_dir):
+    return page_links(spark, sf_dir).select("page_id", "pos", "href", C.resolve_url("url", "href").alias("resolved_url"))
+
+
+@register("link_basename", f"select page_id, pos, regexp_extract(href, '[^/]*$') as file_name from ({SQL_LINKS})")
+def q_link_basename(spark, sf_dir):
+    return page_links(spark, sf_dir).select("page_id", "pos", C.basename("href").alias("file_name"))
+
+
+def _zipped_href(pos, href):
+    """Even positions get an upper-case archive suffix (the crawled pages link no archives)."""
+    return F.when(pos % 2 == 0, F.concat(href, F.lit(".ZIP"))).otherwise(href)
+
+
+SQL_ZIPPED = f"select page_id, pos, case when pos % 2 = 0 then href || '.ZIP' else href end as href from ({SQL_LINKS})"
+
+
+@register(
+    "zip_link_filter",
+    f"select page_id, pos, href, regexp_extract(href, '[^/]*$') as zip_name from ({SQL_ZIPPED}) where lower(href) like '%.zip'",
+)
+def q_zip_link_filter(spark, sf_dir):
+    links = page_links(spark, sf_dir)
+    z = links.select("page_id", "pos", _zipped_href(F.col("pos"), F.col("href")).alias("href"))
+    return z.filter(C.is_zip_link("href")).select("page_id", "pos", "href", C.basename("href").alias("zip_name"))
+
+
+@register(
+    "dataset_name",
+    f"""select page_id, pos, lower(regexp_replace(replace(nm, '.zip', ''), '[0-9]+$', '')) as dataset
+        from (select page_id, pos, regexp_extract(href, '[^/]*$') || cast(pos as varchar)
+                     || case when pos % 2 = 0 then '.zip' else '.ZIP' end as nm from ({SQL_LINKS}))""",
+)
+def q_dataset_name(spark, sf_dir):
+    links = page_links(spark, sf_dir)
+    name = F.concat(
+        C.basename("href"), F.col("pos").cast("string"), F.when(F.col("pos") % 2 == 0, F.lit(".zip")).otherwise(F.lit(".ZIP"))
+    )
+    return links.select("page_id", "pos", C.dataset_name(name).alias("dataset"))
+
+
+@register(
+    "split_list",
+    """select c_custkey, cast(generate_subscripts(items, 1) - 1 as bigint) as pos, unnest(items) as item
+       from (select c_custkey,
+                    list_filter(list_transform(string_split(' ' || c_mktsegment || ' , ,' || c_name || ',,'
+                                                            || c_mktsegment || ' ', ','), lambda x: trim(x)),
+                                lambda x: x <> '') as items
+             from customer)""",
+)
+def q_split_list(spark, sf_dir):
+    c = A.table(spark, sf_dir, "customer")
+    spec = F.concat(
+        F.lit(" "), F.col("c_mktsegment"), F.lit(" , ,"), F.col("c_name"), F.lit(",,"), F.col("c_mktsegment"), F.lit(" ")
+    )
+    return c.select("c_custkey", F.posexplode(C.split_list(spec)).alias("pos", "item")).withColumn(
+        "pos", F.col("pos").cast("bigint")
+    ).select("c_custkey", "pos", "item")
+
+
+@register(
+    "topk_per_group",
+    """select p_brand, p_partkey, p_size, cast(rank as integer) as rank from (
+         select p_brand, p_partkey, p_size, row_number() over (partition by p_brand order by p_size, p_partkey) as rank
+         from part) where rank <= 3""",
+)
+def q_topk_per_group(spark, sf_dir):
+    p = A.table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size")
+    return SEL.top_per_group(p, ["p_brand"], [F.col("p_size"), F.col("p_partkey")], 3)
+
+
+@register(
+    "dedupe_last",
+    """select user_id, event_id, event_type, value from (
+         select *, row_number() over (partition by user_id order by event_id desc) as rn from events) where rn = 1""",
+)
+def q_dedupe_last(spark, sf_dir):
+    e = A.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return SEL.last_per_key(e, ["user_id"], F.col("event_id"))
+
+
+# Filters as the configuration string lists them (blank items are dropped).
+SELECT_FILTERS = "Alpha, Beta,,Gamma, Epsilon1 ,Nada"
+SELECT_MAX_FILES = 3
+
+SQL_INDEX_LINKS = """
+select cast(s_nationkey as bigint) as page_id,
+       'http://idx' || cast(s_nationkey as varchar) || '.example.org/arquivos/2026-01-11/' as url,
+       s_suppkey as pos,
+       case s_suppkey % 8
+         when 0 then '/files/Alpha' || cast(100000 - s_suppkey as varchar) || '.zip'
+         when 1 then 'beta' || lpad(cast(s_suppkey % 7 as varchar), 2, '0') || '.ZIP'
+         when 2 then 'x/Gamma.zip'
+         when 3 then 'GAMMA' || cast(s_suppkey as varchar) || '.zip'
+         when 4 then 'Delta' || cast(s_suppkey as varchar) || '.zip?x=1'
+         when 5 then 'https://mirror.example.org/d/alpha0' || cast(s_suppkey as varchar) || '.zip'
+         when 6 then 'Epsilon' || cast(s_suppkey as varchar) || '.zip'
+         else ' Beta' || cast(s_suppkey % 5 as varchar) || '.zip' end as href
+from supplier"""
+
+SQL_SELECT_FILES = f"""
+with l as ({SQL_INDEX_LINKS}),
+z as (select *, regexp_extract(href, '[^/]*$') as fname, regexp_extract(trim(href), '[^/]*$') as sname
+      from l where lower(href) like '%.zip'),
+f as (select cast(generate_subscripts(items, 1) - 1 as integer) as filter_pos, unnest(items) as dataset_filter
+      from (select list_filter(list_transform(string_split({sq(SELECT_FILTERS)}, ','), lambda x: trim(x)), lambda x: x <> '') as items)),
+ex as (select z.page_id, f.filter_pos, max(z.pos) as pos
+       from z join f on lower(z.fname) = lower(f.dataset_filter) || '.zip' group by z.page_id, f.filter_pos),
+num as (select z.page_id, f.filter_pos, z.pos,
+               cast(substr(z.sname, length(f.dataset_filter) + 1, length(z.sname) - length(f.dataset_filter) - 4) as hugeint) as sfx
+        from z join f on lower(substr(z.sname, 1, length(f.dataset_filter))) = lower(f.dataset_filter)
+         and regexp_full_match(lower(substr(z.sname, length(f.dataset_filter) + 1)), '[0-9]+\\.zip')),
+nr as (select page_id, filter_pos, pos, row_number() over (partition by page_id, filter_pos order by sfx, pos) as rk
+       from num where not exists (select 1 from ex where ex.page_id = num.page_id and ex.filter_pos = num.filter_pos)),
+sel as (select page_id, filter_pos, 1 as rk, pos from ex
+        union all select page_id, filter_pos, rk, pos from nr where rk <= {SELECT_MAX_FILES})
+select sel.page_id, f.dataset_filter, sel.filter_pos, cast(sel.rk as integer) as rank, sel.pos,
+       z.fname as zip_name, {sql_resolve('z.url', 'z.href')} as zip_url,
+       lower(regexp_replace(replace(z.fname, '.zip', ''), '[0-9]+$', '')) as dataset, {RD} as reference_date
+from sel join f using (filter_pos) join z on z.page_id = sel.page_id and z.pos = sel.pos"""
+
+
+def q_selection(spark, sf_dir):
+    links = A.index_links(spark, sf_dir)
+    filters = SEL.filter_table(spark, SELECT_FILTERS)
+    return SEL.select_files(links, filters, SELECT_MAX_FILES, REFERENCE_DATE)
+
+
+register("select_files", SQL_SELECT_FILES)(q_selection)
+
+
+@register(
+    "gate_selection",
+    f"""select p.page_id, count(s.page_id) as n_selected, count(s.page_id) > 0 as passed
+        from (select distinct cast(s_nationkey as bigint) as page_id from supplier) p
+        left join ({SQL_SELECT_FILES}) s on s.page_id = p.page_id group by p.page_id""",
+)
+def q_gate_selection(spark, sf_dir):
+    return SEL.selection_report(A.index_links(spark, sf_dir), q_selection(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------
+# Archives: manifest and gates
+
+LANDING_BUCKET = "bronze"
+
+SQL_ARCHIVE_REPORT = """
+with m as (select 'Socios' || cast(l_orderkey as varchar) || '.zip' as zip_name,
+                  case when l_quantity > 10 then cast(l_quantity * 1000 as bigint) else 0 end as file_size,
+                  false as is_dir from lineitem
+           union all select 'Socios' || cast(o_orderkey as varchar) || '.zip', 0, true from orders)
+select zip_name, count(*) filter (where not is_dir) as n_files,
+       count(*) filter (where not is_dir and file_size > 0) as n_non_empty
+from m group by zip_name"""
+
+
+@register(
+    "gate_archive",
+    f"""select zip_name, n_files, n_non_empty, n_files > 0 as has_files, n_non_empty > 0 as has_non_empty,
+               n_files > 0 and n_non_empty > 0 as passed from ({SQL_ARCHIVE_REPORT})""",
+)
+def q_gate_archive(spark, sf_dir):
+    return L.archive_report(A.archive_members(spark, sf_dir))
+
+
+@register(
+    "landing_manifest",
+    f"""select zip_name, 'socios' as dataset, cast(n_non_empty as varchar) as uploaded_files, '{LANDING_BUCKET}' as bucket
+        from ({SQL_ARCHIVE_REPORT}) where n_files > 0 and n_non_empty > 0""",
+)
+def q_landing_manifest(spark, sf_dir):
+    members = A.archive_members(spark, sf_dir)
+    datasets = members.select("zip_name", C.dataset_name("zip_name").alias("dataset"))
+    return L.manifest(members, datasets, LANDING_BUCKET)
+
+
+# ---------------------------------------------------------------------------------------
+# Quality reports
+
+def _sql_report(table: str, sql: str, required: str | None) -> str:
+    parts = [
+        f"""select '{table}' as table_name, 'not_empty' as check_name, cast(null as varchar) as column_name,
+                   count(*) as n_rows, cast(case when count(*) > 0 then 0 else 1 end as bigint) as n_violations,
+                   count(*) > 0 as passed from ({sql})"""
+    ]
+    if required:
+        parts.append(
+            f"""select '{table}', 'required_not_null', '{required}', count(*),
+                       count(*) filter (where {required} is null), count(*) filter (where {required} is null) = 0
+                from ({sql})"""
+        )
+    return " union all ".join(parts)
+
+
+@register(
+    "gate_not_empty",
+    _sql_report("estabelecimentos_ativos", SQL_ACTIVE, None)
+    + " union all "
+    + _sql_report("estabelecimentos_baixados", f"select * from ({SQL_ESTABELECIMENTOS}) where situacao_cadastral = 3", None),
+)
+def q_gate_not_empty(spark, sf_dir):
+    est = refined(spark, sf_dir, "estabelecimentos", stamped=False)
+    active = Q.quality_report(marts.active_establishments(est), "estabelecimentos_ativos", None)
+    closed = Q.quality_report(est.filter(F.col("situacao_cadastral") == 3), "estabelecimentos_baixados", None)
+    return active.unionByName(closed)
+
+
+GATE_REQUIRED_CASES = [(t, spec_of(t).key) for t in SQL_REFINED] + [("estabelecimentos", "pais")]
+
+
+@register(
+    "gate_required",
+    " union all ".join(_sql_report(t, SQL_REFINED[t], key) for t, key in GATE_REQUIRED_CASES),
+)
+def q_gate_required(spark, sf_dir):
+    out = None
+    for t, key in GATE_REQUIRED_CASES:
+        rep = Q.quality_report(refined(spark, sf_dir, t, stamped=False), t, key)
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+# ---------------------------------------------------------------------------------------
+# Files on the shared scratch folder: partitioned write + pruned read, landing, store, archives
+
+from terrace.session import fresh_dir  # noqa: E402
+
+
+@register(
+    "partition_scan",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders "
+    "where year(o_orderdate) = 1996 and month(o_orderdate) = 3",
+)
+def q_partition_scan(spark, sf_dir):
+    out = fresh_dir(spark, "partition_scan")
+    o = A.table(spark, sf_dir, "orders")
+    (
+        o.select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+            F.date_format("o_orderdate", "yyyy").alias("year"), F.date_format("o_orderdate", "MM").alias("month"),
+        )
+        .write.partitionBy("year", "month")
+        .parquet(out)
+    )
+    back = spark.read.parquet(out)
+    return back.filter((F.col("year") == 1996) & (F.col("month") == 3)).drop("year", "month")
+
+
+@register("landed_roundtrip", _stamped_sql("estabelecimentos"))
+def q_landed_roundtrip(spark, sf_dir):
+    root = fresh_dir(spark, "landed")
+    lines = A.raw_estabelecimentos(spark, sf_dir).withColumn("dataset", F.lit("estabelecimentos")).unionByName(
+        A.raw_cnaes(spark, sf_dir).withColumn("dataset", F.lit("cnaes"))
+    )
+    L.land(lines, root, REFERENCE_DATE)
+    spec = spec_of("estabelecimentos")
+    raw = L.scan_landed(spark, root, spec.dataset, REFERENCE_DATE, spec.schema)
+    return C.stamp(refine(raw, spec), REFERENCE_DATE)
+
+
+@register("store_roundtrip", _stamped_sql("empresas"))
+def q_store_roundtrip(spark, sf_dir):
+    from terrace.sources.store import SnapshotStore
+
+    store = SnapshotStore(spark, fresh_dir(spark, "store"))
+    spec = spec_of("empresas")
+    store.publish(refined(spark, sf_dir, "cnaes"), "empresas", required="codigo")  # an older snapshot, other schema
+    store.publish(refined(spark, sf_dir, "empresas"), "empresas", required=spec.key)
+    return store.read("empresas")
+
+
+def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) -> list[str]:
+    """Pack raw lines into ``n_archives`` ZIPs (Latin-1 member, plus a directory entry and
+    an empty member in each), one archive per Spark task; returns the archive paths."""
+    import os
+    import zipfile
+
+    from pyspark import TaskContext
+
+    def pack(batches):
+        import pandas as pd
+
+        pid = TaskContext.get().partitionId()
+        path = os.path.join(folder, f"{stem}{pid}.zip")
+        tmp = path + f".part{TaskContext.get().attemptNumber()}"
+        n = 0
+        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("dados/", b"")
+            zf.writestr("dados/VAZIO.CSV", b"")
+            with zf.open(f"dados/K{pid:04d}.CSV", "w") as member:
+                for b in batches:
+                    for v in b["value"]:
+                        member.write(v.encode("latin-1") + b"\r\n")
+                        n += 1
+        os.replace(tmp, path)
+        yield pd.DataFrame({"archive": [path], "n_lines": [n]})
+
+    os.makedirs(folder, exist_ok=True)
+    done = lines.repartition(n_archives).mapInPandas(pack, "archive string, n_lines long").collect()
+    return sorted(r["archive"] for r in done)
+
+
+@register("zip_members", _stamped_sql("empresas"))
+def q_zip_members(spark, sf_dir):
+    from terrace.sources import ziplines
+
+    folder = fresh_dir(spark, "archives")
+    paths = write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas", 4)
+    lines = ziplines.read_lines(spark, paths)
+    spec = spec_of("empresas")
+    return C.stamp(refine(parse_lines(lines, spec.schema), spec), REFERENCE_DATE)
