@@ -35,19 +35,14 @@ def lenient_int(c: ColumnOrName) -> Column:
     return F.when(col.rlike(r"^[+-]?[0-9]+$"), col.try_cast("int"))
 
 
-# A NUL written as a regex escape: a literal NUL character does not survive the
-# trip from Python to the JVM, the escape text does.
-NUL_PATTERN = r"\x00"
-
-
 def nul() -> Column:
-    """A one-character NUL string, built JVM-side."""
+    """A one-character NUL string, built JVM-side (a literal NUL does not survive Py4J)."""
     return F.expr("char(0)")
 
 
 def clean_nul(c: ColumnOrName) -> Column:
-    """Every NUL character becomes one space."""
-    return F.regexp_replace(_c(c), NUL_PATTERN, " ")
+    """Every NUL character becomes one space (plain string replace, no regex)."""
+    return F.replace(_c(c), nul(), F.lit(" "))
 
 
 def py_strip(c: ColumnOrName) -> Column:

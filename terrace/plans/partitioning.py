@@ -1,0 +1,33 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def target_parallelism(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def _pass_batches(batches):
+    yield from batches
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread ``df`` over the cluster when its source gives fewer partitions than cores.
+
+    Unsplittable inputs (one archive member, one parquet row group) arrive as
+    a few large partitions, and row-wise parsing after them would run on a few
+    cores. Wide inputs are returned unchanged (no shuffle, no barrier).
+
+    The round-robin exchange is followed by an Arrow pass-through: the
+    optimizer cannot push later filters (which may inline an expensive parse)
+    through it, so they run after the exchange on every core instead of in
+    the narrow scan. Round-robin sorts rows locally first, so a retried map
+    task sends the same rows to the same reducers.
+    """
+    want = min_partitions or target_parallelism(df)
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    return df.repartition(want).mapInArrow(_pass_batches, df.schema)
