@@ -238,3 +238,78 @@ def archive_members(spark, sf_dir):
         F.lit(True).alias("is_dir"),
     )
     return files.unionByName(dirs)
+
+
+# --- archives on a shared folder --------------------------------------------------------
+
+def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) -> list[str]:
+    """Pack raw lines into ``n_archives`` ZIPs (Latin-1 member, plus a directory entry and
+    an empty member in each), one archive per Spark task; returns the archive paths."""
+    import os
+    import zipfile
+
+    from pyspark import TaskContext
+
+    def pack(batches):
+        import pandas as pd
+
+        pid = TaskContext.get().partitionId()
+        path = os.path.join(folder, f"{stem}{pid}.zip")
+        tmp = path + f".part{TaskContext.get().attemptNumber()}"
+        n = 0
+        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("dados/", b"")
+            zf.writestr("dados/VAZIO.CSV", b"")
+            with zf.open(f"dados/K{pid:04d}.CSV", "w") as member:
+                for b in batches:
+                    for v in b["value"]:
+                        member.write(v.encode("latin-1") + b"\r\n")
+                        n += 1
+        os.replace(tmp, path)
+        yield pd.DataFrame({"archive": [path], "n_lines": [n]})
+
+    os.makedirs(folder, exist_ok=True)
+    done = lines.repartition(n_archives).mapInPandas(pack, "archive string, n_lines long").collect()
+    return sorted(r["archive"] for r in done)
+
+
+
+
+# Archive names of the registry dump; "{i}" marks a numbered series.
+ARCHIVE_NAMES = {
+    "cnaes": "Cnaes.zip",
+    "empresas": "Empresas{i}.zip",
+    "estabelecimentos": "Estabelecimentos{i}.zip",
+    "motivos": "Motivos.zip",
+    "municipios": "Municipios.zip",
+    "naturezas": "Naturezas.zip",
+    "paises": "Paises.zip",
+    "qualificacoes": "Qualificacoes.zip",
+    "simples": "Simples.zip",
+    "socios": "Socios{i}.zip",
+}
+
+
+def build_archive_site(spark, sf_dir: str, folder: str, parts: int = 4) -> DataFrame:
+    """Write every table's raw lines as registry archives into ``folder`` and return
+    an index page ``(page_id, url, html)`` linking them (numbered series get
+    ``parts`` archives each). The page's base URL is the folder itself."""
+    import os
+
+    hrefs = []
+    for table_name, pattern in ARCHIVE_NAMES.items():
+        lines = RAW_ADAPTERS[table_name](spark, sf_dir)
+        if "{i}" in pattern:
+            stem = pattern.split("{i}")[0]
+            paths = write_archives(lines, folder, stem, parts)
+        else:
+            stem = pattern[: -len(".zip")]
+            paths = write_archives(lines, folder, stem + "_", 1)
+            final = os.path.join(folder, pattern)
+            os.replace(paths[0], final)
+            paths = [final]
+        hrefs.extend(os.path.basename(p) for p in paths)
+    body = "".join(f'<li><a href="{h}">{h}</a></li>' for h in hrefs)
+    html = f"<html><body><h1>index</h1><ul><li><a href=\"../\">up</a></li>{body}</ul></body></html>"
+    base = "file://" + os.path.abspath(folder).rstrip("/") + "/"
+    return spark.createDataFrame([(0, base, html)], "page_id long, url string, html string")

@@ -17,10 +17,15 @@ from terrace.operators import landing, marts, selection
 from terrace.operators.refine import refine
 from terrace.plans.specs import TABLES, spec_of
 from terrace.sources import ziplines
+from terrace.sources.links import extract_links
 from terrace.sources.store import SnapshotStore
 
 MART_TABLE = "empresas_ativas_por_cnae_uf"
 
+# Default dataset filters (in order) and files taken per numbered series.
+DEFAULT_FILTERS = "Cnaes,Empresas,Estabelecimentos,Motivos,Municipios,Naturezas,Paises,Qualificacoes,Simples,Socios"
+DEFAULT_MAX_FILES = 1
+
 
 @dataclass
 class Layout:
@@ -76,3 +81,32 @@ def build_mart(spark: SparkSession, layout: Layout, reference_date: str) -> int:
     )
     metrics = SnapshotStore(spark, layout.mart_root, layout.fmt).publish(mart, MART_TABLE)
     return int(metrics["n_rows"])
+
+
+def select_archives(
+    spark: SparkSession,
+    pages: DataFrame,
+    reference_date: str,
+    filters: str | list[str] = DEFAULT_FILTERS,
+    max_files: int = DEFAULT_MAX_FILES,
+) -> DataFrame:
+    """Index pages -> selection records (exact archive name, else first N of the series)."""
+    links = extract_links(pages)
+    return selection.select_files(links, selection.filter_table(spark, filters), max_files, reference_date)
+
+
+def run(
+    spark: SparkSession,
+    pages: DataFrame,
+    layout: Layout,
+    reference_date: str,
+    filters: str | list[str] = DEFAULT_FILTERS,
+    max_files: int = DEFAULT_MAX_FILES,
+    tables: list[str] | None = None,
+) -> dict:
+    """Select -> land -> refine every table -> mart; returns manifest rows, gate metrics and mart rows."""
+    selected = select_archives(spark, pages, reference_date, filters, max_files)
+    manifest = land_archives(spark, selected, layout, reference_date).collect()
+    refined = refine_all(spark, layout, reference_date, tables)
+    rows = build_mart(spark, layout, reference_date)
+    return {"manifest": [r.asDict() for r in manifest], "refined": refined, "mart_rows": rows}

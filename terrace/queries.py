@@ -707,43 +707,12 @@ def q_store_roundtrip(spark, sf_dir):
     return store.read("empresas")
 
 
-def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) -> list[str]:
-    """Pack raw lines into ``n_archives`` ZIPs (Latin-1 member, plus a directory entry and
-    an empty member in each), one archive per Spark task; returns the archive paths."""
-    import os
-    import zipfile
-
-    from pyspark import TaskContext
-
-    def pack(batches):
-        import pandas as pd
-
-        pid = TaskContext.get().partitionId()
-        path = os.path.join(folder, f"{stem}{pid}.zip")
-        tmp = path + f".part{TaskContext.get().attemptNumber()}"
-        n = 0
-        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr("dados/", b"")
-            zf.writestr("dados/VAZIO.CSV", b"")
-            with zf.open(f"dados/K{pid:04d}.CSV", "w") as member:
-                for b in batches:
-                    for v in b["value"]:
-                        member.write(v.encode("latin-1") + b"\r\n")
-                        n += 1
-        os.replace(tmp, path)
-        yield pd.DataFrame({"archive": [path], "n_lines": [n]})
-
-    os.makedirs(folder, exist_ok=True)
-    done = lines.repartition(n_archives).mapInPandas(pack, "archive string, n_lines long").collect()
-    return sorted(r["archive"] for r in done)
-
-
 @register("zip_members", _stamped_sql("empresas"))
 def q_zip_members(spark, sf_dir):
     from terrace.sources import ziplines
 
     folder = fresh_dir(spark, "archives")
-    paths = write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas", 4)
+    paths = A.write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas", 4)
     lines = ziplines.read_lines(spark, paths)
     spec = spec_of("empresas")
     return C.stamp(refine(parse_lines(lines, spec.schema), spec), REFERENCE_DATE)
