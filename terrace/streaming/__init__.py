@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The registry pipeline is batch only: whole snapshots are landed, refined and
+published per reference date, and the reference has no stream processing
+(no watermarks, windows or state). Incremental arrival is handled by the
+landing stage's per-date leaves, not by a stream.
+"""
