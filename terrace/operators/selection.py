@@ -98,12 +98,14 @@ def select_files(
     w = Window.partitionBy("page_id", "filter_pos").orderBy(
         F.col("is_exact").desc(), slen.asc_nulls_first(), stext.asc_nulls_first(), order_pos.asc()
     )
-    ranked = cand.withColumn("rank", F.row_number().over(w)).withColumn(
+    # 1) top max(N, 1) rows per group: planned as a partial per-group limit before
+    #    the exchange, so a hot (page, filter) group ships at most that many rows
+    #    per task; 2) on those few rows, whether the group's first row is exact.
+    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max(max_files, 1))
+    ranked = top.withColumn(
         "group_has_exact", F.first("is_exact").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    keep = (F.col("rank") <= max(max_files, 1)) & (
-        (F.col("is_exact") & (F.col("rank") == 1)) | (~F.col("group_has_exact") & (F.col("rank") <= max_files))
-    )
+    keep = (F.col("is_exact") & (F.col("rank") == 1)) | (~F.col("group_has_exact") & (F.col("rank") <= max_files))
     zip_name = basename(F.col("href"))
     return ranked.filter(keep).select(
         "page_id",

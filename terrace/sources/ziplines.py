@@ -10,13 +10,13 @@
   per archive, so listing many archives is spread over tasks too.
 
 Options: ``paths`` (comma list of files, directories or globs), ``encoding``,
-``batch_rows``. Paths must be readable from the driver and every executor.
+``batch_rows``, ``chunk_bytes`` (read size of the decompressed stream).
+Paths must be readable from the driver and every executor.
 """
 
 from __future__ import annotations
 
 import glob
-import io
 import os
 import zipfile
 from collections.abc import Iterator
@@ -81,6 +81,7 @@ class _LinesReader(DataSourceReader):
         self.paths = options.get("paths") or options.get("path") or ""
         self.encoding = options.get("encoding", "ISO-8859-1")
         self.batch_rows = int(options.get("batch_rows", "65536"))
+        self.chunk_bytes = int(options.get("chunk_bytes", str(4 << 20)))
 
     def partitions(self):
         parts = []
@@ -92,39 +93,42 @@ class _LinesReader(DataSourceReader):
         return parts or [MemberPartition("", "")]
 
     def read(self, partition: MemberPartition) -> Iterator:
+        import codecs
+
         import pyarrow as pa
 
         if not partition.archive:
             return
         zip_name = os.path.basename(partition.archive)
-        names, members, numbers, values = [], [], [], []
-        n = 0
-
-        def flush():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(members, pa.string()),
-                 pa.array(numbers, pa.int64()), pa.array(values, pa.string())],
+        decoder = codecs.getincrementaldecoder(self.encoding)()
+        first = 0
+
+        def batch(lines: list[str]):
+            n = len(lines)
+            values = [v[:-1] if v.endswith("\r") else v for v in lines]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([zip_name] * n, pa.string()), pa.array([partition.member] * n, pa.string()),
+                 pa.array(range(first, first + n), pa.int64()), pa.array(values, pa.string())],
                 names=["zip_name", "member", "line_no", "value"],
             )
-            names.clear(), members.clear(), numbers.clear(), values.clear()
-            return batch
 
+        pending: list[str] = []
+        tail = ""
         with zipfile.ZipFile(partition.archive) as zf, zf.open(partition.member) as raw:
-            text = io.TextIOWrapper(raw, encoding=self.encoding, newline="\n")
-            for line in text:
-                if line.endswith("\n"):
-                    line = line[:-1]
-                if line.endswith("\r"):
-                    line = line[:-1]
-                names.append(zip_name)
-                members.append(partition.member)
-                numbers.append(n)
-                values.append(line)
-                n += 1
-                if len(values) >= self.batch_rows:
-                    yield flush()
-        if values:
-            yield flush()
+            while True:
+                chunk = raw.read(self.chunk_bytes)
+                text = tail + decoder.decode(chunk, final=not chunk)
+                parts = text.split("\n")
+                tail = parts.pop()
+                pending.extend(parts)
+                if len(pending) >= self.batch_rows or (not chunk and pending):
+                    yield batch(pending)
+                    first += len(pending)
+                    pending = []
+                if not chunk:
+                    break
+        if tail:
+            yield batch([tail])
 
 
 class _ListingReader(DataSourceReader):

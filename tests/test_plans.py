@@ -75,3 +75,11 @@ def test_refine_is_a_narrow_map(spark):
     plan = plan_text(refined(spark, "/root/testdata/sf0.01", "socios"))
     assert "from_csv" in plan
     assert "Exchange hashpartitioning" not in plan  # no key shuffle; only the spread of the narrow input
+
+
+def test_selection_and_dedupe_limit_groups_before_shuffle(spark):
+    from terrace.queries import q_dedupe_last, q_selection
+
+    for df in (q_selection(spark, SF), q_dedupe_last(spark, SF)):
+        plan = plan_text(df, "simple")
+        assert "WindowGroupLimit" in plan and "Partial" in plan
