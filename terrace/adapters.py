@@ -16,9 +16,11 @@ from terrace.functions.columns import nul
 from terrace.plans.partitioning import spread
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when its file has fewer row groups than cores."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table (only ``columns`` when given), spread over the cores when its
+    file has fewer row groups than cores. Columns are pruned before the spread."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df.select(*columns) if columns else df)
 
 
 def pad(c: Column | str, width: int) -> Column:
@@ -46,27 +48,27 @@ def blank() -> Column:
 # --- code tables ---------------------------------------------------------------------
 
 def raw_cnaes(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(raw_line(pad("n_nationkey", 7), F.col("n_name")))
+    return table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).select(raw_line(pad("n_nationkey", 7), F.col("n_name")))
 
 
 def raw_paises(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(raw_line(pad("n_nationkey", 3), F.col("n_name")))
+    return table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).select(raw_line(pad("n_nationkey", 3), F.col("n_name")))
 
 
 def raw_motivos(spark, sf_dir):
-    return table(spark, sf_dir, "region").select(raw_line(pad("r_regionkey", 2), F.col("r_name")))
+    return table(spark, sf_dir, "region", ["r_regionkey", "r_name"]).select(raw_line(pad("r_regionkey", 2), F.col("r_name")))
 
 
 def raw_municipios(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").select(raw_line(pad("s_suppkey", 4), F.col("s_name")))
+    return table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"]).select(raw_line(pad("s_suppkey", 4), F.col("s_name")))
 
 
 def raw_naturezas(spark, sf_dir):
-    return table(spark, sf_dir, "part").select(raw_line(pad("p_partkey", 6), F.col("p_name")))
+    return table(spark, sf_dir, "part", ["p_partkey", "p_name"]).select(raw_line(pad("p_partkey", 6), F.col("p_name")))
 
 
 def raw_qualificacoes(spark, sf_dir):
-    prio = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    prio = table(spark, sf_dir, "orders", ["o_orderpriority"]).distinct()
     return prio.select(raw_line(F.substring("o_orderpriority", 1, 1), F.substring("o_orderpriority", 3, 1 << 20)))
 
 
@@ -79,7 +81,7 @@ def capital_text(c: Column | str) -> Column:
 
 
 def raw_empresas(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"])
     k = F.col("c_custkey")
     return c.select(
         raw_line(
@@ -97,7 +99,7 @@ def raw_empresas(spark, sf_dir):
 # --- establishments (orders) ----------------------------------------------------------
 
 def raw_estabelecimentos(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
     k, cust, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     return o.select(
         raw_line(
@@ -138,7 +140,7 @@ def raw_estabelecimentos(spark, sf_dir):
 # --- simplified tax regime (orders) ---------------------------------------------------
 
 def raw_simples(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_orderdate"])
     k, st = F.col("o_orderkey"), F.col("o_orderstatus")
     return o.select(
         raw_line(
@@ -156,7 +158,7 @@ def raw_simples(spark, sf_dir):
 # --- partners (lineitem) --------------------------------------------------------------
 
 def raw_socios(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
     return li.select(
         raw_line(
             pad("l_orderkey", 8),
@@ -198,7 +200,7 @@ def index_links(spark, sf_dir):
     upper-case suffixes, query strings after ``.zip``, absolute mirror URLs,
     a filter name ending in a digit, and names with a leading blank.
     """
-    s = table(spark, sf_dir, "supplier")
+    s = table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     k = F.col("s_suppkey")
     r = k % 8
     href = (
@@ -223,8 +225,8 @@ def archive_members(spark, sf_dir):
     """Archive listing ``(zip_name, member, file_size, is_dir)``: one archive per order,
     one member per line item (empty when the quantity is at most 10), plus a
     directory entry in every archive (orders without items give archives with no file)."""
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    o = table(spark, sf_dir, "orders", ["o_orderkey"])
     files = li.select(
         F.concat(F.lit("Socios"), F.col("l_orderkey"), F.lit(".zip")).alias("zip_name"),
         F.concat(F.lit("K"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"), F.lit(".SOCIOCSV")).alias("member"),

@@ -21,13 +21,6 @@ class QualityError(RuntimeError):
     """A gate failed; nothing was published."""
 
 
-def _checks(table: str, required: str | None) -> list[tuple[str, str | None]]:
-    checks: list[tuple[str, str | None]] = [("not_empty", None)]
-    if required:
-        checks.append(("required_not_null", required))
-    return checks
-
-
 def gate_metrics(required: str | None) -> list:
     """Aggregate expressions the gates need; usable in ``agg`` or an ``Observation``."""
     exprs = [F.count(F.lit(1)).alias("n_rows")]
@@ -107,3 +100,17 @@ def gate_not_empty(df: DataFrame, table: str) -> None:
     """Cheap form for callers without a write: stops at the first row."""
     if df.isEmpty():
         raise QualityError(f"{table}: not_empty failed, no rows")
+
+
+def reference_date_report(df: DataFrame, table: str, expected: str, date_col: str = "reference_date") -> DataFrame:
+    """Rows per snapshot date found in ``df`` and whether that date is the expected one.
+
+    The date stamped on a mart is trusted, not derived from its inputs; this is
+    a warning check that the inputs carry the same date (one-column aggregate).
+    """
+    return df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(table).alias("table_name"),
+        F.col(date_col).alias("reference_date"),
+        "n_rows",
+        (F.col(date_col) == F.lit(expected)).alias("matches"),
+    )

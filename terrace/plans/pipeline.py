@@ -96,12 +96,15 @@ def refine_all(
         return {t: f.result() for t, f in futures.items()}
 
 
-def build_mart(spark: SparkSession, layout: Layout, reference_date: str) -> int:
+def build_mart(spark: SparkSession, layout: Layout, reference_date: str, check_dates: bool = True) -> int:
     """Mart over the current refined snapshots; published only if not empty; returns its row count.
 
-    The row count is observed during the single write, not recomputed.
+    The row count is observed during the single write, not recomputed. With
+    ``check_dates`` a warning names any input whose snapshot date differs.
     """
     refined = SnapshotStore(spark, layout.refined_root, layout.fmt)
+    if check_dates:
+        warn_on_snapshot_dates(refined, ["estabelecimentos", "cnaes"], reference_date)
     mart = marts.active_companies_by_activity_state(
         refined.read("estabelecimentos"), refined.read("empresas"), refined.read("cnaes"), reference_date
     )
@@ -109,6 +112,20 @@ def build_mart(spark: SparkSession, layout: Layout, reference_date: str) -> int:
     return int(metrics["n_rows"])
 
 
+def warn_on_snapshot_dates(store: SnapshotStore, tables: list[str], reference_date: str) -> list[dict]:
+    """Warn (never fail) when an input snapshot carries another reference date."""
+    import warnings
+
+    from terrace.operators.quality import reference_date_report
+
+    off = []
+    for t in tables:
+        off += [r.asDict() for r in reference_date_report(store.read(t), t, reference_date).filter("not matches").collect()]
+    if off:
+        warnings.warn(f"inputs stamped with another reference date than {reference_date}: {off}", stacklevel=2)
+    return off
+
+
 def select_archives(
     spark: SparkSession,
     pages: DataFrame,

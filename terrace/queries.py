@@ -14,10 +14,18 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from terrace import adapters as A
 from terrace.functions import columns as C
+from terrace.operators import landing as L
 from terrace.operators import marts
+from terrace.operators import quality as Q
+from terrace.operators import selection as SEL
+from terrace.operators.joins import lookup_join
 from terrace.operators.refine import clean_strings, refine
 from terrace.plans.specs import spec_of
+from terrace.session import fresh_dir
+from terrace.sources import links as LK
+from terrace.sources import ziplines
 from terrace.sources.raw import parse_lines
+from terrace.sources.store import SnapshotStore
 
 # Fixed value: snapshot date the registry pipeline stamps by default.
 REFERENCE_DATE = "2026-01-11"
@@ -237,8 +245,6 @@ def q_left_join_company(spark, sf_dir):
     f"select a.*, l.descricao_cnae from ({SQL_ACTIVE}) a left join ({SQL_LOOKUP}) l using (cnae_fiscal_principal)",
 )
 def q_left_join_lookup(spark, sf_dir):
-    from terrace.operators.joins import lookup_join
-
     active = marts.active_establishments(refined(spark, sf_dir, "estabelecimentos", stamped=False))
     lookup = marts.activity_lookup(refined(spark, sf_dir, "cnaes", stamped=False))
     return lookup_join(active, lookup, "cnae_fiscal_principal")
@@ -279,7 +285,7 @@ RAW_SCAN_SCHEMA = StructType(
     "select cast(c_custkey as varchar) as id, c_name || ';' || c_mktsegment as name, c_nationkey as nation from customer",
 )
 def q_raw_scan(spark, sf_dir):
-    c = A.table(spark, sf_dir, "customer")
+    c = A.table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"])
     line = F.concat(
         F.lit('"'), F.col("c_custkey"), F.lit('";"'), F.col("c_name"), F.lit(";"), F.col("c_mktsegment"),
         F.lit('";'), F.col("c_nationkey"),
@@ -298,7 +304,7 @@ LENIENT_INT_SCHEMA = StructType([StructField("id", StringType()), StructField("p
         from customer""",
 )
 def q_lenient_int(spark, sf_dir):
-    c = A.table(spark, sf_dir, "customer")
+    c = A.table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     k = F.col("c_custkey")
     val = (
         F.when(k % 13 == 0, F.lit("X"))
@@ -318,7 +324,7 @@ def q_lenient_int(spark, sf_dir):
         from orders""",
 )
 def q_lenient_date(spark, sf_dir):
-    o = A.table(spark, sf_dir, "orders")
+    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
     k = F.col("o_orderkey")
     text = (
         F.when(k % 7 == 0, F.lit("00000000"))
@@ -338,7 +344,7 @@ def q_lenient_date(spark, sf_dir):
         from customer""",
 )
 def q_comma_decimal(spark, sf_dir):
-    c = A.table(spark, sf_dir, "customer")
+    c = A.table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"])
     k = F.col("c_custkey")
     text = (
         F.when(k % 11 == 0, F.concat(F.lit("1."), A.capital_text("c_acctbal")))
@@ -351,7 +357,7 @@ def q_comma_decimal(spark, sf_dir):
 
 @register("clean_nul", "select p_partkey, p_name, p_brand, p_type, p_size from part")
 def q_clean_nul(spark, sf_dir):
-    p = A.table(spark, sf_dir, "part")
+    p = A.table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
     dirty = p.select(
         "p_partkey",
         F.regexp_replace("p_name", " ", C.nul()).alias("p_name"),
@@ -371,7 +377,7 @@ def q_clean_nul(spark, sf_dir):
     "strftime(o_orderdate, '%d') as day from orders",
 )
 def q_date_parts(spark, sf_dir):
-    o = A.table(spark, sf_dir, "orders")
+    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
     y, m, d = C.date_parts(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.select("o_orderkey", y.alias("year"), m.alias("month"), d.alias("day"))
 
@@ -384,7 +390,7 @@ def q_date_parts(spark, sf_dir):
         from orders""",
 )
 def q_landing_key(spark, sf_dir):
-    o = A.table(spark, sf_dir, "orders")
+    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
     zip_name = F.concat(F.lit("Empresas"), F.col("o_orderkey") % 10, F.lit(".zip"))
     member = F.concat(F.lit("K"), F.col("o_orderkey"), F.lit(".EMPRECSV"))
     return o.select(
@@ -395,10 +401,6 @@ def q_landing_key(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # Index pages: links, URL resolution, names, selection
 
-from terrace.operators import landing as L  # noqa: E402
-from terrace.operators import quality as Q  # noqa: E402
-from terrace.operators import selection as SEL  # noqa: E402
-from terrace.sources import links as LK  # noqa: E402
 
 
 def sq(text: str) -> str:
@@ -427,7 +429,7 @@ def sql_resolve(base: str, href: str) -> str:
 
 
 def page_links(spark, sf_dir):
-    return LK.extract_links(A.table(spark, sf_dir, "pages"))
+    return LK.extract_links(A.table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
 @register("link_extract", f"select page_id, pos, href from ({SQL_LINKS})")
@@ -487,7 +489,7 @@ def q_dataset_name(spark, sf_dir):
              from customer)""",
 )
 def q_split_list(spark, sf_dir):
-    c = A.table(spark, sf_dir, "customer")
+    c = A.table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_name"])
     spec = F.concat(
         F.lit(" "), F.col("c_mktsegment"), F.lit(" , ,"), F.col("c_name"), F.lit(",,"), F.col("c_mktsegment"), F.lit(" ")
     )
@@ -503,7 +505,7 @@ def q_split_list(spark, sf_dir):
          from part) where rank <= 3""",
 )
 def q_topk_per_group(spark, sf_dir):
-    p = A.table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size")
+    p = A.table(spark, sf_dir, "part", ["p_brand", "p_partkey", "p_size"])
     return SEL.top_per_group(p, ["p_brand"], [F.col("p_size"), F.col("p_partkey")], 3)
 
 
@@ -513,7 +515,7 @@ def q_topk_per_group(spark, sf_dir):
          select *, row_number() over (partition by user_id order by event_id desc) as rn from events) where rn = 1""",
 )
 def q_dedupe_last(spark, sf_dir):
-    e = A.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    e = A.table(spark, sf_dir, "events", ["user_id", "event_id", "event_type", "value"])
     return SEL.last_per_key(e, ["user_id"], F.col("event_id"))
 
 
@@ -661,7 +663,6 @@ def q_gate_required(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # Files on the shared scratch folder: partitioned write + pruned read, landing, store, archives
 
-from terrace.session import fresh_dir  # noqa: E402
 
 
 @register(
@@ -671,7 +672,7 @@ from terrace.session import fresh_dir  # noqa: E402
 )
 def q_partition_scan(spark, sf_dir):
     out = fresh_dir(spark, "partition_scan")
-    o = A.table(spark, sf_dir, "orders")
+    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     (
         o.select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -698,8 +699,6 @@ def q_landed_roundtrip(spark, sf_dir):
 
 @register("store_roundtrip", _stamped_sql("empresas"))
 def q_store_roundtrip(spark, sf_dir):
-    from terrace.sources.store import SnapshotStore
-
     store = SnapshotStore(spark, fresh_dir(spark, "store"))
     spec = spec_of("empresas")
     store.publish(refined(spark, sf_dir, "cnaes"), "empresas", required="codigo")  # an older snapshot, other schema
@@ -709,8 +708,6 @@ def q_store_roundtrip(spark, sf_dir):
 
 @register("zip_members", _stamped_sql("empresas"))
 def q_zip_members(spark, sf_dir):
-    from terrace.sources import ziplines
-
     folder = fresh_dir(spark, "archives")
     paths = A.write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas", 4)
     lines = ziplines.read_lines(spark, paths)

@@ -101,3 +101,14 @@ def test_store_publish_replaces_schema_and_failed_gate_keeps_old(spark, scratch)
     assert [tuple(r) for r in store.read("cnaes").collect()] == [("9", 1.5)]
     staging = os.path.join(scratch, "silver", "_staging")
     assert not os.path.exists(staging) or os.listdir(staging) == []
+
+
+def test_reference_date_warning(spark, scratch):
+    from terrace.plans.pipeline import warn_on_snapshot_dates
+
+    store = SnapshotStore(spark, os.path.join(scratch, "s"))
+    store.publish(spark.createDataFrame([("1", "2026-01-10")], "codigo string, reference_date string"), "cnaes")
+    rep = Q.reference_date_report(store.read("cnaes"), "cnaes", "2026-01-11").first()
+    assert rep["matches"] is False and rep["n_rows"] == 1
+    with pytest.warns(UserWarning, match="another reference date"):
+        warn_on_snapshot_dates(store, ["cnaes"], "2026-01-11")
