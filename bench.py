@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (optional comma list), BENCH_REPEAT (default 1, best of N).
+BENCH_QUERIES (optional comma list), BENCH_REPEAT (default 2, best of N for
+the catalogue queries; the pipeline stages run once after a warm-up run).
 Each query is forced with a ``noop`` write, so the whole plan runs and nothing
 is collected to the driver.
 """
@@ -62,7 +63,7 @@ def pipeline_stages(spark, sf_dir: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from terrace.queries import QUERIES
@@ -97,6 +98,7 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": int(cpus),
+                "repeat": repeat,
             }
         )
     )

@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame
 
 
 def target_parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Partitions the plan starts with, or None when the session cannot tell."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return None
 
 
 def _pass_batches(batches):
@@ -27,7 +38,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task sends the same rows to the same reducers.
     """
     want = min_partitions or target_parallelism(df)
-    have = df.rdd.getNumPartitions()
-    if have >= want:
+    have = input_partitions(df)
+    if have is None or have >= want:
         return df
     return df.repartition(want).mapInArrow(_pass_batches, df.schema)

@@ -27,14 +27,31 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ter
     )
 
 
+# Settings for a large cluster (pass to the session builder). AQE sizes shuffle
+# partitions at runtime from the advisory size and splits skewed join partitions;
+# text scans are cut at 256 MiB so a large landed member is read by many tasks.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
     Only when the session names none (local tests) is a private folder created and set.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    jsc_dir = spark.sparkContext.getCheckpointDir()
-    root = conf_dir or jsc_dir
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no local SparkContext (e.g. Spark Connect)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="terrace-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
