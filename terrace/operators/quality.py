@@ -45,9 +45,16 @@ def report_from_metrics(table: str, required: str | None, metrics: dict) -> list
     return rows
 
 
-def quality_report(df: DataFrame, table: str, required: str | None) -> DataFrame:
-    """Report DataFrame for one table in a single pass over ``df``."""
-    agg = df.agg(*gate_metrics(required))
+def quality_report(df: DataFrame, table: str, required: str | list[str] | None) -> DataFrame:
+    """Report DataFrame for one table in a single pass over ``df``.
+
+    ``required`` may name several columns; all are counted in the same aggregate.
+    """
+    cols = [required] if isinstance(required, str) else list(required or [])
+    agg = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_null_{i}") for i, c in enumerate(cols)],
+    )
     rows = [
         F.struct(
             F.lit(table).alias("table_name"),
@@ -58,15 +65,15 @@ def quality_report(df: DataFrame, table: str, required: str | None) -> DataFrame
             (F.col("n_rows") > 0).alias("passed"),
         )
     ]
-    if required:
+    for i, c in enumerate(cols):
         rows.append(
             F.struct(
                 F.lit(table).alias("table_name"),
                 F.lit("required_not_null").alias("check_name"),
-                F.lit(required).alias("column_name"),
+                F.lit(c).alias("column_name"),
                 F.col("n_rows"),
-                F.col("n_null_key").cast("bigint").alias("n_violations"),
-                (F.col("n_null_key") == 0).alias("passed"),
+                F.col(f"n_null_{i}").cast("bigint").alias("n_violations"),
+                (F.col(f"n_null_{i}") == 0).alias("passed"),
             )
         )
     return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
