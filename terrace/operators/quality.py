@@ -119,5 +119,5 @@ def reference_date_report(df: DataFrame, table: str, expected: str, date_col: st
         F.lit(table).alias("table_name"),
         F.col(date_col).alias("reference_date"),
         "n_rows",
-        (F.col(date_col) == F.lit(expected)).alias("matches"),
+        F.coalesce(F.col(date_col) == F.lit(expected), F.lit(False)).alias("matches"),
     )

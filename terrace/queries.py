@@ -402,7 +402,6 @@ def q_landing_key(spark, sf_dir):
 # Index pages: links, URL resolution, names, selection
 
 
-
 def sq(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
