@@ -264,9 +264,9 @@ def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) ->
             zf.writestr("dados/VAZIO.CSV", b"")
             with zf.open(f"dados/K{pid:04d}.CSV", "w") as member:
                 for b in batches:
-                    for v in b["value"]:
-                        member.write(v.encode("latin-1") + b"\r\n")
-                        n += 1
+                    if len(b):
+                        member.write(("\r\n".join(b["value"]) + "\r\n").encode("latin-1"))
+                        n += len(b)
         os.replace(tmp, path)
         yield pd.DataFrame({"archive": [path], "n_lines": [n]})
 

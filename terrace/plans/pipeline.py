@@ -18,6 +18,7 @@ from terrace.operators.refine import refine
 from terrace.plans.specs import TABLES, spec_of
 from terrace.sources import ziplines
 from terrace.sources.links import extract_links
+from terrace.sources.raw import RAW_ENCODING, scan_raw
 from terrace.sources.store import SnapshotStore
 
 MART_TABLE = "empresas_ativas_por_cnae_uf"
@@ -75,6 +76,20 @@ def refine_table(spark: SparkSession, table: str, layout: Layout, reference_date
     return SnapshotStore(spark, layout.refined_root, layout.fmt).publish(refined, spec.name, required=spec.key)
 
 
+def refine_from_path(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    store: SnapshotStore,
+    reference_date: str,
+    encoding: str = RAW_ENCODING,
+) -> dict:
+    """Refine raw registry files at any path (e.g. ``raw_leaf(prefix, table, date)``) into ``store``."""
+    spec = spec_of(table)
+    refined = stamp(refine(scan_raw(spark, path, spec.schema, encoding), spec), reference_date)
+    return store.publish(refined, spec.name, required=spec.key)
+
+
 def refine_all(
     spark: SparkSession,
     layout: Layout,

@@ -108,3 +108,21 @@ def test_rerun_with_failing_gate_keeps_previous_snapshot(spark, lake):
         os.makedirs(L.landed_leaf(layout.landed_root, "cnaes", "2026-02-01"), exist_ok=True)
         P.refine_table(spark, "cnaes", layout, "2026-02-01")
     assert SnapshotStore(spark, layout.refined_root).read("cnaes").count() == before
+
+
+def test_refine_files_in_raw_layout(spark, scratch):
+    """Latin-1 files laid out as prefix/dataset/year=/month=/day=/member refine directly."""
+    from terrace.sources.raw import raw_leaf
+
+    leaf = os.path.join(scratch, "cnpj", "empresas", "year=2026", "month=01", "day=11")
+    os.makedirs(leaf)
+    with open(os.path.join(leaf, "K3241.EMPRECSV"), "wb") as f:
+        f.write(b'"00000001";"S\xc3O JOS\xc9 LTDA";"2062";"49";"1000,50";"01";""\r\n')
+        f.write(b'"00000002";"B";"2062";"49";"";"05";"BR"\r\n')
+    store = SnapshotStore(spark, os.path.join(scratch, "silver"))
+    m = P.refine_from_path(spark, "empresas", raw_leaf(os.path.join(scratch, "cnpj"), "empresas", "2026-01-11"), store, "2026-01-11")
+    assert m["n_rows"] == 2
+    rows = {r["cnpj_basico"]: r for r in store.read("empresas").collect()}
+    assert rows["00000001"]["razao_social"] == "SÃO JOSÉ LTDA" and rows["00000001"]["capital_social"] == 1000.5
+    assert rows["00000002"]["capital_social"] is None and rows["00000002"]["porte_empresa"] == 5
+    assert store.read("empresas").columns[-1] == "reference_date" and "year" not in store.read("empresas").columns
