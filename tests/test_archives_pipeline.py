@@ -126,3 +126,22 @@ def test_refine_files_in_raw_layout(spark, scratch):
     assert rows["00000001"]["razao_social"] == "SÃO JOSÉ LTDA" and rows["00000001"]["capital_social"] == 1000.5
     assert rows["00000002"]["capital_social"] is None and rows["00000002"]["porte_empresa"] == 5
     assert store.read("empresas").columns[-1] == "reference_date" and "year" not in store.read("empresas").columns
+
+
+def test_command_line_stages(spark, scratch):
+    from terrace.__main__ import main
+
+    site = os.path.join(scratch, "site")
+    pages = A.build_archive_site(spark, SF, site, parts=2)
+    index = os.path.join(scratch, "index.html")
+    with open(index, "w") as f:
+        f.write(pages.first()["html"])
+    lake = os.path.join(scratch, "lake")
+    base = "file://" + site + "/"
+    land = main(["land", "--lake", lake, "--date", REFERENCE_DATE, "--index", index, "--base-url", base,
+                 "--datasets", "Cnaes,Empresas,Estabelecimentos"])
+    assert sorted(m["zip_name"] for m in land["manifest"]) == ["Cnaes.zip", "Empresas0.zip", "Estabelecimentos0.zip"]
+    ref = main(["refine", "--lake", lake, "--date", REFERENCE_DATE, "--tables", "cnaes,empresas,estabelecimentos"])
+    assert set(ref["refined"]) == {"cnaes", "empresas", "estabelecimentos"}
+    mart = main(["mart", "--lake", lake, "--date", REFERENCE_DATE])
+    assert mart["rows_gold"] > 0
