@@ -1,4 +1,4 @@
-"""Command line for the three stages (``spark-submit -m terrace`` or ``python -m terrace``).
+"""Command line for the three stages (``python -m terrace`` or ``spark-submit terrace/__main__.py``).
 
     python -m terrace land   --index index.html --base-url URL --date 2026-01-11 --lake ROOT
     python -m terrace refine --date 2026-01-11 --lake ROOT [--tables cnaes,empresas]
