@@ -24,9 +24,20 @@ def comma_decimal(c: ColumnOrName) -> Column:
     return F.regexp_replace(_c(c), ",", ".").try_cast("double")
 
 
+# Placeholders the registry writes for a missing compact date.
+MISSING_DATES = ("00000000", "0")
+
+
 def lenient_date(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
-    """Compact date text -> date; ``00000000``, empty, impossible dates -> null."""
-    return F.try_to_date(_c(c), fmt)
+    """Compact date text -> date; ``00000000``, empty, impossible dates -> null.
+
+    Placeholders that can never parse skip the parser: a failed parse costs a
+    caught exception per value, and placeholders are a large share of the
+    registry's date fields. The result is the same as ``try_to_date`` alone.
+    """
+    col = _c(c)
+    skip = ["", *MISSING_DATES] if fmt == "yyyyMMdd" else [""]
+    return F.when(~col.isin(*skip), F.try_to_date(col, fmt))
 
 
 def lenient_int(c: ColumnOrName) -> Column:
