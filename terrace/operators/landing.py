@@ -79,12 +79,13 @@ def archive_report(listing: DataFrame) -> DataFrame:
 
 def enforce_archives(report: DataFrame) -> None:
     """Raise for archives with no file, or with only empty files (the report is per archive)."""
-    bad = report.filter(~F.col("passed")).limit(20).collect()
-    if bad:
+    failing = report.filter(~F.col("passed"))
+    shown = failing.limit(20).collect()  # the message names at most 20; the count is exact
+    if shown:
         msgs = [
-            f"{r['zip_name']}: " + ("has no files" if not r["has_files"] else "no non-empty file") for r in bad
+            f"{r['zip_name']}: " + ("has no files" if not r["has_files"] else "no non-empty file") for r in shown
         ]
-        raise ArchiveError("; ".join(msgs))
+        raise ArchiveError(f"{failing.count()} archive(s) failed: " + "; ".join(msgs))
 
 
 def manifest(listing: DataFrame, datasets: DataFrame, bucket: str) -> DataFrame:
