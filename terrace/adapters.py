@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.columns import nul
 from terrace.plans.partitioning import spread
+from terrace.sources import files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -227,7 +228,7 @@ def archive_members(spark, sf_dir):
     directory entry in every archive (orders without items give archives with no file)."""
     li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
     o = table(spark, sf_dir, "orders", ["o_orderkey"])
-    files = li.select(
+    member_rows = li.select(
         F.concat(F.lit("Socios"), F.col("l_orderkey"), F.lit(".zip")).alias("zip_name"),
         F.concat(F.lit("K"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"), F.lit(".SOCIOCSV")).alias("member"),
         F.when(F.col("l_quantity") > 10, (F.col("l_quantity") * 1000).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("file_size"),
@@ -239,15 +240,19 @@ def archive_members(spark, sf_dir):
         F.lit(0).cast("bigint").alias("file_size"),
         F.lit(True).alias("is_dir"),
     )
-    return files.unionByName(dirs)
+    return member_rows.unionByName(dirs)
 
 
 # --- archives on a shared folder --------------------------------------------------------
 
 def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) -> list[str]:
     """Pack raw lines into ``n_archives`` ZIPs (Latin-1 member, plus a directory entry and
-    an empty member in each), one archive per Spark task; returns the archive paths."""
-    import os
+    an empty member in each), one archive per Spark task; returns the archive paths.
+
+    ``folder`` may be a local path or a URI of shared storage; each task streams
+    its archive to a per-attempt name and renames it when complete, so a retried
+    or speculative attempt never leaves a half-written archive under the final name.
+    """
     import zipfile
 
     from pyspark import TaskContext
@@ -255,11 +260,12 @@ def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) ->
     def pack(batches):
         import pandas as pd
 
-        pid = TaskContext.get().partitionId()
-        path = os.path.join(folder, f"{stem}{pid}.zip")
-        tmp = path + f".part{TaskContext.get().attemptNumber()}"
+        ctx = TaskContext.get()
+        pid = ctx.partitionId()
+        path = files.join(folder, f"{stem}{pid}.zip")
+        tmp = files.join(folder, f"_{stem}{pid}.zip.attempt{ctx.attemptNumber()}")
         n = 0
-        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        with files.open_output(tmp) as out, zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED) as zf:
             zf.writestr("dados/", b"")
             zf.writestr("dados/VAZIO.CSV", b"")
             with zf.open(f"dados/K{pid:04d}.CSV", "w") as member:
@@ -267,16 +273,14 @@ def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) ->
                     if len(b):
                         member.write(("\r\n".join(b["value"]) + "\r\n").encode("latin-1"))
                         n += len(b)
-        os.replace(tmp, path)
+        files.move(tmp, path)
         yield pd.DataFrame({"archive": [path], "n_lines": [n]})
 
-    os.makedirs(folder, exist_ok=True)
+    files.make_dirs(folder)
     done = lines.repartition(n_archives).mapInPandas(pack, "archive string, n_lines long").collect()
     return sorted(r["archive"] for r in done)
 
 
-
-
 # Archive names of the registry dump; "{i}" marks a numbered series.
 ARCHIVE_NAMES = {
     "cnaes": "Cnaes.zip",
@@ -307,11 +311,11 @@ def build_archive_site(spark, sf_dir: str, folder: str, parts: int = 4) -> DataF
         else:
             stem = pattern[: -len(".zip")]
             paths = write_archives(lines, folder, stem + "_", 1)
-            final = os.path.join(folder, pattern)
-            os.replace(paths[0], final)
+            final = files.join(folder, pattern)
+            files.move(paths[0], final)
             paths = [final]
-        hrefs.extend(os.path.basename(p) for p in paths)
+        hrefs.extend(files.basename(p) for p in paths)
     body = "".join(f'<li><a href="{h}">{h}</a></li>' for h in hrefs)
     html = f"<html><body><h1>index</h1><ul><li><a href=\"../\">up</a></li>{body}</ul></body></html>"
-    base = "file://" + os.path.abspath(folder).rstrip("/") + "/"
-    return spark.createDataFrame([(0, base, html)], "page_id long, url string, html string")
+    base = folder if "://" in folder else "file://" + os.path.abspath(folder)
+    return spark.createDataFrame([(0, base.rstrip("/") + "/", html)], "page_id long, url string, html string")

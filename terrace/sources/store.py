@@ -18,21 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.quality import enforce, gate_metrics, observe_gates, report_from_metrics
-
-
-def _fs(path: str):
-    from pyarrow import fs as pafs
-
-    if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(path)
-    local = path[len("file://"):] if path.startswith("file://") else path
-    return pafs.LocalFileSystem(), local
-
-
-def _exists(filesystem, path: str) -> bool:
-    from pyarrow import fs as pafs
-
-    return filesystem.get_file_info(path).type != pafs.FileType.NotFound
+from terrace.sources import files
 
 
 class SnapshotStore:
@@ -49,8 +35,7 @@ class SnapshotStore:
         return self.spark.read.format(self.fmt).load(self.path(table))
 
     def exists(self, table: str) -> bool:
-        filesystem, p = _fs(self.path(table))
-        return _exists(filesystem, p)
+        return files.exists(self.path(table))
 
     def publish(self, df: DataFrame, table: str, required: str | None = None) -> dict:
         """Gate ``df`` and replace ``table`` with it; returns the gate metrics (row count, null keys).
@@ -63,11 +48,10 @@ class SnapshotStore:
         staging = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         gated.write.format(self.fmt).mode("errorifexists").save(staging)
         metrics = obs.get
-        filesystem, staging_p = _fs(staging)
         try:
             enforce(report_from_metrics(table, required, metrics))
         except Exception:
-            filesystem.delete_dir(staging_p)
+            files.delete_dir(staging)
             raise
         self._swap(staging, self.path(table))
         return metrics
@@ -81,14 +65,11 @@ class SnapshotStore:
         return metrics
 
     def _swap(self, staging: str, target: str) -> None:
-        filesystem, staging_p = _fs(staging)
-        _, target_p = _fs(target)
         retired = None
-        if _exists(filesystem, target_p):
-            retired = f"{self.root}/_retired/{target_p.rstrip('/').split('/')[-1]}-{uuid.uuid4().hex}"
-            _, retired_p = _fs(retired)
-            filesystem.create_dir(retired_p.rsplit("/", 1)[0], recursive=True)
-            filesystem.move(target_p, retired_p)
-        filesystem.move(staging_p, target_p)
+        if files.exists(target):
+            retired = f"{self.root}/_retired/{files.basename(target)}-{uuid.uuid4().hex}"
+            files.make_dirs(f"{self.root}/_retired")
+            files.move(target, retired)
+        files.move(staging, target)
         if retired:
-            filesystem.delete_dir(_fs(retired)[1])
+            files.delete_dir(retired)

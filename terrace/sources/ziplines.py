@@ -9,21 +9,25 @@
   members, ``(archive, zip_name, member, file_size, is_dir)``; one partition
   per archive, so listing many archives is spread over tasks too.
 
-Options: ``paths`` (comma list of files, directories or globs), ``encoding``,
-``batch_rows``, ``chunk_bytes`` (read size of the decompressed stream).
-Paths must be readable from the driver and every executor.
+Options: ``paths`` (comma list of files, folders or globs in the last path
+segment; local paths or URIs such as ``hdfs://``, ``s3://``), ``encoding``,
+``batch_rows``, ``chunk_bytes`` (read size of the decompressed stream),
+``list_threads`` (archives whose member list is read at once).
+Archives are opened through ``pyarrow.fs`` by the driver (member names and
+sizes only, from each archive's central directory) and by every executor.
 """
 
 from __future__ import annotations
 
-import glob
-import os
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+from terrace.sources import files
+
 LINES_SCHEMA = StructType(
     [
         StructField("zip_name", StringType(), False),
@@ -44,23 +48,24 @@ LISTING_SCHEMA = StructType(
 )
 
 
-def _strip_scheme(p: str) -> str:
-    return p[len("file:"):].replace("///", "/", 1) if p.startswith("file:") else p
+def expand_paths(spec: str) -> list[str]:
+    """Archive files named by a comma list of files, folders (``*.zip`` inside) or globs."""
+    return files.list_files(spec, ".zip")
 
 
-def expand_paths(spec: str) -> list[str]:
-    """Archive files named by a comma list of files, directories (``*.zip`` inside) or globs."""
-    out: list[str] = []
-    for raw in spec.split(","):
-        p = _strip_scheme(raw.strip())
-        if not p:
-            continue
-        if os.path.isdir(p):
-            hits = [os.path.join(p, n) for n in os.listdir(p) if n.lower().endswith(".zip")]
-        else:
-            hits = glob.glob(p)
-        out.extend(h for h in hits if os.path.isfile(h) and not os.path.basename(h).startswith(("_", ".")))
-    return sorted(set(out))
+def _file_members(archive: str) -> list[str]:
+    """Names of the non-directory, non-empty members (central directory only)."""
+    with files.open_input(archive) as handle, zipfile.ZipFile(handle) as zf:
+        return [i.filename for i in zf.infolist() if not i.filename.endswith("/") and i.file_size > 0]
+
+
+def list_members(archives: list[str], threads: int = 16) -> list[tuple[str, str]]:
+    """``(archive, member)`` pairs in archive order; central directories are read concurrently."""
+    if not archives:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(archives)))) as pool:
+        per_archive = list(pool.map(_file_members, archives))
+    return [(a, m) for a, names in zip(archives, per_archive) for m in names]
 
 
 class MemberPartition(InputPartition):
@@ -82,15 +87,11 @@ class _LinesReader(DataSourceReader):
         self.encoding = options.get("encoding", "ISO-8859-1")
         self.batch_rows = int(options.get("batch_rows", "65536"))
         self.chunk_bytes = int(options.get("chunk_bytes", str(4 << 20)))
+        self.list_threads = int(options.get("list_threads", "16"))
 
     def partitions(self):
-        parts = []
-        for archive in expand_paths(self.paths):
-            with zipfile.ZipFile(archive) as zf:  # central directory only
-                for info in zf.infolist():
-                    if not info.filename.endswith("/") and info.file_size > 0:
-                        parts.append(MemberPartition(archive, info.filename))
-        return parts or [MemberPartition("", "")]
+        members = list_members(expand_paths(self.paths), self.list_threads)
+        return [MemberPartition(a, m) for a, m in members] or [MemberPartition("", "")]
 
     def read(self, partition: MemberPartition) -> Iterator:
         import codecs
@@ -99,7 +100,7 @@ class _LinesReader(DataSourceReader):
 
         if not partition.archive:
             return
-        zip_name = os.path.basename(partition.archive)
+        zip_name = files.basename(partition.archive)
         decoder = codecs.getincrementaldecoder(self.encoding)()
         first = 0
 
@@ -114,7 +115,7 @@ class _LinesReader(DataSourceReader):
 
         pending: list[str] = []
         tail = ""
-        with zipfile.ZipFile(partition.archive) as zf, zf.open(partition.member) as raw:
+        with files.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as raw:
             while True:
                 chunk = raw.read(self.chunk_bytes)
                 text = tail + decoder.decode(chunk, final=not chunk)
@@ -141,8 +142,8 @@ class _ListingReader(DataSourceReader):
     def read(self, partition: ArchivePartition):
         if not partition.archive:
             return
-        zip_name = os.path.basename(partition.archive)
-        with zipfile.ZipFile(partition.archive) as zf:
+        zip_name = files.basename(partition.archive)
+        with files.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf:
             for info in zf.infolist():
                 yield (partition.archive, zip_name, info.filename, int(info.file_size), info.filename.endswith("/"))
 

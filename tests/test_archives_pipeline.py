@@ -39,6 +39,38 @@ def test_ziplines_members_and_line_splitting(spark, scratch):
     assert rep == {"Cnaes.zip": (2, 1, True), "Socios0.zip": (1, 1, True)}
 
 
+def test_archive_paths_as_uris_folders_and_globs(spark, scratch):
+    from terrace.sources import files
+
+    make_zip(os.path.join(scratch, "Empresas0.zip"), [("E0.CSV", b'"1";"a"\n')])
+    make_zip(os.path.join(scratch, "Empresas1.ZIP"), [("E1.CSV", b'"2";"b"\n"3";"c"\n')])
+    make_zip(os.path.join(scratch, "_Empresas2.zip.attempt0"), [("E2.CSV", b'"9";"partial"\n')])
+    make_zip(os.path.join(scratch, ".hidden.zip"), [("H.CSV", b'"8";"h"\n')])
+    with open(os.path.join(scratch, "notes.txt"), "w") as f:
+        f.write("x")
+    uri = "file://" + scratch
+    both = [uri + "/Empresas0.zip", uri + "/Empresas1.ZIP"]
+    assert files.list_files(uri) == both
+    assert files.list_files(scratch) == [scratch + "/Empresas0.zip", scratch + "/Empresas1.ZIP"]
+    assert files.list_files(uri + "/Empresas[0-9].*") == both
+    assert files.list_files(f"{uri}/Empresas1.ZIP, {uri}/missing.zip") == [uri + "/Empresas1.ZIP"]
+    rows = ziplines.read_lines(spark, uri).orderBy("zip_name", "line_no").collect()
+    assert [(r["zip_name"], r["value"]) for r in rows] == [
+        ("Empresas0.zip", '"1";"a"'), ("Empresas1.ZIP", '"2";"b"'), ("Empresas1.ZIP", '"3";"c"')]
+    assert ziplines.read_lines(spark, uri + "/nothing*.zip").count() == 0
+
+
+def test_write_archives_leaves_only_final_names(spark, scratch):
+    from terrace.sources import files
+
+    folder = "file://" + os.path.join(scratch, "site")
+    lines = spark.createDataFrame([(f'"{i}";"x"',) for i in range(10)], "value string")
+    paths = A.write_archives(lines, folder, "Socios", 3)
+    assert paths == [f"{folder}/Socios{i}.zip" for i in range(3)]
+    assert files.list_files(folder + "/*") == paths
+    assert ziplines.read_lines(spark, folder).count() == 10
+
+
 def test_archive_gates(spark, scratch):
     make_zip(os.path.join(scratch, "A.zip"), [("d/", b"")])
     make_zip(os.path.join(scratch, "B.zip"), [("e.csv", b"")])
