@@ -32,16 +32,6 @@ def basename(path: str) -> str:
     return posixpath.basename(path.rstrip("/"))
 
 
-def _prefix(path: str) -> str:
-    """The URI part before the filesystem path (``s3://`` or ``hdfs://host:port``), else ``""``."""
-    if "://" not in path or path.startswith("file://"):
-        return "file://" if path.startswith("file://") else ""
-    scheme, rest = path.split("://", 1)
-    if scheme in ("s3", "s3a", "gs", "gcs"):
-        return f"{scheme}://"
-    return f"{scheme}://{rest.split('/', 1)[0]}"
-
-
 def exists(path: str) -> bool:
     from pyarrow import fs as pafs
 
@@ -86,27 +76,30 @@ def open_output(path: str):
 
 def list_files(spec: str, suffix: str = ".zip") -> list[str]:
     """Files named by a comma list of files, folders (``*<suffix>`` inside, case-insensitive)
-    or globs in the last path segment. Names starting with ``_`` or ``.`` are skipped."""
+    or globs in the last path segment. Names starting with ``_`` or ``.`` are skipped.
+
+    Results keep the form they were given in (a URI stays that URI, with the file
+    name appended), so they can be handed to any executor as they are.
+    """
     from pyarrow import fs as pafs
 
     out: set[str] = set()
     for raw in spec.split(","):
-        item = raw.strip()
+        item = raw.strip().rstrip("/")
         if not item:
             continue
-        fs, p = filesystem(item)
-        prefix = _prefix(item)
-        name_pattern = None
-        info = fs.get_file_info(p)
-        if any(ch in basename(p) for ch in GLOB_CHARS):
-            folder, name_pattern = posixpath.split(p.rstrip("/"))
-        elif info.type == pafs.FileType.Directory:
-            folder = p
-        elif info.type == pafs.FileType.File:
-            out.add(prefix + p)
-            continue
+        if any(ch in basename(item) for ch in GLOB_CHARS):
+            folder_uri, name_pattern = item.rsplit("/", 1)
+            fs, folder = filesystem(folder_uri)
         else:
-            continue
+            fs, p = filesystem(item)
+            kind = fs.get_file_info(p).type
+            if kind == pafs.FileType.File:
+                out.add(item)
+                continue
+            if kind != pafs.FileType.Directory:
+                continue
+            folder_uri, name_pattern, folder = item, None, p
         if fs.get_file_info(folder).type != pafs.FileType.Directory:
             continue
         for f in fs.get_file_info(pafs.FileSelector(folder, recursive=False)):
@@ -118,5 +111,5 @@ def list_files(spec: str, suffix: str = ".zip") -> list[str]:
                 else f.base_name.lower().endswith(suffix)
             )
             if hit:
-                out.add(prefix + f.path)
+                out.add(join(folder_uri, f.base_name))
     return sorted(out)
