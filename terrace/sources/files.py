@@ -63,6 +63,32 @@ def move(src: str, dst: str) -> None:
     fs.move(s, d)
 
 
+def touch(path: str) -> None:
+    """An empty marker file."""
+    with open_output(path):
+        pass
+
+
+def modified(path: str):
+    """Modification time of a file (None when the store does not keep one)."""
+    fs, p = filesystem(path)
+    return fs.get_file_info(p).mtime
+
+
+def subfolders(folder: str, prefix: str = "") -> list[str]:
+    """Folders directly under ``folder`` whose name starts with ``prefix`` (none if it is missing)."""
+    from pyarrow import fs as pafs
+
+    fs, p = filesystem(folder)
+    if fs.get_file_info(p).type != pafs.FileType.Directory:
+        return []
+    return sorted(
+        join(folder, f.base_name)
+        for f in fs.get_file_info(pafs.FileSelector(p, recursive=False))
+        if f.type == pafs.FileType.Directory and f.base_name.startswith(prefix)
+    )
+
+
 def open_input(path: str):
     """Seekable handle (ZIP readers jump to the central directory at the end)."""
     fs, p = filesystem(path)

@@ -7,8 +7,12 @@ current one, so a failed gate (or a failed job) leaves the previous table
 untouched and readable. Schema is replaced, never merged.
 
 The swap is two folder renames through ``pyarrow.fs`` (atomic on POSIX
-and HDFS-like stores; copy-and-delete on object stores). With Delta Lake on
-the classpath, ``fmt="delta"`` writes through its own atomic commit instead.
+and HDFS-like stores; copy-and-delete on object stores). A staging folder that
+passed its gates carries a ``_GATED`` marker (ignored by readers), so if the
+driver dies between the two renames, the next ``read`` or ``publish`` finds the
+table folder missing and completes the swap with the newest gated snapshot,
+or else moves the retired one back. With Delta Lake on the classpath,
+``fmt="delta"`` writes through its own atomic commit instead.
 """
 
 from __future__ import annotations
@@ -20,6 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from terrace.operators.quality import enforce, gate_metrics, observe_gates, report_from_metrics
 from terrace.sources import files
 
+# Folder and marker names of the store (underscore names are skipped by readers).
+STAGING = "_staging"
+RETIRED = "_retired"
+GATED = "_GATED"
+
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -32,11 +41,35 @@ class SnapshotStore:
 
     def read(self, table: str) -> DataFrame:
         """The whole current snapshot (no filter on the reference date)."""
+        self.recover(table)
         return self.spark.read.format(self.fmt).load(self.path(table))
 
     def exists(self, table: str) -> bool:
+        self.recover(table)
         return files.exists(self.path(table))
 
+    def recover(self, table: str) -> str | None:
+        """Finish a swap cut short (table folder missing); returns the folder moved in, if any."""
+        target = self.path(table)
+        if self.fmt == "delta" or files.exists(target):
+            return None
+        gated = [d for d in files.subfolders(f"{self.root}/{STAGING}", f"{table}-") if files.exists(f"{d}/{GATED}")]
+        retired = files.subfolders(f"{self.root}/{RETIRED}", f"{table}-")
+        if gated:
+            def marked_at(d: str) -> float:
+                m = files.modified(f"{d}/{GATED}")
+                return m.timestamp() if m else 0.0
+
+            chosen = max(gated, key=lambda d: (marked_at(d), d))
+            files.move(chosen, target)
+            for old in retired:  # the snapshot the interrupted swap was replacing
+                files.delete_dir(old)
+            return chosen
+        if retired:
+            files.move(retired[-1], target)
+            return retired[-1]
+        return None
+
     def publish(self, df: DataFrame, table: str, required: str | None = None) -> dict:
         """Gate ``df`` and replace ``table`` with it; returns the gate metrics (row count, null keys).
 
@@ -45,7 +78,8 @@ class SnapshotStore:
         gated, obs = observe_gates(df, table, required)
         if self.fmt == "delta":
             return self._publish_delta(gated, obs, table, required)
-        staging = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
+        self.recover(table)
+        staging = f"{self.root}/{STAGING}/{table}-{uuid.uuid4().hex}"
         gated.write.format(self.fmt).mode("errorifexists").save(staging)
         metrics = obs.get
         try:
@@ -53,6 +87,7 @@ class SnapshotStore:
         except Exception:
             files.delete_dir(staging)
             raise
+        files.touch(f"{staging}/{GATED}")
         self._swap(staging, self.path(table))
         return metrics
 
@@ -67,8 +102,8 @@ class SnapshotStore:
     def _swap(self, staging: str, target: str) -> None:
         retired = None
         if files.exists(target):
-            retired = f"{self.root}/_retired/{files.basename(target)}-{uuid.uuid4().hex}"
-            files.make_dirs(f"{self.root}/_retired")
+            retired = f"{self.root}/{RETIRED}/{files.basename(target)}-{uuid.uuid4().hex}"
+            files.make_dirs(f"{self.root}/{RETIRED}")
             files.move(target, retired)
         files.move(staging, target)
         if retired:

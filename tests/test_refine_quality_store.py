@@ -112,3 +112,31 @@ def test_reference_date_warning(spark, scratch):
     assert rep["matches"] is False and rep["n_rows"] == 1
     with pytest.warns(UserWarning, match="another reference date"):
         warn_on_snapshot_dates(store, ["cnaes"], "2026-01-11")
+
+
+def test_store_recovers_a_swap_cut_short(spark, scratch):
+    """Driver lost between the two renames of a publish: the next read completes it."""
+    from terrace.sources import files
+    from terrace.sources.store import GATED, RETIRED, STAGING
+
+    root = os.path.join(scratch, "silver")
+    store = SnapshotStore(spark, root)
+    old = spark.createDataFrame([("1", "old")], "codigo string, descricao string")
+    new = spark.createDataFrame([("1", "new"), ("2", "new")], "codigo string, descricao string")
+    store.publish(old, "cnaes", required="codigo")
+
+    # the new snapshot passed its gates and the current one was moved away, then the driver died
+    staging = f"{root}/{STAGING}/cnaes-feed"
+    new.write.parquet(staging)
+    files.touch(f"{staging}/{GATED}")
+    files.make_dirs(f"{root}/{RETIRED}")
+    files.move(store.path("cnaes"), f"{root}/{RETIRED}/cnaes-0001")
+    assert sorted(r["descricao"] for r in store.read("cnaes").collect()) == ["new", "new"]
+    assert files.subfolders(f"{root}/{RETIRED}", "cnaes-") == []
+
+    # a staging folder without the marker (write or gates unfinished) is never published
+    files.move(store.path("cnaes"), f"{root}/{RETIRED}/cnaes-0002")
+    old.write.parquet(f"{root}/{STAGING}/cnaes-unchecked")
+    assert store.exists("cnaes")
+    assert sorted(r["descricao"] for r in store.read("cnaes").collect()) == ["new", "new"]
+    assert store.recover("cnaes") is None
