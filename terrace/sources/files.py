@@ -39,13 +39,6 @@ def exists(path: str) -> bool:
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
-def is_dir(path: str) -> bool:
-    from pyarrow import fs as pafs
-
-    fs, p = filesystem(path)
-    return fs.get_file_info(p).type == pafs.FileType.Directory
-
-
 def make_dirs(path: str) -> None:
     fs, p = filesystem(path)
     fs.create_dir(p, recursive=True)
