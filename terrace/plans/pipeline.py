@@ -95,18 +95,19 @@ def refine_all(
     layout: Layout,
     reference_date: str,
     tables: list[str] | None = None,
-    concurrency: int = 4,
+    concurrency: int | None = None,
 ) -> dict[str, dict]:
     """Refine tables as concurrent Spark jobs (the ten are independent).
 
     Small code tables would leave most of a cluster idle if run one after the
-    other; submitting several jobs at once lets the scheduler fill the slots.
-    Each table is still gated and published on its own.
+    other; submitting the jobs at once (by default all of them) lets the
+    scheduler fill the slots. Measured at sf0.1: all ten at once 3.7-4.0 s,
+    four at a time 4.5-5.5 s. Each table is still gated and published on its own.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     names = tables or TABLES
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, concurrency or len(names))) as pool:
         futures = {t: pool.submit(refine_table, spark, t, layout, reference_date) for t in names}
         return {t: f.result() for t, f in futures.items()}
 
