@@ -1,9 +1,10 @@
 """File access for the parts Spark's readers do not cover (ZIP archives, folder swaps).
 
-Paths are URIs (``file://``, ``hdfs://``, ``s3://``, ``gs://``, ``abfs://``) or
-plain local paths, resolved through ``pyarrow.fs``, so the same code runs on a
+Paths are URIs (``file://``, ``hdfs://``, ``s3a://``/``s3://``, ``gs://``, ``abfs://``)
+or plain local paths, resolved through ``pyarrow.fs``, so the same code runs on a
 laptop folder and on the cluster's shared storage. Executors open files
-themselves; only names and sizes pass through the driver.
+themselves; only names and sizes pass through the driver. Paths keep the form
+Spark uses (``s3a://``); only the pyarrow side sees the scheme it knows.
 """
 
 from __future__ import annotations
@@ -13,13 +14,22 @@ import posixpath
 
 GLOB_CHARS = "*?["
 
+# Hadoop connector schemes and the pyarrow scheme for the same store.
+HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def pyarrow_uri(path: str) -> str:
+    """``path`` with a Hadoop connector scheme replaced by the one pyarrow resolves."""
+    scheme, sep, rest = path.partition("://")
+    return f"{HADOOP_SCHEMES[scheme.lower()]}://{rest}" if sep and scheme.lower() in HADOOP_SCHEMES else path
+
 
 def filesystem(path: str):
     """``(FileSystem, path inside it)`` for a URI or a local path."""
     from pyarrow import fs as pafs
 
     if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(path)
+        return pafs.FileSystem.from_uri(pyarrow_uri(path))
     local = path[len("file://"):] if path.startswith("file://") else path
     return pafs.LocalFileSystem(), local
 

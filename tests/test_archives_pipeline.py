@@ -177,3 +177,13 @@ def test_command_line_stages(spark, scratch):
     assert set(ref["refined"]) == {"cnaes", "empresas", "estabelecimentos"}
     mart = main(["mart", "--lake", lake, "--date", REFERENCE_DATE])
     assert mart["rows_gold"] > 0
+
+
+def test_hadoop_schemes_map_to_pyarrow_schemes():
+    from terrace.sources.files import pyarrow_uri
+
+    assert pyarrow_uri("s3a://lake/bronze/x.zip") == "s3://lake/bronze/x.zip"
+    assert pyarrow_uri("S3N://lake/a") == "s3://lake/a"
+    assert pyarrow_uri("gcs://b/k") == "gs://b/k"
+    for same in ("s3://lake/a", "hdfs://nn:8020/p", "abfs://c@acct.dfs.core.windows.net/p", "/tmp/x", "file:///tmp/x"):
+        assert pyarrow_uri(same) == same
