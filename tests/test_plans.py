@@ -83,3 +83,24 @@ def test_selection_and_dedupe_limit_groups_before_shuffle(spark):
     for df in (q_selection(spark, SF), q_dedupe_last(spark, SF)):
         plan = plan_text(df, "simple")
         assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_refinement_from_landed_text_is_map_only_with_gates_on_the_write(spark, scratch):
+    """The production refinement: byte-range CSV scan -> typed projection -> gate metrics, no shuffle."""
+    from terrace import adapters as A
+    from terrace.functions.columns import stamp
+    from terrace.operators import landing as L
+    from terrace.operators.quality import observe_gates
+    from terrace.operators.refine import refine
+    from terrace.plans.specs import spec_of
+
+    root = os.path.join(scratch, "landed")
+    L.land(A.raw_estabelecimentos(spark, SF).withColumn("dataset", F.lit("estabelecimentos")), root, REFERENCE_DATE)
+    spec = spec_of("estabelecimentos")
+    df = stamp(refine(L.scan_landed(spark, root, spec.dataset, REFERENCE_DATE, spec.schema), spec), REFERENCE_DATE)
+    gated, obs = observe_gates(df, spec.name, spec.key)
+    plan = plan_text(gated)
+    assert "Scan csv" in plan and "CollectMetrics" in plan
+    assert "Exchange" not in plan
+    gated.write.format("noop").mode("overwrite").save()
+    assert obs.get["n_rows"] == spark.read.parquet(f"{SF}/orders.parquet").count() and obs.get["n_null_key"] == 0
