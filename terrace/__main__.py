@@ -30,7 +30,7 @@ def layout_of(lake: str, fmt: str) -> P.Layout:
 def read_pages(spark: SparkSession, index: str, base_url: str | None):
     """Saved index pages as ``(page_id, url, html)``; the base URL defaults to the page's folder."""
     pages = spark.read.text(index, wholetext=True).select(
-        F.col("value").alias("html"), F.input_file_name().alias("file")
+        F.col("value").alias("html"), F.col("_metadata.file_path").alias("file")
     )
     url = F.lit(base_url) if base_url else F.regexp_replace("file", r"[^/]*$", "")
     return pages.select(F.xxhash64("file").alias("page_id"), url.alias("url"), "html")
