@@ -142,6 +142,25 @@ def test_rerun_with_failing_gate_keeps_previous_snapshot(spark, lake):
     assert SnapshotStore(spark, layout.refined_root).read("cnaes").count() == before
 
 
+def test_refine_all_publishes_passing_tables_and_names_every_failure(spark, scratch):
+    from terrace.operators.quality import QualityError
+
+    root = os.path.join(scratch, "lake")
+    layout = P.Layout(f"{root}/landed", f"{root}/refined", f"{root}/mart")
+    lines = spark.createDataFrame(
+        [('"0111301";"Cultivo de arroz"', "cnaes"), (';"sem codigo"', "motivos")], "value string, dataset string"
+    )
+    L.land(lines, layout.landed_root, REFERENCE_DATE)
+    os.makedirs(L.landed_leaf(layout.landed_root, "paises", REFERENCE_DATE), exist_ok=True)
+    with pytest.raises(QualityError) as e:
+        P.refine_all(spark, layout, REFERENCE_DATE, tables=["cnaes", "motivos", "paises"])
+    note = " ".join(getattr(e.value, "__notes__", []))
+    assert "motivos: " in note and "paises: " in note and "cnaes: " not in note
+    store = SnapshotStore(spark, layout.refined_root)
+    assert [tuple(r) for r in store.read("cnaes").collect()] == [("0111301", "Cultivo de arroz", REFERENCE_DATE)]
+    assert not store.exists("motivos") and not store.exists("paises")
+
+
 def test_refine_files_in_raw_layout(spark, scratch):
     """Latin-1 files laid out as prefix/dataset/year=/month=/day=/member refine directly."""
     from terrace.sources.raw import raw_leaf
