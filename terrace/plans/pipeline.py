@@ -58,9 +58,10 @@ def land_archives(
     listing = ziplines.read_listing(spark, urls).cache()
     try:
         landing.enforce_archives(landing.archive_report(listing))
-        lines = ziplines.read_lines(spark, urls, encoding).join(
-            F.broadcast(chosen.select("zip_name", "dataset")), "zip_name"
-        )
+        # joined on the archive path, not its file name: the same name under two
+        # URLs is two archives, and a name join would repeat every line of both
+        by_archive = chosen.select(F.trim("zip_url").alias("archive"), "dataset").distinct()
+        lines = ziplines.read_lines(spark, urls, encoding).join(F.broadcast(by_archive), "archive")
         landing.land(lines, layout.landed_root, reference_date)
         done = landing.manifest(listing, chosen, layout.landed_root).collect()
     finally:

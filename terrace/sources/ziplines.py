@@ -1,7 +1,7 @@
 """ZIP archives on a shared path as Spark sources (Python Data Source API).
 
 * ``ziplines``: one row per text line of every non-empty member,
-  ``(zip_name, member, line_no, value)``. One input partition per
+  ``(archive, zip_name, member, line_no, value)``; ``archive`` is the path as given. One input partition per
   (archive, member): deflate streams are not splittable, so a member is read
   by one task, decoded incrementally (Latin-1 by default) and emitted as Arrow
   batches built without a Python object per line. Lines end at ``\\n`` only;
@@ -31,6 +31,7 @@ from terrace.sources import files
 
 LINES_SCHEMA = StructType(
     [
+        StructField("archive", StringType(), False),
         StructField("zip_name", StringType(), False),
         StructField("member", StringType(), False),
         StructField("line_no", LongType(), False),
@@ -113,10 +114,11 @@ class _LinesReader(DataSourceReader):
                 n = len(values)
                 if n:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(zip_name, pa.string()), n),
+                        [pa.repeat(pa.scalar(partition.archive, pa.string()), n),
+                         pa.repeat(pa.scalar(zip_name, pa.string()), n),
                          pa.repeat(pa.scalar(partition.member, pa.string()), n),
                          pa.array(np.arange(first, first + n, dtype=np.int64)), values],
-                        names=["zip_name", "member", "line_no", "value"],
+                        names=["archive", "zip_name", "member", "line_no", "value"],
                     )
                     first += n
                 if final:

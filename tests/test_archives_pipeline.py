@@ -161,6 +161,23 @@ def test_refine_all_publishes_passing_tables_and_names_every_failure(spark, scra
     assert not store.exists("motivos") and not store.exists("paises")
 
 
+def test_same_archive_name_under_two_urls_lands_each_line_once(spark, scratch):
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    os.makedirs(a)
+    os.makedirs(b)
+    make_zip(os.path.join(a, "Empresas1.zip"), [("E.CSV", b'"1";"a"\n"2";"b"\n')])
+    make_zip(os.path.join(b, "Empresas1.zip"), [("E.CSV", b'"3";"c"\n')])
+    selected = spark.createDataFrame(
+        [("Empresas1.zip", os.path.join(d, "Empresas1.zip"), "empresas") for d in (a, b)],
+        "zip_name string, zip_url string, dataset string",
+    )
+    root = os.path.join(scratch, "lake")
+    layout = P.Layout(f"{root}/landed", f"{root}/refined", f"{root}/mart")
+    P.land_archives(spark, selected, layout, REFERENCE_DATE)
+    landed = spark.read.text(L.landed_leaf(layout.landed_root, "empresas", REFERENCE_DATE))
+    assert sorted(r["value"] for r in landed.collect()) == ['"1";"a"', '"2";"b"', '"3";"c"']
+
+
 def test_refine_files_in_raw_layout(spark, scratch):
     """Latin-1 files laid out as prefix/dataset/year=/month=/day=/member refine directly."""
     from terrace.sources.raw import raw_leaf
