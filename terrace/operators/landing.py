@@ -63,10 +63,15 @@ def land(lines: DataFrame, root: str, reference_date: str, dataset_col: str = "d
 
 
 def archive_report(listing: DataFrame) -> DataFrame:
-    """Per archive: files (non-directory entries), non-empty files and the two gates."""
+    """Per archive: files (non-directory entries), non-empty files and the two gates.
+
+    Archives are told apart by path when the listing has one (``archive``), so two
+    archives with the same file name are gated separately; else by file name.
+    """
     files = ~F.col("is_dir")
+    keys = [c for c in ("archive", "zip_name") if c in listing.columns]
     return (
-        listing.groupBy("zip_name")
+        listing.groupBy(*keys)
         .agg(
             F.count_if(files).alias("n_files"),
             F.count_if(files & (F.col("file_size") > 0)).alias("n_non_empty"),
@@ -83,7 +88,8 @@ def enforce_archives(report: DataFrame) -> None:
     shown = failing.limit(20).collect()  # the message names at most 20; the count is exact
     if shown:
         msgs = [
-            f"{r['zip_name']}: " + ("has no files" if not r["has_files"] else "no non-empty file") for r in shown
+            f"{r.asDict().get('archive', r['zip_name'])}: " + ("has no files" if not r["has_files"] else "no non-empty file")
+            for r in shown
         ]
         raise ArchiveError(f"{failing.count()} archive(s) failed: " + "; ".join(msgs))
 

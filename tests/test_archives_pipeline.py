@@ -80,6 +80,20 @@ def test_archive_gates(spark, scratch):
     assert "A.zip: has no files" in str(e.value) and "B.zip: no non-empty file" in str(e.value)
 
 
+def test_archives_with_one_name_are_gated_apart(spark, scratch):
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    os.makedirs(a)
+    os.makedirs(b)
+    make_zip(os.path.join(a, "Cnaes.zip"), [("d/", b"")])
+    make_zip(os.path.join(b, "Cnaes.zip"), [("C.CSV", b'"1";"x"\n')])
+    rep = L.archive_report(ziplines.read_listing(spark, [a, b]))
+    assert sorted((r["archive"], r["passed"]) for r in rep.collect()) == [
+        (os.path.join(a, "Cnaes.zip"), False), (os.path.join(b, "Cnaes.zip"), True)]
+    with pytest.raises(L.ArchiveError) as e:
+        L.enforce_archives(rep)
+    assert f"{os.path.join(a, 'Cnaes.zip')}: has no files" in str(e.value) and "1 archive(s)" in str(e.value)
+
+
 def test_landing_replaces_only_its_leaf(spark, scratch):
     root = os.path.join(scratch, "bronze")
     first = spark.createDataFrame([("old1", "empresas"), ("c1", "cnaes")], "value string, dataset string")
