@@ -190,15 +190,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     return fit(*training_matrix(sample, terms), terms)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score`` for every row, from its whole text."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Every row of ``docs`` with its score, from its whole text, in the column ``name``."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.ALNUM_LOWER):
             p = 1 / (1 + np.exp(-np.clip(model.logits(cut), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], names=[*part.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*part.schema.names, name])
 
-    rest = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{kinds}, `{name}` double")
