@@ -160,7 +160,8 @@ def deepest_level(spark: SparkSession, hits: DataFrame) -> DataFrame:
     now = hits.select("key", "th", "levels")
     out, level = now.select("key", "th", F.lit(0).alias("level")), 0
     while True:
-        fits = now.filter(F.size("levels") > level).withColumn("h", F.col("levels")[level])
+        # the levels that are done are cut off, so each round writes less
+        fits = now.filter(F.size("levels") > 0).select("key", "th", F.col("levels")[0].alias("h"), F.slice("levels", 2, F.size("levels")).alias("levels"))
         twice = fits.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
         path = fresh_dir(spark, "dedup-level")
         fits.join(twice, "h").select("key", "th", "levels").write.parquet(path)
