@@ -5,14 +5,18 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
 
 1. Equal sets are one class (its id: the smallest doc_id). What follows works on one
    row per class, so thousands of copies cost one row.
-2. A set is ordered by hash. If two sets link, at least ``K`` of their common tokens
-   (or all, if fewer) stand in the first ``n - ceil(t n) + K`` tokens of both; only
-   these probe tokens are kept, and of them only those that two classes share.
-3. Classes of the same least token form a group (similar sets mostly agree on it).
-   The token-group matrix holds the union of a group's probe tokens by size band.
-   A class counts its tokens in every group's union within the size bound: a group
-   with at least ``K`` (which bounds the overlap from above) is opened, others are
-   not. A class opens groups of sets at least as large as its own.
+2. Two linked sets of a size band differ in at most ``D`` tokens. The token space is cut
+   into ``D + 1`` parts by hash, so the two agree in one part at least: the tokens of a
+   part, as one key, are the matrix's columns. (Single shingles of a passage that many
+   documents share would open group after group; a whole part of about ten does not.)
+3. Sets of the same least key form a group (similar sets mostly agree on it). The
+   token-group matrix holds the union of its sets' parts. A set that shares no part
+   with that union differs from each of them too much to link; the others open the
+   group. A set opens groups of sets at least as large as its own: the keys carry the
+   size band, and a set looks in its own and in the next.
+   A parity bitmap of the whole set (two bits a token) then bounds the difference of
+   two sets from below: a class stays in a group only if some set there is not ruled
+   out by it. Only then are whole sets sent anywhere.
 4. In an opened group the exact similarity is computed from whole sets. Pairs that
    are in one component already are passed over, so near copies cost one comparison
    each. Groups above ``CELL`` sets are compared with one pivot first; what did not
@@ -32,7 +36,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import words as W
@@ -41,7 +45,6 @@ from terrace.session import fresh_dir
 
 SHINGLE = 3
 PERCENT = 90
-K = 3
 CELL = 512
 
 
@@ -64,6 +67,16 @@ class Sets:
         self.ptr = np.searchsorted(rows, np.arange(len(n) + 1))
         self.sizes = np.diff(self.ptr)
 
+    def bitmaps(self) -> pa.Array:
+        """Per row: parity of the tokens that fall on each bit (a power of two of bits, at least two a token)."""
+        bits = 1 << np.ceil(np.log2(np.maximum(2 * self.sizes, 64))).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(bits)])
+        owner = np.repeat(np.arange(len(bits)), self.sizes)
+        at = (W.mix(self.hash) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64) + first[owner]
+        body = np.packbits(np.bincount(at, minlength=first[-1]) & 1 == 1, bitorder="little")
+        offsets = pa.py_buffer((first // 8).astype(np.int32).tobytes())
+        return pa.Array.from_buffers(pa.binary(), len(bits), [None, offsets, pa.py_buffer(body.tobytes())])
+
     def signatures(self) -> list[np.ndarray]:
         out = []
         for which in (1, 2):
@@ -76,48 +89,138 @@ def needed(n, percent: int):
     return -(-n * percent // 100)
 
 
+def bands(n: np.ndarray, percent: int) -> np.ndarray:
+    """Size band of each set; a hair wider than the ratio of linked sizes."""
+    return np.floor(np.log(np.maximum(n, 1)) / (math.log(100 / percent) * 1.0001)).astype(np.int64)
+
+
+def parts_of(band: np.ndarray, percent: int) -> np.ndarray:
+    """Parts of a band: one more than linked sets can differ by, the larger being of this band."""
+    largest = np.ceil(np.exp((band + 1) * math.log(100 / percent) * 1.0001))
+    return (2 * largest * (100 - percent) // (100 + percent)).astype(np.int64) + 1
+
+
+def part_keys(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts of every row's set in the given band, and their offsets by row."""
+    n_parts = np.where(sets.sizes > 0, parts_of(band, percent), 0)
+    ptr = np.concatenate([[0], np.cumsum(n_parts)])
+    owner = np.repeat(np.arange(len(n_parts)), sets.sizes)
+    part = (W.mix(sets.hash ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(n_parts[owner], 1).astype(np.uint64)).astype(np.int64)
+    sums = np.zeros(ptr[-1], dtype=np.uint64)
+    np.add.at(sums, ptr[:-1][owner] + part, W.mix(sets.hash))
+    rows = np.repeat(np.arange(len(n_parts)), n_parts)
+    place = (band[rows].astype(np.uint64) << np.uint64(40)) + (np.arange(ptr[-1]) - ptr[:-1][rows]).astype(np.uint64)
+    return W.mix(sums + W.mix(place + np.uint64(1))), ptr
+
+
 def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, s1, s2, tokens``: set size, set identity and probe tokens of every row."""
+    """``doc_id, n, s1, s2, g, bits``: set size, set identity, group and bitmap of every row."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
             sets = Sets(cut, width)
             s1, s2 = sets.signatures()
-            keep = np.minimum(sets.sizes, sets.sizes - needed(sets.sizes, percent) + K)
-            tokens = sets.hash[W.ragged(sets.ptr[:-1], keep)]
+            keys, ptr = part_keys(sets, bands(sets.sizes, percent), percent)
+            group = np.zeros(len(sets.sizes), dtype=np.uint64)
+            some = sets.sizes > 0
+            if some.any():
+                group[some] = np.minimum.reduceat(keys, ptr[:-1][some])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), W.list_of(tokens, np.concatenate([[0], np.cumsum(keep)]), pa.int64())],
-                names=["doc_id", "n", "s1", "s2", "tokens"],
+                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), W.longs(group), sets.bitmaps()],
+                names=["doc_id", "n", "s1", "s2", "g", "bits"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, tokens array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, g bigint, bits binary")
+
+
+def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, c, own``: the parts of every document in its own size band and in the next."""
+
+    def run(batches):
+        for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
+            sets = Sets(cut, width)
+            band = bands(sets.sizes, percent)
+            for own in (True, False):
+                keys, ptr = part_keys(sets, band if own else band + 1, percent)
+                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(band)), np.diff(ptr))))
+                yield pa.RecordBatch.from_arrays([W.longs(keys), ids, pa.repeat(pa.scalar(own), len(keys))], names=["key", "c", "own"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
+    return rows.mapInArrow(run, "key bigint, c bigint, own boolean")
 
 
-def open_groups(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame:
+def open_groups(spark: SparkSession, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
-    tokens = classes.select("c", F.explode("tokens").alias("t"))
-    shared = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("t")
-    need = F.least(F.lit(K).cast("bigint"), F.ceil(F.col("n") * percent / 100))
-    found = tokens.join(shared, "t")
-    path = fresh_dir(spark, "jaccard-tokens")
-    found.write.parquet(path)
+    keys = key_rows(docs, width, percent)
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    path = fresh_dir(spark, "jaccard-keys")
+    # one row per class from here on: the class's own document speaks for its copies
+    keys.join(shared, "key").join(classes.select("c", "g"), "c").write.parquet(path)
     found = spark.read.parquet(path)
-    # a class with fewer shared tokens than any link needs has no link
-    live = found.groupBy("c").agg(F.count(F.lit(1)).alias("k")).join(classes.select("c", "n", F.col("tokens")[0].alias("g")), "c")
-    live = live.withColumn("need", need).filter("k >= need")
-    path = fresh_dir(spark, "jaccard-live")
-    # bands a hair wider than the ratio of linked sizes, so that a linked set is in the same or the next band
-    width = math.log(100 / percent) * 1.0001
-    live.select("c", "n", "g", "need", F.floor(F.log("n") / width).alias("band")).write.parquet(path)
-    live = spark.read.parquet(path)
-    rows = found.join(live, "c")
-    matrix = rows.select("t", "band", F.col("g").alias("other")).distinct()
-    probes = rows.select("t", "c", "g", "need", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    met = probes.join(matrix, ["t", "band"]).filter("g <> other").select("c", "other", "need", "t").distinct()
-    visits = met.groupBy("c", "other", "need").agg(F.count(F.lit(1)).alias("k")).filter("k >= need")
-    visits = visits.select("c", F.col("other").alias("g"), F.lit(False).alias("member"))
-    return live.select("c", "g", F.lit(True).alias("member")).unionByName(visits)
+    matrix = found.filter("own").select("key", F.col("g").alias("other")).distinct()
+    visits = found.join(matrix, "key").filter("g <> other").select("c", F.col("other").alias("g")).distinct()
+    members = found.select("c", "g").distinct()
+    return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
+
+
+def crowds(visits: DataFrame) -> DataFrame:
+    """``g, size, pivot`` of the groups that can hold a link: two classes, one of them a member."""
+    found = visits.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("member").alias("members"), F.min(F.when(F.col("member"), F.col("c"))).alias("pivot"))
+    return found.filter("size > 1 and members > 0").select("g", "size", "pivot")
+
+
+def cells(rows: DataFrame, waiting: DataFrame, n_here: Column, n_wait: Column) -> DataFrame:
+    """Blocks of a group's rows (side 1) crossed with blocks of its waiting rows (side 0): at most CELL of each in a cell."""
+    zero = F.lit(0).cast("bigint")
+    here = rows.withColumns({"side": F.lit(1), "y": F.pmod(F.xxhash64("c"), n_here), "x": F.explode(F.sequence(zero, n_wait - 1))})
+    wait = waiting.withColumns({"side": F.lit(0), "x": F.pmod(F.xxhash64("c"), n_wait), "y": F.explode(F.sequence(zero, n_here - 1))})
+    return here.unionByName(wait)
+
+
+def near_cell(percent: int):
+    """``c, g, member`` of the waiting rows of a cell for which some other row is not ruled out by the bitmaps."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, n, c = (table.column(k).to_numpy() for k in ("side", "n", "c"))
+        member = table.column("member").to_numpy(zero_copy_only=False)
+        maps = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in table.column("bits").combine_chunks()]
+        words = np.array([len(m) for m in maps])
+        keep = np.zeros(len(c), bool)
+        blocks = {}
+        for k in np.unique(words):
+            at = np.flatnonzero((words == k) & (side == 1))
+            if len(at):
+                blocks[int(k)] = (at, np.stack([maps[i] for i in at]))
+        for r in np.flatnonzero(side == 0):
+            mine = maps[r]
+            for k, (at, matrix) in blocks.items():
+                fits = (at != r) & (c[at] != c[r]) & (100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])) & (member[at] | member[r])
+                if not fits.any():
+                    continue
+                other, own = matrix[fits], mine
+                # the larger bitmap is folded: parities of halves add up
+                while other.shape[1] > len(own):
+                    half = other.shape[1] // 2
+                    other = other[:, :half] ^ other[:, half:]
+                while len(own) > other.shape[1]:
+                    own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+                apart = np.bitwise_count(other ^ own).sum(axis=1, dtype=np.int64)
+                if (apart * (100 + percent) <= (n[at[fits]] + n[r]) * (100 - percent)).any():
+                    keep[r] = True
+                    break
+        return table.select(["c", "g", "member"]).filter(pa.array(keep))
+
+    return run
+
+
+def near_sets(classes: DataFrame, visits: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``visits`` that the bitmaps do not rule out."""
+    rows = visits.join(crowds(visits), "g").join(classes.select("c", "n", "bits"), "c").select("c", "g", "member", "size", "n", "bits")
+    blocks = F.ceil(F.col("size") / CELL)
+    crossed = cells(rows, rows, blocks, blocks).select("g", "x", "y", "side", "c", "member", "n", "bits")
+    found = crossed.groupBy("g", "x", "y").applyInArrow(near_cell(percent), "c bigint, g bigint, member boolean")
+    return found.distinct()
 
 
 def unsigned(tokens: pa.ListScalar) -> np.ndarray:
@@ -174,9 +277,8 @@ def compare_cell(percent: int):
 
 def links(spark: SparkSession, docs: DataFrame, visits: DataFrame, width: int, percent: int) -> DataFrame:
     """``a, b``: links that join the classes of the opened groups (enough for the components)."""
-    # one row per class and opened group with at least two classes, with the class's whole set
-    crowd = visits.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("member").alias("members"), F.min(F.when(F.col("member"), F.col("c"))).alias("pivot"))
-    crowd = crowd.filter("size > 1 and members > 0").select("g", "size", "pivot")
+    # one row per class and opened group, with the class's whole set
+    crowd = crowds(visits)
     wanted = visits.join(crowd, "g").groupBy("c").agg(F.collect_list(F.struct("g", "member", "size", "pivot")).alias("opened"))
 
     def run(batches):
@@ -210,11 +312,9 @@ def links(spark: SparkSession, docs: DataFrame, visits: DataFrame, width: int, p
     state = large.join(met.select("g", "c", "main").distinct(), ["g", "c"]).join(rest, "g")
     small = entries.filter(F.col("size") <= CELL).withColumns({"main": F.lit(False), "waiting": F.col("size")})
     rows = small.unionByName(state.select(small.columns))
-    n_here, n_wait = F.ceil(F.col("size") / CELL), F.ceil(F.col("waiting") / CELL)
-    here = rows.withColumns({"side": F.lit(1), "y": F.pmod(F.xxhash64("c"), n_here), "x": F.explode(F.sequence(F.lit(0).cast("bigint"), n_wait - 1))})
-    wait = rows.filter("not main").withColumns({"side": F.lit(0), "x": F.pmod(F.xxhash64("c"), n_wait), "y": F.explode(F.sequence(F.lit(0).cast("bigint"), n_here - 1))})
-    cells = here.unionByName(wait).select("g", "x", "y", "side", "c", "member", "main", "tokens")
-    inside = cells.groupBy("g", "x", "y").applyInArrow(compare_cell(percent), "a bigint, b bigint")
+    crossed = cells(rows, rows.filter("not main"), F.ceil(F.col("size") / CELL), F.ceil(F.col("waiting") / CELL))
+    crossed = crossed.select("g", "x", "y", "side", "c", "member", "main", "tokens")
+    inside = crossed.groupBy("g", "x", "y").applyInArrow(compare_cell(percent), "a bigint, b bigint")
     return inside.unionByName(met.filter("main and c <> pivot").select(F.col("c").alias("a"), F.col("pivot").alias("b")))
 
 
@@ -224,13 +324,15 @@ def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: in
     signature_rows(docs, width, percent).write.parquet(path)
     rows = spark.read.parquet(path)
     path = fresh_dir(spark, "jaccard-classes")
-    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("tokens").alias("tokens"))
+    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("g").alias("g"), F.first("bits").alias("bits"))
     sets.write.parquet(path)
     classes = spark.read.parquet(path)
     ids = classes.filter("c is not null")
     visits_path, links_path = fresh_dir(spark, "jaccard-visits"), fresh_dir(spark, "jaccard-links")
-    open_groups(spark, ids, percent).write.parquet(visits_path)
-    links(spark, docs, spark.read.parquet(visits_path), width, percent).write.parquet(links_path)
+    open_groups(spark, docs, ids, width, percent).write.parquet(visits_path)
+    near_path = fresh_dir(spark, "jaccard-near")
+    near_sets(ids, spark.read.parquet(visits_path), percent).write.parquet(near_path)
+    links(spark, docs, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
     reached = components(spark, spark.read.parquet(links_path))
     named = classes.select("s1", "s2", "c").join(reached, F.col("c") == F.col("node"), "left")
     named = named.select("s1", "s2", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component"))
