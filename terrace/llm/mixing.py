@@ -117,7 +117,7 @@ def mix(
     """``(documents, mix)``.
 
     documents: row key, doc_id, source, size, source_size, target.
-    mix: shard, place (order inside the shard), row key, doc_id, source, from_word, n_words:
+    mix: shard, place (order inside the shard), row key, pass, doc_id, source, from_word, n_words:
     words ``[from_word, from_word + n_words)`` of that document stand there.
     """
     from terrace.session import fresh_dir
@@ -136,7 +136,7 @@ def mix(
     plans = targets([(r["source"], r["n"], r["words"]) for r in per_source.collect()])
     if not plans:
         nothing = sized.select(F.lit(0).cast("bigint").alias("row"), "doc_id", "source", "size", F.lit(0).cast("bigint").alias("source_size"), F.lit(0.0).alias("target"))
-        return nothing, nothing.select(F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("place"), "row", "doc_id", "source", F.lit(0).cast("bigint").alias("from_word"), F.lit(0).cast("bigint").alias("n_words"))
+        return nothing, nothing.select(F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("place"), "row", F.lit(0).alias("pass"), "doc_id", "source", F.lit(0).cast("bigint").alias("from_word"), F.lit(0).cast("bigint").alias("n_words"))
     takes = np.array([min(round(p.target), int(CAP * p.size)) for p in plans], dtype=np.int64)
     while takes.sum() // block_words > MOST_BLOCKS:  # the draw's own bound is 1e9 blocks
         block_words *= 2
@@ -183,7 +183,7 @@ def mix(
     blocks_of = F.sequence(F.floor(F.col("s") / b), F.floor((F.col("e") - 1) / b))
     pieces = ends.withColumn("block", F.explode(blocks_of))
     pieces = pieces.select(
-        "row", "sid", "doc_id", "source", "block",
+        "row", "pass", "sid", "doc_id", "source", "block",
         (F.greatest("s", F.col("block") * b) - F.col("s")).alias("from_word"),
         (F.least("e", (F.col("block") + 1) * b) - F.greatest("s", F.col("block") * b)).alias("n_words"),
     )
@@ -207,7 +207,7 @@ def mix(
     mixed = pieces.join(drawn, ["sid", "block"]).select(
         "shard",
         F.xxhash64(F.lit(seed), "shard", "sid", "block").alias("place"),
-        "row", "doc_id", "source", "from_word", "n_words",
+        "row", "pass", "doc_id", "source", "from_word", "n_words",
     )
     documents = stream.select("row", "doc_id", "source", "size", "source_size", "target")
     return documents, mixed
