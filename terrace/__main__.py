@@ -1,4 +1,4 @@
-"""Command line for the three stages (``python -m terrace`` or ``spark-submit terrace/__main__.py``).
+"""Command line for the three stages (``python -m terrace`` or ``spark-submit run_terrace.py``).
 
     python -m terrace land   --index index.html --base-url URL --date 2026-01-11 --lake ROOT
     python -m terrace refine --date 2026-01-11 --lake ROOT [--tables cnaes,empresas]
@@ -44,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--index", help="saved index page(s) (land, run)")
     p.add_argument("--base-url", help="base URL of the index page links")
     p.add_argument("--datasets", default=P.DEFAULT_FILTERS, help="comma list of dataset filters")
-    p.add_argument("--max-files", type=int, default=P.DEFAULT_MAX_FILES, help="files per numbered series")
+    p.add_argument("--max-files", type=int, default=P.DEFAULT_MAX_FILES, help="files per numbered series (default: all)")
     p.add_argument("--tables", help="comma list of tables to refine (default: all ten)")
     p.add_argument("--format", default="parquet", help="store format (parquet, or delta when installed)")
     return p

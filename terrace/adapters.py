@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import nul
-from terrace.plans.partitioning import spread
 from terrace.sources import files
 
 
@@ -21,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     """A driver table (only ``columns`` when given), spread over the cores when its
     file has fewer row groups than cores. Columns are pruned before the spread."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
+    return df.select(*columns) if columns else df
 
 
 def pad(c: Column | str, width: int) -> Column:
@@ -70,7 +69,7 @@ def raw_naturezas(spark, sf_dir):
 
 def raw_qualificacoes(spark, sf_dir):
     prio = table(spark, sf_dir, "orders", ["o_orderpriority"]).distinct()
-    return prio.select(raw_line(F.substring("o_orderpriority", 1, 1), F.substring("o_orderpriority", 3, 1 << 20)))
+    return prio.select(raw_line(F.substring("o_orderpriority", 1, 1), F.expr("substring(o_orderpriority, 3)")))
 
 
 # --- companies (customer) -------------------------------------------------------------
@@ -104,7 +103,8 @@ def raw_estabelecimentos(spark, sf_dir):
     k, cust, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     return o.select(
         raw_line(
-            pad(cust, 8),
+            # every 17th establishment belongs to a company that is not in the company table
+            F.when(k % 17 == 0, (cust + 90000000).cast("string")).otherwise(pad(cust, 8)),
             pad(k % 10000, 4),
             pad(k % 97, 2),
             F.when(k % 4 == 0, F.lit("1")).otherwise(F.lit("2")),
@@ -123,7 +123,7 @@ def raw_estabelecimentos(spark, sf_dir):
             blank(),
             F.lit("CENTRO"),
             pad(cust % 100000, 8),
-            F.nullif(F.substring("o_orderpriority", 3, 1 << 20), F.lit("LOW")),
+            F.nullif(F.expr("substring(o_orderpriority, 3)"), F.lit("LOW")),
             pad(cust % 5000, 4),
             F.lit("11"),
             pad(k % 100000000, 8),
@@ -243,10 +243,13 @@ def archive_members(spark, sf_dir):
     return member_rows.unionByName(dirs)
 
 
+LINES_PER_ARCHIVE = 1_000_000
+
+
 # --- archives on a shared folder --------------------------------------------------------
 
-def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) -> list[str]:
-    """Pack raw lines into ``n_archives`` ZIPs (Latin-1 member, plus a directory entry and
+def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int | None = None) -> list[str]:
+    """Pack raw lines into ``n_archives`` ZIPs (default: one per LINES_PER_ARCHIVE lines, four at least) (Latin-1 member, plus a directory entry and
     an empty member in each), one archive per Spark task; returns the archive paths.
 
     ``folder`` may be a local path or a URI of shared storage; each task streams
@@ -276,6 +279,8 @@ def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int) ->
         files.move(tmp, path)
         yield pd.DataFrame({"archive": [path], "n_lines": [n]})
 
+    if n_archives is None:
+        n_archives = max(4, -(-lines.count() // LINES_PER_ARCHIVE))
     files.make_dirs(folder)
     done = lines.repartition(n_archives).mapInPandas(pack, "archive string, n_lines long").collect()
     return sorted(r["archive"] for r in done)

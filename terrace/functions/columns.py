@@ -92,31 +92,18 @@ def split_list(c: ColumnOrName, sep: str = ",") -> Column:
     return F.filter(items, lambda x: x != "")
 
 
-# URL scheme pattern of RFC 3986 and the authority prefix of a URL.
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
-_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
+def resolve_url(base: ColumnOrName, href: ColumnOrName) -> Column:
+    """``href`` resolved against ``base`` by the standard library's ``urljoin`` (null if either is)."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
 
+    def join_all(bases: pd.Series, hrefs: pd.Series) -> pd.Series:
+        from urllib.parse import urljoin
 
-def resolve_url(base: ColumnOrName, href: ColumnOrName) -> Column:
-    """Resolve ``href`` against ``base`` for the common forms.
+        return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(bases, hrefs)], dtype=object)
 
-    absolute (has a scheme) -> kept; ``//host/x`` -> base scheme + href;
-    ``/x`` -> base origin + href; ``x`` -> base directory + href. Leading
-    control characters and spaces, and any tab/CR/LF, are removed from the
-    href first (WHATWG URL parsing). Dot segments (``../``) are not normalised.
-    """
-    b = _c(base)
-    h = F.regexp_replace(F.regexp_replace(_c(href), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
-    origin = F.regexp_extract(b, _ORIGIN, 1)
-    base_path = F.regexp_replace(b, r"[?#].*$", "")
-    directory = F.regexp_replace(base_path, r"[^/]*$", "")
-    return (
-        F.when(h.rlike(_SCHEME), h)
-        .when(h.startswith("//"), F.concat(scheme, h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .otherwise(F.concat(directory, h))
-    )
+    join_all.__annotations__ = {"bases": pd.Series, "hrefs": pd.Series, "return": pd.Series}
+    return pandas_udf(join_all, "string")(_c(base), _c(href))
 
 
 def date_parts(iso_date: ColumnOrName) -> tuple[Column, Column, Column]:

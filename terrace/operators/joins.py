@@ -1,37 +1,14 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Default bound for a lookup side that may be broadcast (rows). Code tables of
-# the registry hold a few thousand rows; anything above falls back to the
-# planner (sort-merge / shuffled hash, AQE may still convert at runtime).
-BROADCAST_MAX_ROWS = 2_000_000
 
+def lookup_join(left: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """``left`` joined to ``lookup`` on ``on``; unmatched left rows keep nulls.
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small, else the plain side."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-def lookup_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    max_broadcast_rows: int | None = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """``left`` ⟕ ``lookup`` USING ``on``; unmatched left rows keep nulls.
-
-    With ``max_broadcast_rows=None`` no hint is given and the planner decides
-    from statistics (``spark.sql.autoBroadcastJoinThreshold``) and AQE.
+    No hint: the planner broadcasts the lookup when its statistics, or at run time
+    its measured size, are below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    right = lookup if max_broadcast_rows is None else maybe_broadcast(lookup, max_broadcast_rows)
-    return left.join(right, on=on, how=how)
+    return left.join(lookup, on=on, how=how)

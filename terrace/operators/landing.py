@@ -1,10 +1,10 @@
-"""Landing: archive members -> raw text partitioned by dataset and snapshot date.
+"""Landing: archive members -> raw text by dataset, snapshot date and member.
 
-The landed layout is ``root/dataset=<name>/year=YYYY/month=MM/day=DD/part-*``;
-one write job covers every dataset, and each snapshot leaf is replaced whole
-(dynamic partition overwrite), so a re-run never leaves stale members beside
-new ones and other dates or datasets are untouched. Lines are stored as text
-(UTF-8, decoded once from the archive's encoding).
+The landed layout is ``root/dataset=<name>/year=YYYY/month=MM/day=DD/member=<archive/member>/part-*``.
+One write job covers every dataset. Only an equal member of an equal archive is
+replaced (dynamic partition overwrite), so a re-run repeats nothing, and members
+landed earlier for the same date, other dates and other datasets stay. Lines are
+stored as text (UTF-8, decoded once from the archive's encoding).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrace.sources.raw import RAW_ESCAPE, date_partition, scan_raw
+from terrace.sources.raw import RAW_ESCAPE, scan_raw, snapshot_leaf
 
 LANDED_ENCODING = "UTF-8"
 
@@ -23,8 +23,7 @@ class ArchiveError(RuntimeError):
 
 
 def landed_leaf(root: str, dataset: str, reference_date: str) -> str:
-    p = date_partition(reference_date)
-    return f"{root.rstrip('/')}/dataset={dataset}/year={p['year']}/month={p['month']}/day={p['day']}"
+    return snapshot_leaf(f"{root.rstrip('/')}/dataset={dataset}", reference_date)
 
 
 def scan_landed(
@@ -36,28 +35,33 @@ def scan_landed(
     encoding: str = LANDED_ENCODING,
     escape: str = RAW_ESCAPE,
 ) -> DataFrame:
-    """Every file of exactly one landed leaf, typed by the declared schema (no partition columns)."""
-    return scan_raw(spark, landed_leaf(root, dataset, reference_date), schema, encoding, escape)
+    """Every member of exactly one landed leaf, typed by the declared schema (no partition columns)."""
+    leaf = landed_leaf(root, dataset, reference_date)
+    return scan_raw(spark, leaf, schema, encoding, escape).select(*schema.fieldNames())
 
 
 def land(lines: DataFrame, root: str, reference_date: str, dataset_col: str = "dataset", line_col: str = "value") -> None:
-    """Write raw lines of one snapshot; each (dataset, date) leaf is replaced as a whole.
+    """Write raw lines of one snapshot; each (dataset, date, archive, member) is replaced as a whole.
 
-    Rows are not shuffled: the tasks that read a member write it, so each task
-    writes into few leaves and files stay as large as the members.
+    ``zip_name`` and ``member`` name the member when the lines carry them; lines
+    without them are one member called ``lines``. Rows are not shuffled: the tasks
+    that read a member write it, so files stay as large as the members.
     """
-    p = date_partition(reference_date)
+    leaf = landed_leaf("", "", reference_date)
+    year, month, day = (part.split("=")[1] for part in leaf.split("/")[-3:])
+    names = [F.col(c) for c in ("zip_name", "member") if c in lines.columns]
     (
         lines.select(
             F.col(line_col).alias("value"),
             F.col(dataset_col).alias("dataset"),
-            F.lit(p["year"]).alias("year"),
-            F.lit(p["month"]).alias("month"),
-            F.lit(p["day"]).alias("day"),
+            F.lit(year).alias("year"),
+            F.lit(month).alias("month"),
+            F.lit(day).alias("day"),
+            (F.concat_ws("/", *names) if names else F.lit("lines")).alias("member"),
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset", "year", "month", "day")
+        .partitionBy("dataset", "year", "month", "day", "member")
         .text(root)
     )
 

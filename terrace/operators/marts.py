@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import stamp
-from terrace.operators.joins import BROADCAST_MAX_ROWS, lookup_join
+from terrace.operators.joins import lookup_join
 
 # Fixed value: registry status code of an active establishment.
 ACTIVE_STATUS = 2
@@ -35,7 +35,6 @@ def active_companies_by_activity_state(
     empresas: DataFrame | None,
     cnaes: DataFrame,
     reference_date: str,
-    max_broadcast_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Distinct active companies per (state, activity code, activity description).
 
@@ -51,7 +50,7 @@ def active_companies_by_activity_state(
     by company id and a hot company is collapsed map-side.
     """
     active = active_establishments(estabelecimentos).select("cnpj_basico", "uf", "cnae_fiscal_principal")
-    joined = lookup_join(active, activity_lookup(cnaes), "cnae_fiscal_principal", "left", max_broadcast_rows)
+    joined = lookup_join(active, activity_lookup(cnaes), "cnae_fiscal_principal", "left")
     if empresas is not None:
         joined = joined.join(company_attributes(empresas), on="cnpj_basico", how="left")
     mart = joined.groupBy("uf", "cnae_fiscal_principal", "descricao_cnae").agg(
@@ -64,9 +63,8 @@ def active_companies_joined(
     estabelecimentos: DataFrame,
     empresas: DataFrame,
     cnaes: DataFrame,
-    max_broadcast_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Row-level chain of both left joins (company first, then activity), before aggregation."""
     active = active_establishments(estabelecimentos)
     with_company = active.join(company_attributes(empresas), on="cnpj_basico", how="left")
-    return lookup_join(with_company, activity_lookup(cnaes), "cnae_fiscal_principal", "left", max_broadcast_rows)
+    return lookup_join(with_company, activity_lookup(cnaes), "cnae_fiscal_principal", "left")

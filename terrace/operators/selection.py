@@ -86,13 +86,13 @@ def candidates(links: DataFrame) -> DataFrame:
 def select_files(
     links: DataFrame,
     filters: DataFrame,
-    max_files: int = 1,
+    max_files: int | None = None,
     reference_date: str | None = None,
 ) -> DataFrame:
     """Selection records ``(page_id, dataset_filter, filter_pos, rank, pos, zip_name, zip_url, dataset, reference_date)``."""
-    if max_files < 0:
+    if max_files is not None and max_files < 0:
         raise ValueError("max_files must be >= 0")
-    cand = candidates(links).join(F.broadcast(filters), on="filter_key", how="inner")
+    cand = candidates(links).join(filters, on="filter_key", how="inner")
     slen, stext = _numeric_key(F.col("suffix"))
     order_pos = F.when(F.col("is_exact"), -F.col("pos")).otherwise(F.col("pos"))
     w = Window.partitionBy("page_id", "filter_pos").orderBy(
@@ -101,11 +101,14 @@ def select_files(
     # 1) top max(N, 1) rows per group: planned as a partial per-group limit before
     #    the exchange, so a hot (page, filter) group ships at most that many rows
     #    per task; 2) on those few rows, whether the group's first row is exact.
-    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max(max_files, 1))
+    #    Without a limit the whole series is kept.
+    top = cand.withColumn("rank", F.row_number().over(w))
+    if max_files is not None:
+        top = top.filter(F.col("rank") <= max(max_files, 1))
     ranked = top.withColumn(
         "group_has_exact", F.first("is_exact").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    keep = (F.col("is_exact") & (F.col("rank") == 1)) | (~F.col("group_has_exact") & (F.col("rank") <= max_files))
+    keep = (F.col("is_exact") & (F.col("rank") == 1)) | (~F.col("group_has_exact") & (F.lit(True) if max_files is None else F.col("rank") <= max_files))
     zip_name = basename(F.col("href"))
     return ranked.filter(keep).select(
         "page_id",
@@ -120,6 +123,21 @@ def select_files(
     )
 
 
+def series_report(links: DataFrame, filters: DataFrame, selection: DataFrame) -> DataFrame:
+    """Per page and filter: archives that match, that are selected, and that are left out by the limit."""
+    matched = candidates(links).join(filters, on="filter_key").groupBy("page_id", "dataset_filter").agg(
+        F.count(F.lit(1)).alias("n"), F.max("is_exact").alias("exact")
+    )
+    taken = selection.groupBy("page_id", "dataset_filter").agg(F.count(F.lit(1)).alias("n_selected"))
+    both = matched.join(taken, ["page_id", "dataset_filter"], "left")
+    n_matching = F.when(F.col("exact"), F.lit(1).cast("bigint")).otherwise(F.col("n"))
+    n_selected = F.coalesce("n_selected", F.lit(0).cast("bigint"))
+    return both.select(
+        "page_id", "dataset_filter", n_matching.alias("n_matching"), n_selected.alias("n_selected"),
+        (n_matching - n_selected).alias("n_left_out"),
+    )
+
+
 def selection_report(pages: DataFrame, selection: DataFrame) -> DataFrame:
     """Per page: number of selected archives and whether the page passes (> 0)."""
     counts = selection.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_selected"))

@@ -16,16 +16,17 @@ from terrace.functions.columns import stamp
 from terrace.operators import landing, marts, selection
 from terrace.operators.refine import refine
 from terrace.plans.specs import TABLES, spec_of
-from terrace.sources import ziplines
+from terrace.sources import files, ziplines
 from terrace.sources.links import extract_links
 from terrace.sources.raw import RAW_ENCODING, scan_raw
 from terrace.sources.store import SnapshotStore
 
 MART_TABLE = "empresas_ativas_por_cnae_uf"
 
-# Default dataset filters (in order) and files taken per numbered series.
+# Default dataset filters (in order).
 DEFAULT_FILTERS = "Cnaes,Empresas,Estabelecimentos,Motivos,Municipios,Naturezas,Paises,Qualificacoes,Simples,Socios"
-DEFAULT_MAX_FILES = 1
+# Files taken per numbered series: all, unless a limit is asked for.
+DEFAULT_MAX_FILES: int | None = None
 
 
 @dataclass
@@ -55,13 +56,16 @@ def land_archives(
         raise selection.SelectionError("no archive matched the filters")
     chosen = spark.createDataFrame(rows, "zip_name string, zip_url string, dataset string")
     urls = sorted({r[1] for r in rows})
+    missing = [u for u in urls if not files.exists(u)]
+    if missing:  # before anything is written
+        raise landing.ArchiveError(f"{len(missing)} archive(s) not readable: " + "; ".join(missing[:20]))
     listing = ziplines.read_listing(spark, urls).cache()
     try:
         landing.enforce_archives(landing.archive_report(listing))
         # joined on the archive path, not its file name: the same name under two
         # URLs is two archives, and a name join would repeat every line of both
         by_archive = chosen.select(F.trim("zip_url").alias("archive"), "dataset").distinct()
-        lines = ziplines.read_lines(spark, urls, encoding).join(F.broadcast(by_archive), "archive")
+        lines = ziplines.read_lines(spark, urls, encoding).join(by_archive, "archive")
         landing.land(lines, layout.landed_root, reference_date)
         done = landing.manifest(listing, chosen, layout.landed_root).collect()
     finally:
@@ -170,9 +174,9 @@ def select_archives(
     pages: DataFrame,
     reference_date: str,
     filters: str | list[str] = DEFAULT_FILTERS,
-    max_files: int = DEFAULT_MAX_FILES,
+    max_files: int | None = DEFAULT_MAX_FILES,
 ) -> DataFrame:
-    """Index pages -> selection records (exact archive name, else first N of the series)."""
+    """Index pages -> selection records (exact archive name, else the series or its first N)."""
     links = extract_links(pages)
     return selection.select_files(links, selection.filter_table(spark, filters), max_files, reference_date)
 
@@ -183,12 +187,14 @@ def run(
     layout: Layout,
     reference_date: str,
     filters: str | list[str] = DEFAULT_FILTERS,
-    max_files: int = DEFAULT_MAX_FILES,
+    max_files: int | None = DEFAULT_MAX_FILES,
     tables: list[str] | None = None,
 ) -> dict:
     """Select -> land -> refine every table -> mart; returns manifest rows, gate metrics and mart rows."""
     selected = select_archives(spark, pages, reference_date, filters, max_files)
+    links, wanted = extract_links(pages), selection.filter_table(spark, filters)
+    left_out = selection.series_report(links, wanted, selected).filter("n_left_out > 0").collect()
     manifest = land_archives(spark, selected, layout, reference_date).collect()
     refined = refine_all(spark, layout, reference_date, tables)
     rows = build_mart(spark, layout, reference_date)
-    return {"manifest": [r.asDict() for r in manifest], "refined": refined, "mart_rows": rows}
+    return {"manifest": [r.asDict() for r in manifest], "refined": refined, "mart_rows": rows, "left_out": [r.asDict() for r in left_out]}

@@ -22,7 +22,7 @@ from terrace.operators.joins import lookup_join
 from terrace.operators.refine import clean_strings, refine
 from terrace.plans.specs import spec_of
 from terrace.session import fresh_dir
-from terrace.sources import links as LK
+from terrace.sources import links as LK  # noqa: N812
 from terrace.sources import ziplines
 from terrace.sources.raw import parse_lines
 from terrace.sources.store import SnapshotStore
@@ -82,7 +82,7 @@ select {_lp('c_custkey', 8)} as cnpj_basico,
 from customer"""
 
 SQL_ESTABELECIMENTOS = f"""
-select {_lp('o_custkey', 8)} as cnpj_basico,
+select case when o_orderkey % 17 = 0 then cast(90000000 + o_custkey as varchar) else {_lp('o_custkey', 8)} end as cnpj_basico,
        {_lp('o_orderkey % 10000', 4)} as cnpj_ordem,
        {_lp('o_orderkey % 97', 2)} as cnpj_dv,
        case when o_orderkey % 4 = 0 then 1 else 2 end as identificador_matriz_filial,
@@ -177,12 +177,16 @@ from a left join l on a.cnae_fiscal_principal = l.cnae_fiscal_principal
 group by a.uf, a.cnae_fiscal_principal, l.descricao_cnae"""
 
 
+def landed(spark: SparkSession, sf_dir: str, table: str, stamped: bool = True) -> DataFrame:
+    """As production does: lines landed as text, then scanned (the scan takes columns and filters) and refined."""
+    root, spec = fresh_dir(spark, f"landed-{table}"), spec_of(table)
+    L.land(A.RAW_ADAPTERS[table](spark, sf_dir).withColumn("dataset", F.lit(spec.dataset)), root, REFERENCE_DATE)
+    df = refine(L.scan_landed(spark, root, spec.dataset, REFERENCE_DATE, spec.schema), spec)
+    return C.stamp(df, REFERENCE_DATE) if stamped else df
+
+
 def mart_inputs(spark: SparkSession, sf_dir: str):
-    return (
-        refined(spark, sf_dir, "estabelecimentos"),
-        refined(spark, sf_dir, "empresas"),
-        refined(spark, sf_dir, "cnaes"),
-    )
+    return tuple(landed(spark, sf_dir, t) for t in ("estabelecimentos", "empresas", "cnaes"))
 
 
 @register("active_by_activity_state", SQL_MART)
@@ -202,7 +206,7 @@ def q_mart_row_count(spark, sf_dir):
     "where situacao_cadastral = 2",
 )
 def q_active_filter(spark, sf_dir):
-    est = refined(spark, sf_dir, "estabelecimentos", stamped=False)
+    est = landed(spark, sf_dir, "estabelecimentos", stamped=False)
     return est.filter(F.col("situacao_cadastral") == marts.ACTIVE_STATUS).select(
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", "situacao_cadastral"
     )
@@ -210,7 +214,7 @@ def q_active_filter(spark, sf_dir):
 
 @register("project_active", SQL_ACTIVE)
 def q_project_active(spark, sf_dir):
-    return marts.active_establishments(refined(spark, sf_dir, "estabelecimentos", stamped=False))
+    return marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
 
 
 @register("stamp_reference_date", f"select *, {RD} as reference_date from ({SQL_ACTIVE})")
@@ -220,15 +224,15 @@ def q_stamp_reference_date(spark, sf_dir):
 
 @register("activity_lookup", SQL_LOOKUP)
 def q_activity_lookup(spark, sf_dir):
-    return marts.activity_lookup(refined(spark, sf_dir, "cnaes", stamped=False))
+    return marts.activity_lookup(landed(spark, sf_dir, "cnaes", stamped=False))
 
 
-SQL_COMPANY_SIDE = f"select cnpj_basico, porte_empresa from ({SQL_EMPRESAS}) where capital_social >= 0"
+SQL_COMPANY_SIDE = f"select cnpj_basico, porte_empresa from ({SQL_EMPRESAS})"
 
 
 def company_side(spark, sf_dir):
-    """Companies with a non-negative registered capital (others stay unmatched)."""
-    return refined(spark, sf_dir, "empresas", stamped=False).filter(F.col("capital_social") >= 0)
+    """All companies; the establishments adapter plants ids that none of them has."""
+    return landed(spark, sf_dir, "empresas", stamped=False)
 
 
 @register(
@@ -236,7 +240,7 @@ def company_side(spark, sf_dir):
     f"select a.*, c.porte_empresa from ({SQL_ACTIVE}) a left join ({SQL_COMPANY_SIDE}) c using (cnpj_basico)",
 )
 def q_left_join_company(spark, sf_dir):
-    active = marts.active_establishments(refined(spark, sf_dir, "estabelecimentos", stamped=False))
+    active = marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
     return active.join(marts.company_attributes(company_side(spark, sf_dir)), on="cnpj_basico", how="left")
 
 
@@ -245,8 +249,8 @@ def q_left_join_company(spark, sf_dir):
     f"select a.*, l.descricao_cnae from ({SQL_ACTIVE}) a left join ({SQL_LOOKUP}) l using (cnae_fiscal_principal)",
 )
 def q_left_join_lookup(spark, sf_dir):
-    active = marts.active_establishments(refined(spark, sf_dir, "estabelecimentos", stamped=False))
-    lookup = marts.activity_lookup(refined(spark, sf_dir, "cnaes", stamped=False))
+    active = marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
+    lookup = marts.activity_lookup(landed(spark, sf_dir, "cnaes", stamped=False))
     return lookup_join(active, lookup, "cnae_fiscal_principal")
 
 
@@ -257,8 +261,8 @@ def q_left_join_lookup(spark, sf_dir):
         left join ({SQL_LOOKUP}) l using (cnae_fiscal_principal)""",
 )
 def q_left_join_chain(spark, sf_dir):
-    est = refined(spark, sf_dir, "estabelecimentos", stamped=False)
-    cnaes = refined(spark, sf_dir, "cnaes", stamped=False)
+    est = landed(spark, sf_dir, "estabelecimentos", stamped=False)
+    cnaes = landed(spark, sf_dir, "cnaes", stamped=False)
     return marts.active_companies_joined(est, company_side(spark, sf_dir), cnaes)
 
 
@@ -268,7 +272,7 @@ def q_left_join_chain(spark, sf_dir):
     f"from ({SQL_ESTABELECIMENTOS}) group by situacao_cadastral",
 )
 def q_distinct_count(spark, sf_dir):
-    est = refined(spark, sf_dir, "estabelecimentos", stamped=False)
+    est = landed(spark, sf_dir, "estabelecimentos", stamped=False)
     return est.groupBy("situacao_cadastral").agg(F.count_distinct("cnpj_basico").alias("qtd_empresas"))
 
 
@@ -407,14 +411,20 @@ def sq(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_DECODE = f"regexp_replace(v, {sq(LK.QUOTES_PATTERN)}, '', 'g')"
-for _src, _dst in LK.ENTITIES:
+# The SQL side reads links on its own: comments and script text go first, then the
+# quoted, single-quoted or bare href of each <a> tag, with the named references.
+_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_QUOTES = r"""^["']|["']$"""
+_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_SKIPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_DECODE = f"regexp_replace(v, {sq(_QUOTES)}, '', 'g')"
+for _src, _dst in _REFERENCES:
     _DECODE = f"replace({_DECODE}, {sq(_src)}, {sq(_dst)})"
 
 SQL_LINKS = f"""
 select page_id, url, cast(generate_subscripts(hrefs, 1) - 1 as bigint) as pos, unnest(hrefs) as href
 from (select page_id, url,
-             list_filter(list_transform(regexp_extract_all(html, {sq(LK.HREF_PATTERN)}, 1), lambda v: {_DECODE}),
+             list_filter(list_transform(regexp_extract_all(regexp_replace(html, {sq(_SKIPPED)}, '', 'g'), {sq(_HREF)}, 1), lambda v: {_DECODE}),
                          lambda x: x <> '') as hrefs
       from pages)"""
 
@@ -638,7 +648,7 @@ def _sql_report(table: str, sql: str, required: str | None) -> str:
     + _sql_report("estabelecimentos_baixados", f"select * from ({SQL_ESTABELECIMENTOS}) where situacao_cadastral = 3", None),
 )
 def q_gate_not_empty(spark, sf_dir):
-    est = refined(spark, sf_dir, "estabelecimentos", stamped=False)
+    est = landed(spark, sf_dir, "estabelecimentos", stamped=False)
     active = Q.quality_report(marts.active_establishments(est), "estabelecimentos_ativos", None)
     closed = Q.quality_report(est.filter(F.col("situacao_cadastral") == 3), "estabelecimentos_baixados", None)
     return active.unionByName(closed)
@@ -677,18 +687,27 @@ def q_gate_required(spark, sf_dir):
     "where year(o_orderdate) = 1996 and month(o_orderdate) = 3",
 )
 def q_partition_scan(spark, sf_dir):
-    out = fresh_dir(spark, "partition_scan")
+    root = fresh_dir(spark, "partition_scan")
     o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    (
-        o.select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-            F.date_format("o_orderdate", "yyyy").alias("year"), F.date_format("o_orderdate", "MM").alias("month"),
-        )
-        .write.partitionBy("year", "month")
-        .parquet(out)
-    )
-    back = spark.read.parquet(out)
-    return back.filter((F.col("year") == 1996) & (F.col("month") == 3)).drop("year", "month")
+    march = F.date_format("o_orderdate", "yyyy-MM") == "1996-03"
+    line = F.concat_ws(";", "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("string"))
+    lines = o.select(line.alias("value"), F.when(march, "orders").otherwise("others").alias("dataset"))
+    L.land(lines, root, "1996-03-01")
+    schema = StructType([StructField(n, StringType()) for n in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")])
+    back = L.scan_landed(spark, root, "orders", "1996-03-01", schema)
+    whole = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return back.withColumns({c: F.col(c).cast(t) for c, t in whole.items()})
+
+
+@register("land_incremental", _stamped_sql("empresas"))
+def q_land_incremental(spark, sf_dir):
+    """Members landed one after the other for one date, one of them twice: all stay, none repeats."""
+    root, spec = fresh_dir(spark, "incremental"), spec_of("empresas")
+    lines = A.raw_empresas(spark, sf_dir).withColumns({"dataset": F.lit(spec.dataset), "zip_name": F.lit("Empresas.zip")})
+    half = F.pmod(F.xxhash64("value"), F.lit(2)).cast("string")
+    for part in ("0", "1", "0"):
+        L.land(lines.filter(half == part).withColumn("member", F.lit(f"part{part}.csv")), root, REFERENCE_DATE)
+    return C.stamp(refine(L.scan_landed(spark, root, spec.dataset, REFERENCE_DATE, spec.schema), spec), REFERENCE_DATE)
 
 
 @register("landed_roundtrip", _stamped_sql("estabelecimentos"))
@@ -715,7 +734,7 @@ def q_store_roundtrip(spark, sf_dir):
 @register("zip_members", _stamped_sql("empresas"))
 def q_zip_members(spark, sf_dir):
     folder = fresh_dir(spark, "archives")
-    paths = A.write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas", 4)
+    paths = A.write_archives(A.raw_empresas(spark, sf_dir), folder, "Empresas")
     lines = ziplines.read_lines(spark, paths)
     spec = spec_of("empresas")
     return C.stamp(refine(parse_lines(lines, spec.schema), spec), REFERENCE_DATE)

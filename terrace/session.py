@@ -53,6 +53,9 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # no local SparkContext (e.g. Spark Connect)
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="terrace-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -54,11 +54,6 @@ def make_dirs(path: str) -> None:
     fs.create_dir(p, recursive=True)
 
 
-def delete_dir(path: str) -> None:
-    fs, p = filesystem(path)
-    fs.delete_dir(p)
-
-
 def move(src: str, dst: str) -> None:
     """Rename (atomic on POSIX and HDFS; copy and delete on object stores)."""
     fs, s = filesystem(src)
@@ -66,32 +61,6 @@ def move(src: str, dst: str) -> None:
     fs.move(s, d)
 
 
-def touch(path: str) -> None:
-    """An empty marker file."""
-    with open_output(path):
-        pass
-
-
-def modified(path: str):
-    """Modification time of a file (None when the store does not keep one)."""
-    fs, p = filesystem(path)
-    return fs.get_file_info(p).mtime
-
-
-def subfolders(folder: str, prefix: str = "") -> list[str]:
-    """Folders directly under ``folder`` whose name starts with ``prefix`` (none if it is missing)."""
-    from pyarrow import fs as pafs
-
-    fs, p = filesystem(folder)
-    if fs.get_file_info(p).type != pafs.FileType.Directory:
-        return []
-    return sorted(
-        join(folder, f.base_name)
-        for f in fs.get_file_info(pafs.FileSelector(p, recursive=False))
-        if f.type == pafs.FileType.Directory and f.base_name.startswith(prefix)
-    )
-
-
 def open_input(path: str):
     """Seekable handle (ZIP readers jump to the central directory at the end)."""
     fs, p = filesystem(path)
@@ -103,42 +72,62 @@ def open_output(path: str):
     return fs.open_output_stream(p)
 
 
-def list_files(spec: str, suffix: str = ".zip") -> list[str]:
-    """Files named by a comma list of files, folders (``*<suffix>`` inside, case-insensitive)
-    or globs in the last path segment. Names starting with ``_`` or ``.`` are skipped.
+def list_files(spec: str | list[str], suffix: str = ".zip") -> list[str]:
+    """Files of one path, or of a list of paths: a file, or a folder (``*<suffix>`` inside, case-insensitive).
 
-    Results keep the form they were given in (a URI stays that URI, with the file
-    name appended), so they can be handed to any executor as they are.
+    A path that does not exist raises ``FileNotFoundError``; names are taken as they
+    are. Only a single path that does not exist may be a glob in its last segment.
+    Inside folders, names starting with ``_`` or ``.`` are skipped. Results keep the
+    form they were given in, so they can be handed to any executor as they are.
     """
     from pyarrow import fs as pafs
 
     out: set[str] = set()
-    for raw in spec.split(","):
-        item = raw.strip().rstrip("/")
-        if not item:
+    missing = []
+    for path in [spec] if isinstance(spec, str) else spec:
+        item = path.rstrip("/")
+        fs, p = filesystem(item)
+        kind = fs.get_file_info(p).type
+        if kind == pafs.FileType.File:
+            out.add(item)
             continue
-        if any(ch in basename(item) for ch in GLOB_CHARS):
-            folder_uri, name_pattern = item.rsplit("/", 1)
-            fs, folder = filesystem(folder_uri)
-        else:
-            fs, p = filesystem(item)
-            kind = fs.get_file_info(p).type
-            if kind == pafs.FileType.File:
-                out.add(item)
+        pattern, folder_uri, folder = None, item, p
+        if kind != pafs.FileType.Directory:
+            if not isinstance(spec, str) or not any(ch in basename(item) for ch in GLOB_CHARS):
+                missing.append(path)
                 continue
-            if kind != pafs.FileType.Directory:
-                continue
-            folder_uri, name_pattern, folder = item, None, p
-        if fs.get_file_info(folder).type != pafs.FileType.Directory:
-            continue
+            folder_uri, pattern = item.rsplit("/", 1)
+            fs, folder = filesystem(folder_uri)
         for f in fs.get_file_info(pafs.FileSelector(folder, recursive=False)):
             if f.type != pafs.FileType.File or f.base_name.startswith(("_", ".")):
                 continue
-            hit = (
-                fnmatch.fnmatchcase(f.base_name, name_pattern)
-                if name_pattern is not None
-                else f.base_name.lower().endswith(suffix)
-            )
-            if hit:
+            if fnmatch.fnmatchcase(f.base_name, pattern) if pattern else f.base_name.lower().endswith(suffix):
                 out.add(join(folder_uri, f.base_name))
+    if missing:
+        raise FileNotFoundError("not readable: " + "; ".join(missing))
     return sorted(out)
+
+
+# --- through Spark's own file systems (their settings, endpoints and credentials) ---
+
+
+def spark_path(spark, path: str):
+    """``(FileSystem, Path)`` of the session's Hadoop configuration."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def names_in(spark, folder: str) -> list[str]:
+    """Names directly under ``folder``, sorted (none if it is missing)."""
+    fs, p = spark_path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def create_empty(spark, path: str) -> None:
+    fs, p = spark_path(spark, path)
+    fs.create(p, False).close()
+
+
+def remove(spark, path: str) -> None:
+    fs, p = spark_path(spark, path)
+    fs.delete(p, True)

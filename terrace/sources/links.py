@@ -2,34 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from html.parser import HTMLParser
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# An <a> tag's href attribute (double-, single- or un-quoted), the
-# quote characters around it, and the character references decoded in values.
-HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-QUOTES_PATTERN = r"""^["']|["']$"""
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
+class _Anchors(HTMLParser):
+    """Collects the first non-empty ``href`` of every ``<a>`` start tag.
+
+    The standard parser skips comments, script and style text, reads quoted ``>``
+    as part of the value and decodes every character reference.
+    """
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hrefs: list[str] = []
 
-def decode_entities(c: Column) -> Column:
-    for src, dst in ENTITIES:
-        c = F.replace(c, F.lit(src), F.lit(dst))
-    return c
+    def handle_starttag(self, tag, attrs):
+        href = next((v for k, v in attrs if k == "href"), None) if tag == "a" else None
+        if href:
+            self.hrefs.append(href)
 
 
-def href_values(html: Column) -> Column:
-    """Array of href values of every ``<a>`` tag, in document order (may hold blanks)."""
-    raw = F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
-    return F.transform(raw, lambda v: decode_entities(F.regexp_replace(v, QUOTES_PATTERN, "")))
+def href_values(html: str | None) -> list[str]:
+    parser = _Anchors()
+    parser.feed(html or "")
+    parser.close()
+    return parser.hrefs
 
 
 def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per non-empty href: ``(page_id, url, pos, href)``; ``pos`` counts kept links.
 
-    Each page is one row, so the work is spread by page; no shuffle.
+    HTML is not a regular language, so pages go through the standard library's
+    parser in Arrow batches; each page is one row and nothing is shuffled.
     """
-    hrefs = F.filter(href_values(F.col(html_col)), lambda h: h != "")
-    return pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.posexplode(hrefs).alias("pos", "href")
-    ).withColumn("pos", F.col("pos").cast("bigint"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    kind = rows.schema["page_id"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [href_values(h) for h in batch.column(2).to_pylist()]
+            owner = pa.array([i for i, hrefs in enumerate(found) for _ in hrefs], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(owner),
+                    batch.column(1).take(owner),
+                    pa.array([k for hrefs in found for k in range(len(hrefs))], pa.int64()),
+                    pa.array([h for hrefs in found for h in hrefs], pa.string()),
+                ],
+                names=["page_id", "url", "pos", "href"],
+            )
+
+    return rows.mapInArrow(run, f"page_id {kind}, url string, pos bigint, href string")

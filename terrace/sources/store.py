@@ -1,18 +1,14 @@
 """Whole-snapshot table store: gate, then publish; read the current snapshot.
 
-``publish`` writes the new snapshot once, to a staging folder under the store
-root, while an ``Observation`` counts rows and null keys on the same pass.
-Only when every gate passes is the staging folder swapped in for the
-current one, so a failed gate (or a failed job) leaves the previous table
-untouched and readable. Schema is replaced, never merged.
-
-The swap is two folder renames through ``pyarrow.fs`` (atomic on POSIX
-and HDFS-like stores; copy-and-delete on object stores). A staging folder that
-passed its gates carries a ``_GATED`` marker (ignored by readers), so if the
-driver dies between the two renames, the next ``read`` or ``publish`` finds the
-table folder missing and completes the swap with the newest gated snapshot,
-or else moves the retired one back. With Delta Lake on the classpath,
-``fmt="delta"`` writes through its own atomic commit instead.
+A snapshot is written once, to a version folder of its own under the table, while an
+``Observation`` counts rows and null keys on the same pass. Only when every gate
+passes is the version published, by creating one empty file in ``_published`` whose
+name is a running number and the version. The greatest name is the current version,
+so publishing is one atomic creation on any store, nothing is moved or overwritten,
+and a reader opened before a publish finishes on its own version. A failed gate or a
+lost driver leaves the previous version current. ``drop_old`` removes versions that
+no reader needs any more. Folders are reached through Spark's own file systems, with
+the session's endpoints and credentials. The schema is replaced, never merged.
 """
 
 from __future__ import annotations
@@ -21,13 +17,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.operators.quality import enforce, gate_metrics, observe_gates, report_from_metrics
+from terrace.operators.quality import enforce, observe_gates, report_from_metrics
 from terrace.sources import files
 
-# Folder and marker names of the store (underscore names are skipped by readers).
-STAGING = "_staging"
-RETIRED = "_retired"
-GATED = "_GATED"
+# Fixed value: folder of the publish marks (underscore names are skipped by readers).
+PUBLISHED = "_published"
 
 
 class SnapshotStore:
@@ -39,72 +33,44 @@ class SnapshotStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """The whole current snapshot (no filter on the reference date)."""
-        self.recover(table)
-        return self.spark.read.format(self.fmt).load(self.path(table))
+    def marks(self, table: str) -> list[str]:
+        """Publish marks (``number.version``), oldest first."""
+        return files.names_in(self.spark, f"{self.path(table)}/{PUBLISHED}")
 
     def exists(self, table: str) -> bool:
-        self.recover(table)
-        return files.exists(self.path(table))
-
-    def recover(self, table: str) -> str | None:
-        """Finish a swap cut short (table folder missing); returns the folder moved in, if any."""
-        target = self.path(table)
-        if self.fmt == "delta" or files.exists(target):
-            return None
-        gated = [d for d in files.subfolders(f"{self.root}/{STAGING}", f"{table}-") if files.exists(f"{d}/{GATED}")]
-        retired = files.subfolders(f"{self.root}/{RETIRED}", f"{table}-")
-        if gated:
-            def marked_at(d: str) -> float:
-                m = files.modified(f"{d}/{GATED}")
-                return m.timestamp() if m else 0.0
+        return bool(self.marks(table))
 
-            chosen = max(gated, key=lambda d: (marked_at(d), d))
-            files.move(chosen, target)
-            for old in retired:  # the snapshot the interrupted swap was replacing
-                files.delete_dir(old)
-            return chosen
-        if retired:
-            files.move(retired[-1], target)
-            return retired[-1]
-        return None
+    def read(self, table: str) -> DataFrame:
+        """The whole current snapshot (no filter on the reference date)."""
+        marks = self.marks(table)
+        if not marks:
+            raise FileNotFoundError(f"no published snapshot of {self.path(table)}")
+        version = marks[-1].split(".")[1]
+        return self.spark.read.format(self.fmt).load(f"{self.path(table)}/{version}")
 
     def publish(self, df: DataFrame, table: str, required: str | None = None) -> dict:
-        """Gate ``df`` and replace ``table`` with it; returns the gate metrics (row count, null keys).
+        """Gate ``df`` and make it the current ``table``; returns the gate metrics (row count, null keys).
 
         Raises ``QualityError`` (table unchanged) when a gate fails.
         """
         gated, obs = observe_gates(df, table, required)
-        if self.fmt == "delta":
-            return self._publish_delta(gated, obs, table, required)
-        self.recover(table)
-        staging = f"{self.root}/{STAGING}/{table}-{uuid.uuid4().hex}"
-        gated.write.format(self.fmt).mode("errorifexists").save(staging)
+        version = f"v-{uuid.uuid4().hex}"
+        gated.write.format(self.fmt).mode("errorifexists").save(f"{self.path(table)}/{version}")
         metrics = obs.get
         try:
             enforce(report_from_metrics(table, required, metrics))
         except Exception:
-            files.delete_dir(staging)
+            files.remove(self.spark, f"{self.path(table)}/{version}")
             raise
-        files.touch(f"{staging}/{GATED}")
-        self._swap(staging, self.path(table))
-        return metrics
-
-    def _publish_delta(self, gated: DataFrame, obs, table: str, required: str | None) -> dict:
-        # Delta commits atomically but the gates must pass before the commit:
-        # one counting pass, then the write.
-        metrics = gated.agg(*gate_metrics(required)).first().asDict()
-        enforce(report_from_metrics(table, required, metrics))
-        gated.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(self.path(table))
+        marks = self.marks(table)
+        number = int(marks[-1].split(".")[0]) + 1 if marks else 0
+        files.create_empty(self.spark, f"{self.path(table)}/{PUBLISHED}/{number:012d}.{version}")
         return metrics
 
-    def _swap(self, staging: str, target: str) -> None:
-        retired = None
-        if files.exists(target):
-            retired = f"{self.root}/{RETIRED}/{files.basename(target)}-{uuid.uuid4().hex}"
-            files.make_dirs(f"{self.root}/{RETIRED}")
-            files.move(target, retired)
-        files.move(staging, target)
-        if retired:
-            files.delete_dir(retired)
+    def drop_old(self, table: str, keep: int = 1) -> list[str]:
+        """Remove all but the newest ``keep`` published versions; returns those removed."""
+        gone = self.marks(table)[: -max(keep, 1)]
+        for mark in gone:
+            files.remove(self.spark, f"{self.path(table)}/{PUBLISHED}/{mark}")
+            files.remove(self.spark, f"{self.path(table)}/{mark.split('.')[1]}")
+        return gone

@@ -10,8 +10,8 @@
   members, ``(archive, zip_name, member, file_size, is_dir)``; one partition
   per archive, so listing many archives is spread over tasks too.
 
-Options: ``paths`` (comma list of files, folders or globs in the last path
-segment; local paths or URIs such as ``hdfs://``, ``s3://``), ``encoding``,
+Options: ``paths`` (a file, folder or glob in the last path segment, or a JSON list
+of files and folders; local paths or URIs such as ``hdfs://``, ``s3://``), ``encoding``,
 ``chunk_bytes`` (read size of the decompressed stream; one Arrow batch per chunk),
 ``list_threads`` (archives whose member list is read at once).
 Archives are opened through ``pyarrow.fs`` by the driver (member names and
@@ -20,6 +20,7 @@ sizes only, from each archive's central directory) and by every executor.
 
 from __future__ import annotations
 
+import json
 import zipfile
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -51,8 +52,8 @@ LISTING_SCHEMA = StructType(
 
 
 def expand_paths(spec: str) -> list[str]:
-    """Archive files named by a comma list of files, folders (``*.zip`` inside) or globs."""
-    return files.list_files(spec, ".zip")
+    """Archive files of a path (file, folder or glob) or of a JSON list of paths; a missing one raises."""
+    return files.list_files(json.loads(spec) if spec.startswith("[") else spec, ".zip") if spec else []
 
 
 def _file_members(archive: str) -> list[str]:
@@ -210,11 +211,11 @@ def register(spark) -> None:
 
 def read_lines(spark, paths: list[str] | str, encoding: str = "ISO-8859-1"):
     register(spark)
-    spec = paths if isinstance(paths, str) else ",".join(paths)
+    spec = paths if isinstance(paths, str) else json.dumps(paths)
     return spark.read.format("ziplines").option("paths", spec).option("encoding", encoding).load()
 
 
 def read_listing(spark, paths: list[str] | str):
     register(spark)
-    spec = paths if isinstance(paths, str) else ",".join(paths)
+    spec = paths if isinstance(paths, str) else json.dumps(paths)
     return spark.read.format("ziplisting").option("paths", spec).load()

@@ -53,7 +53,11 @@ def test_archive_paths_as_uris_folders_and_globs(spark, scratch):
     assert files.list_files(uri) == both
     assert files.list_files(scratch) == [scratch + "/Empresas0.zip", scratch + "/Empresas1.ZIP"]
     assert files.list_files(uri + "/Empresas[0-9].*") == both
-    assert files.list_files(f"{uri}/Empresas1.ZIP, {uri}/missing.zip") == [uri + "/Empresas1.ZIP"]
+    make_zip(os.path.join(scratch, "a,b.zip"), [("C.CSV", b"")])
+    assert files.list_files([f"{uri}/Empresas1.ZIP", f"{uri}/a,b.zip"]) == [uri + "/Empresas1.ZIP", uri + "/a,b.zip"]
+    os.remove(os.path.join(scratch, "a,b.zip"))
+    with pytest.raises(FileNotFoundError, match="missing.zip"):
+        files.list_files([f"{uri}/Empresas1.ZIP", f"{uri}/missing.zip"])
     rows = ziplines.read_lines(spark, uri).orderBy("zip_name", "line_no").collect()
     assert [(r["zip_name"], r["value"]) for r in rows] == [
         ("Empresas0.zip", '"1";"a"'), ("Empresas1.ZIP", '"2";"b"'), ("Empresas1.ZIP", '"3";"c"')]
@@ -94,16 +98,34 @@ def test_archives_with_one_name_are_gated_apart(spark, scratch):
     assert f"{os.path.join(a, 'Cnaes.zip')}: has no files" in str(e.value) and "1 archive(s)" in str(e.value)
 
 
-def test_landing_replaces_only_its_leaf(spark, scratch):
+def test_landing_replaces_only_equal_members(spark, scratch):
     root = os.path.join(scratch, "bronze")
-    first = spark.createDataFrame([("old1", "empresas"), ("c1", "cnaes")], "value string, dataset string")
-    L.land(first, root, "2026-01-11")
-    L.land(spark.createDataFrame([("e0", "empresas")], "value string, dataset string"), root, "2026-01-10")
-    L.land(spark.createDataFrame([("new1", "empresas")], "value string, dataset string"), root, "2026-01-11")
+
+    def land(rows, day):
+        L.land(spark.createDataFrame(rows, "value string, dataset string, zip_name string, member string"), root, day)
+
+    land([("a1", "empresas", "Empresas0.zip", "K0"), ("a2", "empresas", "Empresas0.zip", "K0"), ("c1", "cnaes", "Cnaes.zip", "C")], "2026-01-11")
+    land([("e0", "empresas", "Empresas0.zip", "K0")], "2026-01-10")
+    land([("b1", "empresas", "Empresas1.zip", "K0")], "2026-01-11")  # another archive with a member of the same name
     read = lambda ds, d: sorted(r["value"] for r in spark.read.text(L.landed_leaf(root, ds, d)).collect())
-    assert read("empresas", "2026-01-11") == ["new1"]
-    assert read("empresas", "2026-01-10") == ["e0"]
-    assert read("cnaes", "2026-01-11") == ["c1"]
+    assert read("empresas", "2026-01-11") == ["a1", "a2", "b1"]
+    land([("a3", "empresas", "Empresas0.zip", "K0")], "2026-01-11")  # the same member again
+    assert read("empresas", "2026-01-11") == ["a3", "b1"]
+    assert read("empresas", "2026-01-10") == ["e0"] and read("cnaes", "2026-01-11") == ["c1"]
+    members = {r["member"] for r in spark.read.text(L.landed_leaf(root, "empresas", "2026-01-11")).collect()}
+    assert members == {"Empresas0.zip/K0", "Empresas1.zip/K0"}
+
+
+def test_missing_archive_raises_and_writes_nothing(spark, scratch):
+    make_zip(os.path.join(scratch, "Empresas0.zip"), [("E0.CSV", b'"1";"a"\n')])
+    paths = [os.path.join(scratch, f"Empresas{i}.zip") for i in (0, 1)]
+    selected = spark.createDataFrame(
+        [(os.path.basename(p), p, "empresas") for p in paths], "zip_name string, zip_url string, dataset string"
+    )
+    root = os.path.join(scratch, "lake")
+    with pytest.raises(L.ArchiveError, match="Empresas1.zip"):
+        P.land_archives(spark, selected, P.Layout(f"{root}/landed", f"{root}/refined", f"{root}/mart"), REFERENCE_DATE)
+    assert not os.path.exists(f"{root}/landed")
 
 
 @pytest.fixture(scope="module")
@@ -135,12 +157,22 @@ def test_pipeline_end_to_end(spark, lake):
     assert out["mart_rows"] == mart.count() > 0
 
 
-def test_default_selection_takes_first_of_series(spark, lake):
-    pages, _, _ = lake
+def test_default_selection_takes_whole_series(spark, lake):
+    pages, _, out = lake
     sel = P.select_archives(spark, pages, REFERENCE_DATE)
-    assert sorted(r["zip_name"] for r in sel.collect()) == sorted(
-        ["Cnaes.zip", "Empresas0.zip", "Estabelecimentos0.zip", "Motivos.zip", "Municipios.zip", "Naturezas.zip",
-         "Paises.zip", "Qualificacoes.zip", "Simples.zip", "Socios0.zip"])
+    assert sorted(r["zip_name"] for r in sel.collect()) == sorted(m["zip_name"] for m in out["manifest"])
+    assert out["left_out"] == []
+
+
+def test_limit_reports_what_is_left_out(spark, lake):
+    from terrace.operators import selection
+    from terrace.sources.links import extract_links
+
+    pages, _, _ = lake
+    sel = P.select_archives(spark, pages, REFERENCE_DATE, max_files=1)
+    rep = selection.series_report(extract_links(pages), selection.filter_table(spark, P.DEFAULT_FILTERS), sel)
+    left = {r["dataset_filter"]: r["n_left_out"] for r in rep.collect()}
+    assert {k for k, v in left.items() if v} == {"Empresas", "Estabelecimentos", "Socios"} and left["Empresas"] == 1
 
 
 def test_rerun_with_failing_gate_keeps_previous_snapshot(spark, lake):
@@ -222,7 +254,8 @@ def test_command_line_stages(spark, scratch):
     base = "file://" + site + "/"
     land = main(["land", "--lake", lake, "--date", REFERENCE_DATE, "--index", index, "--base-url", base,
                  "--datasets", "Cnaes,Empresas,Estabelecimentos"])
-    assert sorted(m["zip_name"] for m in land["manifest"]) == ["Cnaes.zip", "Empresas0.zip", "Estabelecimentos0.zip"]
+    assert sorted(m["zip_name"] for m in land["manifest"]) == [
+        "Cnaes.zip", "Empresas0.zip", "Empresas1.zip", "Estabelecimentos0.zip", "Estabelecimentos1.zip"]
     ref = main(["refine", "--lake", lake, "--date", REFERENCE_DATE, "--tables", "cnaes,empresas,estabelecimentos"])
     assert set(ref["refined"]) == {"cnaes", "empresas", "estabelecimentos"}
     mart = main(["mart", "--lake", lake, "--date", REFERENCE_DATE])

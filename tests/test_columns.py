@@ -94,3 +94,14 @@ def test_date_parts_strict(spark):
     df = spark.createDataFrame([("2026-13-45",)], "d string")
     with pytest.raises(Exception):
         df.select(*C.date_parts(F.col("d"))).collect()
+
+
+@pytest.mark.parametrize("base, href", [
+    ("http://h", "x.zip"), ("http://h?q=1", "x.zip"), ("http://h/a/b/", "../x.zip"), ("http://h/a/b", "./x.zip"),
+    ("http://h/a/b", "/c/../x.zip"), ("http://h/a/b", "?x.zip"), ("http://h/a/b", "HTTP:x.zip"), ("http://h/a/b", "//o/x"),
+])
+def test_resolve_url_normalises_like_urljoin(spark, base, href):
+    from urllib.parse import urljoin
+
+    df = spark.createDataFrame([(base, href), (base, None)], "b string, h string")
+    assert [r["o"] for r in df.select(C.resolve_url("b", "h").alias("o")).collect()] == [urljoin(base, href), None]

@@ -27,3 +27,13 @@ def test_extract_links(spark):
         (7, 4, "/multi/line.zip"),
     ]
     assert dict(extract_links(pages).dtypes)["pos"] == "bigint"
+
+
+def test_links_follow_html_rules(spark):
+    html = (
+        '<!-- <a href="hidden.zip">x</a> --><script>var a = "<a href=\'s.zip\'>";</script>'
+        '<a title="a > b" href="q.zip">q</a><a/href="slash.zip">s</a><a href="d&#x2E;zip">d</a><a href="caf&eacute;.zip">e</a>'
+    )
+    pages = spark.createDataFrame([(1, "https://h/", html), (2, "https://h/", None)], "page_id long, url string, html string")
+    rows = [r["href"] for r in extract_links(pages).orderBy("page_id", "pos").collect()]
+    assert rows == ["q.zip", "slash.zip", "d.zip", "caf\u00e9.zip"]

@@ -36,23 +36,6 @@ def test_mart_plan_over_parquet(spark, scratch):
     assert mart.count() > 0
 
 
-def test_lookup_not_broadcast_beyond_bound(spark, scratch):
-    tabs = write_refined(spark, scratch)
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        mart = marts.active_companies_by_activity_state(
-            tabs["estabelecimentos"], None, tabs["cnaes"], REFERENCE_DATE, max_broadcast_rows=5
-        )
-        plan = plan_text(mart)
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        small = marts.active_companies_by_activity_state(tabs["estabelecimentos"], None, tabs["cnaes"], REFERENCE_DATE)
-        assert "BroadcastHashJoin" in plan_text(small)
-        assert sorted(map(tuple, mart.collect()), key=repr) == sorted(map(tuple, small.collect()), key=repr)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_join_orders_give_same_mart(spark, scratch):
     tabs = write_refined(spark, scratch)
     emp = tabs["empresas"]
@@ -74,7 +57,7 @@ def test_join_orders_give_same_mart(spark, scratch):
 def test_refine_is_a_narrow_map(spark):
     plan = plan_text(refined(spark, "/root/testdata/sf0.01", "socios"))
     assert "from_csv" in plan
-    assert "Exchange hashpartitioning" not in plan  # no key shuffle; only the spread of the narrow input
+    assert "Exchange hashpartitioning" not in plan  # no shuffle at all
 
 
 def test_selection_and_dedupe_limit_groups_before_shuffle(spark):
@@ -104,3 +87,12 @@ def test_refinement_from_landed_text_is_map_only_with_gates_on_the_write(spark,
     assert "Exchange" not in plan
     gated.write.format("noop").mode("overwrite").save()
     assert obs.get["n_rows"] == spark.read.parquet(f"{SF}/orders.parquet").count() and obs.get["n_null_key"] == 0
+
+
+def test_catalogue_has_one_scan_per_table_and_no_python(spark):
+    from terrace.queries import QUERIES
+
+    for name, scans in [("active_filter", 1), ("project_active", 1), ("left_join_company", 2), ("active_by_activity_state", 2)]:
+        plan = plan_text(QUERIES[name](spark, SF), "simple")
+        assert plan.count("FileScan csv") == scans and "from_csv" not in plan, name
+        assert "MapInArrow" not in plan, name

@@ -99,8 +99,8 @@ def test_store_publish_replaces_schema_and_failed_gate_keeps_old(spark, scratch)
     with pytest.raises(Q.QualityError):
         store.publish(bad.filter("false"), "cnaes", required="codigo")
     assert [tuple(r) for r in store.read("cnaes").collect()] == [("9", 1.5)]
-    staging = os.path.join(scratch, "silver", "_staging")
-    assert not os.path.exists(staging) or os.listdir(staging) == []
+    # the failed version is gone, the two published ones are there
+    assert len([d for d in os.listdir(os.path.join(scratch, "silver", "cnaes")) if d.startswith("v-")]) == 2
 
 
 def test_reference_date_warning(spark, scratch):
@@ -114,29 +114,16 @@ def test_reference_date_warning(spark, scratch):
         warn_on_snapshot_dates(store, ["cnaes"], "2026-01-11")
 
 
-def test_store_recovers_a_swap_cut_short(spark, scratch):
-    """Driver lost between the two renames of a publish: the next read completes it."""
-    from terrace.sources import files
-    from terrace.sources.store import GATED, RETIRED, STAGING
-
-    root = os.path.join(scratch, "silver")
-    store = SnapshotStore(spark, root)
-    old = spark.createDataFrame([("1", "old")], "codigo string, descricao string")
-    new = spark.createDataFrame([("1", "new"), ("2", "new")], "codigo string, descricao string")
-    store.publish(old, "cnaes", required="codigo")
-
-    # the new snapshot passed its gates and the current one was moved away, then the driver died
-    staging = f"{root}/{STAGING}/cnaes-feed"
-    new.write.parquet(staging)
-    files.touch(f"{staging}/{GATED}")
-    files.make_dirs(f"{root}/{RETIRED}")
-    files.move(store.path("cnaes"), f"{root}/{RETIRED}/cnaes-0001")
-    assert sorted(r["descricao"] for r in store.read("cnaes").collect()) == ["new", "new"]
-    assert files.subfolders(f"{root}/{RETIRED}", "cnaes-") == []
-
-    # a staging folder without the marker (write or gates unfinished) is never published
-    files.move(store.path("cnaes"), f"{root}/{RETIRED}/cnaes-0002")
-    old.write.parquet(f"{root}/{STAGING}/cnaes-unchecked")
-    assert store.exists("cnaes")
+def test_store_reader_opened_before_a_publish_keeps_its_rows(spark, scratch):
+    store = SnapshotStore(spark, os.path.join(scratch, "silver"))
+    kind = "codigo string, descricao string"
+    assert not store.exists("cnaes")
+    store.publish(spark.createDataFrame([("1", "old")], kind), "cnaes", required="codigo")
+    opened = store.read("cnaes")
+    store.publish(spark.createDataFrame([("1", "new"), ("2", "new")], kind), "cnaes", required="codigo")
+    assert [r["descricao"] for r in opened.collect()] == ["old"]
+    # a version whose publish never happened (driver lost after the write) is not read
+    spark.createDataFrame([("9", "unchecked")], kind).write.parquet(f"{store.path('cnaes')}/v-feed")
     assert sorted(r["descricao"] for r in store.read("cnaes").collect()) == ["new", "new"]
-    assert store.recover("cnaes") is None
+    assert len(store.drop_old("cnaes")) == 1 and len(store.marks("cnaes")) == 1
+    assert store.read("cnaes").count() == 2
