@@ -204,7 +204,8 @@ def mix(
                 )
 
     drawn = spark.range(0, shards, numPartitions=min(shards, 256)).mapInArrow(draw, "shard int, sid int, block bigint")
-    mixed = pieces.join(drawn, ["sid", "block"]).select(
+    # the planner sees only the few shard numbers that `drawn` is made from and would broadcast all blocks
+    mixed = pieces.join(drawn.hint("merge"), ["sid", "block"]).select(
         "shard",
         F.xxhash64(F.lit(seed), "shard", "sid", "block").alias("place"),
         "row", "pass", "doc_id", "source", "from_word", "n_words",
