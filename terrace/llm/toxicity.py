@@ -179,7 +179,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on every labelled row given (statistics) and a bounded hash sample of them (weights)."""
     marks = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     path = fresh_dir(spark, "toxicity-labelled")
-    docs.select("doc_id", F.col("text").alias("text")).join(marks, "doc_id").write.option("compression", "zstd").parquet(path)
+    # labels grow with the documents: the same join at every size
+    docs.select("doc_id", F.col("text").alias("text")).join(marks.hint("merge"), "doc_id").write.option("compression", "zstd").parquet(path)
     labelled = spark.read.parquet(path)
     counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_neutral = counts.get(1, 0), counts.get(0, 0)
