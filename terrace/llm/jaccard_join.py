@@ -9,10 +9,13 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
    into ``D + 1`` parts by hash, so the two agree in one part at least: the tokens of a
    part, as one key, are the matrix's columns. (Single shingles of a passage that many
    documents share would open group after group; a whole part of about ten does not.)
+   Each class is first compared with the most central class that it shares a part
+   with; what links is one component from then on. So a family of near copies costs a
+   comparison for each copy, and a column that lies in one component is done with.
 3. Sets of the same least key form a group (similar sets mostly agree on it). The
    token-group matrix holds the union of its sets' parts. A set that shares no part
-   with that union differs from each of them too much to link; the others open the
-   group. A set opens groups of sets at least as large as its own: the keys carry the
+   with that union, or only with sets of its own component, has no link to find there;
+   the others open the group. A set opens groups of sets at least as large as its own: the keys carry the
    size band, and a set looks in its own and in the next.
    A parity bitmap of the whole set (two bits a token) then bounds the difference of
    two sets from below: a class stays in a group only if some set there is not ruled
@@ -150,17 +153,67 @@ def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "key bigint, c bigint, own boolean")
 
 
-def open_groups(spark: SparkSession, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
+def shared_keys(spark: SparkSession, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, c, own, k, g``: the parts of every class that some other row has too (``k`` rows in all)."""
     keys = key_rows(docs, width, percent)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     path = fresh_dir(spark, "jaccard-keys")
     # one row per class from here on: the class's own document speaks for its copies
     keys.join(shared, "key").join(classes.select("c", "g"), "c").write.parquet(path)
-    found = spark.read.parquet(path)
-    matrix = found.filter("own").select("key", F.col("g").alias("other")).distinct()
-    visits = found.join(matrix, "key").filter("g <> other").select("c", F.col("other").alias("g")).distinct()
-    members = found.select("c", "g").distinct()
+    return spark.read.parquet(path)
+
+
+def leaders(found: DataFrame) -> DataFrame:
+    """``c, pivot``: for every class the most central class that it shares a part with.
+
+    Central is who meets most rows over all its parts: the text that a family of near copies was made from.
+    """
+    degree = found.groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
+    top = F.max(F.when(F.col("own"), F.struct("degree", (-F.col("c")).alias("minus")))).alias("top")
+    met = found.join(degree, "c").groupBy("key").agg(top, F.min("c").alias("lo"), F.max("c").alias("hi"))
+    met = met.filter("lo < hi and top is not null").select("key", "top")
+    best = found.join(met, "key").filter("c <> -top.minus").groupBy("c").agg(F.max("top").alias("top"))
+    return best.select("c", (-F.col("top.minus")).alias("pivot"))
+
+
+def led(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b``: the pairs (c, pivot) that link, by their whole sets."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("c"), "text")
+    pivots = texts.withColumnsRenamed({"c": "pivot", "text": "first"}).join(pairs.select("pivot").distinct(), "pivot")
+    rows = texts.join(pairs, "c").join(pivots, "pivot").select("c", "pivot", "text", "first")
+
+    def run(batches):
+        for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
+            _, at, which = np.unique(part.column(1).to_numpy(), return_index=True, return_inverse=True)
+            mine, theirs = Sets(cut, width), Sets(W.cut(part.column(3).take(pa.array(at)), W.SPACED_LOWER), width)
+            ok = [
+                linked(mine.hash[mine.ptr[i] : mine.ptr[i + 1]], theirs.hash[theirs.ptr[j] : theirs.ptr[j + 1]], percent)
+                for i, j in enumerate(which.tolist())
+            ]
+            pairs = pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"])
+            yield pairs.filter(pa.array(ok, pa.bool_()))
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
+
+
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` (c, ...) with ``comp``, the component that the class is known to be in."""
+    named = rows.join(labels.select(F.col("node").alias("c"), "component"), "c", "left")
+    return named.withColumn("comp", F.coalesce("component", "c")).drop("component")
+
+
+def open_groups(spark: SparkSession, found: DataFrame, labels: DataFrame) -> DataFrame:
+    """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
+    rows = labelled(found, labels)
+    # columns of one component have nothing left to find
+    open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    path = fresh_dir(spark, "jaccard-open")
+    rows.join(open_keys, "key").select("key", "c", "own", "g", "comp").write.parquet(path)
+    live = spark.read.parquet(path)
+    matrix = live.filter("own").select(F.col("key").alias("column"), F.col("g").alias("other"), F.col("comp").alias("theirs")).distinct()
+    meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other")) & (F.col("comp") != F.col("theirs"))
+    visits = live.join(matrix, meets).select("c", F.col("other").alias("g")).distinct()
+    members = live.select("c", "g").distinct()
     return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
 
 
@@ -179,14 +232,14 @@ def cells(rows: DataFrame, waiting: DataFrame, n_here: Column, n_wait: Column) -
 
 
 def near_cell(percent: int):
-    """``c, g, member`` of the waiting rows of a cell for which some other row is not ruled out by the bitmaps."""
+    """``c, g, member`` of the waiting rows of a cell for which some row of another component is not ruled out by the bitmaps."""
 
     def run(table: pa.Table) -> pa.Table:
-        side, n, c = (table.column(k).to_numpy() for k in ("side", "n", "c"))
+        side, n, comp = (table.column(k).to_numpy() for k in ("side", "n", "comp"))
         member = table.column("member").to_numpy(zero_copy_only=False)
         maps = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in table.column("bits").combine_chunks()]
         words = np.array([len(m) for m in maps])
-        keep = np.zeros(len(c), bool)
+        keep = np.zeros(len(comp), bool)
         blocks = {}
         for k in np.unique(words):
             at = np.flatnonzero((words == k) & (side == 1))
@@ -195,7 +248,7 @@ def near_cell(percent: int):
         for r in np.flatnonzero(side == 0):
             mine = maps[r]
             for k, (at, matrix) in blocks.items():
-                fits = (at != r) & (c[at] != c[r]) & (100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])) & (member[at] | member[r])
+                fits = (comp[at] != comp[r]) & (100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])) & (member[at] | member[r])
                 if not fits.any():
                     continue
                 other, own = matrix[fits], mine
@@ -216,9 +269,9 @@ def near_cell(percent: int):
 
 def near_sets(classes: DataFrame, visits: DataFrame, percent: int) -> DataFrame:
     """The rows of ``visits`` that the bitmaps do not rule out."""
-    rows = visits.join(crowds(visits), "g").join(classes.select("c", "n", "bits"), "c").select("c", "g", "member", "size", "n", "bits")
+    rows = visits.join(crowds(visits), "g").join(classes.select("c", "n", "bits", "comp"), "c").select("c", "g", "member", "size", "n", "bits", "comp")
     blocks = F.ceil(F.col("size") / CELL)
-    crossed = cells(rows, rows, blocks, blocks).select("g", "x", "y", "side", "c", "member", "n", "bits")
+    crossed = cells(rows, rows, blocks, blocks).select("g", "x", "y", "side", "c", "member", "n", "bits", "comp")
     found = crossed.groupBy("g", "x", "y").applyInArrow(near_cell(percent), "c bigint, g bigint, member boolean")
     return found.distinct()
 
@@ -328,12 +381,19 @@ def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: in
     sets.write.parquet(path)
     classes = spark.read.parquet(path)
     ids = classes.filter("c is not null")
-    visits_path, links_path = fresh_dir(spark, "jaccard-visits"), fresh_dir(spark, "jaccard-links")
-    open_groups(spark, docs, ids, width, percent).write.parquet(visits_path)
-    near_path = fresh_dir(spark, "jaccard-near")
-    near_sets(ids, spark.read.parquet(visits_path), percent).write.parquet(near_path)
+    found = shared_keys(spark, docs, ids, width, percent)
+    pairs_path, led_path = fresh_dir(spark, "jaccard-pairs"), fresh_dir(spark, "jaccard-led")
+    leaders(found).write.parquet(pairs_path)
+    led(docs, spark.read.parquet(pairs_path), width, percent).write.parquet(led_path)
+    known = spark.read.parquet(led_path)
+    labels_path, visits_path = fresh_dir(spark, "jaccard-labels"), fresh_dir(spark, "jaccard-visits")
+    components(spark, known).write.parquet(labels_path)
+    labels = spark.read.parquet(labels_path)
+    open_groups(spark, found, labels).write.parquet(visits_path)
+    near_path, links_path = fresh_dir(spark, "jaccard-near"), fresh_dir(spark, "jaccard-links")
+    near_sets(labelled(ids, labels), spark.read.parquet(visits_path), percent).write.parquet(near_path)
     links(spark, docs, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
-    reached = components(spark, spark.read.parquet(links_path))
+    reached = components(spark, known.unionByName(spark.read.parquet(links_path)))
     named = classes.select("s1", "s2", "c").join(reached, F.col("c") == F.col("node"), "left")
     named = named.select("s1", "s2", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component"))
     out = rows.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
