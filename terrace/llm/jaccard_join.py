@@ -12,7 +12,7 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
    Each class is first compared with the most central class that it shares a part
    with; what links is one component from then on. So a family of near copies costs a
    comparison for each copy, and a column that lies in one component is done with.
-3. Sets of the same least key form a group (similar sets mostly agree on it). The
+3. Sets of the same most central class form a group, so a family falls into few. The
    token-group matrix holds the union of its sets' parts. A set that shares no part
    with that union, or only with sets of its own component, has no link to find there;
    the others open the group. A set opens groups of sets at least as large as its own: the keys carry the
@@ -116,25 +116,20 @@ def part_keys(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, n
     return W.mix(sums + W.mix(place + np.uint64(1))), ptr
 
 
-def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, s1, s2, g, bits``: set size, set identity, group and bitmap of every row."""
+def signature_rows(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, n, s1, s2, bits``: set size, set identity and bitmap of every row."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
             sets = Sets(cut, width)
             s1, s2 = sets.signatures()
-            keys, ptr = part_keys(sets, bands(sets.sizes, percent), percent)
-            group = np.zeros(len(sets.sizes), dtype=np.uint64)
-            some = sets.sizes > 0
-            if some.any():
-                group[some] = np.minimum.reduceat(keys, ptr[:-1][some])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), W.longs(group), sets.bitmaps()],
-                names=["doc_id", "n", "s1", "s2", "g", "bits"],
+                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), sets.bitmaps()],
+                names=["doc_id", "n", "s1", "s2", "bits"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, g bigint, bits binary")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits binary")
 
 
 def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -154,26 +149,29 @@ def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def shared_keys(spark: SparkSession, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``key, c, own, k, g``: the parts of every class that some other row has too (``k`` rows in all)."""
+    """``key, c, own, k``: the parts of every class that some other row has too (``k`` rows in all)."""
     keys = key_rows(docs, width, percent)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     path = fresh_dir(spark, "jaccard-keys")
     # one row per class from here on: the class's own document speaks for its copies
-    keys.join(shared, "key").join(classes.select("c", "g"), "c").write.parquet(path)
+    keys.join(shared, "key").join(classes.select("c"), "c").write.parquet(path)
     return spark.read.parquet(path)
 
 
 def leaders(found: DataFrame) -> DataFrame:
-    """``c, pivot``: for every class the most central class that it shares a part with.
+    """``c, pivot, g``: for every class the most central class that it shares a part with, and its group.
 
     Central is who meets most rows over all its parts: the text that a family of near copies was made from.
+    The group is named by the pivot, or by the class itself where that is the more central one.
     """
     degree = found.groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
     top = F.max(F.when(F.col("own"), F.struct("degree", (-F.col("c")).alias("minus")))).alias("top")
     met = found.join(degree, "c").groupBy("key").agg(top, F.min("c").alias("lo"), F.max("c").alias("hi"))
     met = met.filter("lo < hi and top is not null").select("key", "top")
     best = found.join(met, "key").filter("c <> -top.minus").groupBy("c").agg(F.max("top").alias("top"))
-    return best.select("c", (-F.col("top.minus")).alias("pivot"))
+    pivot = -F.col("top.minus")
+    own = F.coalesce(F.col("degree") > F.col("top.degree"), F.lit(False)) | ((F.col("degree") == F.col("top.degree")) & (F.col("c") < pivot))
+    return best.join(degree, "c").select("c", pivot.alias("pivot"), F.when(own, F.col("c")).otherwise(pivot).alias("g"))
 
 
 def led(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -202,16 +200,17 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return named.withColumn("comp", F.coalesce("component", "c")).drop("component")
 
 
-def open_groups(spark: SparkSession, found: DataFrame, labels: DataFrame) -> DataFrame:
+def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
     """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
-    rows = labelled(found, labels)
+    rows = labelled(found, labels).join(groups, "c", "left").withColumn("g", F.coalesce("g", "c"))
     # columns of one component have nothing left to find
     open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     path = fresh_dir(spark, "jaccard-open")
     rows.join(open_keys, "key").select("key", "c", "own", "g", "comp").write.parquet(path)
     live = spark.read.parquet(path)
-    matrix = live.filter("own").select(F.col("key").alias("column"), F.col("g").alias("other"), F.col("comp").alias("theirs")).distinct()
-    meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other")) & (F.col("comp") != F.col("theirs"))
+    matrix = live.filter("own").groupBy(F.col("key").alias("column"), F.col("g").alias("other")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    another = (F.col("comp") != F.col("lo")) | (F.col("comp") != F.col("hi"))
+    meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other")) & another
     visits = live.join(matrix, meets).select("c", F.col("other").alias("g")).distinct()
     members = live.select("c", "g").distinct()
     return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
@@ -374,22 +373,22 @@ def links(spark: SparkSession, docs: DataFrame, visits: DataFrame, width: int, p
 def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` for every row of ``docs`` (doc_id, text)."""
     path = fresh_dir(spark, "jaccard-signatures")
-    signature_rows(docs, width, percent).write.parquet(path)
+    signature_rows(docs, width).write.parquet(path)
     rows = spark.read.parquet(path)
     path = fresh_dir(spark, "jaccard-classes")
-    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("g").alias("g"), F.first("bits").alias("bits"))
+    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("bits").alias("bits"))
     sets.write.parquet(path)
     classes = spark.read.parquet(path)
     ids = classes.filter("c is not null")
     found = shared_keys(spark, docs, ids, width, percent)
     pairs_path, led_path = fresh_dir(spark, "jaccard-pairs"), fresh_dir(spark, "jaccard-led")
     leaders(found).write.parquet(pairs_path)
-    led(docs, spark.read.parquet(pairs_path), width, percent).write.parquet(led_path)
+    led(docs, spark.read.parquet(pairs_path).select("c", "pivot"), width, percent).write.parquet(led_path)
     known = spark.read.parquet(led_path)
     labels_path, visits_path = fresh_dir(spark, "jaccard-labels"), fresh_dir(spark, "jaccard-visits")
     components(spark, known).write.parquet(labels_path)
     labels = spark.read.parquet(labels_path)
-    open_groups(spark, found, labels).write.parquet(visits_path)
+    open_groups(spark, found, spark.read.parquet(pairs_path).select("c", "g"), labels).write.parquet(visits_path)
     near_path, links_path = fresh_dir(spark, "jaccard-near"), fresh_dir(spark, "jaccard-links")
     near_sets(labelled(ids, labels), spark.read.parquet(visits_path), percent).write.parquet(near_path)
     links(spark, docs, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
