@@ -372,6 +372,7 @@ def links(spark: SparkSession, docs: DataFrame, visits: DataFrame, width: int, p
 
 def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` for every row of ``docs`` (doc_id, text)."""
+    W.bound_batches(spark)
     path = fresh_dir(spark, "jaccard-signatures")
     signature_rows(docs, width).write.parquet(path)
     rows = spark.read.parquet(path)

@@ -177,6 +177,7 @@ def fit(row: np.ndarray, feature: np.ndarray, label: np.ndarray, terms: np.ndarr
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on every labelled row given (statistics) and a bounded hash sample of them (weights)."""
+    W.bound_batches(spark)
     marks = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     path = fresh_dir(spark, "toxicity-labelled")
     # labels grow with the documents: the same join at every size

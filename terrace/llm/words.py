@@ -18,14 +18,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Bytes of text worked on at once: bounds the temporary arrays of a task (about 60 bytes a byte).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+# Spark's batches hold 10,000 rows or 64 MB, once in the JVM and once in Python; whole texts need fewer.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT = "67108864b"
+BATCH_BYTES = "2m"
 
 U = np.uint64
 _BASES = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0xD6E8FEB86659FD93))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch (one row at least), unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (splitmix)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -183,11 +194,11 @@ def cut(texts: pa.Array, rule: Rule) -> Words:
     return Words(data, start, end, ptr, span_hash(sums, start, end, 0), rows)
 
 
-def cut_batches(batches: Iterator[pa.RecordBatch], rule: Rule, text: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
+def cut_batches(batches: Iterator[pa.RecordBatch], rule: Rule, text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """``(rows, words)`` for bounded slices of a stream of batches."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
-        for lo, hi in slices(col):
+        for lo, hi in slices(col, most):
             part = batch.slice(lo, hi - lo)
             yield part, cut(part.column(part.schema.get_field_index(text)), rule)
 
