@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 # Bytes of text worked on at once: bounds the temporary arrays of a task (about 60 bytes a byte).
-SLICE_BYTES = 512 << 10
+# One byte short of a power of two, so that the tables of powers (one entry more) are one.
+SLICE_BYTES = (512 << 10) - 1
 # Spark's batches hold 10,000 rows or 64 MB, once in the JVM and once in Python; whole texts need fewer.
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_DEFAULT = "67108864b"
@@ -83,14 +84,14 @@ def powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """First ``n`` powers of a base and of its inverse modulo 2**64."""
     have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        size = 1 << max(10, int(n).bit_length())
+        size = 1 << max(10, int(n - 1).bit_length())
         base = int(_BASES[which]) | 1
         inverse = pow(base, -1, 1 << 64)
 
         def run(b: int) -> np.ndarray:
             x = np.full(size, b, dtype=np.uint64)
             x[0] = 1
-            return np.cumprod(x, dtype=np.uint64)
+            return np.multiply.accumulate(x, out=x)
 
         have = _POWERS[which] = (run(base), run(inverse))
     return have[0][:n], have[1][:n]
