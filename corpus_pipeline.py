@@ -5,7 +5,8 @@ input. Rows without a doc_id take part under a key made from their text. Every s
 decides over all rows that its predecessor kept:
 
 1. ``toxicity``: documents of a score of 0.7 or more go.
-2. ``near_duplicates``: of each group of linked documents the one of the smallest id stays.
+2. ``near_duplicates``: documents link at a Jaccard similarity of 0.8 of their sets of five-word
+   shingles; of each group of linked documents the one of the smallest id stays.
 3. ``contamination``: documents contaminated by ``benchmark`` go.
 4. ``personal_data``: spans are replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>``; ``n_chars`` follows.
 5. ``mixing``: per document, how many of its words the mix to target weights takes.
@@ -24,6 +25,9 @@ from terrace.session import fresh_dir
 
 KEY = "_pipeline_key"
 SCORE = "_pipeline_score"
+#: Near duplicates: words of a shingle, and hundredths of Jaccard similarity from which documents link.
+SHINGLE = 5
+PERCENT = 80
 
 #: SQL cannot train a classifier; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -47,7 +51,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join.join(spark, keyed(docs))
+    groups = jaccard_join.join(spark, keyed(docs), width=SHINGLE, percent=PERCENT)
     stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(KEY)).distinct()
     rows = docs.withColumn(KEY, key()).join(stay, KEY, "left_semi")
     return rows.dropDuplicates([KEY]).select(*[F.col(f"`{c}`") for c in docs.columns])

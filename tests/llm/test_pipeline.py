@@ -44,6 +44,16 @@ def test_stages(spark, tables):
     assert mixed.count() == docs.count() and mixed.filter("taken > 2 * size").isEmpty()
 
 
+def test_near_copies_between_the_thresholds_go(spark, tables):
+    """Two far-apart words of 100 changed: five-word shingles 86 / 106 = 0.81, three-word shingles 92 / 104 = 0.88."""
+    words = [f"n{i}" for i in range(100)]
+    near = [*words[:30], "x", *words[31:70], "y", *words[71:]]
+    far = ["z" if i in (20, 50, 80) else w for i, w in enumerate(words)]  # 81 / 111 = 0.73
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in CP.remove_near_duplicates(spark, docs, tables).collect()) == [1, 3]
+
+
 def test_toxic_stage_keeps_what_the_classifier_passes(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
