@@ -13,8 +13,8 @@ Only DataFrame and SQL functions are used.
    rounds: a pattern's score is the mean score of its distinct instances (seeds 1,
    candidates what they have earned so far) shrunk towards 0 by ``SHRINK``
    instances; a candidate's score is ``1 - product(1 - score)`` over its patterns
-   above ``MIN_PATTERN``. Rounds end when no candidate is newly accepted, after
-   ``ROUNDS`` at the latest.
+   above ``MIN_PATTERN``. Scores only grow, and rounds go on until none changes by
+   more than ``SETTLED``.
 4. Candidates of at least ``MIN_INSTANCE`` are added as spans of their kind.
 
 The graph holds values and words of entities only, never texts; sums are
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from terrace.session import fresh_dir
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+SETTLED = 1e-6
 SHRINK = 3.0
 MIN_PATTERN = 0.6
 MIN_INSTANCE = 0.8
@@ -169,19 +169,20 @@ def score_candidates(spark: SparkSession, found: DataFrame) -> DataFrame:
     graph = spark.read.parquet(path)
     candidates = graph.filter("not seed")
     scores = candidates.select("kind", "value").distinct().withColumn("score", F.lit(0.0))
-    accepted = 0
-    for _ in range(ROUNDS):
+    moved = True
+    while moved:
         scored = graph.join(scores, ["kind", "value"], "left")
         worth = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("score", F.lit(0.0)))
         patterns = scored.groupBy("kind", "pattern").agg((F.sum(worth) / (F.count(F.lit(1)) + SHRINK)).alias("strength")).filter(F.col("strength") >= MIN_PATTERN)
         earned = candidates.join(patterns, ["kind", "pattern"]).groupBy("kind", "value")
         path = fresh_dir(spark, "pii-scores")
         earned.agg((1 - F.exp(F.sum(F.log(1 - F.least("strength", F.lit(0.999)))))).alias("score")).write.parquet(path)
-        scores = spark.read.parquet(path)
-        now = scores.filter(F.col("score") >= MIN_INSTANCE).count()
-        if now == accepted:
-            break
-        accepted = now
+        now = spark.read.parquet(path)
+        # a candidate that has earned nothing before stood at 0
+        before = scores.select("kind", "value", F.col("score").alias("before"))
+        rise = F.col("score") - F.coalesce("before", F.lit(0.0))
+        moved = not now.join(before, ["kind", "value"], "left").filter(rise > SETTLED).isEmpty()
+        scores = now
     return scores.filter(F.col("score") >= MIN_INSTANCE).select("kind", "value")
 
 
