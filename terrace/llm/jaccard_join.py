@@ -9,28 +9,27 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
    into ``D + 1`` parts by hash, so the two agree in one part at least: the tokens of a
    part, as one key, are the matrix's columns. (Single shingles of a passage that many
    documents share would open group after group; a whole part of about ten does not.)
-   Each class is first compared with the most central class that it shares a part
-   with; what links is one component from then on. So a family of near copies costs a
-   comparison for each copy, and a column that lies in one component is done with.
-3. Sets of the same most central class form a group, so a family falls into few. The
-   token-group matrix holds the union of its sets' parts. A set that shares no part
-   with that union, or only with sets of its own component, has no link to find there;
-   the others open the group. A set opens groups of sets at least as large as its own: the keys carry the
-   size band, and a set looks in its own and in the next.
+3. Sets that share a part with the same most central class form a group, so a family
+   of near copies falls into few. The token-group matrix holds the union of a group's
+   parts; a set that shares a part with that union opens the group. A set opens groups
+   of sets at least as large as its own: the keys carry the size band, and a set looks
+   in its own and in the next.
    A parity bitmap of the whole set (two bits a token) then bounds the difference of
    two sets from below: a class stays in a group only if some set there is not ruled
    out by it. Only then are whole sets sent anywhere.
-4. In an opened group the exact similarity is computed from whole sets. Pairs that
-   are in one component already are passed over, so near copies cost one comparison
-   each. Groups above ``CELL`` sets are compared with one pivot first; what did not
-   link to it meets all others in cells of bounded size. No pair is ever emitted
-   that does not link, and at most one link per merge.
-5. Links (by class) go to connected components.
+4. In an opened group the exact similarity of every pair is computed from whole sets,
+   in cells of at most ``CELL`` sets a side. A link is counted in the group of the
+   larger of its two classes (by size, then id), which the smaller one always opens:
+   every link counts once, whether or not other links join the two already. A cell
+   returns a number for each of its classes and the links that join it, never all pairs.
+5. Joining links (by class) go to connected components. A document's links are the other
+   documents of its class and those of all classes that link to it.
 
 Edge cases: null and empty texts and texts without words have no shingle and stand
 alone; texts of fewer words than a shingle are one shingle; rows that share a doc_id
 are one document; rows with a null doc_id are classed with equal sets only (component
-null if none has an id). Other columns are not read.
+null if none has an id) and have no number of links. A document whose id stands with
+several texts counts once for each of their classes. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -174,71 +173,44 @@ def leaders(found: DataFrame) -> DataFrame:
     return best.join(degree, "c").select("c", pivot.alias("pivot"), F.when(own, F.col("c")).otherwise(pivot).alias("g"))
 
 
-def led(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``a, b``: the pairs (c, pivot) that link, by their whole sets."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("c"), "text")
-    pivots = texts.withColumnsRenamed({"c": "pivot", "text": "first"}).join(pairs.select("pivot").distinct(), "pivot")
-    rows = texts.join(pairs, "c").join(pivots, "pivot").select("c", "pivot", "text", "first")
-
-    def run(batches):
-        for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
-            _, at, which = np.unique(part.column(1).to_numpy(), return_index=True, return_inverse=True)
-            mine, theirs = Sets(cut, width), Sets(W.cut(part.column(3).take(pa.array(at)), W.SPACED_LOWER), width)
-            ok = [
-                linked(mine.hash[mine.ptr[i] : mine.ptr[i + 1]], theirs.hash[theirs.ptr[j] : theirs.ptr[j + 1]], percent)
-                for i, j in enumerate(which.tolist())
-            ]
-            pairs = pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"])
-            yield pairs.filter(pa.array(ok, pa.bool_()))
-
-    return rows.mapInArrow(run, "a bigint, b bigint")
-
-
-def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rows`` (c, ...) with ``comp``, the component that the class is known to be in."""
-    named = rows.join(labels.select(F.col("node").alias("c"), "component"), "c", "left")
-    return named.withColumn("comp", F.coalesce("component", "c")).drop("component")
-
-
-def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
+def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame) -> DataFrame:
     """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
-    rows = labelled(found, labels).join(groups, "c", "left").withColumn("g", F.coalesce("g", "c"))
-    # columns of one component have nothing left to find
-    open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    rows = found.join(groups, "c", "left").withColumn("g", F.coalesce("g", "c"))
+    # columns of one class have nothing to find
+    open_keys = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     path = fresh_dir(spark, "jaccard-open")
-    rows.join(open_keys, "key").select("key", "c", "own", "g", "comp").write.parquet(path)
+    rows.join(open_keys, "key").select("key", "c", "own", "g").write.parquet(path)
     live = spark.read.parquet(path)
-    matrix = live.filter("own").groupBy(F.col("key").alias("column"), F.col("g").alias("other")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    another = (F.col("comp") != F.col("lo")) | (F.col("comp") != F.col("hi"))
-    meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other")) & another
+    matrix = live.filter("own").select(F.col("key").alias("column"), F.col("g").alias("other")).distinct()
+    meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other"))
     visits = live.join(matrix, meets).select("c", F.col("other").alias("g")).distinct()
     members = live.select("c", "g").distinct()
     return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
 
 
 def crowds(visits: DataFrame) -> DataFrame:
-    """``g, size, pivot`` of the groups that can hold a link: two classes, one of them a member."""
-    found = visits.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("member").alias("members"), F.min(F.when(F.col("member"), F.col("c"))).alias("pivot"))
-    return found.filter("size > 1 and members > 0").select("g", "size", "pivot")
+    """``g, size`` of the groups that can hold a link: two classes, one of them a member."""
+    found = visits.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("member").alias("members"))
+    return found.filter("size > 1 and members > 0").select("g", "size")
 
 
-def cells(rows: DataFrame, waiting: DataFrame, n_here: Column, n_wait: Column) -> DataFrame:
-    """Blocks of a group's rows (side 1) crossed with blocks of its waiting rows (side 0): at most CELL of each in a cell."""
-    zero = F.lit(0).cast("bigint")
-    here = rows.withColumns({"side": F.lit(1), "y": F.pmod(F.xxhash64("c"), n_here), "x": F.explode(F.sequence(zero, n_wait - 1))})
-    wait = waiting.withColumns({"side": F.lit(0), "x": F.pmod(F.xxhash64("c"), n_wait), "y": F.explode(F.sequence(zero, n_here - 1))})
-    return here.unionByName(wait)
+def cells(rows: DataFrame) -> DataFrame:
+    """Blocks of a group's rows (side 1) crossed with blocks of the same rows (side 0): at most about CELL of each in a cell."""
+    blocks = F.ceil(F.col("size") / CELL)
+    mine, all_of = F.pmod(F.xxhash64("c"), blocks), F.sequence(F.lit(0).cast("bigint"), blocks - 1)
+    here = rows.withColumns({"side": F.lit(1), "y": mine, "x": F.explode(all_of)})
+    return here.unionByName(rows.withColumns({"side": F.lit(0), "x": mine, "y": F.explode(all_of)}))
 
 
 def near_cell(percent: int):
-    """``c, g, member`` of the waiting rows of a cell for which some row of another component is not ruled out by the bitmaps."""
+    """``c, g, member`` of the waiting rows of a cell for which some row of another class is not ruled out by the bitmaps."""
 
     def run(table: pa.Table) -> pa.Table:
-        side, n, comp = (table.column(k).to_numpy() for k in ("side", "n", "comp"))
+        side, n, c = (table.column(k).to_numpy() for k in ("side", "n", "c"))
         member = table.column("member").to_numpy(zero_copy_only=False)
         maps = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in table.column("bits").combine_chunks()]
         words = np.array([len(m) for m in maps])
-        keep = np.zeros(len(comp), bool)
+        keep = np.zeros(len(c), bool)
         blocks = {}
         for k in np.unique(words):
             at = np.flatnonzero((words == k) & (side == 1))
@@ -247,7 +219,7 @@ def near_cell(percent: int):
         for r in np.flatnonzero(side == 0):
             mine = maps[r]
             for k, (at, matrix) in blocks.items():
-                fits = (comp[at] != comp[r]) & (100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])) & (member[at] | member[r])
+                fits = (c[at] != c[r]) & (100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])) & (member[at] | member[r])
                 if not fits.any():
                     continue
                 other, own = matrix[fits], mine
@@ -268,9 +240,8 @@ def near_cell(percent: int):
 
 def near_sets(classes: DataFrame, visits: DataFrame, percent: int) -> DataFrame:
     """The rows of ``visits`` that the bitmaps do not rule out."""
-    rows = visits.join(crowds(visits), "g").join(classes.select("c", "n", "bits", "comp"), "c").select("c", "g", "member", "size", "n", "bits", "comp")
-    blocks = F.ceil(F.col("size") / CELL)
-    crossed = cells(rows, rows, blocks, blocks).select("g", "x", "y", "side", "c", "member", "n", "bits", "comp")
+    rows = visits.join(crowds(visits), "g").join(classes.select("c", "n", "bits"), "c").select("c", "g", "member", "size", "n", "bits")
+    crossed = cells(rows).select("g", "x", "y", "side", "c", "member", "n", "bits")
     found = crossed.groupBy("g", "x", "y").applyInArrow(near_cell(percent), "c bigint, g bigint, member boolean")
     return found.distinct()
 
@@ -280,122 +251,112 @@ def unsigned(tokens: pa.ListScalar) -> np.ndarray:
     return np.asarray(tokens.values).view(np.uint64)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if 100 * len(small) < percent * len(large):
-        return False
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    both = int((large[at] == small).sum())
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def compare_cell(percent: int):
-    """Links of one cell: each waiting set (side 0) against all of the cell, merged ones passed over."""
+    """Of one cell: ``a, b`` links that join its classes (``weight`` null), and ``a, weight``, the documents that a waiting class (side 0) links to."""
 
     def run(table: pa.Table) -> pa.Table:
-        c = table.column("c").to_numpy()
-        side, member, main = (table.column(n).to_numpy(zero_copy_only=False) for n in ("side", "member", "main"))
+        c, weight = table.column("c").to_numpy(), table.column("weight").to_numpy()
+        side, member = (table.column(n).to_numpy(zero_copy_only=False) for n in ("side", "member"))
         sets = [unsigned(s) for s in table.column("tokens").combine_chunks()]
         size = np.array([len(s) for s in sets])
+        # rows that repeat an id with the same set are one
+        seen, first = set(), np.zeros(len(c), bool)
+        for i in range(len(c)):
+            what = (int(side[i]), int(c[i]), sets[i].tobytes())
+            first[i] = what not in seen
+            seen.add(what)
+        there = np.flatnonzero((side == 1) & first)
+        there = there[np.lexsort((c[there], size[there]))]
+        lengths, others = size[there], c[there]
+        ptr = np.concatenate([[0], np.cumsum(lengths)])
+        waiting = np.flatnonzero((side == 0) & first)
+        if not len(there) or not len(waiting):
+            return pa.table({k: pa.array([], pa.int64()) for k in ("a", "b", "weight")})
+        # tokens by number, so that a set is marked once and looked up by all others
+        known, flat = np.unique(np.concatenate([sets[e] for e in there]), return_inverse=True)
+        mark = np.zeros(len(known), bool)
         ids, node = np.unique(c, return_inverse=True)
-        parent = list(range(len(ids)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        mains = np.unique(node[main])
-        for x in mains[1:]:
-            parent[root(int(x))] = root(int(mains[0]))
-        a, b = [], []
-        there = np.flatnonzero(side == 1)
-        there = there[np.argsort(size[there], kind="stable")]
-        lengths = size[there]
-        for r in np.flatnonzero(side == 0):
-            lo = np.searchsorted(lengths, needed(int(size[r]), percent))
-            hi = np.searchsorted(lengths, int(size[r]) * 100 // percent, side="right")
-            for e in there[lo:hi]:
-                x, y = root(int(node[r])), root(int(node[e]))
-                if x != y and (member[r] or member[e]) and linked(sets[r], sets[e], percent):
-                    parent[x] = y
+        label = np.arange(len(ids))
+        a, b, w = [], [], []
+        for r in waiting:
+            n, mine = int(size[r]), sets[r]
+            lo = int(np.searchsorted(lengths, needed(n, percent)))
+            hi = int(np.searchsorted(lengths, n * 100 // percent, side="right"))
+            # the larger of a pair is a member here: this group counts the pair
+            larger = (lengths[lo:hi] > n) | ((lengths[lo:hi] == n) & (others[lo:hi] > c[r]))
+            fits = np.where(larger, member[there[lo:hi]], member[r]) & (others[lo:hi] != c[r])
+            if not fits.any():
+                continue
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            at = at[known[at] == mine]
+            mark[at] = True
+            both = np.add.reduceat(mark[flat[ptr[lo] : ptr[hi]]], ptr[lo:hi] - ptr[lo], dtype=np.int64)
+            mark[at] = False
+            hits = there[lo:hi][fits & (100 * both >= percent * (n + lengths[lo:hi] - both))]
+            if not len(hits):
+                continue
+            a.append(c[r])
+            b.append(None)
+            w.append(int(weight[hits].sum()))
+            met, where = np.unique(label[node[hits]], return_index=True)
+            mine = label[node[r]]
+            for x, e in zip(met, hits[where]):
+                if x != mine:
+                    label[label == x] = mine
                     a.append(c[r])
                     b.append(c[e])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                    w.append(None)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "weight": pa.array(w, pa.int64())})
 
     return run
 
 
-def links(spark: SparkSession, docs: DataFrame, visits: DataFrame, width: int, percent: int) -> DataFrame:
-    """``a, b``: links that join the classes of the opened groups (enough for the components)."""
+def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, visits: DataFrame, width: int, percent: int) -> DataFrame:
+    """What ``compare_cell`` returns of all cells of the opened groups."""
     # one row per class and opened group, with the class's whole set
-    crowd = crowds(visits)
-    wanted = visits.join(crowd, "g").groupBy("c").agg(F.collect_list(F.struct("g", "member", "size", "pivot")).alias("opened"))
+    weights = classes.groupBy("c").agg(F.max("weight").alias("weight"))
+    opened = visits.join(crowds(visits), "g").groupBy("c").agg(F.collect_list(F.struct("g", "member", "size")).alias("opened"))
+    wanted = opened.join(weights, "c")
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
             sets = Sets(cut, width)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), W.list_of(sets.hash, sets.ptr, pa.int64())], names=["c", "opened", "tokens"]
+                [part.column(0), part.column(1), part.column(2), W.list_of(sets.hash, sets.ptr, pa.int64())], names=["c", "weight", "opened", "tokens"]
             )
 
-    kind = "c bigint, opened array<struct<g:bigint,member:boolean,size:bigint,pivot:bigint>>, tokens array<bigint>"
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("c"), "text").join(wanted, "c").select("c", "opened", "text")
+    kind = "c bigint, weight bigint, opened array<struct<g:bigint,member:boolean,size:bigint>>, tokens array<bigint>"
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("c"), "text").join(wanted, "c").select("c", "weight", "opened", "text")
     path = fresh_dir(spark, "jaccard-sets")
-    texts.mapInArrow(run, kind).select("c", F.explode("opened").alias("o"), "tokens").select("c", "o.*", "tokens").write.parquet(path)
-    entries = spark.read.parquet(path)
-
-    # groups too large for a cell: everything against the pivot first
-    large = entries.filter(F.col("size") > CELL)
-    pivots = large.filter("member and c = pivot").groupBy("g").agg(F.first("tokens").alias("first"))
-
-    def against(batches):
-        for batch in batches:
-            one, two = batch.column("tokens"), batch.column("first")
-            ok = [linked(unsigned(x), unsigned(y), percent) for x, y in zip(one, two)]
-            yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("c"), batch.column("pivot"), pa.array(ok, pa.bool_())], names=["g", "c", "pivot", "main"])
-
-    path = fresh_dir(spark, "jaccard-pivots")
-    large.join(pivots, "g").select("g", "c", "pivot", "tokens", "first").mapInArrow(against, "g bigint, c bigint, pivot bigint, main boolean").write.parquet(path)
-    met = spark.read.parquet(path)
-    # waiting sets: all of a small group; of a large one those that did not link to the pivot
-    rest = met.filter("not main").groupBy("g").agg(F.count(F.lit(1)).alias("waiting"))
-    state = large.join(met.select("g", "c", "main").distinct(), ["g", "c"]).join(rest, "g")
-    small = entries.filter(F.col("size") <= CELL).withColumns({"main": F.lit(False), "waiting": F.col("size")})
-    rows = small.unionByName(state.select(small.columns))
-    crossed = cells(rows, rows.filter("not main"), F.ceil(F.col("size") / CELL), F.ceil(F.col("waiting") / CELL))
-    crossed = crossed.select("g", "x", "y", "side", "c", "member", "main", "tokens")
-    inside = crossed.groupBy("g", "x", "y").applyInArrow(compare_cell(percent), "a bigint, b bigint")
-    return inside.unionByName(met.filter("main and c <> pivot").select(F.col("c").alias("a"), F.col("pivot").alias("b")))
+    texts.mapInArrow(run, kind).select("c", "weight", F.explode("opened").alias("o"), "tokens").select("c", "weight", "o.*", "tokens").write.parquet(path)
+    crossed = cells(spark.read.parquet(path)).select("g", "x", "y", "side", "c", "weight", "member", "tokens")
+    return crossed.groupBy("g", "x", "y").applyInArrow(compare_cell(percent), "a bigint, b bigint, weight bigint")
 
 
 def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id`` for every row of ``docs`` (doc_id, text)."""
+    """``doc_id, n_shingles, class_id, component_id, n_links`` for every row of ``docs`` (doc_id, text)."""
     W.bound_batches(spark)
     path = fresh_dir(spark, "jaccard-signatures")
     signature_rows(docs, width).write.parquet(path)
     rows = spark.read.parquet(path)
     path = fresh_dir(spark, "jaccard-classes")
-    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("bits").alias("bits"))
+    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.count_distinct("doc_id").alias("weight"))
     sets.write.parquet(path)
     classes = spark.read.parquet(path)
     ids = classes.filter("c is not null")
     found = shared_keys(spark, docs, ids, width, percent)
-    pairs_path, led_path = fresh_dir(spark, "jaccard-pairs"), fresh_dir(spark, "jaccard-led")
-    leaders(found).write.parquet(pairs_path)
-    led(docs, spark.read.parquet(pairs_path).select("c", "pivot"), width, percent).write.parquet(led_path)
-    known = spark.read.parquet(led_path)
-    labels_path, visits_path = fresh_dir(spark, "jaccard-labels"), fresh_dir(spark, "jaccard-visits")
-    components(spark, known).write.parquet(labels_path)
-    labels = spark.read.parquet(labels_path)
-    open_groups(spark, found, spark.read.parquet(pairs_path).select("c", "g"), labels).write.parquet(visits_path)
+    groups_path, visits_path = fresh_dir(spark, "jaccard-groups"), fresh_dir(spark, "jaccard-visits")
+    leaders(found).write.parquet(groups_path)
+    open_groups(spark, found, spark.read.parquet(groups_path).select("c", "g")).write.parquet(visits_path)
     near_path, links_path = fresh_dir(spark, "jaccard-near"), fresh_dir(spark, "jaccard-links")
-    near_sets(labelled(ids, labels), spark.read.parquet(visits_path), percent).write.parquet(near_path)
-    links(spark, docs, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
-    reached = components(spark, known.unionByName(spark.read.parquet(links_path)))
-    named = classes.select("s1", "s2", "c").join(reached, F.col("c") == F.col("node"), "left")
-    named = named.select("s1", "s2", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component"))
+    near_sets(ids, spark.read.parquet(visits_path), percent).write.parquet(near_path)
+    links(spark, docs, ids, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
+    joined = spark.read.parquet(links_path)
+    reached = components(spark, joined.filter("b is not null"))
+    counted = joined.filter("b is null").groupBy(F.col("a").alias("c")).agg(F.sum("weight").alias("near"))
+    named = classes.select("s1", "s2", "c", "weight").join(reached, F.col("c") == F.col("node"), "left").join(counted, "c", "left")
+    others = F.coalesce("near", F.lit(0)) + F.col("weight") - 1
+    named = named.select("s1", "s2", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component"), others.alias("links"))
     out = rows.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
     alone = F.col("n") == 0
     return out.select(
@@ -403,4 +364,5 @@ def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: in
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.when(alone, F.lit(0)).otherwise(F.col("links"))).cast("bigint").alias("n_links"),
     )

@@ -148,7 +148,7 @@ from n"""
 
 @query(SQL_9)
 def op9_jaccard_join(spark, sf_dir):
-    return jaccard_join.join(spark, table(spark, sf_dir, "documents"))
+    return jaccard_join.join(spark, table(spark, sf_dir, "documents")).drop("n_links")
 
 
 _ALNUM = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -114,6 +114,33 @@ def test_jaccard_cells_and_pivots(spark, monkeypatch):
     assert {r["component_id"] for r in jaccard_join.join(spark, docs).collect()} == {0}
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    """Families, chains and copies: each document's links, also between sets that other links join already."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}t{i}" for i in range(int(rng.integers(60, 240)))]
+        for _ in range(25):
+            words = list(base)
+            for at in rng.choice(len(words), int(rng.integers(0, 5)), replace=False):
+                words[at] = f"e{rng.integers(10**6)}"
+            rows.append(" ".join(words[: len(words) - int(rng.integers(0, 12))]))
+    chain = [f"c{i}" for i in range(200)]
+    rows += [" ".join(chain[i : i + 100]) for i in range(0, 100, 3)]
+    rows += [rows[0]] * 3 + [rows[40]] * 2 + ["lone text", "", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for width, percent, cell in ((3, 90, 512), (5, 80, 512), (3, 90, 7)):
+        monkeypatch.setattr(jaccard_join, "CELL", cell)
+        sets = []
+        for t in rows:
+            w = (t or "").split()
+            sets.append({tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, min(len(w), 1)))})
+        want = [sum(100 * len(s & t) >= percent * len(s | t) for j, t in enumerate(sets) if i != j and s and t) for i, s in enumerate(sets)]
+        got = {r["doc_id"]: r["n_links"] for r in jaccard_join.join(spark, docs, width, percent).collect()}
+        assert [got[i] for i in range(len(rows))] == want
+        assert max(want) > 10 and min(want) == 0
+
+
 def test_decontamination(spark, docs, empty, texts):
     passage = texts[10][1].split()[40:100]
     items = [(1, " ".join(passage)), (2, " ".join(passage[:20]).upper()), (3, "two words"), (4, None), (5, "..."), (6, "absent words"), (3, "two words"), (None, "one")]
