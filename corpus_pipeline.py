@@ -1,12 +1,13 @@
 """Training-data pipeline over ``documents``: five stages, each written as Parquet and read again.
 
 Stages take ``(spark, docs, sf_dir)``; all but the last return the columns of their
-input. Rows without a doc_id take part under a key made from their text. Every stage
-decides over all rows that its predecessor kept:
+input. Rows take part under a key made from doc_id and text, so rows that share an id but
+not the text are told apart. Every stage decides over all rows that its predecessor kept:
 
 1. ``toxicity``: documents of a score of 0.7 or more go.
 2. ``near_duplicates``: documents link at a Jaccard similarity of 0.8 of their sets of five-word
-   shingles; of each group of linked documents the one of the smallest id stays.
+   shingles; of each group of linked documents the one of the smallest id stays
+   (one without an id only where none has one).
 3. ``contamination``: documents contaminated by ``benchmark`` go.
 4. ``personal_data``: spans are replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>``; ``n_chars`` follows.
 5. ``mixing``: per document, how many of its words the mix to target weights takes.
@@ -34,9 +35,8 @@ ORACLE_SQL = None
 
 
 def key() -> Column:
-    """The doc_id, or for rows without one a negative number made from the text."""
-    made = -1 - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
-    return F.coalesce(F.col("doc_id").cast("bigint"), made)
+    """A number made from doc_id and text: rows of one key are equal in both."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -51,10 +51,15 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join.join(spark, keyed(docs), width=SHINGLE, percent=PERCENT)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(KEY)).distinct()
-    rows = docs.withColumn(KEY, key()).join(stay, KEY, "left_semi")
-    return rows.dropDuplicates([KEY]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.withColumn(KEY, key())
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    groups = jaccard_join.join(spark, keyed(docs.filter(has_words)), width=SHINGLE, percent=PERCENT)
+    named = groups.select(F.col("doc_id").alias(KEY), "component_id").distinct()
+    ids = rows.filter(has_words).select(KEY, F.col("doc_id").cast("bigint").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), F.col("id"), F.col(KEY)))
+    stay = ids.join(named, KEY).groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{KEY}").alias(KEY))
+    kept = rows.filter(has_words).join(stay, KEY, "left_semi").dropDuplicates([KEY])
+    return kept.unionByName(rows.filter(~has_words)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,18 @@ def test_near_copies_between_the_thresholds_go(spark, tables):
     assert sorted(r["doc_id"] for r in CP.remove_near_duplicates(spark, docs, tables).collect()) == [1, 3]
 
 
+def test_rows_that_share_an_id_are_told_apart(spark, tables):
+    """One of two texts of id 7 links to document 3; rows without an id or without words lose nothing."""
+    body, other, third = (" ".join(f"{p}{i}" for i in range(60)) for p in "abc")
+    rows = [(3, body), (7, body), (7, other), (8, "alone with its id"), (8, "and another text"), (None, third), (9, third)]
+    rows += [(None, None), (None, ""), (None, " "), (5, None), (5, "mail a@b.cc"), (5, "no address here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in CP.remove_near_duplicates(spark, docs, tables).collect()]
+    assert sorted(kept, key=repr) == sorted([r for r in rows if r not in ((7, body), (None, third))], key=repr)
+    redacted = [tuple(r) for r in CP.redact_personal_data(spark, docs, tables).collect()]
+    assert sorted(redacted, key=repr) == sorted([(i, t and t.replace("a@b.cc", "<EMAIL>")) for i, t in rows], key=repr)
+
+
 def test_toxic_stage_keeps_what_the_classifier_passes(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
