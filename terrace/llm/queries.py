@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bm25, decontaminate, jaccard_join, language, mixing, pii, substring_dedup, token_counts, toxicity, warc
+from terrace.llm import bm25, decontaminate, jaccard_join, language, merkle, mixing, pii, substring_dedup, token_counts, toxicity, warc
 from terrace.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,8 @@ from d left join c using (r) left join m using (r)"""
 def op10_decontamination(spark, sf_dir):
     found = decontaminate.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=0)
     return found.drop("n_near_items")
+
+
+@query()
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.proofs(merkle.manifest(spark, table(spark, sf_dir, "documents"), merkle.planted_chars()))
