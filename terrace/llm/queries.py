@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bm25, decontaminate, jaccard_join, language, merkle, mixing, pii, substring_dedup, token_counts, toxicity, warc
+from terrace.llm import bm25, conversations, decontaminate, jaccard_join, language, main_text, merkle, mixing, pii, substring_dedup, token_counts, toxicity, warc
 from terrace.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,17 @@ def op10_decontamination(spark, sf_dir):
     return found.drop("n_near_items")
 
 
+@query()
+def op11_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(spark, conversations.damage(rows), rows)
+
+
 @query()
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.proofs(merkle.manifest(spark, table(spark, sf_dir, "documents"), merkle.planted_chars()))
+
+
+@query()
+def op13_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
