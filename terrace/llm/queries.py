@@ -176,17 +176,140 @@ def op10_decontamination(spark, sf_dir):
     return found.drop("n_near_items")
 
 
-@query()
+def sql_crc32(text: str) -> str:
+    """CRC-32 (unsigned) of a text of ASCII characters: every byte goes in before the first of its eight shifts."""
+    shifts = f"flatten(list_transform(string_split({text}, ''), lambda ch: [ascii(ch)::bigint, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, v) >> 1, (xor(c, v) & 1) * 3988292384::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {shifts}), lambda c, v: {step}), 4294967295::bigint)"
+
+
+def _way(cost: str, letter: str, behind: str, allowed: str = "true") -> str:
+    """One edit of a row and what is best behind it; out of reach where it is not allowed."""
+    return f"{{'c': case when {allowed} then {behind}.c + {cost} else 1000000000000 end, 's': '{letter}' || {behind}.s}}"
+
+
+def _inserted(behind: str, letters: str = "I") -> str:
+    return f"{{'c': {behind}.c + {2 * len(letters)}, 's': '{letters}' || {behind}.s}}"
+
+
+# z, y, u, a: best cost and letters from row i on when nothing, a system, a user or an assistant turn was put out last
+_FREE, _REROLE = "not must", "2 + late"
+_BASE = {
+    "z0": [_way("3", "D", "z"), _way(_REROLE, "R", "u", _FREE), _way("late", "K", "u", f"{_FREE} and ini = 'u'"), _way("late", "K", "y", f"{_FREE} and ini = 's'")],
+    "y0": [_way("3", "D", "y"), _way(_REROLE, "R", "u", _FREE), _way("late", "K", "u", f"{_FREE} and ini = 'u'")],
+    "u0": [_way("3", "D", "u"), _way(_REROLE, "R", "a", _FREE), _way("late", "K", "a", f"{_FREE} and ini = 'a'")],
+    "a0": [_way("3", "D", "a"), _way(_REROLE, "R", "u", _FREE), _way("late", "K", "u", f"{_FREE} and ini = 'u'")],
+}
+_BASE_SQL = ", ".join(f"least({', '.join(ways)}) as {name}" for name, ways in _BASE.items())
+
+SQL_11 = rf"""
+with recursive o as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         {sql_crc32("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as hit from conversations),
+g as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+             case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+             unnest(case when hit = 3 then [0, 1] else [0] end) as copy
+      from o where hit <> 0),
+q as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i from g),
+k as (select conv_id, i, turn, role, text, left(role, 1) as ini, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+             row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+             not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as open from q),
+r as (select conv_id, i, turn, role, text, ini, blank, again and not blank as dup, open and not blank and not again as cut,
+             blank or again as must, case when open and not blank and not again then 1 else 0 end as late,
+             lead(ini) over (partition by conv_id order by i) as next from k),
+m as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where blank) as blank,
+             count(*) filter (where dup) as duplicate, count(*) filter (where cut) as truncated,
+             count(*) filter (where next is not null and ini || next not in ('su', 'ua', 'au')) as illegal
+      from r group by conv_id),
+b as (
+  select conv_id, n as i, {{'c': 0::bigint, 's': ''}} as z, {{'c': 4::bigint, 's': 'II'}} as y, {{'c': 2::bigint, 's': 'I'}} as u, {{'c': 0::bigint, 's': ''}} as a from m
+  union all
+  select conv_id, i - 1, least(z0, {_inserted('u0')}, {_inserted('a0', 'II')}), least(y0, {_inserted('u0')}, {_inserted('a0', 'II')}),
+         least(u0, {_inserted('a0')}), least(a0, {_inserted('u0')})
+  from (select b.conv_id, b.i, {_BASE_SQL} from b join r on r.conv_id is not distinct from b.conv_id and r.i = b.i)),
+w as (select conv_id, z.c as cost, z.s as audit from b where i = 0),
+x as (select conv_id, unnest(string_split(audit, '')) as l, unnest(range(1, length(audit) + 1)) as j from w where audit <> ''),
+e as (select *, sum(case when l <> 'I' then 1 else 0 end) over (partition by conv_id order by j) as i,
+             sum(case when l <> 'D' then 1 else 0 end) over (partition by conv_id order by j) as put from x),
+f as (select e.*, r.role, r.text, r.ini from e left join r on r.conv_id is not distinct from e.conv_id and r.i = e.i and e.l <> 'I'),
+h as (select *, max(case when put = 1 and l = 'K' and ini = 's' then 1 else 0 end) over (partition by conv_id) as system from f),
+t as (select conv_id, sha256(string_agg(case when l = 'K' then role else case when (put - system) % 2 = 1 then 'user' else 'assistant' end end
+                                        || ':' || case when l = 'I' then '' else text end, chr(10) order by j)) as sha
+      from h where l <> 'D' group by conv_id)
+select c.conv_id, coalesce(m.gaps, 0) as gaps, coalesce(m.blank, 0) as blank, coalesce(m.duplicate, 0) as duplicate, coalesce(m.truncated, 0) as truncated,
+       coalesce(m.illegal, 0) as illegal, coalesce(w.cost, 0) as cost, coalesce(w.audit, '') as audit, coalesce(t.sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join m on m.conv_id is not distinct from c.conv_id
+left join w on w.conv_id is not distinct from c.conv_id left join t on t.conv_id is not distinct from c.conv_id"""
+
+
+@query(SQL_11)
 def op11_conversation_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
     return conversations.repair(spark, conversations.damage(rows), rows)
 
 
-@query()
+def _leaf_sql(n_chars: str) -> str:
+    def one(x):
+        return f"coalesce(cast(strlen(cast({x} as varchar)) as varchar) || ':' || cast({x} as varchar), '-')"
+
+    return f"sha256({' || '.join(map(one, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Nodes (grp, level, idx, node, n: nodes of the level) of every group's tree over ``base`` (grp, pos, node, n)."""
+    return f"""{name} as (
+  select grp, 0 as level, pos as idx, node, n from {base}
+  union all
+  select a.grp, a.level + 1, a.idx // 2, sha256(a.node || coalesce(b.node, '')), (a.n + 1) // 2
+  from {name} a left join {name} b on b.grp = a.grp and b.idx = a.idx + 1 where a.n > 1 and a.idx % 2 = 0)"""
+
+
+def _fold_sql(name: str, base: str, tree: str) -> str:
+    """Every row's (r) node on its way up through the tree's siblings."""
+    return f"""{name} as (
+  select r, grp, 0 as level, pos as idx, node, n from {base}
+  union all
+  select f.r, f.grp, f.level + 1, f.idx // 2, sha256(case when f.idx % 2 = 1 then s.node || f.node else f.node || coalesce(s.node, '') end), (f.n + 1) // 2
+  from {name} f left join {tree} s on s.grp = f.grp and s.level = f.level and s.idx = xor(f.idx, 1) where f.n > 1)"""
+
+
+SQL_12 = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, coalesce('=' || lang, '') as grp, {_leaf_sql('n_chars')} as leaf,
+         case when {sql_crc32("coalesce(cast(doc_id as varchar), '')")} % 7 = 0 and doc_id is not null then {_leaf_sql('(n_chars + 1)')} end as other
+  from documents),
+p as (select r, doc_id, grp, leaf as node, coalesce(other, leaf) as changed, row_number() over (partition by grp order by doc_id nulls first, leaf, r) - 1 as pos,
+             count(*) over (partition by grp) as n from d),
+{_tree_sql('t', 'p')},
+s as (select '' as grp, grp as lang, node, row_number() over (order by grp) - 1 as pos, count(*) over () as n from t where n = 1),
+{_tree_sql('u', 's')},
+sib as (select p.r, t.level, t.node from p join t on t.grp = p.grp and t.idx = xor(p.pos >> t.level, 1)
+        union all
+        select p.r, 1000 + u.level, u.node from p join s on s.lang = p.grp join u on u.idx = xor(s.pos >> u.level, 1)),
+proof as (select r, string_agg(node, '' order by level) as hex from sib group by r),
+b as (select r, grp, pos, changed as node, n from p),
+{_fold_sql('f', 'b', 't')},
+v as (select f.r, '' as grp, s.pos, f.node, s.n from f join s on s.lang = f.grp where f.n = 1),
+{_fold_sql('g', 'v', 'u')}
+select p.doc_id, p.node as leaf, s.node as subroot, u.node as root, sha256(coalesce(proof.hex, '')) as proof_sha256, g.node as folded_root, g.node = u.node as verified
+from p join s on s.lang = p.grp join u on u.n = 1 join g on g.r = p.r and g.n = 1 left join proof on proof.r = p.r"""
+
+
+@query(SQL_12)
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.proofs(merkle.manifest(spark, table(spark, sf_dir, "documents"), merkle.planted_chars()))
 
 
-@query()
+# The SQL side knows the pages' form: what stands in the article, its headings and paragraphs, and the references that occur.
+SQL_13 = r"""
+with a as (select page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '\s+', ' ', 'g') as h from pages),
+b as (select page_id, url, string_split(regexp_replace(regexp_replace(h, '</?(p|h1)>|<br>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)) as l from a),
+c as (select page_id, url, list_transform(l, lambda x: trim(regexp_replace(replace(replace(replace(replace(
+             x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;?', '&', 'g'))) as l from b),
+t as (select page_id, url, array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) as text from c)
+select page_id, url, text, cast(length(text) as bigint) as n_chars from t"""
+
+
+@query(SQL_13)
 def op13_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
