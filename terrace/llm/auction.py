@@ -6,8 +6,8 @@ deleted. The audit letters of a step (``I...`` and one of ``K R D``) are a prefi
 different audits of the same turns differ first inside one step, and the smaller letters of
 that step decide. Costs are whole numbers, and inserted turns cost, so no cycle is free.
 
-``prices`` runs the auction: every node has a price, at first 0; a path grows from the
-origin. If its last node's price is below the cheapest arc and price behind it, the price
+``prices`` runs the auction: every node has a price, at first what its cheapest arc and the
+least price of the next turn cost; a path grows from the origin. If its last node's price is below the cheapest arc and price behind it, the price
 rises to that and the path is cut back by the node; otherwise the path is extended over
 that arc, until it reaches the end. Prices never exceed distances, so arcs of a cheapest
 path, and of all that are as cheap, are *tight*: price = cost + next price. ``trace`` follows
@@ -85,7 +85,11 @@ def turn(role: int, fault: int) -> Steps:
 def prices(steps: list[Steps], ends: list[int], origins: list[int]) -> list[list[int]]:
     """Node prices after an auction for the cheapest way from each origin to the end (``ends``: cost behind each last state)."""
     n = len(steps)
-    price = [[0] * 4 for _ in range(n + 1)]
+    price = [list(ends)]
+    for costs, _ in reversed(steps):
+        least = min(price[-1])
+        price.append([min(min(row) + least, BIG) for row in costs])
+    price.reverse()
     for origin in origins:
         path = [origin]
         while True:

@@ -36,7 +36,7 @@ from terrace.llm import auction as A
 from terrace.llm.ranks import ranked
 from terrace.session import fresh_dir
 
-TURNS = 128
+TURNS = 32
 FIGURES = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
 NO_SPACE = r"[^\x20\x09-\x0D]"
 _STEP = "array<bigint>"
