@@ -286,6 +286,51 @@ def write_archives(lines: DataFrame, folder: str, stem: str, n_archives: int | N
     return sorted(r["archive"] for r in done)
 
 
+def write_member_archives(members: DataFrame, folder: str, stem: str, n_archives: int, n_empty: int) -> None:
+    """Pack lines (archive_no, member, value) into archives ``<stem><archive_no>.zip`` of several members each.
+
+    Every archive also has a directory entry and an empty member; ``n_empty`` more archives have
+    nothing else. A task streams its archive, rows sorted by member (Latin-1, lines end in CR LF).
+    """
+    import zipfile
+
+    from pyspark import TaskContext
+
+    def pack(batches):
+        import pandas as pd
+
+        ctx = TaskContext.get()
+        number = ctx.partitionId()
+        tmp = files.join(folder, f"_{stem}{number}.zip.attempt{ctx.attemptNumber()}")
+        with files.open_output(tmp) as out, zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("dados/", b"")
+            zf.writestr("dados/VAZIO.CSV", b"")
+            now = handle = None
+            for batch in batches:
+                for member, lines in batch.groupby("member", sort=False)["value"]:
+                    if member != now:
+                        if handle is not None:
+                            handle.close()
+                        now, handle = member, zf.open(member, "w")
+                    handle.write(("\r\n".join(lines) + "\r\n").encode("latin-1"))
+            if handle is not None:
+                handle.close()
+        files.move(tmp, files.join(folder, f"{stem}{number}.zip"))
+        yield pd.DataFrame({"archive_no": [number]})
+
+    files.make_dirs(folder)
+    placed = members.repartitionById(n_archives + n_empty, "archive_no").sortWithinPartitions("member", "value")
+    placed.select("member", "value").mapInPandas(pack, "archive_no int").write.format("noop").mode("overwrite").save()
+
+
+def socios_members(spark, sf_dir):
+    """Lines of line items by archive (``archive_no``, 0 to 39) and member, with a letter that takes two bytes once landed."""
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"]).filter("l_quantity > 10")
+    value = F.concat_ws(";", "l_orderkey", "l_linenumber", F.lit("S\u00c9"))
+    member = F.concat(F.lit("dados/K"), F.col("l_linenumber"), F.lit(".SOCIOCSV"))
+    return li.select((F.col("l_orderkey") % 40).cast("int").alias("archive_no"), member.alias("member"), value.alias("value"))
+
+
 # Archive names of the registry dump; "{i}" marks a numbered series.
 ARCHIVE_NAMES = {
     "cnaes": "Cnaes.zip",

@@ -16,7 +16,8 @@ from terrace.functions.columns import stamp
 from terrace.operators import landing, marts, selection
 from terrace.operators.refine import refine
 from terrace.plans.specs import TABLES, spec_of
-from terrace.sources import files, ziplines
+from terrace.session import fresh_dir
+from terrace.sources import ziplines
 from terrace.sources.links import extract_links
 from terrace.sources.raw import RAW_ENCODING, scan_raw
 from terrace.sources.store import SnapshotStore
@@ -46,31 +47,30 @@ def land_archives(
 ) -> DataFrame:
     """Land every selected archive (``zip_url`` must be a shared path); returns the manifest.
 
-    The selection is bounded by pages x filters x files-per-filter, so it is
-    collected once: its URLs feed the archive source and its names a
-    broadcast map archive -> dataset. The member listing (one row per
-    member) is cached for the two gates and the manifest.
+    Nothing of the selection passes the driver: its URLs are opened, listed and packed by
+    tasks. The listing is written once and serves the gates before the write, the packing,
+    and the comparison with what was landed after it. An archive that cannot be opened, or
+    holds no data, raises before anything is written; a member that was not landed as a
+    whole raises after it. The manifest's rows come from the landed side.
     """
-    rows = [tuple(r) for r in selected.select("zip_name", "zip_url", "dataset").distinct().collect()]
-    if not rows:
+    # joined on the archive path, not its file name: the same name under two URLs is two archives
+    chosen = selected.select(F.trim("zip_url").alias("archive"), "dataset").distinct()
+    path = fresh_dir(spark, "land-selection")
+    chosen.write.parquet(path)
+    chosen = spark.read.parquet(path)
+    path = fresh_dir(spark, "land-listing")
+    ziplines.read_listing(spark, chosen).write.parquet(path)
+    listing = spark.read.parquet(path)
+    if listing.isEmpty():
         raise selection.SelectionError("no archive matched the filters")
-    chosen = spark.createDataFrame(rows, "zip_name string, zip_url string, dataset string")
-    urls = sorted({r[1] for r in rows})
-    missing = [u for u in urls if not files.exists(u)]
-    if missing:  # before anything is written
-        raise landing.ArchiveError(f"{len(missing)} archive(s) not readable: " + "; ".join(missing[:20]))
-    listing = ziplines.read_listing(spark, urls).cache()
-    try:
-        landing.enforce_archives(landing.archive_report(listing))
-        # joined on the archive path, not its file name: the same name under two
-        # URLs is two archives, and a name join would repeat every line of both
-        by_archive = chosen.select(F.trim("zip_url").alias("archive"), "dataset").distinct()
-        lines = ziplines.read_lines(spark, urls, encoding).join(by_archive, "archive")
-        landing.land(lines, layout.landed_root, reference_date)
-        done = landing.manifest(listing, chosen, layout.landed_root).collect()
-    finally:
-        listing.unpersist()
-    return spark.createDataFrame(done, "zip_name string, dataset string, uploaded_files string, bucket string")
+    landing.enforce_readable(listing)
+    landing.enforce_archives(landing.archive_report(listing))
+    landing.land(ziplines.read_counted(spark, listing, encoding).join(chosen, "archive"), layout.landed_root, reference_date)
+    path = fresh_dir(spark, "land-report")
+    landing.landed_report(spark, listing, chosen, layout.landed_root, reference_date).write.parquet(path)
+    report = spark.read.parquet(path)
+    landing.enforce_landed(report)
+    return landing.manifest(report, layout.landed_root)
 
 
 def refine_table(spark: SparkSession, table: str, layout: Layout, reference_date: str, encoding: str = landing.LANDED_ENCODING) -> dict:

@@ -612,15 +612,55 @@ def q_gate_archive(spark, sf_dir):
     return L.archive_report(A.archive_members(spark, sf_dir))
 
 
+# Members of the landed archives, as the adapter makes them; the landing plants two faults: nothing of archive 3
+# arrives, and of archive 5 the lines of one member that begin an order whose key 8 divides are lost.
+SQL_MEMBERS = """
+select 'Socios' || cast(l_orderkey % 40 as varchar) || '.zip' as zip_name, 'dados/K' || cast(l_linenumber as varchar) || '.SOCIOCSV' as member,
+       l_orderkey % 40 as archive_no, l_orderkey, l_linenumber,
+       length(cast(l_orderkey as varchar) || ';' || cast(l_linenumber as varchar) || ';S#') as n_chars
+from lineitem where l_quantity > 10"""
+
+SQL_LANDED = f"""
+select zip_name, member, archive_no, count(*) as lines, cast(sum(n_chars + 2) as bigint) as listed_bytes, cast(sum(n_chars + 2) as bigint) as expected_bytes,
+       cast(sum(case when archive_no = 5 and l_linenumber = 2 and (l_orderkey // 40) % 8 = 0 then 0 else n_chars + 2 end) as bigint) as kept_bytes
+from ({SQL_MEMBERS}) group by all"""
+
+SQL_LANDED_REPORT = f"""
+select 'socios' as dataset, zip_name, member, listed_bytes, case when archive_no <> 3 then listed_bytes end as read_bytes,
+       case when archive_no <> 3 then lines end as lines, case when archive_no <> 3 then expected_bytes end as expected_bytes,
+       case when archive_no <> 3 and kept_bytes > 0 then kept_bytes end as landed_bytes,
+       case when archive_no = 3 or kept_bytes = 0 then 'not landed' when kept_bytes < expected_bytes then 'stored short' else 'whole' end as state,
+       archive_no <> 3 and kept_bytes = expected_bytes as passed
+from ({SQL_LANDED})"""
+
+
+def landed_members(spark, sf_dir):
+    """Archives of line items listed, packed, read and landed (with the planted faults), and the report on it."""
+    folder, root = fresh_dir(spark, "member-archives"), fresh_dir(spark, "member-landing")
+    A.write_member_archives(A.socios_members(spark, sf_dir), folder, "Socios", 40, 3)
+    path = fresh_dir(spark, "member-listing")
+    ziplines.read_listing(spark, folder).write.parquet(path)
+    listing = spark.read.parquet(path)
+    datasets = listing.select("archive", C.dataset_name("zip_name").alias("dataset")).distinct()
+    rows = ziplines.read_counted(spark, listing).join(datasets, "archive").filter(~F.col("zip_name").startswith("Socios3."))
+    order = F.split("value", ";")[0].try_cast("long")
+    lost = (F.col("zip_name") == "Socios5.zip") & F.col("member").endswith("K2.SOCIOCSV") & (F.floor(order / 40) % 8 == 0)
+    L.land(rows.filter(~F.coalesce(lost, F.lit(False))), root, REFERENCE_DATE)
+    return L.landed_report(spark, listing, datasets, root, REFERENCE_DATE)
+
+
+@register("landing_report", SQL_LANDED_REPORT)
+def q_landing_report(spark, sf_dir):
+    return landed_members(spark, sf_dir)
+
+
 @register(
     "landing_manifest",
-    f"""select zip_name, 'socios' as dataset, cast(n_non_empty as varchar) as uploaded_files, '{LANDING_BUCKET}' as bucket
-        from ({SQL_ARCHIVE_REPORT}) where n_files > 0 and n_non_empty > 0""",
+    f"""select zip_name, dataset, cast(count(*) as varchar) as uploaded_files, '{LANDING_BUCKET}' as bucket
+        from ({SQL_LANDED_REPORT}) where state = 'whole' group by zip_name, dataset""",
 )
 def q_landing_manifest(spark, sf_dir):
-    members = A.archive_members(spark, sf_dir)
-    datasets = members.select("zip_name", C.dataset_name("zip_name").alias("dataset"))
-    return L.manifest(members, datasets, LANDING_BUCKET)
+    return L.manifest(landed_members(spark, sf_dir), LANDING_BUCKET)
 
 
 # ---------------------------------------------------------------------------------------
@@ -681,22 +721,39 @@ def q_gate_required(spark, sf_dir):
 
 
 
+DATED_SCHEMA = StructType([StructField(n, StringType()) for n in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")])
+
+
+def landed_orders(spark, sf_dir):
+    """Every order landed under its own date; returns the scan of all dates."""
+    root = fresh_dir(spark, "partition_scan")
+    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    line = F.concat_ws(";", "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("string"))
+    L.land(o.select(line.alias("value"), F.lit("orders").alias("dataset"), "o_orderdate"), root, None, date_col="o_orderdate")
+    return L.scan_dates(spark, root, "orders", DATED_SCHEMA)
+
+
+def _typed_orders(rows):
+    whole = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return rows.withColumns({c: F.col(c).cast(t) for c, t in whole.items()})
+
+
 @register(
     "partition_scan",
     "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders "
     "where year(o_orderdate) = 1996 and month(o_orderdate) = 3",
 )
 def q_partition_scan(spark, sf_dir):
-    root = fresh_dir(spark, "partition_scan")
-    o = A.table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    march = F.date_format("o_orderdate", "yyyy-MM") == "1996-03"
-    line = F.concat_ws(";", "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("string"))
-    lines = o.select(line.alias("value"), F.when(march, "orders").otherwise("others").alias("dataset"))
-    L.land(lines, root, "1996-03-01")
-    schema = StructType([StructField(n, StringType()) for n in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")])
-    back = L.scan_landed(spark, root, "orders", "1996-03-01", schema)
-    whole = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
-    return back.withColumns({c: F.col(c).cast(t) for c, t in whole.items()})
+    march = landed_orders(spark, sf_dir).filter("year = '1996' and month = '03'")
+    return _typed_orders(march.drop("year", "month", "day"))
+
+
+@register(
+    "partition_scan_date",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders where cast(o_orderdate as date) = date '1996-03-01'",
+)
+def q_partition_scan_date(spark, sf_dir):
+    return _typed_orders(L.on_date(landed_orders(spark, sf_dir), "1996-03-01"))
 
 
 @register("land_incremental", _stamped_sql("empresas"))

@@ -24,12 +24,42 @@ def pyarrow_uri(path: str) -> str:
     return f"{HADOOP_SCHEMES[scheme.lower()]}://{rest}" if sep and scheme.lower() in HADOOP_SCHEMES else path
 
 
-def filesystem(path: str):
-    """``(FileSystem, path inside it)`` for a URI or a local path."""
+def storage_options(spark) -> dict:
+    """What the session says about S3-compatible storage (``spark.hadoop.fs.s3a.*``), as pyarrow's client takes it.
+
+    Read once on the driver and handed to the tasks, so archives are opened with the endpoint and
+    the keys that Spark's own readers use. Empty where the session says nothing (the client's defaults).
+    """
+
+    def setting(name: str) -> str | None:
+        return spark.conf.get(f"spark.hadoop.fs.s3a.{name}", None) or None
+
+    secure = (setting("connection.ssl.enabled") or "true").lower() != "false"
+    endpoint = setting("endpoint")
+    if endpoint and "://" in endpoint:
+        scheme, _, endpoint = endpoint.partition("://")
+        secure = scheme.lower() == "https"
+    found = {
+        "endpoint_override": endpoint,
+        "scheme": None if secure else "http",
+        "access_key": setting("access.key"),
+        "secret_key": setting("secret.key"),
+        "session_token": setting("session.token"),
+        "region": setting("endpoint.region"),
+        "force_virtual_addressing": True if endpoint and (setting("path.style.access") or "").lower() == "false" else None,
+    }
+    return {k: v for k, v in found.items() if v is not None}
+
+
+def filesystem(path: str, storage: dict | None = None):
+    """``(FileSystem, path inside it)`` for a URI or a local path; ``storage`` as ``storage_options`` gives it."""
     from pyarrow import fs as pafs
 
     if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(pyarrow_uri(path))
+        uri = pyarrow_uri(path)
+        if storage and uri.startswith("s3://"):
+            return pafs.S3FileSystem(**storage), uri[len("s3://"):]
+        return pafs.FileSystem.from_uri(uri)
     local = path[len("file://"):] if path.startswith("file://") else path
     return pafs.LocalFileSystem(), local
 
@@ -61,9 +91,9 @@ def move(src: str, dst: str) -> None:
     fs.move(s, d)
 
 
-def open_input(path: str):
+def open_input(path: str, storage: dict | None = None):
     """Seekable handle (ZIP readers jump to the central directory at the end)."""
-    fs, p = filesystem(path)
+    fs, p = filesystem(path, storage)
     return fs.open_input_file(p)
 
 
@@ -72,7 +102,7 @@ def open_output(path: str):
     return fs.open_output_stream(p)
 
 
-def list_files(spec: str | list[str], suffix: str = ".zip") -> list[str]:
+def list_files(spec: str | list[str], suffix: str = ".zip", storage: dict | None = None) -> list[str]:
     """Files of one path, or of a list of paths: a file, or a folder (``*<suffix>`` inside, case-insensitive).
 
     A path that does not exist raises ``FileNotFoundError``; names are taken as they
@@ -86,7 +116,7 @@ def list_files(spec: str | list[str], suffix: str = ".zip") -> list[str]:
     missing = []
     for path in [spec] if isinstance(spec, str) else spec:
         item = path.rstrip("/")
-        fs, p = filesystem(item)
+        fs, p = filesystem(item, storage)
         kind = fs.get_file_info(p).type
         if kind == pafs.FileType.File:
             out.add(item)
@@ -97,7 +127,7 @@ def list_files(spec: str | list[str], suffix: str = ".zip") -> list[str]:
                 missing.append(path)
                 continue
             folder_uri, pattern = item.rsplit("/", 1)
-            fs, folder = filesystem(folder_uri)
+            fs, folder = filesystem(folder_uri, storage)
         for f in fs.get_file_info(pafs.FileSelector(folder, recursive=False)):
             if f.type != pafs.FileType.File or f.base_name.startswith(("_", ".")):
                 continue

@@ -1,129 +1,191 @@
-"""ZIP archives on a shared path as Spark sources (Python Data Source API).
-
-* ``ziplines``: one row per text line of every non-empty member,
-  ``(archive, zip_name, member, line_no, value)``; ``archive`` is the path as given. One input partition per
-  (archive, member): deflate streams are not splittable, so a member is read
-  by one task, decoded incrementally (Latin-1 by default) and emitted as Arrow
-  batches built without a Python object per line. Lines end at ``\\n`` only;
-  a trailing ``\\r`` is removed.
-* ``ziplisting``: one row per member entry, including directories and empty
-  members, ``(archive, zip_name, member, file_size, is_dir)``; one partition
-  per archive, so listing many archives is spread over tasks too.
-
-Options: ``paths`` (a file, folder or glob in the last path segment, or a JSON list
-of files and folders; local paths or URIs such as ``hdfs://``, ``s3://``), ``encoding``,
-``chunk_bytes`` (read size of the decompressed stream; one Arrow batch per chunk),
-``list_threads`` (archives whose member list is read at once).
-Archives are opened through ``pyarrow.fs`` by the driver (member names and
-sizes only, from each archive's central directory) and by every executor.
+"""ZIP archives on shared storage as DataFrames: listed, packed into tasks, read line by line.
+
+* ``read_listing``: one row per entry of every archive (directories and empty members
+  too), ``LISTING``. Archives are opened on executors only, a slice of them per task; one
+  that cannot be opened gives a row with its ``problem`` instead of failing the job.
+* ``pack``: bins of members of about ``BIN_BYTES`` compressed bytes each. Every task packs
+  the members it holds in order (next fit: two neighbouring bins hold more than one bin's
+  bytes together), so packing needs neither a global order nor the driver. A member
+  counts ``OPEN_BYTES`` more, the cost of opening it: many tiny members make few tasks,
+  a large one (deflate streams are not splittable) has a task of its own.
+* ``read_counted``: the lines of every packed member, ``LINES``, and behind them one row
+  with a null ``value`` that says how many lines (``line_no``) and source bytes were read
+  and how many bytes they take as landed text. ``read_lines`` leaves these rows out.
+
+Members are decoded incrementally (Latin-1 by default) into Arrow batches built without a
+Python object per line. Lines end at ``\\n`` only; a trailing ``\\r`` is removed. Paths are a
+file, a folder, a glob in the last segment, a list of files and folders, or a DataFrame
+with a column ``archive``; local paths or URIs (``hdfs://``, ``s3a://`` ...), opened with
+the session's endpoint and keys (``files.storage_options``).
 """
 
 from __future__ import annotations
 
-import json
 import zipfile
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from terrace.session import fresh_dir
 from terrace.sources import files
 
-LINES_SCHEMA = StructType(
-    [
-        StructField("archive", StringType(), False),
-        StructField("zip_name", StringType(), False),
-        StructField("member", StringType(), False),
-        StructField("line_no", LongType(), False),
-        StructField("value", StringType(), False),
-    ]
-)
+LISTING = "archive string, zip_name string, entry int, member string, file_size long, packed_size long, is_dir boolean, problem string"
+LINES = "archive string, zip_name string, member string, line_no long, value string"
+COUNTED = f"{LINES}, source_bytes long, landed_bytes long"
+BIN_BYTES = 64 << 20
+OPEN_BYTES = 256 << 10
+CHUNK_BYTES = 4 << 20
 
-LISTING_SCHEMA = StructType(
-    [
-        StructField("archive", StringType(), False),
-        StructField("zip_name", StringType(), False),
-        StructField("member", StringType(), False),
-        StructField("file_size", LongType(), False),
-        StructField("is_dir", BooleanType(), False),
-    ]
-)
 
+def _batch(rows: list[tuple], schema: str):
+    import pyarrow as pa
 
-def expand_paths(spec: str) -> list[str]:
-    """Archive files of a path (file, folder or glob) or of a JSON list of paths; a missing one raises."""
-    return files.list_files(json.loads(spec) if spec.startswith("[") else spec, ".zip") if spec else []
-
-
-def _file_members(archive: str) -> list[str]:
-    """Names of the non-directory, non-empty members (central directory only)."""
-    with files.open_input(archive) as handle, zipfile.ZipFile(handle) as zf:
-        return [i.filename for i in zf.infolist() if not i.filename.endswith("/") and i.file_size > 0]
-
-
-def list_members(archives: list[str], threads: int = 16) -> list[tuple[str, str]]:
-    """``(archive, member)`` pairs in archive order; central directories are read concurrently."""
-    if not archives:
-        return []
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(archives)))) as pool:
-        per_archive = list(pool.map(_file_members, archives))
-    return [(a, m) for a, names in zip(archives, per_archive) for m in names]
-
-
-class MemberPartition(InputPartition):
-    def __init__(self, archive: str, member: str):
-        super().__init__((archive, member))
-        self.archive = archive
-        self.member = member
-
-
-class ArchivePartition(InputPartition):
-    def __init__(self, archive: str):
-        super().__init__(archive)
-        self.archive = archive
-
-
-class _LinesReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.paths = options.get("paths") or options.get("path") or ""
-        self.encoding = options.get("encoding", "ISO-8859-1")
-        self.chunk_bytes = int(options.get("chunk_bytes", str(4 << 20)))
-        self.list_threads = int(options.get("list_threads", "16"))
-
-    def partitions(self):
-        members = list_members(expand_paths(self.paths), self.list_threads)
-        return [MemberPartition(a, m) for a, m in members] or [MemberPartition("", "")]
-
-    def read(self, partition: MemberPartition) -> Iterator:
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def archive_paths(spark: SparkSession, paths: DataFrame | list[str] | str) -> DataFrame:
+    """``archive`` of every path; a listed path that does not exist raises ``FileNotFoundError``."""
+    if isinstance(paths, DataFrame):
+        return paths.select(F.trim("archive").alias("archive")).distinct()
+    names = files.list_files(paths, ".zip", files.storage_options(spark)) if paths else []
+    return spark.createDataFrame([(n,) for n in names], "archive string")
+
+
+def read_listing(spark: SparkSession, paths: DataFrame | list[str] | str) -> DataFrame:
+    """Every entry of the archives (``LISTING``)."""
+    storage = files.storage_options(spark)
+
+    def entries(batches):
+        for batch in batches:
+            rows = []
+            for archive in batch.column(0).to_pylist():
+                name = files.basename(archive)
+                try:
+                    with files.open_input(archive, storage) as handle, zipfile.ZipFile(handle) as zf:
+                        found = [
+                            (archive, name, i, e.filename, e.file_size, e.compress_size, e.filename.endswith("/"), None)
+                            for i, e in enumerate(zf.infolist())
+                        ]
+                except (OSError, ValueError, zipfile.BadZipFile) as e:  # a short file is a ValueError of the client
+                    found = [(archive, name, None, None, None, None, None, f"{type(e).__name__}: {e}")]
+                # an archive without entries has a row too
+                rows += found or [(archive, name, None, None, None, None, None, None)]
+            yield _batch(rows, LISTING)
+
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    return archive_paths(spark, paths).repartition(tasks).mapInArrow(entries, LISTING)
+
+
+def pack(spark: SparkSession, listing: DataFrame, bin_bytes: int = BIN_BYTES) -> tuple[DataFrame, int]:
+    """``archive, zip_name, entry, member, bin`` of every member with data, and the number of bins.
+
+    The plan is written once, so its bins stay what they are when tasks are run again.
+    """
+    schema = "archive string, zip_name string, entry int, member string, part int, own int"
+
+    def fit(batches):
+        part, own, filled = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            rows = []
+            for archive, name, entry, member, size in zip(*(c.to_pylist() for c in batch.columns)):
+                weight = size + OPEN_BYTES
+                if filled and filled + weight > bin_bytes:
+                    own, filled = own + 1, 0
+                filled += weight
+                rows.append((archive, name, entry, member, part, own))
+            yield _batch(rows, schema)
+
+    members = listing.filter("not is_dir and file_size > 0").sortWithinPartitions("archive", "entry")
+    path = fresh_dir(spark, "archive-plan")
+    members.select("archive", "zip_name", "entry", "member", "packed_size").mapInArrow(fit, schema).write.parquet(path)
+    plan = spark.read.parquet(path)
+    # one row per task that packed: a few hundred
+    bins = plan.groupBy("part").agg((F.max("own") + 1).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = bins.select("part", before.cast("int").alias("start"))
+    placed = plan.join(F.broadcast(starts), "part").withColumn("bin", F.col("start") + F.col("own"))
+    return placed.select("archive", "zip_name", "entry", "member", "bin"), int(bins.agg(F.sum("n")).first()[0] or 0)
+
+
+def _read(encoding: str, storage: dict, chunk_bytes: int):
+    """Rows of ``COUNTED`` for the packed members of a partition; an archive is opened once for all of its members there."""
+
+    def member_batches(zf, archive, name, entry, member):
         import codecs
 
         import numpy as np
         import pyarrow as pa
 
-        if not partition.archive:
-            return
-        zip_name = files.basename(partition.archive)
-        decoder = codecs.getincrementaldecoder(self.encoding)()
-        first = 0
-        carry = b""
-        with files.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as raw:
+        decoder = codecs.getincrementaldecoder(encoding)()
+        carry, first, source, landed = b"", 0, 0, 0
+        with zf.open(zf.infolist()[entry]) as raw:
             while True:
-                chunk = raw.read(self.chunk_bytes)
-                final = not chunk
-                values, carry = split_lines(carry + decoder.decode(chunk, final=final).encode("utf-8"), final)
+                chunk = raw.read(chunk_bytes)
+                source += len(chunk)
+                values, carry = split_lines(carry + decoder.decode(chunk, final=not chunk).encode("utf-8"), not chunk)
                 n = len(values)
                 if n:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(partition.archive, pa.string()), n),
-                         pa.repeat(pa.scalar(zip_name, pa.string()), n),
-                         pa.repeat(pa.scalar(partition.member, pa.string()), n),
-                         pa.array(np.arange(first, first + n, dtype=np.int64)), values],
-                        names=["archive", "zip_name", "member", "line_no", "value"],
-                    )
+                    landed += n + values.buffers()[2].size
+                    names = [pa.repeat(pa.scalar(x, pa.string()), n) for x in (archive, name, member)]
+                    none = pa.nulls(n, pa.int64())
+                    yield [*names, pa.array(np.arange(first, first + n, dtype=np.int64)), values, none, none]
                     first += n
-                if final:
+                if not chunk:
                     break
+        total = (archive, name, member, first, None, source, landed)
+        yield _batch([total], COUNTED).columns
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = [f.split()[0] for f in COUNTED.split(", ")]
+        held, rows, size = [], 0, 0
+        now = handle = zf = None
+        try:
+            for batch in batches:
+                for archive, name, entry, member in zip(*(c.to_pylist() for c in batch.columns)):
+                    if archive != now:
+                        if handle is not None:
+                            zf.close()
+                            handle.close()
+                        handle = files.open_input(archive, storage)
+                        now, zf = archive, zipfile.ZipFile(handle)
+                    for columns in member_batches(zf, archive, name, entry, member):
+                        held.append(pa.RecordBatch.from_arrays(columns, names=names))
+                        rows, size = rows + len(columns[0]), size + held[-1].nbytes
+                        if rows >= 10_000 or size >= chunk_bytes:
+                            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                            held, rows, size = [], 0, 0
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        finally:
+            if handle is not None:
+                zf.close()
+                handle.close()
+
+    return run
+
+
+def read_counted(spark: SparkSession, listing: DataFrame, encoding: str = "ISO-8859-1", bin_bytes: int = BIN_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Lines of every member of a listing, and a row of its counts behind each (``COUNTED``); one task per bin."""
+    plan, n = pack(spark, listing, bin_bytes)
+    tasks = plan.repartitionById(max(n, 1), "bin").sortWithinPartitions("archive", "entry").select("archive", "zip_name", "entry", "member")
+    return tasks.mapInArrow(_read(encoding, files.storage_options(spark), chunk_bytes), COUNTED)
+
+
+def read_lines(spark: SparkSession, paths: DataFrame | list[str] | str, encoding: str = "ISO-8859-1", bin_bytes: int = BIN_BYTES) -> DataFrame:
+    """Lines of every member of the archives (``LINES``); archives are listed once, now."""
+    path = fresh_dir(spark, "archive-listing")
+    read_listing(spark, paths).write.parquet(path)
+    listing = spark.read.parquet(path)
+    broken = listing.filter("problem is not null").limit(20).collect()
+    if broken:
+        raise OSError("not readable: " + "; ".join(f"{r['archive']} ({r['problem']})" for r in broken))
+    return read_counted(spark, listing, encoding, bin_bytes).filter("value is not null").select([f.split()[0] for f in LINES.split(", ")])
 
 
 def split_lines(data: bytes, final: bool):
@@ -161,61 +223,3 @@ def split_lines(data: bytes, final: bool):
     np.cumsum(stops - starts, out=offsets[1:])
     values = buf[:cut][keep]
     return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())), carry
-
-
-class _ListingReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.paths = options.get("paths") or options.get("path") or ""
-
-    def partitions(self):
-        return [ArchivePartition(a) for a in expand_paths(self.paths)] or [ArchivePartition("")]
-
-    def read(self, partition: ArchivePartition):
-        if not partition.archive:
-            return
-        zip_name = files.basename(partition.archive)
-        with files.open_input(partition.archive) as handle, zipfile.ZipFile(handle) as zf:
-            for info in zf.infolist():
-                yield (partition.archive, zip_name, info.filename, int(info.file_size), info.filename.endswith("/"))
-
-
-class ZipLinesDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "ziplines"
-
-    def schema(self):
-        return LINES_SCHEMA
-
-    def reader(self, schema):
-        return _LinesReader(self.options)
-
-
-class ZipListingDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "ziplisting"
-
-    def schema(self):
-        return LISTING_SCHEMA
-
-    def reader(self, schema):
-        return _ListingReader(self.options)
-
-
-def register(spark) -> None:
-    """Make ``format("ziplines")`` and ``format("ziplisting")`` available in this session."""
-    spark.dataSource.register(ZipLinesDataSource)
-    spark.dataSource.register(ZipListingDataSource)
-
-
-def read_lines(spark, paths: list[str] | str, encoding: str = "ISO-8859-1"):
-    register(spark)
-    spec = paths if isinstance(paths, str) else json.dumps(paths)
-    return spark.read.format("ziplines").option("paths", spec).option("encoding", encoding).load()
-
-
-def read_listing(spark, paths: list[str] | str):
-    register(spark)
-    spec = paths if isinstance(paths, str) else json.dumps(paths)
-    return spark.read.format("ziplisting").option("paths", spec).load()
