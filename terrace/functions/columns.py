@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from terrace.functions import urls
+
 ColumnOrName = Column | str
 
 
@@ -93,17 +95,8 @@ def split_list(c: ColumnOrName, sep: str = ",") -> Column:
 
 
 def resolve_url(base: ColumnOrName, href: ColumnOrName) -> Column:
-    """``href`` resolved against ``base`` by the standard library's ``urljoin`` (null if either is)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    def join_all(bases: pd.Series, hrefs: pd.Series) -> pd.Series:
-        from urllib.parse import urljoin
-
-        return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(bases, hrefs)], dtype=object)
-
-    join_all.__annotations__ = {"bases": pd.Series, "hrefs": pd.Series, "return": pd.Series}
-    return pandas_udf(join_all, "string")(_c(base), _c(href))
+    """``href`` resolved against ``base`` (null if either is); see ``terrace.functions.urls``."""
+    return urls.resolve(_c(base), _c(href))
 
 
 def date_parts(iso_date: ColumnOrName) -> tuple[Column, Column, Column]:

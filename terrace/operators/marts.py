@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import stamp
-from terrace.operators.joins import lookup_join
+from terrace.operators.joins import split_join
 
 # Fixed value: registry status code of an active establishment.
 ACTIVE_STATUS = 2
@@ -50,7 +50,7 @@ def active_companies_by_activity_state(
     by company id and a hot company is collapsed map-side.
     """
     active = active_establishments(estabelecimentos).select("cnpj_basico", "uf", "cnae_fiscal_principal")
-    joined = lookup_join(active, activity_lookup(cnaes), "cnae_fiscal_principal", "left")
+    joined = active.join(activity_lookup(cnaes), "cnae_fiscal_principal", "left")
     if empresas is not None:
         joined = joined.join(company_attributes(empresas), on="cnpj_basico", how="left")
     mart = joined.groupBy("uf", "cnae_fiscal_principal", "descricao_cnae").agg(
@@ -59,12 +59,28 @@ def active_companies_by_activity_state(
     return stamp(mart, reference_date)
 
 
+#: Keys of the mart's state: what is counted by, before the activity's description is looked up.
+STATE_KEYS = ["uf", "cnae_fiscal_principal"]
+
+
+def active_companies_from_counts(counts: DataFrame, cnaes: DataFrame, reference_date: str) -> DataFrame:
+    """The mart from distinct counts by ``STATE_KEYS`` (``qtd_empresas_ativas``), kept in states of parts (files, dates)."""
+    named = counts.join(activity_lookup(cnaes), "cnae_fiscal_principal", "left")
+    return stamp(named.select("uf", "cnae_fiscal_principal", "descricao_cnae", "qtd_empresas_ativas"), reference_date)
+
+
 def active_companies_joined(
     estabelecimentos: DataFrame,
     empresas: DataFrame,
     cnaes: DataFrame,
+    keys: list | None = None,
 ) -> DataFrame:
-    """Row-level chain of both left joins (company first, then activity), before aggregation."""
+    """Row-level chain of both left joins (company first, then activity), before aggregation.
+
+    Companies with a large share of the establishments are split over several tasks (``keys``,
+    or found by a pass over the company column). The activity table is a code list, which the
+    planner broadcasts by its size.
+    """
     active = active_establishments(estabelecimentos)
-    with_company = active.join(company_attributes(empresas), on="cnpj_basico", how="left")
-    return lookup_join(with_company, activity_lookup(cnaes), "cnae_fiscal_principal", "left")
+    with_company = split_join(active, company_attributes(empresas), "cnpj_basico", "left", keys)
+    return with_company.join(activity_lookup(cnaes), "cnae_fiscal_principal", "left")

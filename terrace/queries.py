@@ -18,7 +18,9 @@ from terrace.operators import landing as L
 from terrace.operators import marts
 from terrace.operators import quality as Q
 from terrace.operators import selection as SEL
-from terrace.operators.joins import lookup_join
+from terrace.operators.distinct_state import StateStore
+from terrace.operators.footer_counts import footer_counts
+from terrace.operators.joins import split_join
 from terrace.operators.refine import clean_strings, refine
 from terrace.plans.specs import spec_of
 from terrace.session import fresh_dir
@@ -241,7 +243,21 @@ def company_side(spark, sf_dir):
 )
 def q_left_join_company(spark, sf_dir):
     active = marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
-    return active.join(marts.company_attributes(company_side(spark, sf_dir)), on="cnpj_basico", how="left")
+    return split_join(active, marts.company_attributes(company_side(spark, sf_dir)), "cnpj_basico", "left")
+
+
+SQL_HEAVY = f"""
+with e as (select case when l_orderkey % 5 < 2 then {_lp('1', 8)} else {_lp('l_orderkey', 8)} end as cnpj_basico, l_orderkey, l_linenumber from lineitem)
+select e.*, c.porte_empresa from e left join ({SQL_COMPANY_SIDE}) c using (cnpj_basico)"""
+
+
+@register("left_join_heavy_key", SQL_HEAVY)
+def q_left_join_heavy_key(spark, sf_dir):
+    """One company holds two fifths of all rows; no other key holds a hundredth."""
+    li = A.table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
+    company = F.when(F.col("l_orderkey") % 5 < 2, A.pad(F.lit(1), 8)).otherwise(A.pad("l_orderkey", 8))
+    rows = li.select(company.alias("cnpj_basico"), "l_orderkey", "l_linenumber")
+    return split_join(rows, marts.company_attributes(company_side(spark, sf_dir)), "cnpj_basico", "left")
 
 
 @register(
@@ -251,7 +267,7 @@ def q_left_join_company(spark, sf_dir):
 def q_left_join_lookup(spark, sf_dir):
     active = marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
     lookup = marts.activity_lookup(landed(spark, sf_dir, "cnaes", stamped=False))
-    return lookup_join(active, lookup, "cnae_fiscal_principal")
+    return active.join(lookup, "cnae_fiscal_principal", "left")
 
 
 @register(
@@ -276,6 +292,35 @@ def q_distinct_count(spark, sf_dir):
     return est.groupBy("situacao_cadastral").agg(F.count_distinct("cnpj_basico").alias("qtd_empresas"))
 
 
+def put_overlapping_parts(store: StateStore, rows, number) -> None:
+    """Two parts that share a third of the rows and cover all; one of them is put twice, first with values that must go."""
+    third = F.pmod(number, F.lit(3))
+    store.put("a", rows.filter(third != 0))
+    store.put("b", rows.withColumn(store.column, F.concat(store.column, F.lit("z"))))
+    store.put("b", rows.filter(third != 1))
+
+
+@register(
+    "distinct_state",
+    f"select situacao_cadastral, count(distinct cnpj_basico) as qtd_empresas "
+    f"from ({SQL_ESTABELECIMENTOS}) group by situacao_cadastral",
+)
+def q_distinct_state(spark, sf_dir):
+    est = landed(spark, sf_dir, "estabelecimentos", stamped=False).select("situacao_cadastral", "cnpj_basico", "cnpj_ordem")
+    store = StateStore(spark, fresh_dir(spark, "distinct-state"), ["situacao_cadastral"], "cnpj_basico")
+    put_overlapping_parts(store, est, F.col("cnpj_ordem").cast("int"))
+    return store.counts("qtd_empresas")
+
+
+@register("mart_from_states", SQL_MART)
+def q_mart_from_states(spark, sf_dir):
+    active = marts.active_establishments(landed(spark, sf_dir, "estabelecimentos", stamped=False))
+    store = StateStore(spark, fresh_dir(spark, "mart-state"), marts.STATE_KEYS, "cnpj_basico")
+    put_overlapping_parts(store, active, F.col("cnpj_ordem").cast("int"))
+    cnaes = landed(spark, sf_dir, "cnaes", stamped=False)
+    return marts.active_companies_from_counts(store.counts("qtd_empresas_ativas"), cnaes, REFERENCE_DATE)
+
+
 # ---------------------------------------------------------------------------------------
 # Scan semantics and scalar functions
 
@@ -451,6 +496,30 @@ def q_link_resolve(spark, sf_dir):
     return page_links(spark, sf_dir).select("page_id", "pos", "href", C.resolve_url("url", "href").alias("resolved_url"))
 
 
+# Dot segments put in front of the crawled paths, by position, and a fold over the segments on the SQL side.
+DOTTED = ["../", "./", "a/../", "../../b/./", "/c/../"]
+
+SQL_DOTTED = f"select page_id, url, pos, case pos % 5 {' '.join(f'when {i} then {sq(d)}' for i, d in enumerate(DOTTED))} end || ltrim(href, '/') as href from ({SQL_LINKS})"
+
+SQL_RESOLVED_DOTS = f"""
+with d as (select *, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) as site, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) as base from ({SQL_DOTTED})),
+p as (select *, regexp_extract(href, '^([^?#]*)', 1) as path, regexp_extract(href, '^[^?#]*(.*)$', 1) as more from d),
+w as (select *, string_split(case when starts_with(path, '/') then path else regexp_replace(base, '[^/]*$', '') || path end, '/') as raw from p),
+g as (select *, case when raw[1] = '' then raw else list_concat([''], raw) end as s from w),
+f as (select *, list_reduce(list_prepend([]::varchar[], list_transform(s, lambda x: [x])),
+                            lambda a, x: case x[1] when '..' then a[1 : len(a) - 1] when '.' then a else list_concat(a, x) end) as kept from g)
+select page_id, pos, href, site || case when starts_with(r, '/') then '' else '/' end || r || more as resolved_url
+from (select *, array_to_string(case when s[len(s)] in ('.', '..') then list_concat(kept, ['']) else kept end, '/') as r from f)"""
+
+
+@register("link_resolve_dots", SQL_RESOLVED_DOTS)
+def q_link_resolve_dots(spark, sf_dir):
+    pos = F.col("pos") % 5
+    before = F.get(F.array(*map(F.lit, DOTTED)), pos.cast("int"))
+    links = page_links(spark, sf_dir).withColumn("href", F.concat(before, F.ltrim("href", F.lit("/"))))
+    return links.select("page_id", "pos", "href", C.resolve_url("url", "href").alias("resolved_url"))
+
+
 @register("link_basename", f"select page_id, pos, regexp_extract(href, '[^/]*$') as file_name from ({SQL_LINKS})")
 def q_link_basename(spark, sf_dir):
     return page_links(spark, sf_dir).select("page_id", "pos", C.basename("href").alias("file_name"))
@@ -788,6 +857,18 @@ def q_store_roundtrip(spark, sf_dir):
     return store.read("empresas")
 
 
+@register(
+    "snapshot_counts",
+    f"select count(*) as n_rows, count(*) - count(cnpj_basico) as n_null_cnpj_basico, count(*) - count(uf) as n_null_uf, "
+    f"count(*) - count(pais) as n_null_pais, count(*) - count(data_inicio_atividade) as n_null_data_inicio_atividade from ({SQL_ESTABELECIMENTOS})",
+)
+def q_snapshot_counts(spark, sf_dir):
+    store = SnapshotStore(spark, fresh_dir(spark, "counted"))
+    spec = spec_of("estabelecimentos")
+    store.publish(refined(spark, sf_dir, spec.name), spec.name, required=spec.key)
+    return footer_counts(spark, store.current(spec.name), [spec.key, "uf", "pais", "data_inicio_atividade"])
+
+
 @register("zip_members", _stamped_sql("empresas"))
 def q_zip_members(spark, sf_dir):
     folder = fresh_dir(spark, "archives")

@@ -10,8 +10,11 @@ Spark uses (``s3a://``); only the pyarrow side sees the scheme it knows.
 from __future__ import annotations
 
 import fnmatch
+import os
 import posixpath
 
+from py4j.protocol import Py4JJavaError
+
 GLOB_CHARS = "*?["
 
 # Hadoop connector schemes and the pyarrow scheme for the same store.
@@ -153,9 +156,31 @@ def names_in(spark, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def create_empty(spark, path: str) -> None:
+def create_new(spark, path: str, text: str) -> bool:
+    """Create a file with ``text`` unless there is one; False if there is.
+
+    Of several that try at once, one succeeds: local files are opened exclusively, other file
+    systems are asked not to overwrite (atomic on HDFS; on an object store as far as it creates conditionally).
+    """
     fs, p = spark_path(spark, path)
-    fs.create(p, False).close()
+    if fs.getUri().getScheme() == "file":
+        local = p.toUri().getPath()
+        os.makedirs(posixpath.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x") as f:
+                f.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    out.write(text.encode())
+    out.close()
+    return True
 
 
 def remove(spark, path: str) -> None:
