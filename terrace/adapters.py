@@ -17,8 +17,7 @@ from terrace.sources import files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A driver table (only ``columns`` when given), spread over the cores when its
-    file has fewer row groups than cores. Columns are pruned before the spread."""
+    """A driver table (only ``columns`` when given)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from terrace.functions.columns import stamp
 from terrace.operators.joins import split_join
 
-# Fixed value: registry status code of an active establishment.
+# Registry status code of an active establishment, and the columns the mart takes of one.
 ACTIVE_STATUS = 2
+ESTABLISHMENT_COLUMNS = ["cnpj_basico", "uf", "cnae_fiscal_principal", "cnpj_ordem", "cnpj_dv"]
 
 
 def active_establishments(estabelecimentos: DataFrame) -> DataFrame:
     """Active rows (status == 2; null status is dropped) with the mart's columns."""
-    return estabelecimentos.filter(F.col("situacao_cadastral") == ACTIVE_STATUS).select(
-        "cnpj_basico", "uf", "cnae_fiscal_principal", "cnpj_ordem", "cnpj_dv"
-    )
+    return estabelecimentos.filter(F.col("situacao_cadastral") == ACTIVE_STATUS).select(*ESTABLISHMENT_COLUMNS)
 
 
 def activity_lookup(cnaes: DataFrame) -> DataFrame:
@@ -43,7 +42,7 @@ def active_companies_by_activity_state(
     count never reads and a left join can only repeat rows, which a distinct
     count absorbs; it is placed directly under the aggregate so the optimizer
     removes it from the physical plan (the result is the same with or without
-    it). The activity table is broadcast only when proven small.
+    it). The activity table is a code list, broadcast by the planner on its measured size.
 
     Scale: the distinct count runs as partial dedupe on (keys, company) before
     the first exchange, so a hot (state, activity) group is spread over tasks

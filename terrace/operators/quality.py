@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from terrace.plans.specs import TableSpec
-
 REPORT_COLUMNS = ["table_name", "check_name", "column_name", "n_rows", "n_violations", "passed"]
 
 
@@ -79,10 +77,6 @@ def quality_report(df: DataFrame, table: str, required: str | list[str] | None)
     return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def spec_report(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return quality_report(df, spec.name, spec.key)
-
-
 def enforce(report_rows: list[dict] | DataFrame) -> None:
     """Raise ``QualityError`` listing every failed check (the report is a few rows)."""
     rows = report_rows.collect() if isinstance(report_rows, DataFrame) else report_rows

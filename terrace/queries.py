@@ -771,16 +771,16 @@ GATE_REQUIRED_CASES = [(t, spec_of(t).key) for t in SQL_REFINED] + [("estabeleci
     " union all ".join(_sql_report(t, SQL_REFINED[t], key) for t, key in GATE_REQUIRED_CASES),
 )
 def q_gate_required(spark, sf_dir):
-    """One aggregate per table covers all of its required columns (a table is read once);
-    each (table, column) case then takes its rows from that table's report."""
+    """One aggregate per table covers all of its required columns (a table is read once); a case of a
+    table is its ``not_empty`` row and one column's, so the former stands once for every case."""
     columns: dict[str, list[str]] = {}
     for t, key in GATE_REQUIRED_CASES:
         columns.setdefault(t, []).append(key)
-    reports = {t: Q.quality_report(refined(spark, sf_dir, t, stamped=False), t, cols) for t, cols in columns.items()}
     out = None
-    for t, key in GATE_REQUIRED_CASES:
-        name = F.col("column_name")
-        rep = reports[t].filter(name.isNull() | (name == key))
+    for t, keys in columns.items():
+        rep = Q.quality_report(refined(spark, sf_dir, t, stamped=False), t, keys)
+        times = F.when(F.col("column_name").isNull(), F.lit(len(keys))).otherwise(F.lit(1))
+        rep = rep.withColumn("case", F.explode(F.sequence(F.lit(1), times))).drop("case")
         out = rep if out is None else out.unionByName(rep)
     return out
 

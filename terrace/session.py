@@ -21,26 +21,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ter
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TERRACE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("TERRACE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
 
 
-# Settings for a large cluster (pass to the session builder). AQE sizes shuffle
-# partitions at runtime from the advisory size and splits skewed join partitions;
-# text scans are cut at 256 MiB so a large landed member is read by many tasks.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "4000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-}
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 

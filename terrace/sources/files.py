@@ -75,13 +75,6 @@ def basename(path: str) -> str:
     return posixpath.basename(path.rstrip("/"))
 
 
-def exists(path: str) -> bool:
-    from pyarrow import fs as pafs
-
-    fs, p = filesystem(path)
-    return fs.get_file_info(p).type != pafs.FileType.NotFound
-
-
 def make_dirs(path: str) -> None:
     fs, p = filesystem(path)
     fs.create_dir(p, recursive=True)
