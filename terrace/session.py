@@ -50,3 +50,11 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder under the scratch root (one per call, never reused)."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_dirs(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate folders that nothing reads any more (what was made of them is written)."""
+    from terrace.sources import files
+
+    for path in paths:
+        files.remove(spark, path)
