@@ -6,14 +6,17 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
 1. Equal sets are one class (its id: the smallest doc_id). What follows works on one
    row per class, so thousands of copies cost one row.
 2. Two linked sets of a size band differ in at most ``D`` tokens. The token space is cut
-   into ``D + 1`` parts by hash, so the two agree in one part at least: the tokens of a
-   part, as one key, are the matrix's columns. (Single shingles of a passage that many
-   documents share would open group after group; a whole part of about ten does not.)
-3. Sets that share a part with the same most central class form a group, so a family
-   of near copies falls into few. The token-group matrix holds the union of a group's
-   parts; a set that shares a part with that union opens the group. A set opens groups
-   of sets at least as large as its own: the keys carry the size band, and a set looks
-   in its own and in the next.
+   into ``M = D + 1 + D / 4`` parts by hash, so the two agree in ``M - D`` parts at least: the
+   tokens of a part, as one key, are the matrix's columns. (Single shingles of a passage
+   that many documents share would open group after group.) Keys are dealt and sorted
+   once, and only those that stand in two rows go on.
+3. Sets that share that many parts with the same most central class form a group, so a
+   family of near copies falls into few. The token-group matrix holds the union of a group's
+   parts. A set's parts in common with that union bound from above what it shares with any
+   member: it opens only groups where they are ``M - D`` or more. (Parts without a token
+   are equal for all sets that lack it, so a set counts without them, and asks for that many
+   less, unless that leaves it nothing to ask for.) A set opens groups of sets at least as
+   large as its own: the keys carry the size band, and a set looks in its own and in the next.
    A parity bitmap of the whole set (two bits a token) then bounds the difference of
    two sets from below: a class stays in a group only if some set there is not ruled
    out by it. Only then are whole sets sent anywhere.
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm import words as W
 from terrace.llm.components import components
-from terrace.session import fresh_dir
+from terrace.session import drop_dirs, fresh_dir
 
 SHINGLE = 3
 PERCENT = 90
@@ -96,39 +99,66 @@ def bands(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / (math.log(100 / percent) * 1.0001)).astype(np.int64)
 
 
-def parts_of(band: np.ndarray, percent: int) -> np.ndarray:
-    """Parts of a band: one more than linked sets can differ by, the larger being of this band."""
+def most_apart(band: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens by which linked sets can differ, the larger being of this band."""
     largest = np.ceil(np.exp((band + 1) * math.log(100 / percent) * 1.0001))
-    return (2 * largest * (100 - percent) // (100 + percent)).astype(np.int64) + 1
+    return (2 * largest * (100 - percent) // (100 + percent)).astype(np.int64)
 
 
-def part_keys(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of every row's set in the given band, and their offsets by row."""
+def parts_of(band: np.ndarray, percent: int) -> np.ndarray:
+    """Parts of a band: more than linked sets can differ by, so that they agree in the rest."""
+    apart = most_apart(band, percent)
+    return apart + 1 + apart // 4
+
+
+def _parts(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of parts by row, their offsets, and the place among all parts of every token."""
     n_parts = np.where(sets.sizes > 0, parts_of(band, percent), 0)
     ptr = np.concatenate([[0], np.cumsum(n_parts)])
     owner = np.repeat(np.arange(len(n_parts)), sets.sizes)
     part = (W.mix(sets.hash ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(n_parts[owner], 1).astype(np.uint64)).astype(np.int64)
+    return n_parts, ptr, ptr[:-1][owner] + part
+
+
+def part_keys(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts of every row's set in the given band, and their offsets by row; odd keys are of parts without a token."""
+    n_parts, ptr, at = _parts(sets, band, percent)
     sums = np.zeros(ptr[-1], dtype=np.uint64)
-    np.add.at(sums, ptr[:-1][owner] + part, W.mix(sets.hash))
+    np.add.at(sums, at, W.mix(sets.hash))
+    empty = np.ones(ptr[-1], dtype=np.uint64)
+    empty[at] = 0
     rows = np.repeat(np.arange(len(n_parts)), n_parts)
     place = (band[rows].astype(np.uint64) << np.uint64(40)) + (np.arange(ptr[-1]) - ptr[:-1][rows]).astype(np.uint64)
-    return W.mix(sums + W.mix(place + np.uint64(1))), ptr
+    return (W.mix(sums + W.mix(place + np.uint64(1))) & ~np.uint64(1)) | empty, ptr
+
+
+def asked(sets: Sets, band: np.ndarray, percent: int) -> np.ndarray:
+    """Parts with tokens that a set shares with every set of the band it links to; below zero: parts, those without tokens too."""
+    n_parts, ptr, at = _parts(sets, band, percent)
+    full = np.zeros(ptr[-1], dtype=np.int64)
+    full[at] = 1
+    filled = np.concatenate([[0], np.cumsum(full)])
+    empty = n_parts - (filled[ptr[1:]] - filled[ptr[:-1]])
+    agree = parts_of(band, percent) - most_apart(band, percent)
+    return np.where(agree > empty, agree - empty, -agree)
 
 
-def signature_rows(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, s1, s2, bits``: set size, set identity and bitmap of every row."""
+def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, n, s1, s2, bits, here, above``: set size, identity and bitmap of every row, and what it asks of its band and the next."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
             sets = Sets(cut, width)
             s1, s2 = sets.signatures()
+            band = bands(sets.sizes, percent)
+            asks = [pa.array(asked(sets, b, percent), pa.int32()) for b in (band, band + 1)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), sets.bitmaps()],
-                names=["doc_id", "n", "s1", "s2", "bits"],
+                [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), sets.bitmaps(), *asks],
+                names=["doc_id", "n", "s1", "s2", "bits", "here", "above"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits binary")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits binary, here int, above int")
 
 
 def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -147,33 +177,61 @@ def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "key bigint, c bigint, own boolean")
 
 
+def _met_twice(batches):
+    """Of rows sorted by key those whose key stands in two rows at least; a run of equal keys may go on over batches."""
+    held, joined = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        keys = np.asarray(batch.column(0))
+        same = keys[1:] == keys[:-1]
+        keep = np.zeros(len(keys), bool)
+        keep[1:] = same
+        keep[:-1] |= same
+        keep[0] |= joined
+        # the last row waits for the next batch
+        joined, held = bool(keep[-1]), batch.slice(len(keys) - 1)
+        yield batch.slice(0, len(keys) - 1).filter(pa.array(keep[:-1]))
+    if held is not None and joined:
+        yield held
+
+
 def shared_keys(spark: SparkSession, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``key, c, own, k``: the parts of every class that some other row has too (``k`` rows in all)."""
-    keys = key_rows(docs, width, percent)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    """``key, c, own``: the parts of every class that stand in another row too.
+
+    A class's own document speaks for its copies. Equal keys come together in one exchange; the
+    rows of a key pass by one after the other, however many there are.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(classes.select(F.col("c").alias("doc_id")), "doc_id", "left_semi")
+    keys = key_rows(texts, width, percent).repartition("key").sortWithinPartitions("key")
     path = fresh_dir(spark, "jaccard-keys")
-    # one row per class from here on: the class's own document speaks for its copies
-    keys.join(shared, "key").join(classes.select("c"), "c").write.parquet(path)
+    keys.mapInArrow(_met_twice, "key bigint, c bigint, own boolean").write.parquet(path)
     return spark.read.parquet(path)
 
 
-def leaders(found: DataFrame) -> DataFrame:
-    """``c, pivot, g``: for every class the most central class that it shares a part with, and its group.
+def leaders(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """``c, pivot, g``: for every class the most central class that it shares enough parts with, and its group.
 
     Central is who meets most rows over all its parts: the text that a family of near copies was made from.
     The group is named by the pivot, or by the class itself where that is the more central one.
     """
-    degree = found.groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
+    full = found.filter("key % 2 = 0")
+    counts = full.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    degree = full.join(counts, "key").groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
     top = F.max(F.when(F.col("own"), F.struct("degree", (-F.col("c")).alias("minus")))).alias("top")
-    met = found.join(degree, "c").groupBy("key").agg(top, F.min("c").alias("lo"), F.max("c").alias("hi"))
+    met = full.join(degree, "c").groupBy("key").agg(top, F.min("c").alias("lo"), F.max("c").alias("hi"))
     met = met.filter("lo < hi and top is not null").select("key", "top")
-    best = found.join(met, "key").filter("c <> -top.minus").groupBy("c").agg(F.max("top").alias("top"))
+    common = full.join(met, "key").filter("c <> -top.minus").groupBy("c", "own", "top").agg(F.count(F.lit(1)).alias("common"))
+    enough = common.join(classes.select("c", "here", "above"), "c").filter("common >= greatest(if(own, here, above), 1)")
+    best = enough.groupBy("c").agg(F.max("top").alias("top"))
     pivot = -F.col("top.minus")
     own = F.coalesce(F.col("degree") > F.col("top.degree"), F.lit(False)) | ((F.col("degree") == F.col("top.degree")) & (F.col("c") < pivot))
     return best.join(degree, "c").select("c", pivot.alias("pivot"), F.when(own, F.col("c")).otherwise(pivot).alias("g"))
 
 
-def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame) -> DataFrame:
+def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
     """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
     rows = found.join(groups, "c", "left").withColumn("g", F.coalesce("g", "c"))
     # columns of one class have nothing to find
@@ -182,8 +240,10 @@ def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame) -> Dat
     rows.join(open_keys, "key").select("key", "c", "own", "g").write.parquet(path)
     live = spark.read.parquet(path)
     matrix = live.filter("own").select(F.col("key").alias("column"), F.col("g").alias("other")).distinct()
+    asks = live.join(classes.select("c", "here", "above"), "c").withColumn("ask", F.expr("if(own, here, above)")).filter("ask < 0 or key % 2 = 0")
     meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other"))
-    visits = live.join(matrix, meets).select("c", F.col("other").alias("g")).distinct()
+    bound = asks.join(matrix, meets).groupBy("c", "own", F.col("other").alias("g")).agg(F.count(F.lit(1)).alias("common"), F.max(F.abs("ask")).alias("ask"))
+    visits = bound.filter("common >= ask").select("c", "g").distinct()
     members = live.select("c", "g").distinct()
     return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
 
@@ -251,8 +311,11 @@ def unsigned(tokens: pa.ListScalar) -> np.ndarray:
     return np.asarray(tokens.values).view(np.uint64)
 
 
-def compare_cell(percent: int):
-    """Of one cell: ``a, b`` links that join its classes (``weight`` null), and ``a, weight``, the documents that a waiting class (side 0) links to."""
+def compare_cell(percent: int, count_links: bool = True):
+    """Of one cell: ``a, b`` links that join its classes (``weight`` null), and ``a, weight``, the documents that a waiting class (side 0) links to.
+
+    Without ``count_links`` pairs that are joined already are not compared, and there are no weights.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         c, weight = table.column("c").to_numpy(), table.column("weight").to_numpy()
@@ -285,6 +348,8 @@ def compare_cell(percent: int):
             # the larger of a pair is a member here: this group counts the pair
             larger = (lengths[lo:hi] > n) | ((lengths[lo:hi] == n) & (others[lo:hi] > c[r]))
             fits = np.where(larger, member[there[lo:hi]], member[r]) & (others[lo:hi] != c[r])
+            if not count_links:
+                fits &= label[node[there[lo:hi]]] != label[node[r]]
             if not fits.any():
                 continue
             at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
@@ -295,9 +360,10 @@ def compare_cell(percent: int):
             hits = there[lo:hi][fits & (100 * both >= percent * (n + lengths[lo:hi] - both))]
             if not len(hits):
                 continue
-            a.append(c[r])
-            b.append(None)
-            w.append(int(weight[hits].sum()))
+            if count_links:
+                a.append(c[r])
+                b.append(None)
+                w.append(int(weight[hits].sum()))
             met, where = np.unique(label[node[hits]], return_index=True)
             mine = label[node[r]]
             for x, e in zip(met, hits[where]):
@@ -311,7 +377,7 @@ def compare_cell(percent: int):
     return run
 
 
-def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, visits: DataFrame, width: int, percent: int) -> DataFrame:
+def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, visits: DataFrame, width: int, percent: int, count_links: bool = True) -> DataFrame:
     """What ``compare_cell`` returns of all cells of the opened groups."""
     # one row per class and opened group, with the class's whole set
     weights = classes.groupBy("c").agg(F.max("weight").alias("weight"))
@@ -330,28 +396,30 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, visits: Data
     path = fresh_dir(spark, "jaccard-sets")
     texts.mapInArrow(run, kind).select("c", "weight", F.explode("opened").alias("o"), "tokens").select("c", "weight", "o.*", "tokens").write.parquet(path)
     crossed = cells(spark.read.parquet(path)).select("g", "x", "y", "side", "c", "weight", "member", "tokens")
-    return crossed.groupBy("g", "x", "y").applyInArrow(compare_cell(percent), "a bigint, b bigint, weight bigint")
+    return crossed.groupBy("g", "x", "y").applyInArrow(compare_cell(percent, count_links), "a bigint, b bigint, weight bigint")
 
 
-def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id, n_links`` for every row of ``docs`` (doc_id, text)."""
+def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, count_links: bool = True) -> DataFrame:
+    """``doc_id, n_shingles, class_id, component_id, n_links`` for every row of ``docs`` (doc_id, text).
+
+    Without ``count_links`` only what joins classes is looked for, and ``n_links`` is null.
+    """
     W.bound_batches(spark)
-    path = fresh_dir(spark, "jaccard-signatures")
-    signature_rows(docs, width).write.parquet(path)
-    rows = spark.read.parquet(path)
-    path = fresh_dir(spark, "jaccard-classes")
-    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.count_distinct("doc_id").alias("weight"))
-    sets.write.parquet(path)
-    classes = spark.read.parquet(path)
+    paths = {name: fresh_dir(spark, f"jaccard-{name}") for name in ("signatures", "classes", "groups", "visits", "near", "links")}
+    signature_rows(docs, width, percent).write.parquet(paths["signatures"])
+    rows = spark.read.parquet(paths["signatures"])
+    of_class = [F.first(c).alias(c) for c in ("bits", "here", "above")]
+    sets = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("c"), F.max("n").alias("n"), *of_class, F.count_distinct("doc_id").alias("weight"))
+    sets.write.parquet(paths["classes"])
+    classes = spark.read.parquet(paths["classes"])
     ids = classes.filter("c is not null")
     found = shared_keys(spark, docs, ids, width, percent)
-    groups_path, visits_path = fresh_dir(spark, "jaccard-groups"), fresh_dir(spark, "jaccard-visits")
-    leaders(found).write.parquet(groups_path)
-    open_groups(spark, found, spark.read.parquet(groups_path).select("c", "g")).write.parquet(visits_path)
-    near_path, links_path = fresh_dir(spark, "jaccard-near"), fresh_dir(spark, "jaccard-links")
-    near_sets(ids, spark.read.parquet(visits_path), percent).write.parquet(near_path)
-    links(spark, docs, ids, spark.read.parquet(near_path), width, percent).write.parquet(links_path)
-    joined = spark.read.parquet(links_path)
+    leaders(found, ids).write.parquet(paths["groups"])
+    open_groups(spark, found, spark.read.parquet(paths["groups"]).select("c", "g"), ids).write.parquet(paths["visits"])
+    near_sets(ids, spark.read.parquet(paths["visits"]), percent).write.parquet(paths["near"])
+    links(spark, docs, ids, spark.read.parquet(paths["near"]), width, percent, count_links).write.parquet(paths["links"])
+    drop_dirs(spark, *(paths[name] for name in ("groups", "visits", "near")))
+    joined = spark.read.parquet(paths["links"])
     reached = components(spark, joined.filter("b is not null"))
     counted = joined.filter("b is null").groupBy(F.col("a").alias("c")).agg(F.sum("weight").alias("near"))
     named = classes.select("s1", "s2", "c", "weight").join(reached, F.col("c") == F.col("node"), "left").join(counted, "c", "left")
@@ -359,10 +427,11 @@ def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: in
     named = named.select("s1", "s2", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component"), others.alias("links"))
     out = rows.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
     alone = F.col("n") == 0
+    n_links = F.when(F.col("doc_id").isNotNull(), F.when(alone, F.lit(0)).otherwise(F.col("links"))) if count_links else F.lit(None)
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        F.when(F.col("doc_id").isNotNull(), F.when(alone, F.lit(0)).otherwise(F.col("links"))).cast("bigint").alias("n_links"),
+        n_links.cast("bigint").alias("n_links"),
     )

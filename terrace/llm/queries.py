@@ -142,13 +142,14 @@ l as (select a, b, k = na.n and k = nb.n as same from c join n na on na.doc_id =
       where 100 * k >= 90 * (na.n + nb.n - k)),
 r as (select doc_id as a, doc_id as b from d union select r.a, l.b from r join l on l.a = r.b)
 select doc_id, n.n as n_shingles, coalesce((select min(l.b) from l where l.a = n.doc_id and l.same), doc_id) as class_id,
-       (select min(r.b) from r where r.a = n.doc_id) as component_id
+       (select min(r.b) from r where r.a = n.doc_id) as component_id,
+       (select count(*) from l where l.a = n.doc_id and l.b <> n.doc_id) as n_links
 from n"""
 
 
 @query(SQL_9)
 def op9_jaccard_join(spark, sf_dir):
-    return jaccard_join.join(spark, table(spark, sf_dir, "documents")).drop("n_links")
+    return jaccard_join.join(spark, table(spark, sf_dir, "documents"))
 
 
 _ALNUM = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
