@@ -53,7 +53,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn(KEY, key())
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    groups = jaccard_join.join(spark, keyed(docs.filter(has_words)), width=SHINGLE, percent=PERCENT)
+    groups = jaccard_join.join(spark, keyed(docs.filter(has_words)), width=SHINGLE, percent=PERCENT, count_links=False)
     named = groups.select(F.col("doc_id").alias(KEY), "component_id").distinct()
     ids = rows.filter(has_words).select(KEY, F.col("doc_id").cast("bigint").alias("id"))
     first = F.min(F.struct(F.col("id").isNull().alias("without"), F.col("id"), F.col(KEY)))
