@@ -9,11 +9,14 @@ the total length. Files are written by Spark's own text writer (records end with
 empty line, as the format wants) and committed with the job; a file holds a bounded
 number of records, so readers hold a bounded number of bytes.
 
-Reading. Every file is parsed by one task. Segments are grouped by origin id (a
-group is one record), ordered by number, and their count and total length verified;
-then the chunked framing is decoded and the body's digest compared with the header.
-Revisits take length and digest from the response they name. Anything that does
-not add up raises ``WarcError``.
+Reading. Every file is parsed by one task, record by record: plain, one gzip stream, or
+gzip members one after the other (as WARC files usually are), of which a chunk is unpacked
+at a time. Header names are taken in any case, record ids as opaque names (only ids of
+this writer name a page); ``warcinfo``, ``request`` and other types are passed over. Segments
+are grouped by origin id (a group is one record), ordered by number, and their count and
+total length verified; then the chunked framing is decoded and the body's digest compared
+with the header (SHA-1; other digests are not checked). Revisits take length and digest
+from the response they name. Anything that does not add up raises ``WarcError``.
 
 Edge cases: a null html is an empty body; a null url an empty target; line breaks in
 a url are percent-encoded; a null page_id sorts below every id and stays null;
@@ -26,12 +29,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.operators.joins import split_join
+
 REVISIT_BYTES = 1000
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
@@ -39,9 +45,13 @@ RECORDS_PER_FILE = 1000
 #: One date for all records, so that reruns write equal archives but for nonces.
 WARC_DATE = "2026-01-11T00:00:00Z"
 END = b"\r\n\r\n"
+#: The page that a revisit of this writer refers to (its record's nonce is not known where the revisit is written).
+REFERS = "X-Refers-To-Page"
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-RECORD = "page_id bigint, kind string, refers bigint, digest string, origin string, segment int, total bigint, block binary"
+RECORD = "page_id bigint, kind string, refers bigint, digest string, origin string, segment int, total bigint, block binary, target string, names string"
+CHUNK = 1 << 20
+BATCH_BYTES = 4 << 20
 
 
 class WarcError(ValueError):
@@ -77,19 +87,21 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return ("WARC/1.1\r\n" + "\r\n".join(lines)).encode() + END + block
 
 
-def page_records(page_id: int | None, url: str, html: bytes, digest: str, refers: int | None) -> list[bytes]:
+def page_records(page_id: int | None, url: str, html: bytes, digest: str, refers: int | None, refers_url: str | None) -> list[bytes]:
     """The records of one page: a revisit, a response, or a response in segments."""
     import uuid
 
-    name = "null" if page_id is None else str(page_id)
-    rid = f"<urn:page:{name}:{uuid.uuid4().hex}>"
-    target = url.replace("\r", "%0D").replace("\n", "%0A")
+    def uri(text: str) -> str:
+        return text.replace("\r", "%0D").replace("\n", "%0A")
+
+    rid = f"<urn:page:{'null' if page_id is None else page_id}:{uuid.uuid4().hex}>"
     sha1 = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
-    head = [("WARC-Record-ID", rid), ("WARC-Date", WARC_DATE), ("WARC-Target-URI", target), ("WARC-Payload-Digest", sha1)]
+    head = [("WARC-Record-ID", rid), ("WARC-Date", WARC_DATE), ("WARC-Target-URI", uri(url)), ("WARC-Payload-Digest", sha1)]
     http = ("Content-Type", "application/http; msgtype=response")
     if refers is not None:
         profile = ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        return [record([("WARC-Type", "revisit"), *head, profile, ("WARC-Refers-To", f"<urn:page:{refers}>"), http], HTTP_HEAD)]
+        named = [("WARC-Refers-To-Target-URI", uri(refers_url or "")), ("WARC-Refers-To-Date", WARC_DATE), (REFERS, str(refers))]
+        return [record([("WARC-Type", "revisit"), *head, profile, *named, http], HTTP_HEAD)]
     block = HTTP_HEAD + chunked(html)
     if len(block) <= SEGMENT_BYTES:
         return [record([("WARC-Type", "response"), *head, http], block)]
@@ -103,20 +115,27 @@ def page_records(page_id: int | None, url: str, html: bytes, digest: str, refers
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """``page_id, url, html, digest, refers`` (null for responses)."""
-    body = F.coalesce(F.col("html"), F.lit(""))
+    """``page_id, url, html, digest, refers, refers_url`` (refers null for responses).
+
+    Equal bodies find each other by digest and id only, and a digest that many pages share is
+    split; then what a page refers to meets its body under the page's own id and digest.
+    """
+    html = F.coalesce(F.col("html"), F.lit(""))
     base = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.coalesce(F.col("url"), F.lit("")).alias("url"),
-        body.alias("html"),
-        F.sha1(body).alias("digest"),
-        F.octet_length(body).alias("bytes"),
+        html.alias("html"),
+        F.sha1(html).alias("digest"),
+        F.octet_length(html).alias("bytes"),
     )
-    groups = base.filter(F.col("bytes") >= REVISIT_BYTES).groupBy("digest", "bytes")
-    # only ids and counts are shuffled here; bodies that stand alone need no partner
-    shared = groups.agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1 and top is not null").drop("n")
-    refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("top")), F.col("top"))
-    return base.join(shared, ["digest", "bytes"], "left").select("page_id", "url", "html", "digest", refers.alias("refers"))
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("page")
+    large = base.filter(F.col("bytes") >= REVISIT_BYTES).select("page_id", page, F.concat_ws(":", "digest", "bytes").alias("body"), "url")
+    last = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("top")
+    shared = large.groupBy("body").agg(last, F.count(F.lit(1)).alias("n")).filter("n > 1 and top is not null").drop("n")
+    own = split_join(large.select("page_id", "page", "body").distinct(), shared, "body", "inner").filter("page_id is null or page_id < top.page_id")
+    refers = own.select("page", "body", F.col("top.page_id").alias("refers"), F.col("top.url").alias("refers_url"))
+    rows = base.withColumns({"page": page, "body": F.concat_ws(":", "digest", "bytes")}).join(refers, ["page", "body"], "left")
+    return rows.select("page_id", "url", "html", "digest", "refers", "refers_url")
 
 
 def write(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
@@ -125,9 +144,8 @@ def write(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE)
     def build(batches):
         for batch in batches:
             out, size = [], 0
-            for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "refers"))):
-                page, url, html, digest, refers = row
-                made = page_records(page, url, html.encode(), digest, refers)
+            for page, url, html, digest, refers, refers_url in zip(*(c.to_pylist() for c in batch.columns)):
+                made = page_records(page, url, html.encode(), digest, refers, refers_url)
                 out += made
                 size += sum(map(len, made))
                 if size > (4 << 20):
@@ -141,103 +159,175 @@ def write(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE)
     writer.option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def unpacked(content: bytes):
+    """Chunks of an archive's bytes: as they are, or of all its gzip members one after the other."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    rest = memoryview(content)
+    while len(rest):
+        member, at = zlib.decompressobj(31), 0
+        while not member.eof:
+            if at >= len(rest) and not member.unconsumed_tail:
+                raise WarcError("gzip member cut short")
+            fed = member.unconsumed_tail or rest[at : at + CHUNK]
+            at += 0 if member.unconsumed_tail else len(fed)
+            yield member.decompress(fed, CHUNK)
+        rest = rest[at - len(member.unused_data) :]
+        # zeros may fill up the file behind its last member
+        if len(rest) and not any(rest[:2]) and not any(rest):
+            return
+
+
 def parse(content: bytes):
-    """``(headers, block)`` of every record of one archive (gzip or plain)."""
-    data = zlib.decompressobj(31).decompress(content) if content[:2] == b"\x1f\x8b" else content
-    at = 0
-    while at < len(data):
-        end = data.find(END, at)
-        if end < 0 or not data.startswith(b"WARC/1.", at):
+    """``(headers, block)`` of every record of one archive; header names in lower case."""
+    chunks, buf = unpacked(content), bytearray()
+
+    def more() -> bool:
+        for chunk in chunks:
+            if chunk:
+                buf.extend(chunk)
+                return True
+        return False
+
+    while True:
+        while len(buf) < 8 and more():
+            pass
+        while buf[:1] in (b"\r", b"\n"):
+            del buf[0]
+        if not buf and not more():
+            return
+        if not buf or buf[:1] in (b"\r", b"\n"):
+            continue
+        while (end := buf.find(END)) < 0 and more():
+            pass
+        if end < 0 or not buf.startswith(b"WARC/"):
             raise WarcError("record header missing")
-        head = dict(line.split(": ", 1) for line in data[at:end].decode().split("\r\n")[1:])
-        size = int(head["Content-Length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) != size or data[end + 4 + size : end + 8 + size] != END:
+        head, last = {}, None
+        for line in bytes(buf[:end]).decode().split("\r\n")[1:]:
+            if line[:1] in " \t" and last:  # a folded line goes on
+                head[last] += " " + line.strip()
+                continue
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            head[last] = value.strip()
+        try:
+            size = int(head["content-length"])
+        except (KeyError, ValueError) as e:
+            raise WarcError("record without a length") from e
+        while len(buf) < end + 4 + size and more():
+            pass
+        block = bytes(buf[end + 4 : end + 4 + size])
+        if len(block) != size:
             raise WarcError("record cut short")
+        del buf[: end + 4 + size]
         yield head, block
-        at = end + 8 + size
 
 
-def _page_of(uri: str) -> int | None:
-    name = uri.strip("<>").split(":")[2]
-    return None if name == "null" else int(name)
+def _page_of(uri: str | None) -> int | None:
+    """The page that an id of this writer names (null for all others)."""
+    found = re.fullmatch(r"<?urn:page:(-?[0-9]+):[0-9a-f]+>?", uri or "")
+    return int(found[1]) if found else None
+
+
+def _sha1(digest: str | None) -> str | None:
+    """Hexadecimal SHA-1 of a digest header (base 32 or hexadecimal); null for other algorithms."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    if re.fullmatch("[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex()
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives under ``path``, segments not yet joined."""
+    """Responses, revisits and segments of the archives under ``path``, segments not yet joined."""
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.string())
+    names = [c.split()[0] for c in RECORD.split(", ")]
+
+    def whole(head, key):
+        return int(head[key]) if key in head else None
 
     def run(batches):
+        rows, size = [], 0
         for batch in batches:
-            for content in batch.column(0).to_pylist():
-                rows = []
-                for head, block in parse(content):
-                    kind, own = head["WARC-Type"], head["WARC-Record-ID"]
-                    first = kind != "continuation"
-                    digest = head.get("WARC-Payload-Digest")
+            for content in batch.column(0):
+                for head, block in parse(content.as_buffer().to_pybytes()):
+                    kind, own, segment = head["warc-type"].lower(), head["warc-record-id"], whole(head, "warc-segment-number")
+                    if kind not in ("response", "revisit", "continuation") and segment is None:
+                        continue
+                    first, refers = kind != "continuation", whole(head, REFERS.lower())
                     rows.append(
-                        (
-                            _page_of(own) if first else None,
-                            kind,
-                            _page_of(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None,
-                            base64.b32decode(digest.removeprefix("sha1:")).hex() if digest else None,
-                            own if first else head["WARC-Segment-Origin-ID"],
-                            int(head["WARC-Segment-Number"]) if "WARC-Segment-Number" in head else None,
-                            int(head["WARC-Segment-Total-Length"]) if "WARC-Segment-Total-Length" in head else None,
-                            block,
-                        )
-                    )
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary())
-                cols = list(zip(*rows)) or [[]] * len(kinds)
-                names = [c.split()[0] for c in RECORD.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+                        (_page_of(own) if first else None, kind, refers, _sha1(head.get("warc-payload-digest")),
+                         own if first else head["warc-segment-origin-id"], segment, whole(head, "warc-segment-total-length"), block,
+                         head.get("warc-target-uri"), head.get("warc-refers-to"))
+                    )
+                    size += len(block)
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                        rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """``page_id, kind, refers, digest, parts, total``: one row per record, its segments in order."""
-    whole = records.filter("segment is null").select("page_id", "kind", "refers", "digest", F.array("block").alias("parts"), F.lit(None).cast("bigint").alias("total"))
+    """``page_id, kind, refers, digest, record, target, names, parts, total``: one row per response or revisit, its segments in order.
+
+    ``record`` is the record's id, ``names`` the id of what a revisit refers to.
+    """
+    kept = ["page_id", "kind", "refers", "digest", F.col("origin").alias("record"), "target", "names"]
+    whole = records.filter("segment is null").select(*kept, F.array("block").alias("parts"), F.lit(None).cast("bigint").alias("total"))
     ordered = F.array_sort(F.collect_list(F.struct("segment", "block")))
+    first = F.col("kind") != "continuation"
     joined = (
         records.filter("segment is not null")
         .groupBy("origin")
         .agg(
-            *(F.max(c).alias(c) for c in ("page_id", "refers", "digest", "total")),
-            F.count_if(F.col("kind") == "response").alias("firsts"),
+            *(F.max(c).alias(c) for c in ("page_id", "refers", "digest", "total", "names")),
+            *(F.max(F.when(first, F.col(c))).alias(c) for c in ("kind", "target")),
+            F.count_if(first).alias("firsts"),
             F.max("segment").alias("last"),
             F.count_distinct("segment").alias("different"),
             ordered.alias("segments"),
         )
+        .filter("kind is null or kind in ('response', 'revisit')")
     )
     sound = (F.col("firsts") == 1) & (F.col("last") == F.size("segments")) & (F.col("different") == F.size("segments")) & F.col("total").isNotNull()
     parts = F.when(sound, F.col("segments.block")).otherwise(F.raise_error(F.concat(F.lit("segments of "), "origin", F.lit(" do not add up"))))
-    return whole.unionByName(joined.select("page_id", F.lit("response").alias("kind"), "refers", "digest", parts.alias("parts"), "total"))
+    return whole.unionByName(joined.select(*kept, parts.alias("parts"), "total"))
 
 
 def decode(rows: DataFrame) -> DataFrame:
-    """``page_id, record_type, refers_to, payload_digest, payload_bytes, payload`` (null for revisits)."""
+    """``page_id, record_type, refers_to, payload_digest, payload_bytes, payload, record, target, names`` (payload null for revisits)."""
+    kind_of = (
+        "page_id bigint, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary, "
+        "record string, target string, names string"
+    )
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.string(), pa.string())
+    names = [c.split()[0] for c in kind_of.split(", ")]
 
     def run(batches):
         for batch in batches:
             out = []
-            for page, kind, refers, digest, parts, total in zip(*(c.to_pylist() for c in batch.columns)):
+            for page, kind, refers, digest, record, target, named, parts, total in zip(*(c.to_pylist() for c in batch.columns)):
                 block = b"".join(parts)
                 if total is not None and len(block) != total:
-                    raise WarcError(f"page {page}: {len(block)} bytes in segments, {total} declared")
+                    raise WarcError(f"{record}: {len(block)} bytes in segments, {total} declared")
                 head, _, framed = block.partition(END)
                 body = None
                 if kind == "response":
-                    body = unchunked(framed) if b"transfer-encoding: chunked" in head.lower() else framed
-                    if hashlib.sha1(body).hexdigest() != digest:
-                        raise WarcError(f"page {page}: payload digest differs")
-                out.append((page, kind, refers, digest, None if body is None else len(body), body))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
-            names = ["page_id", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
-            cols = list(zip(*out)) or [[]] * 6
+                    body = unchunked(framed) if re.search(rb"(?im)^transfer-encoding:[^\r\n]*chunked", head) else framed
+                    found = hashlib.sha1(body).hexdigest()
+                    if digest is not None and found != digest:
+                        raise WarcError(f"{record}: payload digest differs")
+                    digest = found
+                out.append((page, kind, refers, digest, None if body is None else len(body), body, record, target, named))
+            cols = list(zip(*out)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    kind = "page_id bigint, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary"
-    return rows.mapInArrow(run, kind)
+    return rows.mapInArrow(run, kind_of)
 
 
 def digest_table(spark: SparkSession, decoded: DataFrame) -> DataFrame:
@@ -245,13 +335,19 @@ def digest_table(spark: SparkSession, decoded: DataFrame) -> DataFrame:
     from terrace.session import fresh_dir
 
     path = fresh_dir(spark, "warc-digests")
-    decoded.drop("payload").write.parquet(path)
+    decoded.drop("payload", "target").write.parquet(path)
     rows = spark.read.parquet(path)
-    answers = rows.filter("record_type = 'response'").groupBy("page_id", "payload_digest").agg(F.max("payload_bytes").alias("full"))
-    answers = answers.select(F.col("page_id").alias("refers_to"), "payload_digest", "full")
-    revisits = rows.filter("record_type = 'revisit'").join(answers, ["refers_to", "payload_digest"], "left")
-    missing = F.raise_error(F.concat(F.lit("no response for the revisit of page "), F.coalesce(F.col("refers_to").cast("string"), F.lit("null"))))
-    revisits = revisits.withColumn("payload_bytes", F.coalesce("full", missing.cast("bigint")))
+    # a revisit names its response by page and digest (this writer's) or by record id
+    by_page = F.when(F.col("refers_to").isNotNull(), F.concat_ws(":", F.lit("page"), "refers_to", "payload_digest"))
+    revisits = rows.filter("record_type = 'revisit'").withColumn("key", F.coalesce(by_page, "names"))
+    keys = F.array(F.concat_ws(":", F.lit("page"), "page_id", "payload_digest"), F.col("record"))
+    answers = rows.filter("record_type = 'response'").select(F.explode(keys).alias("key"), F.col("payload_bytes").alias("full"), F.col("payload_digest").alias("found"))
+    # one row for every response that is referred to, whatever the size of a group of copies
+    answers = answers.join(revisits.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.max("full").alias("full"), F.max("found").alias("found"))
+    missing = F.raise_error(F.concat(F.lit("no response for the revisit "), F.coalesce("record", F.lit("null"))))
+    revisits = split_join(revisits, answers, "key", "left").withColumns(
+        {"payload_bytes": F.coalesce("full", missing.cast("bigint")), "payload_digest": F.coalesce("payload_digest", "found")}
+    )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return rows.filter("record_type = 'response'").select(columns).unionByName(revisits.select(columns))
 

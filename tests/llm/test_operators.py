@@ -253,6 +253,74 @@ def test_warc_roundtrip(spark):
         list(warc.parse(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nshort"))
 
 
+def warc_record(kind, rid, block, *more):
+    lines = [("WARC-Type", kind), ("warc-record-id", rid), ("WARC-Date", "2020-01-01T00:00:00Z"), *more, ("CONTENT-LENGTH", len(block))]
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_records():
+    """An archive as other tools write it: opaque ids, headers in any case, types to pass over, a record in segments."""
+    import base64
+    import uuid
+
+    ids = [f"<urn:uuid:{uuid.UUID(int=i)}>" for i in range(8)]
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    big = http + b"0123456789" * 500
+    digest = "sha1:" + base64.b32encode(hashlib.sha1(b"first").digest()).decode()
+    records = [
+        warc_record("warcinfo", ids[0], b"software: x\r\n"),
+        warc_record("request", ids[1], b"GET / HTTP/1.1\r\n\r\n", ("WARC-Target-URI", "http://a/")),
+        warc_record("response", ids[2], http + b"first", ("WARC-Target-URI", "http://a/"), ("warc-payload-digest", digest)),
+        warc_record("response", ids[3], big[:2000], ("WARC-Segment-Number", 1), ("WARC-Target-URI", "http://b/")),
+        warc_record("continuation", ids[4], big[2000:4000], ("WARC-Segment-Origin-ID", ids[3]), ("WARC-Segment-Number", 2)),
+        warc_record("continuation", ids[5], big[4000:], ("WARC-Segment-Origin-ID", ids[3]), ("WARC-Segment-Number", 3), ("WARC-Segment-Total-Length", len(big))),
+        warc_record("revisit", ids[6], http, ("WARC-Refers-To", ids[2]), ("WARC-Target-URI", "http://c/")),
+        warc_record("resource", ids[7], b"x" * 10, ("WARC-Segment-Number", 1)),
+    ]
+    return records, ids
+
+
+@pytest.mark.parametrize("form", ["plain", "one stream", "members", "members and zeros"])
+def test_warc_of_other_writers(spark, scratch, form):
+    import gzip
+    import os
+
+    records, ids = foreign_records()
+    data = {"plain": b"".join(records), "one stream": gzip.compress(b"".join(records))}.get(form, b"".join(map(gzip.compress, records)))
+    os.makedirs(scratch + "/w")
+    with open(scratch + "/w/a.warc" + ("" if form == "plain" else ".gz"), "wb") as f:
+        f.write(data + (b"\0" * 512 if "zeros" in form else b""))
+    assert [h["warc-type"] for h, _ in warc.parse(data)] == ["warcinfo", "request", "response", "response", "continuation", "continuation", "revisit", "resource"]
+    decoded = warc.decode(warc.reassemble(warc.read_records(spark, scratch + "/w")))
+    got = {r["record"]: r for r in decoded.collect()}
+    assert set(got) == {ids[2], ids[3], ids[6]}
+    assert bytes(got[ids[2]]["payload"]) == b"first" and bytes(got[ids[3]]["payload"]) == b"0123456789" * 500 and got[ids[6]]["payload"] is None
+    assert {r["target"] for r in got.values()} == {"http://a/", "http://b/", "http://c/"} and got[ids[2]]["page_id"] is None
+    table = sorted((r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in warc.digest_table(spark, decoded).collect())
+    first = hashlib.sha1(b"first").hexdigest()
+    assert table == sorted([("response", 5, first), ("revisit", 5, first), ("response", 5000, hashlib.sha1(b"0123456789" * 500).hexdigest())])
+
+
+def test_warc_cut_members_raise():
+    import gzip
+
+    records, _ = foreign_records()
+    data = b"".join(map(gzip.compress, records))
+    with pytest.raises(warc.WarcError):
+        list(warc.parse(data[:-5]))
+    with pytest.raises(warc.WarcError):
+        list(warc.parse(records[0] + records[2][:-8]))
+
+
+def test_warc_of_one_body_on_most_pages(spark):
+    """Two thirds of the pages are one error page; columns whose names clash with results are not read."""
+    rows = [(i, "u", "error page " * 200 if i % 3 else f"page {i} " * 300, "x", 1) for i in range(300)] + [(None, None, "error page " * 200, "y", 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, refers long").repartition(5)
+    got = warc.roundtrip(spark, pages).collect()
+    assert len(got) == 301 and sum(r["record_type"] == "revisit" and r["refers_to"] == 299 for r in got) == 200
+    assert all(r["payload_bytes"] == 2200 for r in got if r["record_type"] == "revisit")
+
+
 def test_warc_lost_segment_raises(spark, scratch):
     pages = spark.createDataFrame([(1, "u", "z" * 70000)], "page_id long, url string, html string")
     warc.write(pages, scratch + "/w")
