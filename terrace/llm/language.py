@@ -6,7 +6,8 @@ A word of a text is drawn from one of the languages: its likelihood under a
 language is that of its trigrams, word borders included. Expectation-maximisation
 estimates the document's language proportions; the language set is the one of
 least ``-2 log likelihood + languages * log(words)`` among the best single language
-and the sets grown from it, one language at a time, in the order of what they gain.
+and the sets grown from it: always by the language that gains most over the current
+mixture, for as long as the penalised likelihood falls, however many that are.
 The answer is the language of the largest proportion in that set, the score that
 proportion.
 
@@ -27,7 +28,8 @@ from terrace.llm import words as W
 
 BUCKETS = 1 << 15
 EM_STEPS = 12
-MAX_SET = 4
+#: Share at which a further language is tried.
+TRIAL = 0.1
 UNKNOWN = "und"
 
 
@@ -126,11 +128,11 @@ class Languages:
             return pi
         # second language: the one that gains most at a small share; then EM over the two
         ratio = np.exp(np.clip(like - np.take_along_axis(like, lead[word][:, None], axis=1), -60, 60))
-        gain = np.add.reduceat(np.log(0.9 + 0.1 * ratio), first, axis=0, dtype=np.float64)
+        gain = np.add.reduceat(np.log(1 - TRIAL + TRIAL * ratio), first, axis=0, dtype=np.float64)
         gain[np.arange(n), lead] = -np.inf
-        ranked = np.argsort(-gain, axis=1, kind="stable")
-        r = np.take_along_axis(ratio, ranked[:, 0][word][:, None], axis=1)[:, 0]
-        share = np.full(n, 0.1, dtype=np.float32)
+        second = gain.argmax(axis=1)
+        r = np.take_along_axis(ratio, second[word][:, None], axis=1)[:, 0]
+        share = np.full(n, TRIAL, dtype=np.float32)
         for _ in range(EM_STEPS):
             odds = share[word] * r
             share = (np.add.reduceat(odds / (1 - share[word] + odds), first, dtype=np.float64) / counts).astype(np.float32)
@@ -139,27 +141,43 @@ class Languages:
         rows = np.flatnonzero(value < cost)
         pi[rows] = 0
         pi[rows, lead[rows]] = 1 - share[rows]
-        pi[rows, ranked[rows, 0]] += share[rows]
+        pi[rows, second[rows]] += share[rows]
         cost[rows] = value[rows]
-        # larger sets, for the texts in which two languages paid
-        for k in range(3, min(MAX_SET, langs) + 1):
+        # larger sets, for the texts in which one more language paid
+        active = np.zeros((n, langs))
+        active[np.arange(n), lead] = 1
+        active[np.arange(n), second] = 1
+        for k in range(3, langs + 1):
             if not len(rows):
                 break
-            active = np.zeros((len(rows), langs))
-            active[np.arange(len(rows)), lead[rows]] = 1
-            np.put_along_axis(active, ranked[rows, : k - 1], 1.0, axis=1)
-            mixed, fit = self._em(ratio, active, rows, first, counts)
+            active[rows, self._most_gain(ratio, pi[rows], active[rows], rows, first, counts)] = 1
+            mixed, fit = self._em(ratio, active[rows], rows, first, counts)
             value = -2 * (base[rows] + fit) + k * size[rows]
             win = value < cost[rows]
             rows, mixed, value = rows[win], mixed[win], value[win]
             pi[rows], cost[rows] = mixed, value
         return pi
 
+    @staticmethod
+    def _words_of(rows: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of some texts, the text (by its place in ``rows``) of each, and where each text begins among them."""
+        n = counts[rows]
+        return W.ragged(first[rows], n), np.repeat(np.arange(len(rows)), n), np.concatenate([[0], np.cumsum(n)])[:-1]
+
+    def _most_gain(self, ratio, pi, active, rows, first, counts) -> np.ndarray:
+        """For each text the language outside its set that gains most when it takes a small share of the current mixture."""
+        at, w, begin = self._words_of(rows, first, counts)
+        q = ratio[at]
+        now = np.maximum((q * pi[w]).sum(axis=1), 1e-30)
+        gain = np.add.reduceat(np.log(1 - TRIAL + TRIAL * q / now[:, None]), begin, axis=0, dtype=np.float64)
+        gain[active > 0] = -np.inf
+        return gain.argmax(axis=1)
+
     def _em(self, ratio, active, rows, first, counts) -> tuple[np.ndarray, np.ndarray]:
         """Proportions over each row's active languages and the log-likelihood against its lead."""
         n = counts[rows]
-        q = ratio[W.ragged(first[rows], n)]
-        w, begin = np.repeat(np.arange(len(rows)), n), np.concatenate([[0], np.cumsum(n)])[:-1]
+        at, w, begin = self._words_of(rows, first, counts)
+        q = ratio[at]
         pi = active / active.sum(axis=1, keepdims=True)
         for _ in range(EM_STEPS):
             joint = q * pi[w]
@@ -190,7 +208,7 @@ def identify(docs: DataFrame, model: Languages) -> DataFrame:
             lead = pi.argmax(axis=1) if model.names else np.zeros(len(ok), np.int64)
             names = [model.names[k] if good else UNKNOWN for k, good in zip(lead.tolist(), ok.tolist())]
             score = np.where(ok, pi.max(axis=1), 0.0) if model.names else np.zeros(len(ok))
-            sets = [",".join(n for n, x in zip(model.names, row) if x > 0.01) if good else "" for row, good in zip(pi.tolist(), ok.tolist())]
+            sets = [",".join(n for n, x in zip(model.names, row) if x > 0) if good else "" for row, good in zip(pi.tolist(), ok.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(sets, pa.string())],
                 names=["doc_id", "lang_pred", "score", "langs"],

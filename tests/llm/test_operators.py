@@ -434,6 +434,50 @@ def test_toxicity_learns_words_and_ignores_groups(spark, empty):
     assert toxicity.score(docs, none).filter("score >= 0.5").count() == 0
 
 
+def five_languages():
+    """Training texts of five invented languages of their own letters, and one word of each."""
+    rng = np.random.default_rng(8)
+    letters = ["abcde", "fghij", "klmno", "pqrst", "uvwxy"]
+    words = [["".join(rng.choice(list(abc), 5)) for _ in range(60)] for abc in letters]
+    shared = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxy"), 5)) for _ in range(20)]
+    train = [(" ".join(rng.choice(w + shared, 3000)), f"L{k}") for k, w in enumerate(words)]
+    return rng, words, shared, train
+
+
+def test_language_sets_equal_the_best_of_all_subsets(spark):
+    rng, words, shared, train = five_languages()
+    rows = [*train, (None, "L0"), ("no language", None)]
+    training = spark.createDataFrame([(*r, 1) for r in rows], "text string, lang string, n int").filter("lang is not null")
+    model = language.Languages.fit(training)
+    assert model.names == [f"L{k}" for k in range(5)]
+    for size in (1, 2, 3, 4, 5, 5, 3):
+        for _ in range(4):
+            chosen = rng.choice(5, size, replace=False)
+            text = " ".join(str(rng.choice(words[k] + shared)) for k in rng.permutation(np.repeat(chosen, 40)))
+            cut = W.cut(pa.array([text]), W.ALNUM_LOWER)
+            like = model.word_likelihoods(cut).astype(np.float64)
+            best = (np.inf, None, None)
+            for subset in itertools.chain.from_iterable(itertools.combinations(range(5), k) for k in range(1, 6)):
+                p, q = np.full(len(subset), 1 / len(subset)), np.exp(like[:, subset] - like.max(axis=1)[:, None])
+                for _ in range(300):
+                    joint = q * p
+                    p = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+                fit = (np.log((q * p).sum(axis=1)) + like.max(axis=1)).sum()
+                best = min(best, (-2 * fit + len(subset) * math.log(len(like)), subset, tuple(p)), key=lambda x: x[0])
+            pi, ok = model.mixtures(model.word_likelihoods(cut), cut.ptr)
+            assert ok[0] and set(np.flatnonzero(pi[0])) == set(best[1]) == set(chosen.tolist())
+            assert np.allclose(pi[0][list(best[1])], best[2], atol=0.02)
+
+
+def test_language_ties_and_clashing_names(spark):
+    _, words, _, train = five_languages()
+    model = language.Languages.fit(spark.createDataFrame([(train[1][0], "b"), (train[1][0], "a")], "text string, lang string"))
+    kind = "doc_id long, text string, lang string, score string, langs int"
+    texts = spark.createDataFrame([(1, " ".join(words[1]), "x", "s", 2), (1, " ".join(words[1]), "x", "s", 2), (None, "é", None, None, None)], kind)
+    got = sorted((str(r["doc_id"]), r["lang_pred"], r["langs"]) for r in language.identify(texts, model).collect())
+    assert got == [("1", "a", "a"), ("1", "a", "a"), ("None", "a", "a")]
+
+
 def test_language_held_out_accuracy_and_mixtures(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = toxicity.held_out(F.col("doc_id"), 5, 0)
