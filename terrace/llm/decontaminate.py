@@ -4,14 +4,19 @@
 per shard (a bounded slice of documents) with, for every term, the sorted word
 positions of all its occurrences in that shard. Positions of consecutive
 documents are kept more than a window apart, so an offset can never lead from
-one document into the next. ``search`` takes test windows in blocks of bounded
-size, and in every shard intersects the offset-adjusted position lists of a
-window from its rarest term on: a candidate start survives while each further
-term stands at its offset. With ``slop`` above 0 a term may stand that many
-words off its place (proximity match).
+one document into the next. The index holds all terms, whatever is searched for.
+
+``window_blocks`` cuts the test items into windows on the executors, brings equal
+windows together and deals them to blocks of bounded size. Block after block goes to
+all shards (a job of its own, whose hits are written): in every shard the
+offset-adjusted position lists of a window are intersected from its rarest term on.
+A candidate start survives while each further term stands at its offset. With ``slop``
+above 0 proximity matches are reported too: a start from which every term stands at
+most that many words off its place, the rarest one included, so what matches does not
+depend on how documents were dealt to shards.
 
 A shard is built and searched by one task on its own, so a lost executor costs
-those shards again and no key is shuffled at all.
+those shards again; only hits are shuffled, by document.
 
 Edge cases: a null or empty text has no words (0 hits, not contaminated); an
 item without words has no window; an item of fewer words than a window is one
@@ -24,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,44 +51,56 @@ INDEX = (
     "shard string, ids array<bigint>, bases array<int>, n_words array<int>, "
     "terms array<bigint>, ptr array<int>, positions array<int>"
 )
-HITS = "doc_id bigint, shard string, ord int, n_words bigint, spans array<int>, items array<string>, near array<string>"
-
-
-def vocabulary(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list]:
-    """Test windows in blocks: ``[(item id, window length, hashes), ...]``, at most BLOCK_WINDOWS each."""
-    block: dict[bytes, tuple[int, set]] = {}
-    for row in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        cut = W.cut(pa.array([row["t"]], pa.string()), W.ALNUM_LOWER)
-        n = len(cut.hash)
-        width = min(n, WINDOW)
-        for s in range(n - width + 1 if n else 0):
-            key = cut.hash[s : s + width].tobytes()
-            block.setdefault(key, (width, set()))[1].add(row["i"] if row["i"] is not None else "null")
-            if len(block) >= BLOCK_WINDOWS:
-                yield [(w, np.frombuffer(k, np.uint64), sorted(v)) for k, (w, v) in block.items()]
-                block = {}
-    if block:
-        yield [(w, np.frombuffer(k, np.uint64), sorted(v)) for k, (w, v) in block.items()]
-
-
-def build_index(docs: DataFrame, terms: np.ndarray | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Positional postings of ``docs`` by shard; with ``terms`` only those terms are stored."""
-    keep = None if terms is None else np.sort(np.asarray(terms, dtype=np.uint64))
+HITS = "shard string, ord int, spans array<int>, items array<string>, near array<string>"
+#: Words between two documents of a shard: more than a proximity match can bridge.
+GAP = WINDOW + 4 * SLOP
+
+
+def windows_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``width, terms, item``: every window of every item, its term hashes as bytes."""
+
+    def cut_items(batches):
+        for batch in batches:
+            for lo, hi in W.slices(batch.column(1)):
+                cut = W.cut(batch.column(1).slice(lo, hi - lo), W.ALNUM_LOWER)
+                items = [x if x is not None else "null" for x in batch.column(0).slice(lo, hi - lo).to_pylist()]
+                rows = []
+                for item, at, n in zip(items, cut.ptr[:-1].tolist(), cut.counts.tolist()):
+                    width = min(n, WINDOW)
+                    rows += [(width, cut.hash[s : s + width].tobytes(), item) for s in range(at, at + n - width + 1 if n else at)]
+                cols = list(zip(*rows)) or [[]] * 3
+                kinds = (pa.int32(), pa.binary(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["width", "terms", "item"])
+
+    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(cut_items, "width int, terms binary, item string")
+
+
+def window_blocks(spark: SparkSession, benchmark: DataFrame, most: int = BLOCK_WINDOWS) -> list[DataFrame]:
+    """Different windows with their items, dealt to written blocks of about ``most`` windows."""
+    path = fresh_dir(spark, "test-windows")
+    windows_of(benchmark).groupBy("width", "terms").agg(F.array_sort(F.collect_set("item")).alias("items")).write.parquet(path)
+    windows = spark.read.parquet(path)
+    n = -(-windows.count() // most)
+    if n <= 1:
+        return [windows] * n
+    path = fresh_dir(spark, "test-blocks")
+    windows.withColumn("block", F.pmod(F.xxhash64("terms"), F.lit(n))).write.partitionBy("block").parquet(path)
+    return [spark.read.parquet(path).filter(F.col("block") == b).drop("block") for b in range(n)]
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Positional postings of ``docs`` by shard."""
 
     def shards(batches):
         import uuid
 
         for part, cut in W.cut_batches(batches, W.ALNUM_LOWER, most=SHARD_BYTES):
             n = cut.counts
-            bases = np.concatenate([[0], np.cumsum(n + WINDOW + SLOP)])[:-1]
+            bases = np.concatenate([[0], np.cumsum(n + GAP)])[:-1]
             place = np.arange(len(cut.hash)) - np.repeat(cut.ptr[:-1] - bases, n)
-            h = cut.hash
-            if keep is not None:
-                at = np.minimum(np.searchsorted(keep, h), max(len(keep) - 1, 0))
-                here = keep[at] == h if len(keep) else np.zeros(len(h), bool)
-                h, place = h[here], place[here]
-            order = np.argsort(h, kind="stable")
-            h, place = h[order], place[order]
+            order = np.argsort(cut.hash, kind="stable")
+            h, place = cut.hash[order], place[order]
             cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -107,7 +123,7 @@ class ShardIndex:
 
     def __init__(self, terms: np.ndarray, ptr: np.ndarray, positions: np.ndarray):
         self.terms, self.ptr, self.positions = terms, ptr.astype(np.int64), positions.astype(np.int64)
-        self.span = np.int64(int(positions.max()) + 4 * (WINDOW + SLOP) if len(positions) else 1)
+        self.span = np.int64(int(positions.max()) + 4 * GAP if len(positions) else 1)
         # one sorted array of (term, position) answers "does this term stand here"
         self.keys = np.repeat(np.arange(len(terms), dtype=np.int64), np.diff(self.ptr)) * self.span + self.positions
 
@@ -117,20 +133,23 @@ class ShardIndex:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return np.where(self.terms[at] == hashes, at, -1)
 
-    def match(self, windows: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """``(window, start)`` of every match; ``windows`` is a matrix of term hashes, a row a window."""
+    def match(self, windows: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(window, start, place of its rarest term)`` of every match; ``windows`` is a matrix of term hashes, a row a window."""
         ids = self.lookup(windows)
         full = np.flatnonzero((ids >= 0).all(axis=1))
         ids = ids[full]
         if not len(full):
-            return full, full
+            return full, full, full
         lengths = self.ptr[ids + 1] - self.ptr[ids]
         order = np.argsort(lengths, axis=1, kind="stable")  # rarest first
         rows = np.arange(len(full))
         first = ids[rows, order[:, 0]]
         n = lengths[rows, order[:, 0]]
         which = np.repeat(rows, n)
-        start = self.positions[W.ragged(self.ptr[first], n)] - order[which, 0]
+        anchor = self.positions[W.ragged(self.ptr[first], n)]
+        moves = np.arange(-slop, slop + 1)
+        which, anchor = np.repeat(which, len(moves)), np.repeat(anchor, len(moves))
+        start = anchor - order[which, 0] + np.tile(moves, len(which) // len(moves))
         for k in range(1, windows.shape[1]):
             if not len(which):
                 break
@@ -140,74 +159,70 @@ class ShardIndex:
             at = np.minimum(np.searchsorted(self.keys, base + np.maximum(place - slop, 0)), len(self.keys) - 1)
             there = self.keys[at] - base
             ok = (there >= place - slop) & (there <= place + slop) & (there >= 0)
-            which, start = which[ok], start[ok]
-        return full[which], start
+            which, start, anchor = which[ok], start[ok], anchor[ok]
+        return full[which], start, anchor
 
 
-def search(index: DataFrame, block: list, slop: int = SLOP) -> DataFrame:
-    """One row per document of the index: hit spans (start, end by word) and the items they come from."""
+def search(index: DataFrame, block: pa.Table, slop: int = SLOP) -> DataFrame:
+    """One row per document with a hit: spans (start, end by word), the items they come from, and those of proximity matches."""
     by_width: dict[int, tuple[np.ndarray, list]] = {}
-    grouped = defaultdict(list)
-    for width, hashes, items in block:
-        grouped[width].append((hashes, items))
-    for width, found in grouped.items():
-        by_width[width] = (np.stack([h for h, _ in found]), [i for _, i in found])
+    widths = block.column("width").to_numpy()
+    for width in np.unique(widths).tolist():
+        of = block.filter(pa.array(widths == width))
+        terms = np.frombuffer(b"".join(of.column("terms").to_pylist()), np.uint64).reshape(-1, width)
+        by_width[width] = (terms, of.column("items").to_pylist())
 
     def probe(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {n: batch.column(n)[k].values for n in ("ids", "bases", "n_words", "terms", "ptr", "positions")}
-                arrays = {n: v.to_numpy(zero_copy_only=False) for n, v in row.items() if n != "ids"}
-                shard = ShardIndex(arrays["terms"].view(np.uint64), arrays["ptr"], arrays["positions"])
-                bases, n_words = arrays["bases"].astype(np.int64), arrays["n_words"]
+                bases, terms, ptr, positions = (batch.column(n)[k].values.to_numpy(zero_copy_only=False) for n in ("bases", "terms", "ptr", "positions"))
+                shard, bases = ShardIndex(terms.view(np.uint64), ptr, positions), bases.astype(np.int64)
                 spans, exact, near = defaultdict(list), defaultdict(set), defaultdict(set)
                 for width, (windows, items) in by_width.items():
-                    w, s = shard.match(windows)
-                    doc = np.searchsorted(bases, s, side="right") - 1
+                    w, s, place = shard.match(windows)
+                    doc = np.searchsorted(bases, place, side="right") - 1
                     for a, b, d in zip(w.tolist(), (s - bases[doc]).tolist(), doc.tolist()):
                         spans[d] += [b, b + width]
                         exact[d].update(items[a])
                     if slop:
-                        w, s = shard.match(windows, slop)
-                        doc = np.searchsorted(bases, s + slop, side="right") - 1
-                        for a, d in zip(w.tolist(), np.maximum(doc, 0).tolist()):
+                        w, s, place = shard.match(windows, slop)
+                        doc = np.searchsorted(bases, place, side="right") - 1
+                        for a, d in set(zip(w.tolist(), doc.tolist())):
                             near[d].update(items[a])
-                n = len(n_words)
+                hit = sorted(spans.keys() | near.keys())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        row["ids"],
-                        pa.repeat(pa.scalar(batch.column("shard")[k].as_py()), n),
-                        pa.array(np.arange(n), pa.int32()),
-                        pa.array(n_words, pa.int64()),
-                        pa.array([spans.get(d, []) for d in range(n)], pa.list_(pa.int32())),
-                        pa.array([sorted(exact.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                        pa.array([sorted(near.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+                        pa.repeat(batch.column("shard")[k], len(hit)),
+                        pa.array(hit, pa.int32()),
+                        pa.array([spans.get(d, []) for d in hit], pa.list_(pa.int32())),
+                        pa.array([sorted(exact.get(d, ())) for d in hit], pa.list_(pa.string())),
+                        pa.array([sorted(near.get(d, ())) for d in hit], pa.list_(pa.string())),
                     ],
-                    names=["doc_id", "shard", "ord", "n_words", "spans", "items", "near"],
+                    names=["shard", "ord", "spans", "items", "near"],
                 )
 
-    return index.mapInArrow(probe, HITS)
+    return index.select("shard", "bases", "terms", "ptr", "positions").mapInArrow(probe, HITS)
 
 
 def contamination(hits: DataFrame) -> DataFrame:
-    """Per document: words hit (union of its spans), items, and the 5 % rule."""
+    """Per document: words hit (union of its spans), items, the 5 % rule, and items that match exactly or nearby."""
 
     def report(batches):
         for batch in batches:
             out = defaultdict(list)
             for doc, n, spans, items, near in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_words", "spans", "items", "near"))):
-                cover, reach = 0, 0
+                cover, reach, spans = 0, 0, spans or []
                 for s, e in sorted(zip(spans[::2], spans[1::2])):
                     cover += max(0, e - max(s, reach))
                     reach = max(reach, e)
-                names = sorted(set(items))
+                names = sorted(set(items or ()))
                 out["doc_id"].append(doc)
                 out["n_words"].append(n)
                 out["n_hit"].append(cover)
                 out["n_items"].append(len(names))
                 out["items_sha256"].append(hashlib.sha256(",".join(names).encode()).hexdigest())
                 out["contaminated"].append(cover > 0 and 20 * cover >= n)
-                out["n_near_items"].append(len(set(near) | set(items)))
+                out["n_near_items"].append(len(set(near or ()) | set(names)))
             kinds = {"items_sha256": pa.string(), "contaminated": pa.bool_()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], names=list(out))
 
@@ -217,22 +232,18 @@ def contamination(hits: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> DataFrame:
+def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, slop: int = SLOP, most: int = BLOCK_WINDOWS) -> DataFrame:
     """Build and store the index of ``docs``, search every test window, report every document."""
-    blocks = vocabulary(benchmark)
-    first, second = next(blocks, []), next(blocks, None)
-    # one block of tests needs only its own terms; more blocks search one index of all terms
-    terms = None if second is not None else np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _ in first)]))
     path = fresh_dir(spark, "positional-index")
-    build_index(docs, terms).write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
-    found = search(spark.read.parquet(path), first, slop)
-    while second is not None:
-        found = found.unionByName(search(spark.read.parquet(path), second, slop))
-        second = next(blocks, None)
-        if second is None:
-            found = found.groupBy("shard", "ord").agg(
-                F.first("doc_id").alias("doc_id"),
-                F.first("n_words").alias("n_words"),
-                *(F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")),
-            )
-    return contamination(found)
+    build_index(docs).write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
+    index = spark.read.parquet(path)
+    found = fresh_dir(spark, "decontamination-hits")
+    spark.createDataFrame([], HITS).write.parquet(found)
+    for block in window_blocks(spark, benchmark, most):
+        # what a block holds is bounded; its job is done before the next block is read
+        search(index, block.toArrow(), slop).write.mode("append").parquet(found)
+    of_doc = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")]
+    hits = spark.read.parquet(found).groupBy("shard", "ord").agg(*of_doc)
+    every = index.select("shard", F.posexplode(F.arrays_zip("ids", "n_words")).alias("ord", "d"))
+    every = every.select("shard", "ord", F.col("d.ids").alias("doc_id"), F.col("d.n_words").cast("bigint").alias("n_words"))
+    return contamination(every.join(hits, ["shard", "ord"], "left").select("doc_id", "n_words", "spans", "items", "near"))

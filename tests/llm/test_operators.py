@@ -145,21 +145,30 @@ def test_decontamination(spark, docs, empty, texts):
     passage = texts[10][1].split()[40:100]
     items = [(1, " ".join(passage)), (2, " ".join(passage[:20]).upper()), (3, "two words"), (4, None), (5, "..."), (6, "absent words"), (3, "two words"), (None, "one")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted((tuple(r) for r in decontaminate.decontaminate(spark, docs, bench, slop=0).drop("n_near_items").collect()), key=repr)
+    windows = {}
+    for item, text in items:
+        q = alnum(text)
+        n = min(len(q), 13)
+        for k in range(len(q) - n + 1 if q else 0):
+            windows.setdefault(tuple(q[k : k + n]), set()).add("null" if item is None else str(item))
     want = []
     for doc, t in texts:
-        w, hit, names = alnum(t), set(), set()
-        for item, text in items:
-            q = alnum(text)
-            n = min(len(q), 13)
-            for k in range(len(q) - n + 1 if q else 0):
-                for i in range(len(w) - n + 1):
-                    if w[i : i + n] == q[k : k + n]:
-                        hit.update(range(i, i + n))
-                        names.add("null" if item is None else str(item))
+        w, hit, names, near = alnum(t), set(), set(), set()
+        for window, of in windows.items():
+            n = len(window)
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) == window:
+                    hit.update(range(i, i + n))
+                    names |= of
+            if set(window) <= set(w) and any(
+                all(x in w[max(0, i + o - 2) : max(0, i + o + 3)] for o, x in enumerate(window)) for i in range(-2, len(w) + 2)
+            ):
+                near |= of
         digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-        want.append((doc, len(w), len(hit), len(names), digest, bool(hit) and 20 * len(hit) >= len(w)))
-    assert got == sorted(want, key=repr)
+        want.append((doc, len(w), len(hit), len(names), digest, bool(hit) and 20 * len(hit) >= len(w), len(near)))
+    for most in (decontaminate.BLOCK_WINDOWS, 10):
+        got = sorted((tuple(r) for r in decontaminate.decontaminate(spark, docs, bench, most=most).collect()), key=repr)
+        assert got == sorted(want, key=repr)
     none = decontaminate.decontaminate(spark, docs, bench.filter("false"))
     assert none.agg(F.sum("n_hit")).first()[0] == 0 and none.count() == len(texts)
     assert decontaminate.decontaminate(spark, empty, bench).count() == 0
