@@ -64,7 +64,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    report = decontaminate.decontaminate(spark, keyed(docs), benchmark, slop=0)
+    report = decontaminate.decontaminate(spark, keyed(docs), benchmark)
     gone = report.filter("contaminated").select(F.col("doc_id").alias(KEY)).distinct()
     rows = docs.withColumn(KEY, key()).join(gone, KEY, "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
