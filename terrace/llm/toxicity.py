@@ -6,9 +6,10 @@
    the surest ones), identity terms aside: those are always in it.
 2. A logistic model over word presence, fitted on a bounded hash sample of the
    labelled training rows (``MAX_TRAIN`` rows). Every sentence that holds identity
-   terms is also scored with each term swapped for another term of its family;
-   the squared change of the logit is a penalty (counterfactual logit pairing),
-   so a neutral mention of a group does not move the score.
+   terms is also scored with each term swapped for another term of its family, and
+   with the term left out; the squared change of the logit is a penalty
+   (counterfactual logit pairing), so a neutral mention of a group does not move
+   the score. Nothing else holds the terms' weights down.
 3. Every whole text is scored by its executor: words are looked up in the sorted
    feature table. Labels, language, source and id never enter a score.
 
@@ -133,18 +134,40 @@ def training_matrix(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, n
     return np.repeat(np.arange(len(n)), n), feats.values.to_numpy(zero_copy_only=False), rows.column("toxic").to_numpy().astype(float)
 
 
+#: In place of an inserted term: the term is only left out.
+NOTHING = -1
+
+
 def counterfactuals(row: np.ndarray, feature: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, removed term, inserted term)`` for each identity term of a sentence and each swap."""
+    """``(row, removed term, inserted term)`` for each identity term of a sentence: each swap, and leaving it out.
+
+    A sentence that holds the inserted term already only loses the other.
+    """
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for family in IDENTITY_FAMILIES:
         ids = np.searchsorted(terms, hash_words([" ".join(family)]))
         for a in ids:
             here = row[feature == a]
-            for b in ids[ids != a]:
-                found.append((here, np.full(len(here), a), np.full(len(here), b)))
+            for b in (*ids[ids != a], NOTHING):
+                new = np.where(np.isin(here, row[feature == b]), NOTHING, b)
+                found.append((here, np.full(len(here), a), new))
     return tuple(np.concatenate([f[k] for f in found]) for k in range(3))
 
 
+def neutral_mentions(row: np.ndarray, feature: np.ndarray, label: np.ndarray, model: Model) -> tuple[float, float]:
+    """False-positive rates of neutral labelled sentences: of those that mention a group, and of the same with the term left out."""
+    n = len(label)
+    identity = np.zeros(len(model.terms), bool)
+    identity[np.searchsorted(model.terms, hash_words([" ".join(t for f in IDENTITY_FAMILIES for t in f)]))] = True
+    of_group = (np.bincount(row, identity[feature], minlength=n) > 0) & (label == 0)
+    limit = np.log(THRESHOLD / (1 - THRESHOLD))
+    rates = []
+    for weights in (model.weights, np.where(identity, 0.0, model.weights)):
+        z = model.bias + np.bincount(row, weights[feature], minlength=n)
+        rates.append(float((z[of_group] >= limit).mean()) if of_group.any() else 0.0)
+    return rates[0], rates[1]
+
+
 def fit(row: np.ndarray, feature: np.ndarray, label: np.ndarray, terms: np.ndarray) -> Model:
     """Full-batch Adam on log loss + ridge + pairing penalty over swapped identity terms."""
     n, d = len(label), len(terms)
@@ -152,20 +175,15 @@ def fit(row: np.ndarray, feature: np.ndarray, label: np.ndarray, terms: np.ndarr
     if not n or share in (0.0, 1.0):
         return Model(terms, np.zeros(d), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     _, gone, new = counterfactuals(row, feature, terms)
-    # identity terms are tied even where no labelled sentence holds them
-    for family in IDENTITY_FAMILIES:
-        ids = np.searchsorted(terms, hash_words([" ".join(family)]))
-        gone, new = np.append(gone, ids), np.append(new, np.roll(ids, 1))
+    there = new != NOTHING
     w, bias = np.zeros(d), float(np.log(share / (1 - share)))
     m, v, mb, vb = np.zeros(d), np.zeros(d), 0.0, 0.0
     for t in range(1, STEPS + 1):
         z = bias + np.bincount(row, w[feature], minlength=n)
         r = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label
         g = np.bincount(feature, r[row], minlength=d) / n + RIDGE * w
-        change = (w[gone] - w[new]) * (PAIRING / max(n, len(gone)))
-        g += np.bincount(gone, change, minlength=d) - np.bincount(new, change, minlength=d)
-        # an identity term on its own is neutral: its weight is pulled to zero with the pairing's force
-        g[np.unique(gone)] += PAIRING / 10 * w[np.unique(gone)]
+        change = (w[gone] - np.where(there, w[new], 0.0)) * (PAIRING / n)
+        g += np.bincount(gone, change, minlength=d) - np.bincount(new[there], change[there], minlength=d)
         gb = r.mean()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -193,12 +211,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """Every row of ``docs`` with its score, from its whole text, in the column ``name``."""
+    """Every row of ``docs`` with its score, from its whole text, in the column ``name`` (an input column of that name is replaced)."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.ALNUM_LOWER):
             p = 1 / (1 + np.exp(-np.clip(model.logits(cut), -30, 30)))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*part.schema.names, name])
 
+    docs = docs.drop(name)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{kinds}, `{name}` double")

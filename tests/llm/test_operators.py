@@ -443,6 +443,53 @@ def test_toxicity_learns_words_and_ignores_groups(spark, empty):
     assert toxicity.score(docs, none).filter("score >= 0.5").count() == 0
 
 
+def toxic_sentences():
+    """Labelled sentences in which groups stand in toxic ones only, and one sentence in ten that names a group is neutral."""
+    rng = np.random.default_rng(6)
+    texts, label = [], []
+    for i in range(1200):
+        toxic = i % 4 == 0
+        group = str(rng.choice(["muslim", "christian", "gay", "immigrant"])) if i % 8 == 0 or i % 80 == 3 else ""
+        bad = str(rng.choice(["vile", "rotten", "filthy"])) if toxic and i % 8 else ""
+        texts.append(" ".join([*map(str, rng.choice([f"p{k}" for k in range(60)], 12)), bad, group]))
+        label.append(float(toxic))
+    return texts, np.array(label)
+
+
+def test_toxicity_pairing_alone_frees_neutral_mentions(monkeypatch):
+    texts, label = toxic_sentences()
+    terms = np.unique(toxicity.hash_words([" ".join(f) for f in toxicity.IDENTITY_FAMILIES] + ["vile rotten filthy"] + [f"p{k}" for k in range(60)]))
+    cuts = [np.unique(np.searchsorted(terms, toxicity.hash_words([t]))) for t in texts]
+    row, feature = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts]), np.concatenate(cuts)
+    at = {w: int(np.searchsorted(terms, toxicity.hash_words([w]))[0]) for w in ("muslim", "christian", "gay", "immigrant", "buddhist", "vile")}
+    rates, weights = {}, {}
+    for pairing in (0.0, toxicity.PAIRING):
+        monkeypatch.setattr(toxicity, "PAIRING", pairing)
+        model = toxicity.fit(row, feature, label, terms)
+        rates[pairing] = toxicity.neutral_mentions(row, feature, label, model)
+        weights[pairing] = {w: model.weights[k] for w, k in at.items()}
+    paired = weights.pop(toxicity.PAIRING)
+    # without the penalty the groups themselves are evidence, and neutral mentions are hit; with it neither
+    assert min(weights[0.0][w] for w in ("muslim", "christian", "gay", "immigrant")) > 2 and rates[0.0][0] > 0.3
+    assert max(abs(paired[w]) for w in ("muslim", "christian", "gay", "immigrant", "buddhist")) < 0.5 and paired["vile"] > 2
+    assert rates[toxicity.PAIRING][0] == rates[toxicity.PAIRING][1] == 0.0
+
+
+def test_toxicity_swaps_of_a_sentence_that_names_two_groups():
+    terms = np.unique(toxicity.hash_words([" ".join(f) for f in toxicity.IDENTITY_FAMILIES]))
+    woman, man = (int(np.searchsorted(terms, toxicity.hash_words([w]))[0]) for w in ("woman", "man"))
+    row, gone, new = toxicity.counterfactuals(np.array([0, 0]), np.array(sorted([woman, man])), terms)
+    pairs = set(zip(gone.tolist(), new.tolist()))
+    assert set(row.tolist()) == {0} and (woman, man) not in pairs and {(woman, toxicity.NOTHING), (man, toxicity.NOTHING)} <= pairs and len(pairs) == 6
+
+
+def test_toxicity_of_a_table_with_a_score(spark):
+    model = toxicity.Model(np.unique(toxicity.hash_words(["vile"])), np.array([9.0]), -3.0)
+    docs = spark.createDataFrame([(1, "Vile, vile", 0.1, "x"), (1, "ok", 0.9, None), (None, None, None, "y")], "doc_id long, text string, score double, predicted string")
+    got = sorted((str(r["doc_id"]), r["score"] >= 0.7, r["predicted"]) for r in toxicity.score(docs, model).collect())
+    assert got == [("1", False, None), ("1", True, "x"), ("None", False, "y")]
+
+
 def five_languages():
     """Training texts of five invented languages of their own letters, and one word of each."""
     rng = np.random.default_rng(8)
