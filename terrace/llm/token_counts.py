@@ -6,8 +6,10 @@ non-space characters), so leaves are encoded on their own and their counts add u
 The tree keeps the sums of all subtrees in one array (node ``i`` has the children
 ``2i`` and ``2i + 1``, node 1 is the document). An edit replaces a span of
 characters. Leaves that it touches, and the neighbour where it comes within the two
-characters that make a cut safe, are encoded again as one region; all other leaves
-keep their counts, and the difference goes up the path to the root.
+characters that make a cut safe, are one region, which is cut into leaves and encoded
+again; all other leaves keep their counts. Where a region keeps its number of leaves the
+differences go up the paths to the root; where it does not, the sums above the leaves are
+added up anew. Text, leaves and sums after the edits are a tree for the next round.
 
 Trees are stored beside the texts, so a later edit needs no join and no encoding
 of what it does not touch. Edits of one document are spans of its stored text, are
@@ -119,18 +121,41 @@ def replace(text: str, start: int, end: int, edits: list[tuple[int, int, str]])
     return "".join([*parts, text[at:end]])
 
 
-def update(text: str, ends: list[int], tree: Tree, edits: list[tuple[int, int, str]], count) -> int:
-    """Apply ``edits`` to ``tree``; returns the characters encoded again."""
+def edited(text: str, ends: list[int], tree: Tree, edits: list[tuple[int, int, str]], count) -> tuple[str, list[int], Tree, int]:
+    """Text, leaf ends and tree after ``edits``, and the characters encoded again."""
     starts, again = [0, *ends[:-1]], 0
     edits = sorted(edits)
     if any(a[1] > b[0] for a, b in zip(edits, edits[1:])):
         raise ValueError("edits overlap")
+    old = tree.sums[tree.width : tree.width + len(ends)].tolist()
+    sizes = [b - a for a, b in zip(starts, ends)]
+    parts, counts, lengths, at, changed, in_place = [], [], [], 0, [], True
     for first, last, mine in regions(text, ends, edits):
         new = replace(text, starts[first], ends[last], mine)
         again += len(new)
-        tree.put(first, count(new))  # the region's leaves become one
-        for leaf in range(first + 1, last + 1):
-            tree.put(leaf, 0)
+        cuts = leaves(new)
+        in_place &= len(cuts) == last - first + 1
+        counts += old[at:first]
+        lengths += sizes[at:first]
+        changed += range(len(counts), len(counts) + len(cuts))
+        counts += [count(new[a:b]) for a, b in zip([0, *cuts[:-1]], cuts)]
+        lengths += [b - a for a, b in zip([0, *cuts[:-1]], cuts)]
+        parts += [text[starts[at] : starts[first]] if at < first else "", new]
+        at = last + 1
+    counts, lengths = counts + old[at:], lengths + sizes[at:]
+    parts.append(text[starts[at] :] if at < len(ends) else "")
+    if in_place:
+        for leaf in changed:
+            tree.put(leaf, counts[leaf])
+    else:
+        tree = Tree(counts)
+    return "".join(parts), np.cumsum(lengths).tolist(), tree, again
+
+
+def update(text: str, ends: list[int], tree: Tree, edits: list[tuple[int, int, str]], count) -> int:
+    """Apply ``edits`` to the counts of ``tree`` alone; returns the characters encoded again."""
+    _, _, new, again = edited(text, ends, tree, edits, count)
+    tree.sums, tree.width = new.sums, new.width
     return again
 
 
@@ -159,23 +184,37 @@ def with_trees(docs: DataFrame, vocabulary: str = VOCABULARY, text_col: str = "t
     return docs.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, f"{kinds}, {TREE}")
 
 
-def recount(trees: DataFrame, edits_of, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Counts before and after the edits that ``edits_of(text)`` lists, from the stored trees."""
+COUNTS = ("n_tokens", "n_edits", "n_tokens_after", "n_chars_encoded", "n_chars")
+
+
+def edit(trees: DataFrame, edits_of, vocabulary: str = VOCABULARY, keep_trees: bool = True) -> DataFrame:
+    """``doc_id``, the counts, and text, ``leaf_ends`` and ``sums`` after the edits that ``edits_of(text)`` lists (the next round's input).
+
+    ``n_tokens`` and ``n_chars`` are those before the edits. Without ``keep_trees`` only the counts.
+    """
+    names = ["doc_id", *COUNTS, *(["text", "leaf_ends", "sums"] if keep_trees else [])]
+    kinds = [*[pa.int64()] * 6, pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())][: len(names)]
 
     def run(batches):
         encode = encoder(vocabulary).encode_ordinary
         for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, whole.num_rows, 500)):
             out = []
             for doc, text, ends, sums in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "leaf_ends", "sums"))):
-                text = text or ""
-                tree = Tree(sums=np.array(sums, dtype=np.int64))
-                before = tree.total
-                edits = edits_of(text)
-                again = update(text, ends, tree, edits, lambda s: len(encode(s))) if edits else 0
-                out.append((doc, before, len(edits), tree.total, again, len(text)))
-            cols = list(zip(*out)) or [[]] * 6
-            names = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_encoded", "n_chars"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
-
-    kind = "doc_id bigint, n_tokens bigint, n_edits bigint, n_tokens_after bigint, n_chars_encoded bigint, n_chars bigint"
-    return trees.select("doc_id", "text", "leaf_ends", "sums").mapInArrow(run, kind)
+                whole, tree, again = text or "", Tree(sums=np.array(sums, dtype=np.int64)), 0
+                before, edits = tree.total, edits_of(whole)
+                n_chars = len(whole)
+                if edits:
+                    text, ends, tree, again = edited(whole, ends, tree, edits, lambda s: len(encode(s)))
+                row = (doc, before, len(edits), tree.total, again, n_chars)
+                out.append((*row, text, ends, tree.sums) if keep_trees else row)
+            cols = list(zip(*out)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    kind = ", ".join(f"{c} bigint" for c in names[:6]) + (f", text string, {TREE}" if keep_trees else "")
+    rows = trees.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "leaf_ends", "sums")
+    return rows.mapInArrow(run, kind)
+
+
+def recount(trees: DataFrame, edits_of, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Counts before and after the edits that ``edits_of(text)`` lists, from the stored trees."""
+    return edit(trees, edits_of, vocabulary, keep_trees=False)

@@ -421,6 +421,42 @@ def test_token_counts_follow_edits(spark, docs, empty, scratch):
     assert token_counts.with_trees(empty).count() == 0
 
 
+def test_token_trees_outlive_rounds_of_edits(spark, docs):
+    """Every round starts from the text, leaves and sums of the one before; counts of the operator's own rows equal full recounts."""
+    count = lambda s: len(token_counts.encoder(token_counts.VOCABULARY).encode_ordinary(s))
+    rng = np.random.default_rng(12)
+    text = " ".join(str(x) for x in rng.choice(["alpha", "42", "it's", "x\n y", "  ", "été", "..."], 6000))
+    ends = token_counts.leaves(text)
+    tree = token_counts.Tree([count(text[a:b]) for a, b in zip([0, *ends[:-1]], ends)])
+    for trial in range(25):
+        cuts = np.sort(rng.choice(len(text) + 1, 4, replace=False)).tolist()
+        edits = [(cuts[0], min(cuts[1], cuts[0] + 300), "grown " * int(rng.integers(0, 900))), (cuts[2], min(cuts[3], cuts[2] + 4000), str(rng.choice(["", " ", "\n"])))]
+        want = token_counts.replace(text, 0, len(text), sorted(edits))
+        text, ends, tree, again = token_counts.edited(text, ends, tree, edits, count)
+        assert text == want and ends[-1] == len(text) and ends == sorted(ends) and again < len(text) + 1
+        assert tree.total == count(text) == sum(count(text[a:b]) for a, b in zip([0, *ends[:-1]], ends))
+        assert max(b - a for a, b in zip([0, *ends[:-1]], ends)) < 2 * token_counts.LEAF_CHARS + 4500  # a region is cut into leaves again
+        assert tree.sums[tree.width : tree.width + len(ends)].tolist() == [count(text[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+
+    def cut_words(text):
+        return [(m.start(), m.end(), "") for m in re.finditer("w1[0-9] ", text)]
+
+    def put_lines(text):
+        return [(m.end(), m.end(), "\n42 more") for m in re.finditer("w2[0-9]", text)]
+
+    kind = "doc_id long, text string, n_tokens string, sums array<int>"
+    clashing = spark.createDataFrame([(r["doc_id"], r["text"], "x", [7]) for r in docs.select("doc_id", "text").collect()], kind)
+    first = token_counts.edit(token_counts.with_trees(clashing), cut_words)
+    second = token_counts.edit(first, put_lines)
+    whole = lambda t, edits: token_counts.replace(t, 0, len(t), edits(t))
+    want = collections.Counter()
+    for r in docs.select("doc_id", "text").collect():
+        once = whole(r["text"] or "", cut_words)
+        want[r["doc_id"], count(once), count(whole(once, put_lines)), whole(once, put_lines)] += 1
+    got = collections.Counter((r["doc_id"], r["n_tokens"], r["n_tokens_after"], r["text"] or "") for r in second.collect())
+    assert got == want
+
+
 def test_toxicity_learns_words_and_ignores_groups(spark, empty):
     rng = np.random.default_rng(1)
     plain, bad = [f"p{i}" for i in range(60)], ["vile", "rotten", "filthy"]
