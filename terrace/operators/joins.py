@@ -29,20 +29,24 @@ def frequent_keys(rows: DataFrame, on: str, share: float = SHARE) -> list:
     return sorted(keys.stat.freqItems([_KEY], support=share).first()[0] or [])
 
 
-def split_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", keys: list | None = None, salts: int = SALTS) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left", keys: list | None = None, salts: int = SALTS) -> DataFrame:
     """``left.join(right, on, how)`` with the frequent ``keys`` of ``left`` split (None: found by ``frequent_keys``).
 
+    Of several columns the first is the one whose frequent values are split.
+
     Equal in rows and columns to the plain join for ``left``, ``inner``, ``left_semi`` and ``left_anti``:
     every row of ``left`` stands in one place, and every row of ``right`` with its key in that
     place once. Rows of ``left`` with a null key match nothing and are spread as well.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"rows of the right side are repeated, so not a {how} join")
-    found = frequent_keys(left, on) if keys is None else keys
-    frequent = F.col(on).isin(found) if found else F.lit(False)
+    columns = [on] if isinstance(on, str) else list(on)
+    key = columns[0]
+    found = frequent_keys(left, key) if keys is None else keys
+    frequent = F.col(key).isin(found) if found else F.lit(False)
     # the place in the input, not the row's content: equal rows are spread too
     place = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    salted = left.withColumn(_SALT, F.when(frequent | F.col(on).isNull(), place).otherwise(F.lit(0)))
+    salted = left.withColumn(_SALT, F.when(frequent | F.col(key).isNull(), place).otherwise(F.lit(0)))
     places = F.when(frequent, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.filter(F.col(on).isNotNull()).withColumn(_SALT, F.explode(places))
-    return salted.join(repeated, [on, _SALT], how).drop(_SALT)
+    repeated = right.filter(F.col(key).isNotNull()).withColumn(_SALT, F.explode(places))
+    return salted.join(repeated, [*columns, _SALT], how).drop(_SALT)

@@ -65,6 +65,13 @@ def test_split_join_equals_the_plain_join(spark, how):
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_split_join_on_two_columns(spark):
+    rows, known = companies(spark, 3000)
+    rows, known = rows.withColumn("y", F.col("x") % 2), known.withColumn("y", F.col("porte") % 2)
+    split, plain = split_join(rows, known, ["cnpj_basico", "y"]), rows.join(known, ["cnpj_basico", "y"], "left")
+    assert split.columns == plain.columns and sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_split_join_without_frequent_keys_or_rows(spark):
     rows, known = companies(spark, 100)
     none = rows.limit(0)
@@ -96,6 +103,30 @@ def test_states_count_exactly_and_merge(spark):
     assert distinct_counts(distinct_state(df.limit(0), ["k"], "id"), ["k"], "n").collect() == []
 
 
+def test_sparse_and_full_buckets(spark):
+    """A bucket is a bitmap from DENSE numbers on; merging sparse, full and filling buckets stays exact."""
+    from terrace.operators.distinct_state import BUCKET_NUMBERS, DENSE
+
+    def numbers(k, first, n, step=1):
+        return spark.range(n).select(F.lit(k).alias("k"), F.lpad((F.col("id") * step + first).cast("string"), 8, "0").alias("id"))
+
+    def rows_of(state):
+        found = state.groupBy("k").agg(F.count("state_bits").alias("maps"), F.count("state_other").alias("others"))
+        return {r["k"]: (r["maps"], r["others"]) for r in found.collect()}
+
+    a = numbers("full", 0, DENSE).unionByName(numbers("sparse", 5, DENSE - 1)).unionByName(numbers("filling", 0, 200)).unionByName(numbers("wide", 0, 300, BUCKET_NUMBERS))
+    b = numbers("full", 100, DENSE - 1).unionByName(numbers("sparse", 5, DENSE - 1)).unionByName(numbers("filling", 150, 200))
+    first, second = distinct_state(a, ["k"], "id"), distinct_state(b, ["k"], "id")
+    assert rows_of(first) == {"full": (1, 0), "sparse": (0, DENSE - 1), "filling": (0, 200), "wide": (0, 300)}
+    both = merge_states([first, second], ["k"])
+    assert rows_of(both) == {"full": (1, 0), "sparse": (0, DENSE - 1), "filling": (1, 0), "wide": (0, 300)}
+    got = {r["k"]: r["n"] for r in distinct_counts(both, ["k"], "n").collect()}
+    assert got == {"full": 100 + DENSE - 1, "sparse": DENSE - 1, "filling": 350, "wide": 300}
+    # one exchange of the values: bitmaps are built where the set of a bucket stands
+    plan = plan_text(distinct_state(a, ["k"], "id").filter("state_bits is not null"), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_a_changed_part_is_counted_alone(spark, scratch):
     df = spark.range(1000).select(F.lit("g").alias("k"), F.lpad(F.col("id").cast("string"), 8, "0").alias("id"))
     store = StateStore(spark, f"{scratch}/state", ["k"], "id")
