@@ -36,21 +36,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 SQL_1 = f"""
-with d as (select row_number() over () as r, doc_id, {WORDS} as w from documents),
+with recursive d as (select row_number() over () as r, doc_id, {WORDS} as w from documents),
 p as (select r, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
 h as (select p.r, p.i, md5(array_to_string(w[p.i : p.i + 34], ' ')) as k from p join d using (r)),
-s as (select r, i from h where k in (select k from h group by k having count(*) > 1)),
+s as (select r, i, k from h where k in (select k from h group by k having count(*) > 1)),
+lv as (select r, i, k, 35 as size, 1 as level from s
+       union all
+       select r, i, k, size, level from (
+         select a.r, a.i, md5(a.k || b.k) as k, 2 * a.size as size, a.level + 1 as level, count(*) over (partition by md5(a.k || b.k)) as n
+         from lv a join lv b on b.r = a.r and b.i = a.i + a.size) where n > 1),
+deep as (select r, max(level) as levels from lv group by r),
 c as (select distinct r, unnest(range(i, i + 35)) as i from s),
 g as (select r, list(i) as gone from c group by r)
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
-       sha256(array_to_string([x[1] for x in list_zip(w, range(1, len(w) + 1)) if gone is null or not list_contains(gone, x[2])], ' ')) as kept_sha256
-from d left join g using (r)"""
+       sha256(array_to_string([x[1] for x in list_zip(w, range(1, len(w) + 1)) if gone is null or not list_contains(gone, x[2])], ' ')) as kept_sha256,
+       coalesce(levels, 0) as levels
+from d left join g using (r) left join deep using (r)"""
 
 
 @query(SQL_1)
 def op1_substring_dedup(spark, sf_dir):
     found = substring_dedup.dedup(spark, table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "levels")
 
 
 @query("""

@@ -11,11 +11,16 @@ window that also starts anywhere else is removed.
 2. Level ``width``. The windows of one anchor form a run. Equal runs are summed
    first (thousands of copies become one row), then windows of different runs of an
    anchor are compared by offset and hash.
-3. Levels ``2 * width``, ``4 * width``, ...: from the anchors of repeated runs the
-   window of twice the length is looked up; those repeated at one level alone go to
-   the next, until none survives. The last level of a document is reported.
+3. Levels ``2 * width``, ``4 * width``, ...: the repeated windows of a document that start
+   at consecutive words are a stretch; equal stretches are summed to one row. Only a
+   window whose two halves are repeated can be repeated itself, so window ``i`` is joined
+   with window ``i + length`` of its stretch, and the doubled windows that stand in two places
+   are the stretches of the next level, until none survives. A document's deepest level is
+   reported.
 4. Words under repeated windows are taken out of the whole text.
 
+Keys that many rows share are split wherever rows meet again (``split_join``).
+
 Window hashes have 64 bits beside the 64 bits of their anchor, whose offset must
 agree too. Only hashes and positions are shuffled up to the last step.
 
@@ -30,11 +35,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import words as W
-from terrace.session import fresh_dir
+from terrace.operators.joins import split_join
+from terrace.session import drop_dirs, fresh_dir
 
 WIDTH = 35
 GRAM = 9
@@ -100,11 +106,11 @@ def document_anchors(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, "key bigint, anchor bigint")
 
 
-RUNS = "key bigint, th bigint, anchor bigint, rk bigint, start int, off int, hashes array<bigint>, levels array<bigint>"
+RUNS = "key bigint, th bigint, anchor bigint, rk bigint, start int, off int, hashes array<bigint>"
 
 
 def candidate_runs(docs: DataFrame, width: int) -> DataFrame:
-    """Runs of repeated anchors: identity, place, window hashes, and hashes of the doubled windows."""
+    """Runs of repeated anchors: identity, place, window hashes."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED):
@@ -119,14 +125,6 @@ def candidate_runs(docs: DataFrame, width: int) -> DataFrame:
             ptr = np.concatenate([[0], np.cumsum(n)])
             off = a - first
             rk = W.mix(W.span_hash(W.prefix_sums(hashes, 2), ptr[:-1], ptr[1:], 2) + off.astype(np.uint64))
-            end, levels, size = cut.ptr[1:][row], [], 2 * width
-            while len(a) and (a + size <= end).any():
-                fits = np.flatnonzero(a + size <= end)
-                levels.append((fits, W.span_hash(runs.sums, a[fits], a[fits] + size, 1)))
-                size *= 2
-            owners = np.concatenate([f for f, _ in levels]) if levels else np.zeros(0, np.int64)
-            flat = np.concatenate([h for _, h in levels]) if levels else np.zeros(0, np.uint64)
-            order = np.argsort(owners, kind="stable")
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array(row)),
@@ -136,7 +134,6 @@ def candidate_runs(docs: DataFrame, width: int) -> DataFrame:
                     pa.array((first - cut.ptr[:-1][row]).astype(np.int32)),
                     pa.array(off.astype(np.int32)),
                     W.list_of(hashes, ptr, pa.int64()),
-                    W.list_of(flat[order], np.searchsorted(owners[order], np.arange(len(a) + 1)), pa.int64()),
                 ],
                 names=[c.split()[0] for c in RUNS.split(", ")],
             )
@@ -147,29 +144,113 @@ def candidate_runs(docs: DataFrame, width: int) -> DataFrame:
 def repeated_windows(runs: DataFrame) -> DataFrame:
     """``anchor, rk, places``: which windows of a run are repeated (null: all of them)."""
     kinds = runs.groupBy("anchor", "rk").agg(F.count(F.lit(1)).alias("n"), F.first("off").alias("off"), F.first("hashes").alias("hashes"))
-    kinds = kinds.withColumn("variants", F.count(F.lit(1)).over(Window.partitionBy("anchor")))
-    same = kinds.filter("variants = 1 and n > 1").select("anchor", "rk", F.lit(None).cast("array<int>").alias("places"))
-    each = kinds.filter("variants > 1").select("anchor", "rk", "n", "off", F.posexplode("hashes").alias("i", "h"))
-    each = each.withColumn("total", F.sum("n").over(Window.partitionBy("anchor", F.col("off") - F.col("i"), "h")))
-    some = each.filter("total > 1").groupBy("anchor", "rk").agg(F.collect_list("i").alias("places"))
+    several = kinds.select("anchor", "rk").groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1").select("anchor")
+    same = split_join(kinds.filter("n > 1"), several, "anchor", "left_anti").select("anchor", "rk", F.lit(None).cast("array<int>").alias("places"))
+    each = split_join(kinds, several, "anchor", "left_semi").select("anchor", "rk", "n", "off", F.posexplode("hashes").alias("i", "h"))
+    each = each.withColumn("at", F.col("off") - F.col("i"))
+    twice = each.groupBy("h", "anchor", "at").agg(F.sum("n").alias("n")).filter("n > 1").select("h", "anchor", "at")
+    some = split_join(each.select("anchor", "rk", "i", "h", "at"), twice, ["h", "anchor", "at"], "left_semi").groupBy("anchor", "rk").agg(F.collect_list("i").alias("places"))
     return same.unionByName(some)
 
 
-def deepest_level(spark: SparkSession, hits: DataFrame) -> DataFrame:
-    """``key, th, level``: how often a repeated window of a document could be doubled and still repeat."""
-    now = hits.select("key", "th", "levels")
-    out, level = now.select("key", "th", F.lit(0).alias("level")), 0
+STRETCH = "stretch bigint, weight bigint, hashes array<bigint>"
+
+
+def _stretches(at: np.ndarray, hashes: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Identity and hashes of every run of consecutive places."""
+    out = []
+    for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) != 1) + 1):
+        if len(part):
+            h = hashes[part]
+            sums = W.prefix_sums(h, 2)
+            out.append((int(W.span_hash(sums, np.array([0]), np.array([len(h)]), 2).view(np.int64)[0]), h))
+    return out
+
+
+def document_stretches(found: DataFrame) -> DataFrame:
+    """``key, th, stretch, weight, hashes`` of documents' repeated windows (lists of starts and of hashes); equal rows weigh together."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for key, th, starts, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+                at, first, n = np.unique(np.concatenate(starts), return_index=True, return_counts=True)
+                h = np.concatenate([np.asarray(x, dtype=np.int64) for x in hashes]).view(np.uint64)[first]
+                # a row that stands twice brought every start twice
+                out += [(key, th, name, int(n.min()), part.view(np.int64)) for name, part in _stretches(at, h)]
+            cols = list(zip(*out)) or [[]] * 5
+            kinds = [*[pa.int64()] * 4, pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "th", "stretch", "weight", "hashes"])
+
+    return found.select("key", "th", "starts", "hashes").mapInArrow(run, f"key bigint, th bigint, {STRETCH}")
+
+
+def doubled(stretches: DataFrame, length: int) -> DataFrame:
+    """``stretch, weight, hashes`` of the windows of ``2 * length`` words: window ``i`` joined with window ``i + length``."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            flat, ptr = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            flat, ptr = flat, ptr - ptr[0]
+            n = np.maximum(np.diff(ptr) - length, 0)
+            at = W.ragged(ptr[:-1], n)
+            twice = W.mix(W.mix(flat[at] ^ np.uint64(length)) + flat[at + length])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), W.list_of(twice, np.concatenate([[0], np.cumsum(n)]), pa.int64())], names=["stretch", "weight", "hashes"])
+
+    return stretches.filter(F.size("hashes") > length).select("stretch", "weight", "hashes").mapInArrow(run, STRETCH)
+
+
+def next_stretches(pairs: DataFrame) -> DataFrame:
+    """``parent, stretch, weight, hashes``: the stretches of doubled windows that stand in two places at least."""
+    windows = pairs.select(F.explode("hashes").alias("h"), "weight").groupBy("h").agg(F.sum("weight").alias("n")).filter("n > 1").select("h")
+    # a stretch that stands twice survives as it is; the windows of others are looked up
+    alone = pairs.filter("weight = 1").select("stretch", F.posexplode("hashes").alias("i", "h"))
+    found = split_join(alone, windows, "h", "left_semi").groupBy("stretch").agg(F.array_sort(F.collect_list(F.struct("i", "h"))).alias("w"))
+    some = found.select("stretch", F.lit(1).cast("bigint").alias("weight"), F.col("w.i").alias("places"), F.col("w.h").alias("hashes"))
+    whole = pairs.filter("weight > 1").select("stretch", "weight", F.sequence(F.lit(0), F.size("hashes") - 1).alias("places"), "hashes")
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for parent, weight, places, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+                h = np.asarray(hashes, dtype=np.int64).view(np.uint64)
+                out += [(parent, name, weight, part.view(np.int64)) for name, part in _stretches(np.asarray(places), h)]
+            cols = list(zip(*out)) or [[]] * 4
+            kinds = [*[pa.int64()] * 3, pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["parent", "stretch", "weight", "hashes"])
+
+    return some.unionByName(whole).mapInArrow(run, f"parent bigint, {STRETCH}")
+
+
+def deepest_levels(spark: SparkSession, stretches: DataFrame, width: int) -> DataFrame:
+    """``stretch, level``: how many levels (1: ``width`` words, 2: twice that, ...) a document's stretch has repeated windows at."""
+
+    def summed(rows):
+        return rows.groupBy("stretch").agg(F.sum("weight").alias("weight"), F.first("hashes").alias("hashes"))
+
+    now, length, level = summed(stretches), width, 1
+    path = fresh_dir(spark, "dedup-stretches")
+    now.write.parquet(path)
+    now = spark.read.parquet(path)
+    # which stretches of the documents led to which of the current level
+    come = now.select(F.col("stretch").alias("root"), "stretch")
+    out = come.select(F.col("root").alias("stretch"), F.lit(1).alias("level"))
     while True:
-        # the levels that are done are cut off, so each round writes less
-        fits = now.filter(F.size("levels") > 0).select("key", "th", F.col("levels")[0].alias("h"), F.slice("levels", 2, F.size("levels")).alias("levels"))
-        twice = fits.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-        path = fresh_dir(spark, "dedup-level")
-        fits.join(twice, "h").select("key", "th", "levels").write.parquet(path)
-        now = spark.read.parquet(path)
-        if now.isEmpty():
-            return out.groupBy("key", "th").agg(F.max("level").alias("level"))
-        level += 1
-        out = out.unionByName(now.select("key", "th", F.lit(level).alias("level")))
+        pairs_path, next_path = fresh_dir(spark, "dedup-pairs"), fresh_dir(spark, "dedup-level")
+        doubled(now, length).write.parquet(pairs_path)
+        next_stretches(spark.read.parquet(pairs_path)).write.parquet(next_path)
+        grown = spark.read.parquet(next_path)
+        drop_dirs(spark, pairs_path)
+        if grown.isEmpty():
+            return out.groupBy("stretch").agg(F.max("level").alias("level"))
+        length, level = 2 * length, level + 1
+        links = grown.select(F.col("parent").alias("stretch"), F.col("stretch").alias("child")).distinct()
+        path = fresh_dir(spark, "dedup-roots")
+        come.join(links, "stretch").select("root", F.col("child").alias("stretch")).distinct().write.parquet(path)
+        come = spark.read.parquet(path)
+        out = out.unionByName(come.select(F.col("root").alias("stretch"), F.lit(level).alias("level")).distinct())
+        now = summed(grown)
 
 
 OUT = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string, levels int"
@@ -214,12 +295,13 @@ def remove(docs: DataFrame, width: int) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_words, n_removed, kept, kept_sha256, levels`` for every row of ``docs`` (doc_id, text)."""
-    least = F.lit(-(1 << 63)).cast("bigint")
+    text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), least).alias("key"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        # rows without an id are found by their text (a row of that number as its id shares anchors with them, no more)
+        F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(text, F.lit("no id"))).alias("key"),
+        F.xxhash64(text).alias("th"),
+        text.alias("text"),
     )
     owned = document_anchors(keyed, width).join(anchor_counts(keyed, width), "anchor")
     anchors = owned.groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
@@ -227,11 +309,19 @@ def dedup(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame
     candidate_runs(keyed.join(anchors, "key"), width).write.parquet(path)
     runs = spark.read.parquet(path)
 
-    places = F.coalesce(F.transform("places", lambda i: F.col("start") + i), F.sequence("start", F.col("start") + F.col("n") - 1))
-    placed = runs.select("key", "th", "anchor", "rk", "start", F.size("hashes").alias("n"), "levels").join(repeated_windows(runs), ["anchor", "rk"])
-    path = fresh_dir(spark, "dedup-hits")
-    placed.select("key", "th", "levels", places.alias("starts")).write.parquet(path)
-    hits = spark.read.parquet(path)
+    starts = F.coalesce(F.transform("places", lambda i: F.col("start") + i), F.sequence("start", F.col("start") + F.size("hashes") - 1))
+    hashes = F.coalesce(F.transform("places", lambda i: F.get("hashes", i)), F.col("hashes"))
+    hits_path = fresh_dir(spark, "dedup-hits")
+    placed = split_join(runs, repeated_windows(runs), ["rk", "anchor"], "inner")
+    placed.select("key", "th", starts.alias("starts"), hashes.alias("hashes")).write.parquet(hits_path)
+    drop_dirs(spark, path)
+    hits = spark.read.parquet(hits_path)
+    of_doc = hits.groupBy("key", "th").agg(F.collect_list("starts").alias("starts"), F.collect_list("hashes").alias("hashes"))
+    path = fresh_dir(spark, "dedup-documents")
+    document_stretches(of_doc).write.parquet(path)
+    stretches = spark.read.parquet(path)
+    levels = deepest_levels(spark, stretches.select("stretch", "weight", "hashes"), width)
+    of_level = split_join(stretches.select("key", "th", "stretch"), levels, "stretch", "left").groupBy("key", "th").agg(F.max("level").alias("level"))
     spans = hits.groupBy("key", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    known = spans.join(deepest_level(spark, hits), ["key", "th"])
-    return remove(keyed.join(known, ["key", "th"], "left").withColumn("level", F.coalesce(F.col("level") + 1, F.lit(0))), width)
+    known = spans.join(of_level, ["key", "th"])
+    return remove(keyed.join(known, ["key", "th"], "left").withColumn("level", F.coalesce("level", F.lit(0))), width)
