@@ -8,24 +8,30 @@ their sets reaches ``threshold`` (a fraction of whole hundredths).
 2. Two linked sets of a size band differ in at most ``D`` tokens. The token space is cut
    into ``M = D + 1 + D / 4`` parts by hash, so the two agree in ``M - D`` parts at least: the
    tokens of a part, as one key, are the matrix's columns. (Single shingles of a passage
-   that many documents share would open group after group.) Keys are dealt and sorted
-   once, and only those that stand in two rows go on.
-3. Sets that share that many parts with the same most central class form a group, so a
-   family of near copies falls into few. The token-group matrix holds the union of a group's
-   parts. A set's parts in common with that union bound from above what it shares with any
-   member: it opens only groups where they are ``M - D`` or more. (Parts without a token
-   are equal for all sets that lack it, so a set counts without them, and asks for that many
-   less, unless that leaves it nothing to ask for.) A set opens groups of sets at least as
-   large as its own: the keys carry the size band, and a set looks in its own and in the next.
+   that many documents share would open group after group; only sets of up to ``SMALL``
+   tokens, whose parts would often be empty, have their tokens as columns.) A set looks
+   in the columns of its own band and of the next. Keys are dealt and sorted once, and
+   only those that stand in two rows go on.
+3. A set that has fewer such columns than it must share with any set it links to is done
+   with. Of the others the last ``asked - 1`` columns, by how often they stand, are left out
+   of the search on both sides: of the columns that two linked sets share, the rarest is
+   still there. So a column that very many sets share opens nothing.
+4. Sets that share enough columns with the same most central class form a group, so a
+   family of near copies falls into few. The token-group matrix holds the union of a
+   group's columns. A set meets a group by its rare columns; what it shares with the whole
+   union bounds from above what it shares with any member, and only groups where that is
+   as much as it asks for are opened. (Parts without a token are equal for all sets that
+   lack it: a set counts without them and asks for that many less. Where that would leave
+   it nothing to ask for, it searches with them too.)
    A parity bitmap of the whole set (two bits a token) then bounds the difference of
    two sets from below: a class stays in a group only if some set there is not ruled
    out by it. Only then are whole sets sent anywhere.
-4. In an opened group the exact similarity of every pair is computed from whole sets,
+5. In an opened group the exact similarity of every pair is computed from whole sets,
    in cells of at most ``CELL`` sets a side. A link is counted in the group of the
    larger of its two classes (by size, then id), which the smaller one always opens:
    every link counts once, whether or not other links join the two already. A cell
    returns a number for each of its classes and the links that join it, never all pairs.
-5. Joining links (by class) go to connected components. A document's links are the other
+6. Joining links (by class) go to connected components. A document's links are the other
    documents of its class and those of all classes that link to it.
 
 Edge cases: null and empty texts and texts without words have no shingle and stand
@@ -41,7 +47,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.llm import words as W
@@ -51,6 +57,10 @@ from terrace.session import drop_dirs, fresh_dir
 SHINGLE = 3
 PERCENT = 90
 CELL = 512
+#: Sets up to this size have their tokens as columns.
+SMALL = 128
+#: The band that stands for all of these.
+TOKENS = -1
 
 
 class Sets:
@@ -111,24 +121,36 @@ def parts_of(band: np.ndarray, percent: int) -> np.ndarray:
     return apart + 1 + apart // 4
 
 
+def schemes(band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bands whose columns a set of a band has, and searches further: small bands are one, and have no further one among them."""
+    small = np.exp((band + 1) * math.log(100 / percent) * 1.0001) <= SMALL
+    above = np.exp((band + 2) * math.log(100 / percent) * 1.0001) <= SMALL
+    return np.where(small, TOKENS, band), np.where(above, TOKENS - 1, band + 1)
+
+
 def _parts(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of parts by row, their offsets, and the place among all parts of every token."""
-    n_parts = np.where(sets.sizes > 0, parts_of(band, percent), 0)
+    """Number of parts by row, their offsets, and the place among all parts of every token (sets of small bands: a part a token)."""
+    split = np.where(band == TOKENS, sets.sizes, parts_of(np.maximum(band, 0), percent))
+    n_parts = np.where((sets.sizes > 0) & (band >= TOKENS), split, 0)
     ptr = np.concatenate([[0], np.cumsum(n_parts)])
     owner = np.repeat(np.arange(len(n_parts)), sets.sizes)
+    nth = np.arange(len(owner)) - np.repeat(sets.ptr[:-1], sets.sizes)
     part = (W.mix(sets.hash ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(n_parts[owner], 1).astype(np.uint64)).astype(np.int64)
-    return n_parts, ptr, ptr[:-1][owner] + part
+    part = np.where(band[owner] == TOKENS, nth, part)
+    return n_parts, ptr, np.where(n_parts[owner] > 0, ptr[:-1][owner] + part, -1)
 
 
 def part_keys(sets: Sets, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the parts of every row's set in the given band, and their offsets by row; odd keys are of parts without a token."""
     n_parts, ptr, at = _parts(sets, band, percent)
+    here = at >= 0
     sums = np.zeros(ptr[-1], dtype=np.uint64)
-    np.add.at(sums, at, W.mix(sets.hash))
+    np.add.at(sums, at[here], W.mix(sets.hash[here]))
     empty = np.ones(ptr[-1], dtype=np.uint64)
-    empty[at] = 0
+    empty[at[here]] = 0
     rows = np.repeat(np.arange(len(n_parts)), n_parts)
-    place = (band[rows].astype(np.uint64) << np.uint64(40)) + (np.arange(ptr[-1]) - ptr[:-1][rows]).astype(np.uint64)
+    nth = np.where(band[rows] == TOKENS, 0, np.arange(ptr[-1]) - ptr[:-1][rows])  # a token is the same column wherever it stands
+    place = ((band[rows] + 2).astype(np.uint64) << np.uint64(40)) + nth.astype(np.uint64)
     return (W.mix(sums + W.mix(place + np.uint64(1))) & ~np.uint64(1)) | empty, ptr
 
 
@@ -136,10 +158,13 @@ def asked(sets: Sets, band: np.ndarray, percent: int) -> np.ndarray:
     """Parts with tokens that a set shares with every set of the band it links to; below zero: parts, those without tokens too."""
     n_parts, ptr, at = _parts(sets, band, percent)
     full = np.zeros(ptr[-1], dtype=np.int64)
-    full[at] = 1
+    full[at[at >= 0]] = 1
     filled = np.concatenate([[0], np.cumsum(full)])
     empty = n_parts - (filled[ptr[1:]] - filled[ptr[:-1]])
-    agree = parts_of(band, percent) - most_apart(band, percent)
+    parts = np.maximum(band, 0)
+    # nothing that links to a set of n tokens differs in more than this, on whichever side the larger one is
+    apart = np.minimum(most_apart(parts, percent), sets.sizes * (100 - percent) // percent)
+    agree = np.where(band == TOKENS, np.maximum(needed(sets.sizes, percent), 1), parts_of(parts, percent) - apart)
     return np.where(agree > empty, agree - empty, -agree)
 
 
@@ -151,7 +176,7 @@ def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
             sets = Sets(cut, width)
             s1, s2 = sets.signatures()
             band = bands(sets.sizes, percent)
-            asks = [pa.array(asked(sets, b, percent), pa.int32()) for b in (band, band + 1)]
+            asks = [pa.array(asked(sets, b, percent), pa.int32()) for b in schemes(band, percent)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), W.longs(sets.sizes), W.longs(s1), W.longs(s2), sets.bitmaps(), *asks],
                 names=["doc_id", "n", "s1", "s2", "bits", "here", "above"],
@@ -162,14 +187,13 @@ def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``key, c, own``: the parts of every document in its own size band and in the next."""
+    """``key, c, own``: the columns of every document in its own size band and in the next."""
 
     def run(batches):
         for part, cut in W.cut_batches(batches, W.SPACED_LOWER):
             sets = Sets(cut, width)
-            band = bands(sets.sizes, percent)
-            for own in (True, False):
-                keys, ptr = part_keys(sets, band if own else band + 1, percent)
+            for own, band in zip((True, False), schemes(bands(sets.sizes, percent), percent)):
+                keys, ptr = part_keys(sets, band, percent)
                 ids = part.column(0).take(pa.array(np.repeat(np.arange(len(band)), np.diff(ptr))))
                 yield pa.RecordBatch.from_arrays([W.longs(keys), ids, pa.repeat(pa.scalar(own), len(keys))], names=["key", "c", "own"])
 
@@ -211,39 +235,68 @@ def shared_keys(spark: SparkSession, docs: DataFrame, classes: DataFrame, width:
     return spark.read.parquet(path)
 
 
-def leaders(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """``c, pivot, g``: for every class the most central class that it shares enough parts with, and its group.
+def hopeful(spark: SparkSession, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, c, own, k, ask, nth, rare``: columns of the classes that have as many as they ask for, from the rarest on.
 
-    Central is who meets most rows over all its parts: the text that a family of near copies was made from.
+    ``k`` says in how many rows a column stands, ``rare`` whether it is searched by: not among the last ``ask - 1``.
+    """
+    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    rows = found.join(counts, "key").join(classes.select("c", "here", "above"), "c").withColumn("ask", F.expr("if(own, here, above)"))
+    # parts without a token count only for a class that could not ask for anything without them
+    rows = rows.drop("here", "above").filter("ask < 0 or key % 2 = 0")
+    of_class = Window.partitionBy("c", "own")
+    rows = rows.withColumns({"n": F.count(F.lit(1)).over(of_class), "nth": F.row_number().over(of_class.orderBy("k", "key"))})
+    path = fresh_dir(spark, "jaccard-hopeful")
+    rows.filter("n >= abs(ask)").withColumn("rare", F.expr("nth <= n - abs(ask) + 1")).drop("n").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def leaders(columns: DataFrame) -> DataFrame:
+    """``c, pivot, g``: for every class the most central class that it shares enough columns with (or meets at all), and its group.
+
+    Central is who meets most rows over all its columns: the text that a family of near copies was made from.
     The group is named by the pivot, or by the class itself where that is the more central one.
     """
-    full = found.filter("key % 2 = 0")
-    counts = full.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
-    degree = full.join(counts, "key").groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
+    full = columns.filter("key % 2 = 0")
+    degree = full.groupBy("c").agg(F.sum(F.when(F.col("own"), F.col("k"))).alias("degree"))
     top = F.max(F.when(F.col("own"), F.struct("degree", (-F.col("c")).alias("minus")))).alias("top")
     met = full.join(degree, "c").groupBy("key").agg(top, F.min("c").alias("lo"), F.max("c").alias("hi"))
     met = met.filter("lo < hi and top is not null").select("key", "top")
-    common = full.join(met, "key").filter("c <> -top.minus").groupBy("c", "own", "top").agg(F.count(F.lit(1)).alias("common"))
-    enough = common.join(classes.select("c", "here", "above"), "c").filter("common >= greatest(if(own, here, above), 1)")
-    best = enough.groupBy("c").agg(F.max("top").alias("top"))
+    common = full.join(met, "key").filter("c <> -top.minus").groupBy("c", "own", "top").agg(
+        F.count(F.lit(1)).alias("common"), F.first("ask").alias("ask"), F.max("rare").alias("rare")
+    )
+    # a stray that has enough with no such class goes with the one that it meets by a rare column
+    enough, meets = F.max(F.when(F.col("common") >= F.greatest("ask", F.lit(1)), F.col("top"))), F.max(F.when(F.col("rare"), F.col("top")))
+    best = common.groupBy("c").agg(F.coalesce(enough, meets).alias("top")).filter("top is not null")
     pivot = -F.col("top.minus")
     own = F.coalesce(F.col("degree") > F.col("top.degree"), F.lit(False)) | ((F.col("degree") == F.col("top.degree")) & (F.col("c") < pivot))
     return best.join(degree, "c").select("c", pivot.alias("pivot"), F.when(own, F.col("c")).otherwise(pivot).alias("g"))
 
 
-def open_groups(spark: SparkSession, found: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+def open_groups(spark: SparkSession, columns: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
     """``c, g, member``: the groups in which a class must be compared (its own, and those that qualify)."""
-    rows = found.join(groups, "c", "left").withColumn("g", F.coalesce("g", "c"))
-    # columns of one class have nothing to find
-    open_keys = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    # a group whose name goes with another group goes there as a whole
+    moved = groups.select(F.col("c").alias("g"), F.col("g").alias("to"))
+    settled = groups.join(moved, "g", "left").select("c", F.coalesce("to", "g").alias("g"))
+    rows = columns.join(settled, "c", "left").withColumn("g", F.coalesce("g", "c"))
     path = fresh_dir(spark, "jaccard-open")
-    rows.join(open_keys, "key").select("key", "c", "own", "g").write.parquet(path)
+    rows.write.parquet(path)
     live = spark.read.parquet(path)
-    matrix = live.filter("own").select(F.col("key").alias("column"), F.col("g").alias("other")).distinct()
-    asks = live.join(classes.select("c", "here", "above"), "c").withColumn("ask", F.expr("if(own, here, above)")).filter("ask < 0 or key % 2 = 0")
+    # a class that asks with empty parts is listed under all its full ones, and meets others' empty parts in full
+    mine = live.filter("own").select("key", "g", "rare", "ask")
+    listed = mine.filter("key % 2 = 0 and (rare or ask < 0)").select("key", "g")
+    with_empty = live.filter("ask < 0 and rare").select("key").distinct()
+    members_of = found.filter("own").join(live.select("c", "g").distinct(), "c").select("key", "g")
+    matrix = listed.unionByName(members_of.join(with_empty, "key", "left_semi")).distinct().select(F.col("key").alias("column"), F.col("g").alias("other"))
     meets = (F.col("key") == F.col("column")) & (F.col("g") != F.col("other"))
-    bound = asks.join(matrix, meets).groupBy("c", "own", F.col("other").alias("g")).agg(F.count(F.lit(1)).alias("common"), F.max(F.abs("ask")).alias("ask"))
-    visits = bound.filter("common >= ask").select("c", "g").distinct()
+    visits_path = fresh_dir(spark, "jaccard-met")
+    live.filter("rare").join(matrix, meets).select("c", "own", F.col("other").alias("g")).distinct().write.parquet(visits_path)
+    met = spark.read.parquet(visits_path)
+    # what a class shares with the union of all columns of a group it met
+    union = members_of.distinct()
+    asks = live.select("c", "own", "key", F.abs("ask").alias("ask"))
+    common = met.join(asks, ["c", "own"]).join(union, ["key", "g"]).groupBy("c", "own", "g").agg(F.count(F.lit(1)).alias("common"), F.max("ask").alias("ask"))
+    visits = common.filter("common >= ask").select("c", "g").distinct()
     members = live.select("c", "g").distinct()
     return members.withColumn("member", F.lit(True)).unionByName(visits.withColumn("member", F.lit(False)))
 
@@ -414,8 +467,9 @@ def join(spark: SparkSession, docs: DataFrame, width: int = SHINGLE, percent: in
     classes = spark.read.parquet(paths["classes"])
     ids = classes.filter("c is not null")
     found = shared_keys(spark, docs, ids, width, percent)
-    leaders(found, ids).write.parquet(paths["groups"])
-    open_groups(spark, found, spark.read.parquet(paths["groups"]).select("c", "g"), ids).write.parquet(paths["visits"])
+    columns = hopeful(spark, found, ids)
+    leaders(columns).write.parquet(paths["groups"])
+    open_groups(spark, columns, found, spark.read.parquet(paths["groups"]).select("c", "g")).write.parquet(paths["visits"])
     near_sets(ids, spark.read.parquet(paths["visits"]), percent).write.parquet(paths["near"])
     links(spark, docs, ids, spark.read.parquet(paths["near"]), width, percent, count_links).write.parquet(paths["links"])
     drop_dirs(spark, *(paths[name] for name in ("groups", "visits", "near")))
