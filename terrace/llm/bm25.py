@@ -3,12 +3,17 @@
 ``build_index`` writes one row per shard (a bounded slice of documents, ordered so
 that alike documents share blocks): postings by term, and for every term and block
 of ``BLOCK_DOCS`` documents the largest term weight. ``search`` runs blocks of
-queries over every shard: the block maxima of a query's terms are summed into a
-bound per document block, blocks are opened from the highest bound on, and once the
-k-th best score reaches the bound of a block, that block and all lower ones are
-skipped whole. The k-th best score is carried from shard to shard of a task; the
-shards' answers are merged exactly, since term weights use global statistics
-(documents, mean length, document frequencies) counted over all documents.
+queries over every shard, some queries at a time: the block maxima of a query's terms
+are summed into a bound per document block, and blocks whose bound is below the query's
+k-th best score so far are skipped whole. In the others the terms that stand in many
+documents of the shard are summed by one product of matrices (in single precision), the
+others posting by posting. Documents that can be among the best by that sum, with the
+error it can have, are summed again exactly. The k-th best score is carried from shard
+to shard of a task; the shards' answers are merged exactly, since term weights use global
+statistics (documents, mean length, document frequencies) counted over all documents.
+
+Every query is a whole text that shares words with most documents, so the work grows
+with queries times documents; a task holds one shard and one block of queries at a time.
 
 Scores are ``sum idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))`` with
 ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))`` over the query's different words. Ties
@@ -35,11 +40,17 @@ from terrace.session import fresh_dir
 K1 = 1.2
 B = 0.75
 TOP_K = 10
-BLOCK_DOCS = 16
+BLOCK_DOCS = 512
+#: Terms in more than this share of a shard's documents are its frequent ones.
+FREQUENT = 0.06
+#: Queries that are scored together over a shard.
+BATCH_QUERIES = 64
+#: Documents of which the best alone counts for a first floor.
+GROUP = 4
 SHARD_BYTES = 16 << 20
 SHARDS_PER_FILE = 4
 #: Different (query, word) pairs of one block of queries: bounds what a task is sent (16 bytes each).
-BLOCK_TERMS = 400_000
+BLOCK_TERMS = 2_000_000
 
 INDEX = "ids array<bigint>, lengths array<int>, terms array<bigint>, ptr array<int>, docs array<int>, tfs array<int>"
 
@@ -138,7 +149,7 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """One shard with the weights of the global statistics and its block maxima."""
+    """One shard with the weights of the global statistics, its block maxima, and its frequent terms as a matrix."""
 
     def __init__(self, row: dict[str, np.ndarray], vocabulary: np.ndarray, idf: np.ndarray, mean: float):
         at = np.minimum(np.searchsorted(vocabulary, row["terms"].view(np.uint64)), max(len(vocabulary) - 1, 0))
@@ -146,51 +157,77 @@ class Shard:
         n = np.diff(row["ptr"])[known]
         pick = W.ragged(row["ptr"][:-1][known], n)
         self.vocabulary = at[known]  # place in the query vocabulary, ascending
-        self.doc, tf = row["docs"][pick].astype(np.int64), row["tfs"][pick].astype(float)
+        self.doc, tf = row["docs"][pick], row["tfs"][pick].astype(float)
         length = row["lengths"][self.doc]
-        term = np.repeat(np.arange(len(n)), n)
-        self.weight = idf[self.vocabulary[term]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+        self.term = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        self.weight = idf[self.vocabulary[self.term]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         block = self.doc // BLOCK_DOCS
         new = np.ones(len(block), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        new[1:] = (self.term[1:] != self.term[:-1]) | (block[1:] != block[:-1])
         self.entry = np.flatnonzero(new)  # first posting of each (term, block)
         self.entry_end = np.append(self.entry[1:], len(block))
         self.entry_block = block[self.entry]
         self.entry_max = np.maximum.reduceat(self.weight, self.entry) if len(block) else np.zeros(0)
-        self.term_entry = np.searchsorted(term[self.entry], np.arange(len(n) + 1))
+        self.term_entry = np.searchsorted(self.term[self.entry], np.arange(len(n) + 1))
         self.n_docs = len(row["lengths"])
         self.n_blocks = -(-self.n_docs // BLOCK_DOCS)
-
-    def top(self, terms: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (place in the shard) and scores of all that can be among the best ``k`` with at least ``floor``."""
+        # frequent terms: a row each, a column a document
+        frequent = np.flatnonzero(n > FREQUENT * self.n_docs)
+        self.row = np.full(len(n), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.n_docs), np.float32)
+        inside = self.row[self.term] >= 0
+        self.matrix[self.row[self.term[inside]], self.doc[inside]] = self.weight[inside]
+        # sums in single precision are off by less than this share, as no weight is below zero
+        self.slack = (len(frequent) + 8) * 2.0**-22
+        # the postings of every document, by term
+        by_doc = np.argsort(self.doc, kind="stable")
+        self.doc_ptr = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=self.n_docs))])
+        self.doc_term, self.doc_weight = self.term[by_doc], self.weight[by_doc]
+
+    def top(self, terms: np.ndarray, owner: np.ndarray, k: int, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, document (place in the shard) and score of all that can be among the best ``k`` of a query with at least its floor.
+
+        ``terms`` are those of a batch of queries, ``owner`` the query of each; ``floors`` has one for every query.
+        """
         at = np.minimum(np.searchsorted(self.vocabulary, terms), max(len(self.vocabulary) - 1, 0))
-        mine = at[self.vocabulary[at] == terms] if len(self.vocabulary) else at[:0]
-        entries = W.ragged(self.term_entry[mine], self.term_entry[mine + 1] - self.term_entry[mine])
-        blocks = self.entry_block[entries]
+        found = self.vocabulary[at] == terms if len(self.vocabulary) else np.zeros(len(terms), bool)
+        term, query, n = at[found], owner[found], len(floors)
+        size = self.term_entry[term + 1] - self.term_entry[term]
+        entries, who = W.ragged(self.term_entry[term], size), np.repeat(query, size)
+        cell = who * self.n_blocks + self.entry_block[entries]
         # a hair above the exact sum: the bound is added in another order than the score
-        bound = np.bincount(blocks, self.entry_max[entries], minlength=self.n_blocks) * (1 + 1e-9)
-        score = np.zeros(self.n_docs)
-        order = np.argsort(-bound, kind="stable")
-        done, step = 0, 4
-        while done < len(order):
-            ready = order[done : done + step]
-            ready = ready[(bound[ready] >= floor) & (bound[ready] > 0)]
-            if not len(ready):
-                break
-            opened = np.zeros(self.n_blocks, bool)
-            opened[ready] = True
-            use = entries[opened[blocks]]
-            pick = W.ragged(self.entry[use], self.entry_end[use] - self.entry[use])
-            score += np.bincount(self.doc[pick], self.weight[pick], minlength=self.n_docs)
-            if self.n_docs >= k:
-                floor = max(floor, np.partition(score, -k)[-k])
-            done, step = done + step, step * 4
-        found = np.flatnonzero((score >= floor) & (score > 0))
-        return found, score[found]
-
-
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+        bound = np.bincount(cell, self.entry_max[entries], minlength=n * self.n_blocks).reshape(n, self.n_blocks) * (1 + 1e-9)
+        opened = (bound >= floors[:, None]) & (bound > 0)
+        # postings of the other terms one by one, frequent terms as a product of matrices
+        use = opened.ravel()[cell] & (np.repeat(self.row[term], size) < 0)
+        entries, who = entries[use], who[use]
+        size = self.entry_end[entries] - self.entry[entries]
+        pick = W.ragged(self.entry[entries], size)
+        about = np.bincount(np.repeat(who * self.n_docs, size) + self.doc[pick], self.weight[pick], minlength=n * self.n_docs)
+        about = about.astype(float, copy=False).reshape(n, self.n_docs)  # of nothing numpy counts in whole numbers
+        has = np.zeros((n, len(self.matrix)), np.float32)
+        many = self.row[term] >= 0
+        has[query[many], self.row[term[many]]] = 1
+        for b in np.flatnonzero(opened.any(axis=0)) if len(self.matrix) else ():
+            rows, docs = np.flatnonzero(opened[:, b]), slice(b * BLOCK_DOCS, (b + 1) * BLOCK_DOCS)
+            about[rows, docs] += has[rows] @ self.matrix[:, docs]
+        if self.n_docs >= k * GROUP:
+            # as many groups of documents as asked for have a score from there on
+            tops = np.maximum.reduceat(about, np.arange(0, self.n_docs, GROUP), axis=1)
+            floors = np.maximum(floors, np.partition(tops, -k, axis=1)[:, -k] * (1 - self.slack))
+        elif self.n_docs >= k:
+            floors = np.maximum(floors, np.partition(about, -k, axis=1)[:, -k] * (1 - self.slack))
+        q, doc = np.nonzero((about >= floors[:, None] * (1 - self.slack)) & (about > 0))
+        # of those the exact score: weights summed by term
+        mark = np.zeros((n, len(self.vocabulary)), bool)
+        mark[query, term] = True
+        size = self.doc_ptr[doc + 1] - self.doc_ptr[doc]
+        pick, nth = W.ragged(self.doc_ptr[doc], size), np.repeat(np.arange(len(doc)), size)
+        hit = mark.ravel()[np.repeat(q * len(self.vocabulary), size) + self.doc_term[pick]]
+        score = np.bincount(nth[hit], self.doc_weight[pick[hit]], minlength=len(doc))
+        keep = score >= floors[q] * (1 - self.slack)
+        return q[keep], doc[keep], score[keep]
 
 
 def search(index: DataFrame, block: list[tuple[int, np.ndarray]], vocabulary: np.ndarray, idf: np.ndarray, mean: float, k: int) -> DataFrame:
@@ -198,29 +235,37 @@ def search(index: DataFrame, block: list[tuple[int, np.ndarray]], vocabulary: np
     last = np.iinfo(np.int64).max
 
     def run(batches):
-        best = {q: (np.zeros(0, np.int64), np.zeros(0)) for q, _ in block}
+        # best so far: a row for every query, places that are still free with a score of 0
+        best_ids, best = np.full((len(block), k), last), np.zeros((len(block), k))
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].values for n in ("ids", "lengths", "terms", "ptr", "docs", "tfs")}
                 ids = row.pop("ids").fill_null(last).to_numpy(zero_copy_only=False)
                 shard = Shard({n: v.to_numpy(zero_copy_only=False) for n, v in row.items()}, vocabulary, idf, mean)
-                for q, terms in block:
-                    had_ids, had = best[q]
-                    floor = had[-1] if len(had) == k else 0.0
-                    docs, scores = shard.top(terms, k, floor)
-                    if len(docs):
-                        all_ids, all_scores = np.concatenate([had_ids, ids[docs]]), np.concatenate([had, scores])
-                        keep = _best(all_ids, all_scores, k)
-                        best[q] = all_ids[keep], all_scores[keep]
-        for q, (ids, scores) in best.items():
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(q, pa.int64()), len(ids)), pa.array(ids), pa.array(scores)], names=["query", "match", "score"])
-
-    return index.mapInArrow(run, "query bigint, match bigint, score double")
+                for lo in range(0, len(block), BATCH_QUERIES):
+                    part = [terms for _, terms in block[lo : lo + BATCH_QUERIES]]
+                    n = len(part)
+                    owner = np.repeat(np.arange(n), [len(t) for t in part])
+                    q, doc, score = shard.top(np.concatenate(part), owner, k, best[lo : lo + n, -1])
+                    if len(q):
+                        who = np.concatenate([np.repeat(np.arange(n), k), q])
+                        all_ids, scores = np.concatenate([best_ids[lo : lo + n].ravel(), ids[doc]]), np.concatenate([best[lo : lo + n].ravel(), score])
+                        order = np.lexsort((all_ids, -scores, who))
+                        first = np.searchsorted(who[order], np.arange(n))
+                        keep = order[first[:, None] + np.arange(k)]
+                        best_ids[lo : lo + n], best[lo : lo + n] = all_ids[keep], scores[keep]
+        names = np.array([q for q, _ in block], dtype=np.int64)
+        at, place = np.nonzero(best > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(best_ids[at, place]), pa.array(best[at, place])], names=["query", "match", "score"])
+
+    # a task for every core, however large the index: what tasks return and carry along grows with the queries alone
+    tasks = index.sparkSession.sparkContext.defaultParallelism
+    return index.coalesce(tasks).mapInArrow(run, "query bigint, match bigint, score double")
 
 
 def top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
     """``query, rank, match, score``: the exact best ``k`` documents of ``docs`` for every row of ``queries``."""
+    W.bound_batches(spark)  # a shard at a time
     path = fresh_dir(spark, "bm25-index")
     build_index(docs).write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
     index = spark.read.parquet(path)

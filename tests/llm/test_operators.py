@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 
 import numpy as np
@@ -396,6 +397,40 @@ def test_search_equals_brute_force(spark, docs, texts, monkeypatch):
         assert [i for i, _ in got[q["doc_id"]]] == [i for i, _ in want]
 
 
+def test_a_shard_scores_its_queries_together(spark):
+    # words of every document, of many and of few; families of equal texts, more of them than are asked for
+    rng = random.Random(5)
+    common, rare = [f"c{i}" for i in range(40)], [f"r{i}" for i in range(400)]
+    bodies = [" ".join(rng.choices(common, k=rng.randint(20, 60)) + rng.choices(rare, k=rng.randint(0, 9))) for _ in range(1500)]
+    bodies += [bodies[3]] * 30 + ["", "r1", "other words"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string").coalesce(1)
+    row = {k: np.array(v) for k, v in bm25.build_index(df).collect()[0].asDict().items()}
+    vocabulary = np.sort(row["terms"].view(np.uint64))
+    order = np.argsort(row["terms"].view(np.uint64))
+    frequency = np.diff(row["ptr"])[order]
+    n, mean = len(bodies), row["lengths"].mean()
+    idf = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5))
+    shard = bm25.Shard({k: v for k, v in row.items() if k != "ids"}, vocabulary, idf, mean)
+    assert 40 <= len(shard.matrix) < len(vocabulary)
+    weights = np.zeros((n, len(vocabulary)))
+    weights[shard.doc, shard.vocabulary[shard.term]] = shard.weight
+    queries = [np.flatnonzero(weights[d]) for d in range(0, n, 25)]
+    owner = np.repeat(np.arange(len(queries)), [len(t) for t in queries])
+    for floor in (0.0, 30.0):
+        q, doc, score = shard.top(np.concatenate(queries), owner, 10, np.full(len(queries), floor))
+        for i, terms in enumerate(queries):
+            exact = weights[:, terms].sum(axis=1)
+            least = max(np.sort(exact)[-10], floor)
+            got = dict(zip(doc[q == i].tolist(), score[q == i].tolist()))
+            assert {d for d in np.flatnonzero((exact >= least) & (exact > 0)).tolist()} <= got.keys()
+            assert all(math.isclose(exact[d], s, rel_tol=1e-12) for d, s in got.items())
+            # equal texts score equally
+            same = [got[d] for d in np.flatnonzero((weights == weights[np.flatnonzero(exact == exact.max())[0]]).all(axis=1)).tolist() if d in got]
+            assert len(set(same)) <= 1
+        # not every document is summed again
+        assert len(doc) < len(queries) * 60
+
+
 def test_token_counts_follow_edits(spark, docs, empty, scratch):
     count = lambda s: len(token_counts.encoder(token_counts.VOCABULARY).encode_ordinary(s))
     rng = np.random.default_rng(3)
