@@ -3,7 +3,8 @@
 * ``read_listing``: one row per entry of every archive (directories and empty members
   too), ``LISTING``. Archives are opened on executors only, a slice of them per task; one
   that cannot be opened gives a row with its ``problem`` instead of failing the job.
-* ``pack``: bins of members of about ``BIN_BYTES`` compressed bytes each. Every task packs
+* ``pack``: bins of members of about ``BIN_BYTES`` unpacked bytes each, since a task holds and
+  sorts what it unpacks, however well it was compressed. Every task packs
   the members it holds in order (next fit: two neighbouring bins hold more than one bin's
   bytes together), so packing needs neither a global order nor the driver. A member
   counts ``OPEN_BYTES`` more, the cost of opening it: many tiny members make few tasks,
@@ -33,8 +34,8 @@ from terrace.sources import files
 LISTING = "archive string, zip_name string, entry int, member string, file_size long, packed_size long, is_dir boolean, problem string"
 LINES = "archive string, zip_name string, member string, line_no long, value string"
 COUNTED = f"{LINES}, source_bytes long, landed_bytes long"
-BIN_BYTES = 64 << 20
-OPEN_BYTES = 256 << 10
+BIN_BYTES = 32 << 20
+OPEN_BYTES = 128 << 10
 CHUNK_BYTES = 4 << 20
 
 
@@ -101,7 +102,7 @@ def pack(spark: SparkSession, listing: DataFrame, bin_bytes: int = BIN_BYTES) ->
 
     members = listing.filter("not is_dir and file_size > 0").sortWithinPartitions("archive", "entry")
     path = fresh_dir(spark, "archive-plan")
-    members.select("archive", "zip_name", "entry", "member", "packed_size").mapInArrow(fit, schema).write.parquet(path)
+    members.select("archive", "zip_name", "entry", "member", "file_size").mapInArrow(fit, schema).write.parquet(path)
     plan = spark.read.parquet(path)
     # one row per task that packed: a few hundred
     bins = plan.groupBy("part").agg((F.max("own") + 1).alias("n"))

@@ -124,6 +124,19 @@ def test_tiny_members_are_packed_and_only_tasks_open_archives(spark, scratch, mo
     assert not opened
 
 
+def test_a_task_unpacks_a_bounded_number_of_bytes(spark, scratch):
+    # members that compress to a few thousandths of their size
+    with zipfile.ZipFile(f"{scratch}/Dense.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        for i in range(24):
+            zf.writestr(f"m{i:02d}.csv", b"%d;1\n" % i * (3 << 18))
+    listing = ziplines.read_listing(spark, f"{scratch}/Dense.zip")
+    plan, n = ziplines.pack(spark, listing)
+    sizes = plan.join(listing, ["archive", "entry"]).groupBy("bin").agg(F.sum("file_size").alias("s")).collect()
+    assert len(sizes) == n and max(r["s"] for r in sizes) <= 32 << 20 < sum(r["s"] for r in sizes)
+    found = ziplines.read_lines(spark, f"{scratch}/Dense.zip")
+    assert found.count() == 24 * (3 << 18) and found.select("value").distinct().count() == 24
+
+
 def test_a_large_member_has_a_task_of_its_own(spark, scratch):
     big = os.urandom(300_000)
     make_zip(f"{scratch}/Mixed.zip", [("a.csv", b"a\n"), ("big.csv", big.replace(b"\n", b" ") + b"\n"), ("b.csv", b"b\n"), ("c.csv", b"c\n")])
