@@ -431,6 +431,67 @@ def test_a_shard_scores_its_queries_together(spark):
         assert len(doc) < len(queries) * 60
 
 
+def test_blocks_of_queries_share_passes_over_the_index(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, weights=[300 / (j + 1) for j in range(300)], k=rng.randint(5, 80)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    queries = df.filter("doc_id % 10 = 0")
+    want = sorted(map(tuple, bm25.top_k(spark, df, queries, 5).collect()))
+    assert len(want) == 150
+    total = sum(len(set(t.split())) for i, t in rows if i % 10 == 0)
+    passes, search = [], bm25.search
+    monkeypatch.setattr(bm25, "search", lambda index, block, *rest: passes.append(len(block)) or search(index, block, *rest))
+    for block, most in ((40, 10 * total), (40, total // 3), (total // 4, 1)):
+        monkeypatch.setattr(bm25, "BLOCK_TERMS", block)
+        monkeypatch.setattr(bm25, "PASS_TERMS", most)
+        passes.clear()
+        assert sorted(map(tuple, bm25.top_k(spark, df, queries, 5).collect())) == want
+        assert sum(passes) == 30 and len(passes) <= min(-(-total // block), -(-total // most))
+
+
+def test_a_shard_has_bounded_documents_and_no_small_rest():
+    def sizes(n, text):
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": [text] * n})
+        found = list(bm25._group(iter([batch.slice(at, 5000) for at in range(0, n, 5000)])))
+        assert [i for parts in found for part in parts for i in part.column(0).to_pylist()] == list(range(n))
+        return [sum(part.num_rows for part in parts) for parts in found]
+
+    assert max(sizes(40_000, "a b")) < 2 * bm25.SHARD_DOCS
+    assert max(sizes(40_000, "")) < 2 * bm25.SHARD_DOCS
+    long = "word " * 20_000
+    most = bm25.SHARD_BYTES // len(long)
+    for n in (most + 10, 2 * most + 10):
+        assert min(sizes(n, long)) > most / 2
+    assert sizes(1, "a") == [1] and sizes(0, "a") == []
+
+
+def test_a_shard_leaves_out_blocks_of_short_documents(spark):
+    rng = random.Random(6)
+    words, often = [f"w{i}" for i in range(3000)], [1 / (i + 1) for i in range(3000)]
+    bodies = [" ".join(rng.choices(words, often, k=500 if i % 8 == 0 else 15)) for i in range(2000)]
+    df = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string").coalesce(1)
+    row = {k: np.array(v) for k, v in bm25.build_index(df).collect()[0].asDict().items()}
+    order = np.argsort(row["terms"].view(np.uint64))
+    vocabulary, frequency = row["terms"].view(np.uint64)[order], np.diff(row["ptr"])[order]
+    idf = np.log(1 + (2000 - frequency + 0.5) / (frequency + 0.5))
+    shard = bm25.Shard({k: v for k, v in row.items() if k != "ids"}, vocabulary, idf, row["lengths"].mean())
+    weights = np.zeros((2000, len(vocabulary)))
+    weights[shard.doc, shard.vocabulary[shard.term]] = shard.weight
+    queries = [np.flatnonzero(weights[d]) for d in np.flatnonzero(row["lengths"] > 100)[:40]]
+    owner = np.repeat(np.arange(len(queries)), [len(t) for t in queries])
+    exact = [weights[:, terms].sum(axis=1) for terms in queries]
+    # an eighth of the documents are long; the floors are those of a shard like this one
+    for floors in (np.zeros(len(queries)), np.array([np.sort(x)[-10] for x in exact])):
+        shard.opened = 0
+        q, doc, score = shard.top(np.concatenate(queries), owner, 10, floors)
+        for i, x in enumerate(exact):
+            best = np.argsort(-x)[:10]
+            assert set(best.tolist()) <= set(doc[q == i].tolist())
+            assert np.allclose(np.sort(score[q == i])[::-1][:10], x[best])
+    assert shard.opened < len(queries) * shard.n_blocks / 3
+
+
 def test_token_counts_follow_edits(spark, docs, empty, scratch):
     count = lambda s: len(token_counts.encoder(token_counts.VOCABULARY).encode_ordinary(s))
     rng = np.random.default_rng(3)
